@@ -1 +1,203 @@
-"""Witnesses (filled in as operators land)."""
+"""Witnesses for families and phenotype documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandline.operators import pedigree as ped
+from strandline.plans.registry import witness
+
+FAM_P = ("p AS (SELECT family_id, sequencing_id AS p_seq, aliquot_id AS pa, father_aliquot_id AS pf, "
+         "mother_aliquot_id AS pm FROM clinical WHERE is_proband AND family_id IS NOT NULL "
+         "QUALIFY row_number() OVER (PARTITION BY family_id ORDER BY sequencing_id) = 1)")
+ANA_P = ("p AS (SELECT analysis_id, sequencing_id AS p_seq, aliquot_id AS pa, father_aliquot_id AS pf, "
+         "mother_aliquot_id AS pm FROM clinical WHERE is_proband "
+         "QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY sequencing_id) = 1)")
+SUPPORTED = ("s AS (SELECT c.*, p.p_seq, p.pa, p.pf, p.pm FROM clinical c JOIN p USING (family_id) "
+             "WHERE (pf IS NOT NULL OR pm IS NOT NULL) AND (c.sequencing_id = p_seq OR "
+             "(NOT c.is_proband AND (c.aliquot_id = pf OR c.aliquot_id = pm))))")
+FILLED = "coalesce(length({c}), 0) > 0"
+
+
+@witness("ped_split", """
+SELECT family_id, count(*) AS n_members FROM clinical GROUP BY family_id
+""")
+def _(v):
+    fam, solo = ped.split_families(v.clinical)
+    solos = solo.agg(F.count("*").alias("n_members")).select(F.lit(None).cast("string").alias("family_id"),
+                                                             "n_members").where("n_members > 0")
+    return ped.family_sizes(fam).unionByName(solos)
+
+
+@witness("ped_supported", f"""
+WITH {FAM_P}, {SUPPORTED}
+SELECT family_id, aliquot_id, sequencing_id FROM s
+""")
+def _(v):
+    return ped.supported_families(v.clinical).select("family_id", "aliquot_id", "sequencing_id")
+
+
+@witness("ped_dropped", f"""
+WITH {FAM_P}
+SELECT c.family_id, c.sequencing_id, c.aliquot_id FROM clinical c JOIN p USING (family_id)
+WHERE NOT c.is_proband AND NOT (coalesce(c.aliquot_id = pf, false) OR coalesce(c.aliquot_id = pm, false))
+  AND ({FILLED.format(c='c.father_aliquot_id')} OR {FILLED.format(c='c.mother_aliquot_id')})
+""")
+def _(v):
+    return ped.dropped_members(v.clinical).select("family_id", "sequencing_id", "aliquot_id")
+
+
+@witness("ped_solo_duo_trio", f"""
+WITH f AS (SELECT analysis_id, bool_or(is_proband) AS hp,
+                  bool_or(NOT is_proband AND ({FILLED.format(c='father_aliquot_id')} OR {FILLED.format(c='mother_aliquot_id')})) AS hs,
+                  bool_or({FILLED.format(c='snv_url')} OR {FILLED.format(c='cnv_url')}) AS hv
+           FROM clinical GROUP BY analysis_id), {ANA_P}
+SELECT analysis_id FROM f
+WHERE hp AND NOT hs AND hv AND analysis_id IN (SELECT analysis_id FROM p WHERE p_seq IN (SELECT sequencing_id FROM clinical_signs))
+""")
+def _(v):
+    return ped.solo_duo_trio(v.clinical, v.clinical_signs)
+
+
+@witness("ped_with_parent", """
+SELECT analysis_id, sequencing_id FROM clinical
+WHERE analysis_id IN (SELECT analysis_id FROM clinical WHERE father_aliquot_id IS NOT NULL OR mother_aliquot_id IS NOT NULL)
+""")
+def _(v):
+    return ped.with_a_parent(v.clinical).select("analysis_id", "sequencing_id")
+
+
+@witness("ped_relation", f"""
+WITH {FAM_P}, {SUPPORTED}
+SELECT family_id, aliquot_id,
+       CASE WHEN aliquot_id = pf THEN 'father' WHEN aliquot_id = pm THEN 'mother' WHEN aliquot_id = pa THEN 'proband' END AS relation
+FROM s
+""")
+def _(v):
+    return ped.with_relation(ped.supported_families(v.clinical), strict=True).select(
+        "family_id", "aliquot_id", "relation")
+
+
+@witness("ped_file_role", f"""
+WITH {ANA_P},
+r AS (SELECT c.analysis_id, c.aliquot_id, c.snv_url, c.cnv_url,
+             CASE WHEN c.is_proband THEN 'patient' WHEN coalesce(c.aliquot_id = p.pm, false) THEN 'maternal' ELSE 'paternal' END AS who
+      FROM clinical c LEFT JOIN p USING (analysis_id))
+SELECT analysis_id, aliquot_id, who || '_called_snv' AS file_role, snv_url AS url FROM r WHERE snv_url IS NOT NULL
+UNION ALL
+SELECT analysis_id, aliquot_id, who || '_called_cnv' AS file_role, cnv_url AS url FROM r WHERE cnv_url IS NOT NULL
+""")
+def _(v):
+    return ped.file_roles(v.clinical)
+
+
+@witness("ped_parental_affected", f"""
+WITH {ANA_P}
+SELECT p.analysis_id, p.p_seq AS sequencing_id,
+       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = p.analysis_id AND c.aliquot_id = p.pm), false) AS maternal_affected,
+       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = p.analysis_id AND c.aliquot_id = p.pf
+                 AND NOT coalesce(c.aliquot_id = p.pm, false)), false) AS paternal_affected
+FROM p
+""")
+def _(v):
+    return ped.parental_affected(v.clinical)
+
+
+@witness("ped_coerce_sex", """
+WITH fa AS (SELECT DISTINCT analysis_id, father_aliquot_id AS aliquot_id FROM clinical WHERE father_aliquot_id IS NOT NULL),
+mo AS (SELECT DISTINCT analysis_id, mother_aliquot_id AS aliquot_id FROM clinical WHERE mother_aliquot_id IS NOT NULL),
+m AS (SELECT c.analysis_id, c.aliquot_id, c.gender,
+             CASE c.gender WHEN 'Male' THEN 'MALE' WHEN 'Female' THEN 'FEMALE' WHEN 'unknown' THEN 'UNKNOWN_SEX'
+                  WHEN 'other' THEN 'OTHER_SEX' END AS mapped,
+             fa.aliquot_id IS NOT NULL AS is_f, mo.aliquot_id IS NOT NULL AS is_m
+      FROM clinical c
+      LEFT JOIN fa ON c.analysis_id = fa.analysis_id AND c.aliquot_id = fa.aliquot_id
+      LEFT JOIN mo ON c.analysis_id = mo.analysis_id AND c.aliquot_id = mo.aliquot_id)
+SELECT analysis_id, aliquot_id, gender,
+       CASE WHEN mapped IS NULL OR mapped <> 'UNKNOWN_SEX' THEN mapped WHEN is_f THEN 'MALE' WHEN is_m THEN 'FEMALE'
+            ELSE mapped END AS pedigree_sex
+FROM m
+""")
+def _(v):
+    return ped.coerce_parent_sex(v.clinical).select("analysis_id", "aliquot_id", "gender", "pedigree_sex")
+
+
+@witness("ped_recode", """
+SELECT sequencing_id,
+       CASE lower(gender) WHEN 'male' THEN 'M' WHEN 'female' THEN 'F' WHEN 'other' THEN 'M' WHEN 'unknown' THEN 'M' ELSE 'M' END AS api_sex,
+       CASE WHEN affected_status THEN 'AFFECTED' WHEN NOT affected_status THEN 'UNAFFECTED' ELSE 'MISSING' END AS affected
+FROM clinical
+""")
+def _(v):
+    return v.clinical.select("sequencing_id", ped.api_sex(F.col("gender")).alias("api_sex"),
+                             ped.recode_affected(ped.affected_code(F.col("affected_status"))).alias("affected"))
+
+
+@witness("ped_sign_ids", """
+SELECT c.sequencing_id, coalesce(s.n, 0) AS n_ids, s.ids AS hpo_ids
+FROM clinical c LEFT JOIN (SELECT sequencing_id, count(*) AS n, array_to_string(list_sort(list(hpo_id)), ',') AS ids
+                           FROM clinical_signs WHERE affected_status GROUP BY sequencing_id) s USING (sequencing_id)
+""")
+def _(v):
+    s = ped.sign_ids(v.clinical_signs, affected_only=True)
+    j = v.clinical.select("sequencing_id").join(s, "sequencing_id", "left")
+    return j.select("sequencing_id",
+                    F.when(F.col("hpo_ids").isNull(), F.lit(0)).otherwise(F.size("hpo_ids")).cast("bigint").alias("n_ids"),
+                    F.array_join("hpo_ids", ",").alias("hpo_ids"))
+
+
+_RANK = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(ped.ONSET_ORDER))
+
+
+@witness("ped_earliest_onset", f"""
+SELECT c.sequencing_id, coalesce(o.onset, 'HP:0003674') AS onset
+FROM clinical c LEFT JOIN (
+  SELECT sequencing_id, arg_min(age_at_onset, rk) AS onset
+  FROM (SELECT sequencing_id, age_at_onset, CASE age_at_onset {_RANK} END AS rk FROM clinical_signs)
+  WHERE rk IS NOT NULL GROUP BY sequencing_id) o USING (sequencing_id)
+""")
+def _(v):
+    o = ped.earliest_onset(v.clinical_signs)
+    return (v.clinical.select("sequencing_id").join(o, "sequencing_id", "left")
+            .select("sequencing_id", ped.onset_or_default(F.col("onset")).alias("onset")))
+
+
+@witness("ped_document", """
+SELECT p.analysis_id, p.aliquot_id, m.n AS n_persons, m.ids AS person_ids, coalesce(f.n, 0) AS n_features
+FROM clinical p
+JOIN (SELECT analysis_id, count(*) AS n, array_to_string(list_sort(list(aliquot_id)), ',') AS ids
+      FROM clinical GROUP BY analysis_id) m USING (analysis_id)
+LEFT JOIN (SELECT sequencing_id, count(*) AS n FROM clinical_signs WHERE affected_status GROUP BY sequencing_id) f
+  USING (sequencing_id)
+WHERE p.is_proband
+""")
+def _(v):
+    d = ped.pedigree_documents(v.clinical, v.clinical_signs)
+    persons = F.col("family.pedigree.persons")
+    return d.select("analysis_id", "aliquot_id", F.size(persons).cast("bigint").alias("n_persons"),
+                    F.array_join(F.transform(persons, lambda p: p["individualId"]), ",").alias("person_ids"),
+                    F.size("family.proband.phenotypicFeatures").cast("bigint").alias("n_features"))
+
+
+_NAME = ("CASE WHEN is_proband THEN 'family' ELSE aliquot_id END || ' - ' || "
+         "CASE WHEN family_id IS NULL THEN 'None' ELSE analysis_id END || "
+         "CASE WHEN gender = 'other' THEN '_reset' ELSE '' END")
+
+
+@witness("ped_name_parts", f"""
+WITH n AS (SELECT sequencing_id, {_NAME} AS sample_name FROM clinical)
+SELECT sequencing_id, sample_name,
+       nullif(trim(split_part(sample_name, ' - ', 1)), 'family') AS aliquot_part,
+       nullif(CASE WHEN contains(trim(split_part(sample_name, ' - ', 2)), '_')
+                   THEN split_part(trim(split_part(sample_name, ' - ', 2)), '_', 1)
+                   ELSE trim(split_part(sample_name, ' - ', 2)) END, 'None') AS analysis_part
+FROM n
+""")
+def _(v):
+    c = v.clinical
+    name = F.concat(ped.sample_name(F.when(F.col("is_proband"), F.lit(ped.FAMILY_KEYWORD)).otherwise(F.col("aliquot_id")),
+                                    F.when(F.col("family_id").isNotNull(), F.col("analysis_id"))),
+                    F.when(F.col("gender") == "other", "_reset").otherwise(""))
+    n = c.select("sequencing_id", name.alias("sample_name"))
+    return n.select("sequencing_id", "sample_name", ped.name_aliquot(F.col("sample_name")).alias("aliquot_part"),
+                    ped.name_analysis(F.col("sample_name")).alias("analysis_part"))
