@@ -142,3 +142,20 @@ class Views:
         if name in VIEWS:
             return view(self.spark, self.sf_dir, name)
         return read_table(self.spark, self.sf_dir, name)
+
+
+def nested_clinical(v: "Views") -> DataFrame:
+    """Clinical rows in the lake's nested shape: file URLs as arrays (NULL when
+    absent), germline vs somatic CNV files by analysis code, sequencing
+    strategy."""
+    def arr(c):
+        return F.when(c.isNotNull(), F.array(c))
+
+    germ = F.col("bioinfo_analysis_code") == "GEBA"
+    return v.clinical.select(
+        "*",
+        arr(F.col("snv_url")).alias("snv_vcf_germline_urls"),
+        arr(F.when(germ, F.col("cnv_url"))).alias("cnv_vcf_germline_urls"),
+        arr(F.when(~germ, F.col("cnv_url"))).alias("cnv_vcf_somatic_urls"),
+        F.lit("WXS").alias("sequencing_strategy"),
+    )
