@@ -1 +1,259 @@
-"""Witnesses (filled in as operators land)."""
+"""Witnesses for the file catalogue."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandline.operators import catalog as cat
+from strandline.operators import pedigree as ped
+from strandline.plans.registry import witness
+from strandline.plans.w_cohort import META_SCHEMA, TYPE_CASE, _metadata
+from strandline.session import scratch_dir
+
+L = cat.SNV_GERMLINE_LEGACY
+BASENAME = "regexp_extract(object_key, '([^/]*)$', 1)"
+PREFIX = (f"replace(replace(replace(replace(replace({BASENAME}, '{L}', ''), '{cat.SNV_GERMLINE}', ''), "
+          f"'.case', ''), '.snv', ''), 'variants.', '')")
+PIPE = (f"pipe AS (SELECT object_key, {PREFIX} AS prefix FROM object_keys "
+        f"WHERE ends_with(object_key, '{cat.SNV_GERMLINE}') AND starts_with(object_key, '{cat.PIPELINE_FOLDER}'))")
+
+
+def param(name: str) -> str:
+    return (f"CASE WHEN regexp_matches(object_key, '(?:^|/){name}=') THEN "
+            f"nullif(regexp_extract(object_key, '(?:^|/){name}=([^/=]*)', 1), 'null') END")
+
+
+@witness("cat_path_param", f"""
+SELECT object_id, {param('analysis_id')} AS analysis_id, {param('aliquot_id')} AS aliquot_id,
+       regexp_matches(object_key, '(?:^|/)aliquot_id=') AS has_aliquot
+FROM object_keys
+""")
+def _(v):
+    k = F.col("object_key")
+    return v.object_keys.select("object_id", cat.path_param(k, "analysis_id").alias("analysis_id"),
+                                cat.path_param(k, "aliquot_id").alias("aliquot_id"),
+                                cat.has_path_param(k, "aliquot_id").alias("has_aliquot"))
+
+
+@witness("cat_prefix", f"SELECT object_id, {PREFIX} AS prefix FROM object_keys")
+def _(v):
+    return v.object_keys.select("object_id", cat.file_prefix(F.col("object_key")).alias("prefix"))
+
+
+@witness("cat_discover", f"WITH {PIPE} SELECT object_key, 'nextflow' AS bucket, prefix FROM pipe")
+def _(v):
+    return cat.discover(v.object_keys, cat.SNV_GERMLINE, "nextflow", cat.PIPELINE_FOLDER)
+
+
+@witness("cat_attach", f"""
+WITH keys AS (SELECT object_key, {PREFIX} AS prefix FROM object_keys),
+pipe AS (SELECT object_key, prefix FROM keys
+         WHERE ends_with(object_key, '{cat.SNV_GERMLINE}') AND starts_with(object_key, '{cat.PIPELINE_FOLDER}')),
+leg AS (SELECT object_key, prefix, split_part(object_key, '/', 1) AS b FROM keys
+        WHERE ends_with(object_key, '{L}') AND strpos(object_key, '/') > 0),
+cnt AS (SELECT b, count(*) AS n FROM leg GROUP BY b),
+p AS (SELECT family_id, aliquot_id AS pa FROM clinical WHERE is_proband AND family_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY family_id ORDER BY sequencing_id) = 1),
+r AS (SELECT c.sequencing_id, c.analysis_id, c.batch_id, c.aliquot_id, c.family_id, p.pa
+      FROM clinical c LEFT JOIN p USING (family_id)),
+cand AS (
+  SELECT r.sequencing_id, 1 AS rk, pipe.object_key FROM r JOIN pipe ON r.analysis_id = pipe.prefix
+  UNION ALL
+  SELECT r.sequencing_id, 2 AS rk, leg.object_key FROM r JOIN leg ON r.batch_id = leg.b AND r.pa = leg.prefix
+  UNION ALL
+  SELECT r.sequencing_id, 3 AS rk, leg.object_key FROM r JOIN leg ON r.batch_id = leg.b JOIN cnt ON cnt.b = leg.b
+  WHERE cnt.n = 1 OR leg.prefix = r.aliquot_id OR leg.prefix = r.family_id),
+best AS (SELECT sequencing_id, rk, min(object_key) AS k FROM cand GROUP BY sequencing_id, rk
+         QUALIFY row_number() OVER (PARTITION BY sequencing_id ORDER BY rk) = 1)
+SELECT r.sequencing_id, r.analysis_id, r.aliquot_id, best.k AS vcf_key, best.rk AS rule,
+       CASE WHEN best.k IS NULL THEN 'No VCF to attach for aliquot_id ' || r.aliquot_id END AS error
+FROM r LEFT JOIN best USING (sequencing_id)
+""")
+def _(v):
+    probands = ped.first_proband(v.clinical).select("family_id", F.col("p_aliquot_id").alias("proband_aliquot_id"))
+    return cat.attach_files(v.clinical, v.object_keys, probands)
+
+
+_URL = ("CASE WHEN is_proband THEN 'WrappedArray(' || cnv_url || ')' "
+        "WHEN gender = 'other' THEN replace(cnv_url, 's3a://', 'gs://') ELSE cnv_url END")
+
+
+@witness("cat_s3_parts", f"""
+WITH a AS (SELECT sequencing_id, trim({_URL}) AS u0 FROM clinical WHERE cnv_url IS NOT NULL),
+b AS (SELECT sequencing_id, CASE WHEN starts_with(u0, 'WrappedArray(') THEN substr(u0, 14, length(u0) - 14) ELSE u0 END AS u FROM a),
+c AS (SELECT sequencing_id, u, CASE WHEN starts_with(u, 's3a://') THEN substr(u, 7) WHEN starts_with(u, 's3://') THEN substr(u, 6) END AS rest FROM b)
+SELECT sequencing_id, split_part(rest, '/', 1) AS bucket,
+       CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/') + 1) WHEN rest IS NOT NULL THEN '' END AS key,
+       CASE WHEN rest IS NULL THEN 'Invalid S3 URL format: ' || u END AS error
+FROM c
+""")
+def _(v):
+    c = v.clinical.where(F.col("cnv_url").isNotNull())
+    url = (F.when(F.col("is_proband"), F.concat(F.lit("WrappedArray("), "cnv_url", F.lit(")")))
+           .when(F.col("gender") == "other", F.replace("cnv_url", F.lit("s3a://"), F.lit("gs://")))
+           .otherwise(F.col("cnv_url")))
+    bucket, key, error = cat.s3_parts(url)
+    return c.select("sequencing_id", bucket.alias("bucket"), key.alias("key"), error.alias("error"))
+
+
+@witness("cat_gzip_name", """
+WITH n AS (SELECT doc_id, 'doc' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 0 THEN '.vcf.gz' ELSE '.vcf' END AS name
+           FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND NOT ends_with(name, '.gz') THEN name || '.gz' ELSE name END AS file_name FROM n
+""")
+def _(v):
+    d = v.documents
+    raw = F.encode("text", "UTF-8")
+    content = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("1F8B08")), raw)).otherwise(raw)
+    name = F.concat(F.lit("doc"), F.col("doc_id").cast("string"),
+                    F.when(F.col("doc_id") % 5 == 0, ".vcf.gz").otherwise(".vcf"))
+    return d.select("doc_id", cat.gzip_name(content, name).alias("file_name"))
+
+
+@witness("cat_has_snv", f"""
+WITH k AS (SELECT split_part(object_key, '/', 1) AS batch_id, ends_with(object_key, '{L}') AS hit
+           FROM object_keys WHERE strpos(object_key, '/') > 0),
+f AS (SELECT batch_id, bool_or(hit) AS has_snv FROM k GROUP BY batch_id)
+SELECT r.batch_id, coalesce(f.has_snv, false) AS has_snv
+FROM (SELECT DISTINCT id AS batch_id FROM req_batches) r LEFT JOIN f USING (batch_id)
+""")
+def _(v):
+    return cat.batch_has_snv(v.object_keys, L, v.req_batches.select(F.col("id").alias("batch_id")).distinct())
+
+
+DECLARED = ("CASE WHEN bioinfo_analysis_code = 'TNEBA' THEN replace(cnv_url, '.cnv.vcf.gz', '.vcf.gz') "
+            "ELSE cnv_url END")
+
+
+def _declared(v):
+    return v.clinical.select("batch_id", F.expr(DECLARED).alias("cnv_vcf"))
+
+
+@witness("cat_cnv_valid", f"""
+SELECT batch_id, coalesce(bool_and(CASE WHEN f IS NOT NULL THEN ends_with(f, '.cnv.vcf.gz') END), true) AS cnv_valid
+FROM (SELECT batch_id, {DECLARED} AS f FROM clinical) GROUP BY batch_id
+""")
+def _(v):
+    return cat.batch_cnv_valid(_declared(v), cat.CNV_GERMLINE)
+
+
+@witness("cat_validate_batch", f"""
+WITH b AS (SELECT batch_id, arg_min({TYPE_CASE}, sequencing_id) AS analysis_type FROM clinical GROUP BY batch_id),
+meta AS (SELECT 'BAT' || lpad(CAST(n_nationkey + 3 AS VARCHAR), 3, '0') AS batch_id, {META_SCHEMA} AS submission_schema FROM nation),
+k AS (SELECT split_part(object_key, '/', 1) AS batch_id, object_key AS kk FROM object_keys WHERE strpos(object_key, '/') > 0),
+snv AS (SELECT batch_id, bool_or(ends_with(kk, '{cat.SNV_GERMLINE}')) AS sg,
+               bool_or(ends_with(kk, '{cat.SNV_SOMATIC_TUMOR_ONLY}')) AS st,
+               bool_or(ends_with(kk, '{cat.SNV_SOMATIC_TUMOR_NORMAL}')) AS sn FROM k GROUP BY batch_id),
+d AS (SELECT batch_id, {DECLARED} AS f FROM clinical),
+cnv AS (SELECT batch_id, coalesce(bool_and(CASE WHEN f IS NOT NULL THEN ends_with(f, '{cat.CNV_GERMLINE}') END), true) AS cg,
+               coalesce(bool_and(CASE WHEN f IS NOT NULL THEN ends_with(f, '{cat.CNV_SOMATIC_TUMOR_ONLY}') END), true) AS ct
+        FROM d GROUP BY batch_id),
+j AS (SELECT b.batch_id, b.analysis_type, meta.submission_schema, meta.batch_id IS NOT NULL AS hm,
+             coalesce(sg, false) AS sg, coalesce(st, false) AS st, coalesce(sn, false) AS sn,
+             coalesce(cg, true) AS cg, coalesce(ct, true) AS ct
+      FROM b LEFT JOIN meta USING (batch_id) LEFT JOIN snv USING (batch_id) LEFT JOIN cnv USING (batch_id)),
+r AS (SELECT batch_id, analysis_type, unnest([
+  CASE WHEN analysis_type = 'germline' AND hm AND submission_schema <> 'CQGC_Germline' THEN 'invalid_schema' END,
+  CASE WHEN analysis_type = 'somatic_tumor_only' AND hm AND submission_schema <> 'CQGC_Exome_Tumeur_Seul' THEN 'invalid_schema' END,
+  CASE WHEN analysis_type = 'germline' AND NOT sg THEN 'no_snv_vcf' END,
+  CASE WHEN analysis_type = 'somatic_tumor_only' AND hm AND NOT st THEN 'no_snv_vcf' END,
+  CASE WHEN analysis_type = 'somatic_tumor_normal' AND NOT sn THEN 'no_snv_vcf' END,
+  CASE WHEN analysis_type = 'germline' AND NOT cg THEN 'invalid_cnv_vcf' END,
+  CASE WHEN analysis_type = 'somatic_tumor_only' AND hm AND NOT ct THEN 'invalid_cnv_vcf' END,
+  CASE WHEN analysis_type = 'somatic_tumor_normal' AND hm THEN 'metadata_present' END]) AS rule FROM j)
+SELECT batch_id, analysis_type, rule FROM r WHERE rule IS NOT NULL
+""")
+def _(v):
+    batches = v.clinical.groupBy("batch_id").agg(
+        F.min_by(F.expr(TYPE_CASE), F.col("sequencing_id")).alias("analysis_type"))
+    return cat.validate_batch(batches, _metadata(v), v.object_keys, _declared(v))
+
+
+@witness("cat_metadata", """
+SELECT 'CQGC_Germline' AS submission_schema, sequencing_id AS ldmSampleId, aliquot_id AS labAliquotId,
+       bioinfo_analysis_code AS analysisCode, gender AS patient_sex,
+       DATE '1970-01-01' + CAST(CAST(aliquot_id AS INT) * 13 % 20000 AS INT) AS birth_date,
+       family_id AS patient_familyId, cnv_url AS files_cnv_vcf, affected_status AS experiment_isPairedEnd,
+       CAST(length(aliquot_id) * 100 AS BIGINT) AS experiment_fragmentSize
+FROM clinical
+""")
+def _(v):
+    c = v.clinical
+    birth = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"),
+                                     (F.col("aliquot_id").cast("int") * 13 % 20000).cast("int")), "dd/MM/yyyy")
+    analysis = F.struct(
+        F.col("sequencing_id").alias("ldmSampleId"), F.col("aliquot_id").alias("labAliquotId"),
+        F.col("bioinfo_analysis_code").alias("analysisCode"),
+        F.struct(F.col("gender").alias("sex"), birth.alias("birthDate"), F.col("family_id").alias("familyId"))
+        .alias("patient"),
+        F.struct(F.col("cnv_url").alias("cnv_vcf"), F.col("snv_url").alias("snv_vcf")).alias("files"),
+        F.struct(F.col("affected_status").alias("isPairedEnd"),
+                 (F.length("aliquot_id") * 100).alias("fragmentSize")).alias("experiment"),
+        F.struct(F.lit("Dragen").alias("name"), F.lit("1.1.0").alias("version"),
+                 F.lit("GRCh38").alias("genomeBuild")).alias("workflow"))
+    docs = c.groupBy("batch_id").agg(F.lit("CQGC_Germline").alias("submissionSchema"),
+                                     F.collect_list(analysis).alias("analyses"))
+    path = scratch_dir(v.spark, "metadata")
+    docs.write.mode("overwrite").partitionBy("batch_id").json(path)
+    flat = cat.read_metadata(v.spark, path, multi_line=False)
+    return flat.select("submission_schema", "ldmSampleId", "labAliquotId", "analysisCode", "patient_sex",
+                       F.to_date("patient_birthDate", "dd/MM/yyyy").alias("birth_date"), "patient_familyId",
+                       "files_cnv_vcf", "experiment_isPairedEnd", "experiment_fragmentSize")
+
+
+_INBOX = ("'.etl-run/' || CASE WHEN o_orderkey % 50 = 1 THEN '.txt' "
+          "WHEN o_orderkey % 4 = 0 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.txt' "
+          "WHEN o_orderkey % 4 = 1 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.sequencing_id' "
+          "WHEN o_orderkey % 4 = 2 THEN 'BAT' || lpad(CAST(o_custkey % 23 AS VARCHAR), 3, '0') || '.batch_id' "
+          "ELSE 'SRA' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.json' END")
+
+
+def inbox_keys(v):
+    return v.orders.select(F.expr(_INBOX.replace("VARCHAR", "STRING")).alias("object_key"))
+
+
+@witness("cat_pending", f"""
+WITH k AS (SELECT {_INBOX} AS object_key FROM orders),
+n AS (SELECT substr(object_key, 10) AS name FROM k WHERE starts_with(object_key, '.etl-run/')),
+t AS (SELECT CASE WHEN ends_with(name, '.txt') OR ends_with(name, '.sequencing_id') THEN 'sequencing_id'
+                  WHEN ends_with(name, '.batch_id') THEN 'batch_id' END AS kind,
+             regexp_replace(name, '\\.(txt|sequencing_id|batch_id)$', '') AS id FROM n)
+SELECT kind, id FROM t WHERE kind IS NOT NULL AND length(id) > 0
+""")
+def _(v):
+    return cat.pending_ids(inbox_keys(v))
+
+
+STATUS_LATEST = ("st AS (SELECT analysis_id, CASE WHEN status = 'SUCCESS' THEN 'COMPLETED' ELSE status END AS status "
+                 "FROM status_events QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts DESC, event_id DESC) = 1)")
+
+
+def latest_status(v):
+    s = cat.latest_per_key(v.status_events, "analysis_id", [F.col("ts").desc(), F.col("event_id").desc()])
+    return s.select("analysis_id", F.when(F.col("status") == "SUCCESS", "COMPLETED").otherwise(F.col("status"))
+                    .alias("status"))
+
+
+@witness("cat_cleanup_plan", f"""
+WITH {STATUS_LATEST}, {PIPE},
+mk AS (SELECT object_key, {param('analysis_id')} AS analysis_id FROM object_keys
+       WHERE starts_with(object_key, 'raw/landing/franklin/') AND ends_with(object_key, '/_FRANKLIN_STATUS_.txt')),
+m AS (SELECT mk.object_key, mk.analysis_id, coalesce(st.status = 'COMPLETED', false) AS done FROM mk LEFT JOIN st USING (analysis_id)),
+ad AS (SELECT analysis_id FROM m GROUP BY analysis_id HAVING bool_and(done))
+SELECT object_key, 'completed_status' AS reason FROM m WHERE done
+UNION SELECT regexp_replace(object_key, '_FRANKLIN_STATUS_\\.txt$', '_FRANKLIN_ID_.txt'), 'completed_id' FROM m WHERE done
+UNION SELECT 'raw/landing/franklin/analysis_id=' || analysis_id || '/_FRANKLIN_IDS_.txt', 'shared_marker' FROM ad
+UNION SELECT object_key, 'exchange_vcf' FROM pipe WHERE prefix IN (SELECT analysis_id FROM ad)
+""")
+def _(v):
+    return cat.cleanup_plan(v.object_keys, latest_status(v))
+
+
+@witness("cat_not_done", f"""
+WITH {STATUS_LATEST}
+SELECT DISTINCT analysis_id FROM clinical
+WHERE analysis_id NOT IN (SELECT analysis_id FROM st WHERE status = 'COMPLETED')
+""")
+def _(v):
+    done = latest_status(v).where("status = 'COMPLETED'").select("analysis_id")
+    return cat.not_yet_done(v.clinical.select("analysis_id").distinct(), done)
