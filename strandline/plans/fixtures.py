@@ -126,6 +126,8 @@ def with_views(sql: str, names: list[str]) -> str:
     if not names:
         return body
     ctes = ",\n".join(f"{n} AS (\n{duck_view_sql(n)}\n)" for n in names)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
