@@ -1 +1,277 @@
-"""Witnesses (filled in as operators land)."""
+"""Witnesses for data-quality checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandline.operators import manifest as man
+from strandline.operators import quality as qa
+from strandline.operators import variants as var
+from strandline.plans.fixtures import nested_clinical
+from strandline.plans.registry import witness
+from strandline.plans.w_variants import CONS, COV, DV, FREQ, GENE_PAIRS, K, NORM, ORIGIN, QUAL, _pv
+from strandline.plans.w_manifest import fix
+
+VK = var.VARIANT_KEY
+
+
+def _exists_in(alias: str, other: str, where: str = "") -> str:
+    cond = " AND ".join(f"{other}.{c} = {alias}.{c}" for c in VK)
+    return f"EXISTS (SELECT 1 FROM {other} WHERE {cond}{' AND ' + where if where else ''})"
+
+
+@witness("qa_non_empty", """
+SELECT table_name FROM (
+  SELECT 'clinical' AS table_name, (SELECT count(*) FROM (SELECT 1 FROM clinical LIMIT 1)) AS n
+  UNION ALL SELECT 'occurrences', (SELECT count(*) FROM (SELECT 1 FROM occurrences LIMIT 1))
+  UNION ALL SELECT 'genes', (SELECT count(*) FROM (SELECT 1 FROM genes LIMIT 1))
+  UNION ALL SELECT 'cnvs', (SELECT count(*) FROM (SELECT 1 FROM cnvs LIMIT 1))
+  UNION ALL SELECT 'negative_orders', (SELECT count(*) FROM (SELECT 1 FROM orders WHERE o_totalprice < 0 LIMIT 1))
+) WHERE n = 0
+""")
+def _(v):
+    return qa.non_empty({"clinical": v.clinical, "occurrences": v.occurrences, "genes": v.genes, "cnvs": v.cnvs,
+                         "negative_orders": v.orders.where("o_totalprice < 0")})
+
+
+@witness("qa_no_dup", f"""
+SELECT {K}, sequencing_id, count(*) AS n_rows FROM occurrences GROUP BY {K}, sequencing_id HAVING count(*) > 1
+""")
+def _(v):
+    return qa.no_duplicates(v.occurrences, [*VK, "sequencing_id"])
+
+
+@witness("qa_included", f"""
+WITH {NORM}, {FREQ}
+SELECT DISTINCT {K} FROM n WHERE ad_alt >= 3 AND NOT {_exists_in('n', 'freq', "freq.analysis_code = 'all'")}
+""")
+def _(v):
+    freq = var.frequencies(v.occurrences, v.clinical).where(F.col("analysis_code") == "all")
+    return qa.included_in(var.normalize_snv(v.occurrences), freq, VK, F.col("ad_alt") >= 3)
+
+
+@witness("qa_same_set", f"""
+WITH {DV}, {NORM}, {FREQ}, fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all')
+SELECT {K}, 'left_only' AS side FROM v WHERE NOT {_exists_in('v', 'fa')}
+UNION ALL
+SELECT {K}, 'right_only' AS side FROM fa WHERE NOT {_exists_in('fa', 'v')}
+""")
+def _(v):
+    freq = var.frequencies(v.occurrences, v.clinical).where(F.col("analysis_code") == "all")
+    return qa.same_set(var.distinct_variants(v.occurrences), freq, VK)
+
+
+@witness("qc_row_filter", f"""
+SELECT {K}, sequencing_id, order_key, line_no FROM occurrences WHERE NOT coalesce(alternate <> '*', false)
+""")
+def _(v):
+    return qa.row_filter(v.occurrences, "alternate <> '*'").select(*VK, "sequencing_id", "order_key", "line_no")
+
+
+FT = f"ft AS (SELECT DISTINCT {K} FROM occurrences WHERE filters = 'PASS' AND gq >= 25)"
+
+
+def _flawed_freq(v):
+    return v.occurrences.where("filters = 'PASS' AND gq >= 25").select(*VK).distinct()
+
+
+@witness("qc_extra", f"""
+WITH {FT}, fl AS (SELECT {K}, bool_or({QUAL}) AS q FROM occurrences GROUP BY {K})
+SELECT ft.chromosome, ft.start, ft.reference, ft.alternate FROM ft LEFT JOIN fl USING ({K}) WHERE NOT coalesce(fl.q, false)
+""")
+def _(v):
+    o = v.occurrences
+    return qa.should_not_have(_flawed_freq(v), o, VK, var.qualifies(o))
+
+
+@witness("qc_missed", f"""
+WITH {FT}, qv AS (SELECT DISTINCT {K} FROM occurrences WHERE {QUAL})
+SELECT {K} FROM qv WHERE NOT {_exists_in('qv', 'ft')}
+""")
+def _(v):
+    o = v.occurrences
+    return qa.should_have(_flawed_freq(v), o, VK, var.qualifies(o))
+
+
+CLIN_COLS = ["sequencing_id", "analysis_id", "batch_id", "family_id", "aliquot_id", "is_proband", "father_aliquot_id",
+             "mother_aliquot_id", "bioinfo_analysis_code", "gender", "affected_status", "cnv_url", "snv_url"]
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL ".join(parts)
+
+
+@witness("qc_no_null", "SELECT column_name, n_null FROM (" + _union(
+    [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM clinical" for c in CLIN_COLS])
+    + ") WHERE n_null > 0")
+def _(v):
+    return qa.no_null(v.clinical, CLIN_COLS)
+
+
+DBSNP = ("ds AS (SELECT 'chrM' AS chromosome, s_suppkey * 10 AS start, 'A' AS reference, 'C' AS alternate, "
+         "'rs' || CAST(s_suppkey AS VARCHAR) AS rs FROM supplier)")
+EXT2 = (f"gn AS (SELECT 'chr' || CAST(p_partkey % 22 + 1 AS VARCHAR) AS chromosome, p_partkey * 10 AS start, "
+        f"substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1) AS reference, "
+        f"substr('ACGT', CAST((p_partkey + 1) % 4 + 1 AS INT), 1) AS alternate, CAST(p_size AS DOUBLE) / 100 AS af FROM part)")
+EV_COLS = ["chromosome", "start", "reference", "alternate", "af", "rs"]
+
+
+@witness("qc_only_null", f"""
+WITH {DV}, {EXT2}, {DBSNP}, t AS (SELECT v.*, gn.af, ds.rs FROM v LEFT JOIN gn USING ({K}) LEFT JOIN ds USING ({K}))
+SELECT column_name FROM ({_union([f"SELECT '{c}' AS column_name, count({c}) AS n FROM t" for c in EV_COLS])}) WHERE n = 0
+""")
+def _(v):
+    gn = _pv(v, 1).select(*VK, (F.col("p_size").cast("double") / 100).alias("af"))
+    ds = v.supplier.select(F.lit("chrM").alias("chromosome"), (F.col("s_suppkey") * 10).alias("start"),
+                           F.lit("A").alias("reference"), F.lit("C").alias("alternate"),
+                           F.concat(F.lit("rs"), F.col("s_suppkey").cast("string")).alias("rs"))
+    t = var.external_frequencies(var.distinct_variants(v.occurrences), {"g": gn, "d": ds})
+    t = t.select(*VK, F.col("g.af").alias("af"), F.col("d.rs").alias("rs"))
+    return qa.only_null(t)
+
+
+SNV_SHEET = (f"m AS (SELECT c.analysis_id AS familyId, c.aliquot_id AS sample, 'WES' AS sequencingType, "
+             f"{fix('c.snv_url')} AS gvcf, 's3://nextflow/exomiser/' || r.id || '.json' AS familyPheno "
+             f"FROM clinical c JOIN req_analyses r ON c.analysis_id = r.id)")
+SHEET_COLS = ["familyId", "sample", "sequencingType", "gvcf", "familyPheno"]
+
+
+@witness("qc_same_value", f"""
+WITH {SNV_SHEET}
+SELECT column_name FROM ({_union([f"SELECT '{c}' AS column_name, coalesce(min({c}) = max({c}) AND count({c}) > 0, false) AS s FROM m" for c in SHEET_COLS])})
+WHERE s
+""")
+def _(v):
+    pheno = v.req_analyses.select(F.col("id").alias("analysis_id"),
+                                  F.concat(F.lit("s3://nextflow/exomiser/"), "id", F.lit(".json")).alias("pheno_path"))
+    return qa.same_value(man.snv_manifest(nested_clinical(v), pheno))
+
+
+@witness("qc_nested", f"""
+WITH {NORM} SELECT n.sequencing_id, c.analysis_id, n.zygosity, n.gq FROM n JOIN clinical c USING (sequencing_id)
+""")
+def _(v):
+    freqs = var.frequencies(v.occurrences, v.clinical)
+    docs = var.variant_centric(v.occurrences, v.clinical, freqs)
+    return qa.nested(docs, "donors")
+
+
+@witness("qc_dictionary", f"""
+WITH {NORM}
+SELECT 'zygosity' AS column_name, zygosity AS value, count(*) AS n_rows FROM n WHERE zygosity NOT IN ('HET') GROUP BY zygosity
+UNION ALL
+SELECT 'filters', filters, count(*) FROM n WHERE filters NOT IN ('PASS') GROUP BY filters
+""")
+def _(v):
+    return qa.in_dictionary(var.normalize_snv(v.occurrences), {"zygosity": ["HET"], "filters": ["PASS"]})
+
+
+def _qa_checks(v):
+    o = v.occurrences
+    n = var.normalize_snv(o)
+    nv = var.normalize_variants(o, v.clinical)
+    cons = var.normalize_consequences(o, v.genes)
+    freq = var.frequencies(o, v.clinical).where(F.col("analysis_code") == "all")
+    cov = v.lineitem.select(F.concat(F.lit("GENE"), F.col("l_partkey").cast("string")).alias("symbol"),
+                            F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")).alias("sample_id"),
+                            F.col("l_quantity").cast("int").alias("depth"), F.col("l_orderkey").alias("order_key"),
+                            F.col("l_linenumber").alias("line_no"))
+    origin = var.parental_origin(v.cnvs, v.clinical)
+    C = qa.CRITICAL
+    return [
+        qa.Check("non_empty_tables", "all", C, lambda: qa.non_empty(
+            {"clinical": v.clinical, "occurrences": o, "cnvs": v.cnvs, "genes": v.genes})),
+        qa.Check("no_dup_clinical", "clinical", C, lambda: qa.no_duplicates(
+            v.clinical, ["analysis_id", "sequencing_id", "bioinfo_analysis_code"])),
+        qa.Check("no_dup_occurrences", "occurrences", C, lambda: qa.no_duplicates(o, [*VK, "sequencing_id"])),
+        qa.Check("no_dup_nor_snv", "normalized_snv", C, lambda: qa.no_duplicates(n, [*VK, "sequencing_id"])),
+        qa.Check("no_dup_nor_variants", "normalized_variants", C, lambda: qa.no_duplicates(nv, [*VK, "batch_id"])),
+        qa.Check("no_dup_nor_consequences", "normalized_consequences", C,
+                 lambda: qa.no_duplicates(cons, [*VK, "symbol", "transcript"])),
+        qa.Check("no_dup_cnv_centric", "cnv_centric", C, lambda: qa.no_duplicates(v.cnvs, ["cnv_id"])),
+        qa.Check("no_dup_coverage_by_gene", "coverage_by_gene", C,
+                 lambda: qa.no_duplicates(var.normalize_coverage(cov), ["symbol", "sample_id"])),
+        qa.Check("no_dup_parental_origin", "parental_origin", C,
+                 lambda: qa.no_duplicates(origin, ["cnv_id", "proband_seq"])),
+        qa.Check("same_list_nor_snv_nor_variants", "normalized_variants", C,
+                 lambda: qa.included_in(n, nv, VK, F.col("ad_alt") >= 3)),
+        qa.Check("same_list_variants_frequency", "variants", C,
+                 lambda: qa.same_set(var.distinct_variants(o), freq, VK)),
+    ]
+
+
+@witness("qa_suite", f"""
+WITH {NORM}, {FREQ}, {DV}, {GENE_PAIRS}, {CONS}, {COV}, {ORIGIN},
+nv AS (SELECT DISTINCT {K}, c.batch_id FROM n JOIN clinical c USING (sequencing_id)),
+fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all'),
+r AS (
+  SELECT 'non_empty_tables' AS check_name, 'all' AS table_name,
+         (SELECT count(*) FROM (SELECT 1 AS x FROM (SELECT count(*) AS c FROM clinical) WHERE c = 0
+                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM occurrences) WHERE c = 0
+                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM cnvs) WHERE c = 0
+                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM genes) WHERE c = 0)) AS n_violations
+  UNION ALL SELECT 'no_dup_clinical', 'clinical', (SELECT count(*) FROM (SELECT 1 FROM clinical
+         GROUP BY analysis_id, sequencing_id, bioinfo_analysis_code HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_occurrences', 'occurrences', (SELECT count(*) FROM (SELECT 1 FROM occurrences
+         GROUP BY {K}, sequencing_id HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_nor_snv', 'normalized_snv', (SELECT count(*) FROM (SELECT 1 FROM n
+         GROUP BY {K}, sequencing_id HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_nor_variants', 'normalized_variants', (SELECT count(*) FROM (SELECT 1 FROM nv
+         GROUP BY {K}, batch_id HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_nor_consequences', 'normalized_consequences', (SELECT count(*) FROM (SELECT 1 FROM cons
+         GROUP BY {K}, symbol, transcript HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_cnv_centric', 'cnv_centric', (SELECT count(*) FROM (SELECT 1 FROM cnvs GROUP BY cnv_id HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_coverage_by_gene', 'coverage_by_gene', (SELECT count(*) FROM (SELECT 1 FROM nc
+         GROUP BY symbol, sample_id HAVING count(*) > 1))
+  UNION ALL SELECT 'no_dup_parental_origin', 'parental_origin', (SELECT count(*) FROM (SELECT 1 FROM org
+         GROUP BY cnv_id, proband_seq HAVING count(*) > 1))
+  UNION ALL SELECT 'same_list_nor_snv_nor_variants', 'normalized_variants', (SELECT count(*) FROM (SELECT DISTINCT {K}
+         FROM n WHERE ad_alt >= 3 AND NOT {_exists_in('n', 'nv')}))
+  UNION ALL SELECT 'same_list_variants_frequency', 'variants',
+         (SELECT count(*) FROM v WHERE NOT {_exists_in('v', 'fa')}) + (SELECT count(*) FROM fa WHERE NOT {_exists_in('fa', 'v')})
+)
+SELECT check_name, table_name, 'critical' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM r
+""")
+def _(v):
+    return qa.run_suite(_qa_checks(v))
+
+
+def _qc_checks(v):
+    o = v.occurrences
+    n = var.normalize_snv(o)
+    freq = var.frequencies(o, v.clinical).where(F.col("analysis_code") == "all")
+    W = qa.NON_CRITICAL
+    return [
+        qa.Check("filters_snv", "normalized_snv", W, lambda: qa.row_filter(n, "alternate <> '*'")),
+        qa.Check("filters_frequency_extra", "normalized_variants", W,
+                 lambda: qa.should_not_have(freq, o, VK, var.qualifies(o))),
+        qa.Check("filters_frequency_missed", "normalized_variants", W,
+                 lambda: qa.should_have(freq, o, VK, var.qualifies(o))),
+        qa.Check("no_null_clinical", "clinical", W, lambda: qa.no_null(v.clinical, CLIN_COLS)),
+        qa.Check("only_null_clinical", "clinical", W, lambda: qa.only_null(v.clinical)),
+        qa.Check("same_value_clinical", "clinical", W, lambda: qa.same_value(v.clinical)),
+        qa.Check("dictionary_snv", "normalized_snv", W,
+                 lambda: qa.in_dictionary(n, {"zygosity": ["HET", "HOM"], "filters": ["PASS"]})),
+    ]
+
+
+@witness("qc_suite", f"""
+WITH {NORM}, {FREQ},
+fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all'),
+fl AS (SELECT {K}, bool_or({QUAL}) AS q FROM occurrences GROUP BY {K}),
+qv AS (SELECT DISTINCT {K} FROM occurrences WHERE {QUAL}),
+r AS (
+  SELECT 'filters_snv' AS check_name, 'normalized_snv' AS table_name, (SELECT count(*) FROM n WHERE alternate = '*') AS n_violations
+  UNION ALL SELECT 'filters_frequency_extra', 'normalized_variants',
+         (SELECT count(*) FROM fa LEFT JOIN fl USING ({K}) WHERE NOT coalesce(fl.q, false))
+  UNION ALL SELECT 'filters_frequency_missed', 'normalized_variants', (SELECT count(*) FROM qv WHERE NOT {_exists_in('qv', 'fa')})
+  UNION ALL SELECT 'no_null_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k > 0)
+  UNION ALL SELECT 'only_null_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT count({c}) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k = 0)
+  UNION ALL SELECT 'same_value_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT coalesce(min({c}) = max({c}) AND count({c}) > 0, false) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k)
+  UNION ALL SELECT 'dictionary_snv', 'normalized_snv', (SELECT count(*) FROM (SELECT DISTINCT zygosity FROM n WHERE zygosity NOT IN ('HET', 'HOM')
+         UNION ALL SELECT DISTINCT filters FROM n WHERE filters NOT IN ('PASS')))
+)
+SELECT check_name, table_name, 'warning' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM r
+""")
+def _(v):
+    return qa.run_suite(_qc_checks(v))
