@@ -1 +1,204 @@
-"""Witnesses (filled in as operators land)."""
+"""Witnesses for the status streams.
+
+Each witness lands the bounded input as time-ordered parquet files, runs the
+stream with ``trigger(availableNow=True)`` through a foreachBatch sink, and
+returns the sink table; the oracle is the batch semantics in SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandline.operators import catalog as cat
+from strandline.plans.registry import witness
+from strandline.plans.w_catalog import _INBOX, inbox_keys
+from strandline.session import scratch_dir
+from strandline.streaming import streams as st
+
+EVENTS = ("ev AS (SELECT event_id, ts, 'SRA' || lpad(CAST(user_id AS VARCHAR), 7, '0') AS analysis_id, "
+          "CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'view' THEN 'STARTED' WHEN 'click' THEN 'STARTED' "
+          "WHEN 'purchase' THEN 'SUCCESS' ELSE 'FAILURE' END AS status, "
+          "'boot-' || CAST(CAST(json_extract_string(props, '$.k') AS INT) % 3 AS VARCHAR) AS boot_id, "
+          "CASE WHEN event_type = 'signup' THEN 'PENDING' WHEN event_type = 'view' THEN 'RECEIVED' "
+          "WHEN event_type = 'click' THEN 'STARTED' WHEN event_type = 'purchase' THEN 'SUCCESS' "
+          "WHEN value > 50 THEN 'FAILURE' ELSE 'REVOKED' END AS state, props AS payload FROM events)")
+
+
+def _events(v):
+    e = v.events
+    return v.status_events.join(e.select("event_id", "event_type", "value", "props"), "event_id").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "analysis_id", "status", "boot_id",
+        st.poll_state(F.col("event_type"), F.col("value")).alias("state"), F.col("props").alias("payload"))
+
+
+def _stream(v, df, name: str, ts: str | None = "ts"):
+    """Land ``df`` as files and open it as a stream."""
+    src = scratch_dir(v.spark, f"{name}-src")
+    if ts:
+        st.write_time_ordered_files(df, src, ts)
+    else:
+        df.repartition(4).write.mode("overwrite").parquet(src)
+    return st.read_stream(v.spark, src, df.schema)
+
+
+def _run(v, stream_df, name: str, mode: str = "append"):
+    out = scratch_dir(v.spark, f"{name}-out")
+    ckpt = scratch_dir(v.spark, f"{name}-ckpt")
+    st.run_available(stream_df, ckpt, st.batch_table_sink(out), mode)
+    return out
+
+
+@witness("str_inbox", f"""
+WITH k AS (SELECT {_INBOX} AS object_key FROM orders),
+n AS (SELECT substr(object_key, 10) AS name FROM k WHERE starts_with(object_key, '.etl-run/')),
+t AS (SELECT CASE WHEN ends_with(name, '.txt') OR ends_with(name, '.sequencing_id') THEN 'sequencing_id'
+                  WHEN ends_with(name, '.batch_id') THEN 'batch_id' END AS kind,
+             regexp_replace(name, '\\.(txt|sequencing_id|batch_id)$', '') AS id FROM n)
+SELECT DISTINCT kind, id FROM t WHERE kind IS NOT NULL AND length(id) > 0
+""")
+def _(v):
+    keys = _stream(v, inbox_keys(v), "inbox", ts=None)
+    out = _run(v, st.inbox_ids(keys, cat.pending_ids), "inbox")
+    return st.read_batches(v.spark, out).select("kind", "id")
+
+
+LATEST = ("QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts DESC, event_id DESC) = 1")
+
+
+@witness("str_latest", f"""
+WITH {EVENTS}
+SELECT analysis_id, status, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ev {LATEST}
+""")
+def _(v):
+    s = _stream(v, _events(v), "latest")
+    out = _run(v, st.latest_status(s), "latest", "update")
+    snap = st.latest_snapshot(v.spark, out, ["analysis_id"])
+    return snap.select("analysis_id", "status", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+@witness("str_advance", f"""
+WITH {EVENTS},
+t AS (SELECT analysis_id, state AS first_terminal FROM ev WHERE state IN ('SUCCESS', 'FAILURE')
+      QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts, event_id) = 1),
+p AS (SELECT analysis_id, bool_or(state IN ('PENDING', 'STARTED', 'RECEIVED')) AS prog FROM ev GROUP BY analysis_id)
+SELECT p.analysis_id, coalesce(t.first_terminal, CASE WHEN prog THEN 'STARTED' ELSE 'PENDING' END) AS marker
+FROM p LEFT JOIN t USING (analysis_id)
+""")
+def _(v):
+    s = _stream(v, _events(v), "advance")
+    out = _run(v, st.advance(s), "advance", "update")
+    return st.latest_snapshot(v.spark, out, ["analysis_id"]).select("analysis_id", "marker")
+
+
+STATUS = f"sts AS (SELECT analysis_id, status FROM ev {LATEST})"
+
+
+def _latest(v):
+    return st.latest_status(_events(v))
+
+
+@witness("str_submittable", f"""
+WITH {EVENTS}, {STATUS}, req AS (SELECT DISTINCT analysis_id FROM clinical)
+SELECT req.analysis_id, sts.status IS NULL OR sts.status = 'FAILURE' AS allowed,
+       CASE WHEN sts.status IS NULL THEN 'no_status' WHEN sts.status = 'FAILURE' THEN 'retry_failed'
+            WHEN sts.status = 'SUCCESS' THEN 'done' ELSE 'in_progress' END AS reason
+FROM req LEFT JOIN sts USING (analysis_id)
+""")
+def _(v):
+    req = _stream(v, v.clinical.select("analysis_id").distinct(), "requests", ts=None)
+    out = _run(v, st.submittable(req, _latest(v)), "submittable")
+    return st.read_batches(v.spark, out).select("analysis_id", "allowed", "reason")
+
+
+RESULTS = "res AS (SELECT DISTINCT analysis_id FROM ev WHERE status = 'SUCCESS' AND CAST(json_extract_string(payload, '$.k') AS INT) > 50)"
+
+
+def _results(v):
+    e = _events(v)
+    return e.where((F.col("status") == "SUCCESS") & (F.get_json_object("payload", "$.k").cast("int") > 50)).select(
+        "analysis_id").distinct()
+
+
+@witness("str_recover", f"""
+WITH {EVENTS}, {RESULTS}
+SELECT event_id, analysis_id,
+       CASE WHEN status IN ('PENDING', 'STARTED') AND analysis_id IN (SELECT analysis_id FROM res) THEN 'SUCCESS'
+            ELSE status END AS status
+FROM ev
+""")
+def _(v):
+    s = _stream(v, _events(v), "recover")
+    out = _run(v, st.recover(s, _results(v)), "recover")
+    return st.read_batches(v.spark, out).select("event_id", "analysis_id", "status")
+
+
+@witness("str_orphans", f"""
+WITH {EVENTS},
+sb AS (SELECT analysis_id, boot_id AS sbid FROM ev QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts, event_id) = 1),
+bad AS (SELECT ev.* FROM ev JOIN sb USING (analysis_id) WHERE length(boot_id) > 0 AND length(sbid) > 0 AND boot_id <> sbid)
+SELECT analysis_id, event_id, 'FAILURE' AS status FROM bad
+QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts, event_id) = 1
+""")
+def _(v):
+    e = _events(v)
+    s = _stream(v, e, "orphans")
+    out = _run(v, st.orphans(s, st.submit_boot_ids(e)), "orphans", "update")
+    return st.latest_snapshot(v.spark, out, ["analysis_id"]).select("analysis_id", "event_id", "status")
+
+
+@witness("str_gate", f"""
+WITH {EVENTS},
+tr AS (SELECT DISTINCT analysis_id, 'F' || CAST(event_id AS VARCHAR) AS external_id FROM ev WHERE state IN ('PENDING', 'RECEIVED')),
+ready AS (SELECT DISTINCT 'F' || CAST(event_id AS VARCHAR) AS external_id FROM ev
+          WHERE state IN ('PENDING', 'RECEIVED', 'STARTED') AND event_id % 3 <> 0)
+SELECT tr.analysis_id, count(*) AS tracked_count, count(ready.external_id) AS ready_count,
+       count(*) = count(ready.external_id) AS done
+FROM tr LEFT JOIN ready USING (external_id) GROUP BY tr.analysis_id
+""")
+def _(v):
+    e = _events(v)
+    ext = F.concat(F.lit("F"), F.col("event_id").cast("string")).alias("external_id")
+    tracked = e.where(F.col("state").isin("PENDING", "RECEIVED")).select("analysis_id", ext)
+    statuses = e.where(F.col("state").isin("PENDING", "RECEIVED", "STARTED")).select(
+        ext, F.when(F.col("event_id") % 3 != 0, "READY").otherwise("PROCESSING").alias("processing_status"))
+    s = _stream(v, statuses, "gate", ts=None)
+    # stream: READY notifications; the gate is re-evaluated against the static tracked ids
+    ready = s.where(F.col("processing_status") == "READY").select("external_id").dropDuplicates()
+    out = _run(v, ready, "gate")
+    gate, _ = st.completion_gate(tracked, st.read_batches(v.spark, out).withColumn("processing_status",
+                                                                                    F.lit("READY")))
+    return gate
+
+
+TIMEOUT = "8 hours"
+
+
+@witness("str_stale", f"""
+WITH {EVENTS},
+s AS (SELECT analysis_id, min(ts) AS started_at FROM ev WHERE status = 'PENDING' GROUP BY analysis_id),
+f AS (SELECT s.analysis_id, min(ev.ts) AS finished_at FROM ev JOIN s USING (analysis_id)
+      WHERE ev.status IN ('SUCCESS', 'FAILURE') AND ev.ts >= s.started_at GROUP BY s.analysis_id),
+m AS (SELECT max(ts) AS now FROM ev)
+SELECT s.analysis_id, strftime(s.started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at
+FROM s LEFT JOIN f USING (analysis_id), m
+WHERE s.started_at + INTERVAL 8 HOUR < m.now AND (f.finished_at IS NULL OR f.finished_at > s.started_at + INTERVAL 8 HOUR)
+""")
+def _(v):
+    s = _stream(v, _events(v).select("event_id", "ts", "analysis_id", "status"), "stale")
+    out = _run(v, st.stale_stream(s, TIMEOUT), "stale")
+    return st.read_batches(v.spark, out).select(
+        "analysis_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"))
+
+
+@witness("str_harvest", f"""
+WITH {EVENTS}
+SELECT analysis_id, event_id, CAST(json_extract_string(payload, '$.k') AS INT) AS k FROM ev WHERE state = 'SUCCESS'
+""")
+def _(v):
+    s = _stream(v, _events(v), "harvest")
+    results = scratch_dir(v.spark, "harvest-results")
+    status = scratch_dir(v.spark, "harvest-status")
+    ckpt = scratch_dir(v.spark, "harvest-ckpt")
+    st.run_available(s, ckpt, st.harvest_sink(results, status))
+    r = st.read_batches(v.spark, results)
+    return r.select("analysis_id", "event_id", F.get_json_object("payload", "$.k").cast("int").alias("k"))
