@@ -242,3 +242,75 @@ def name_analysis(name: Column) -> Column:
     part = F.trim(F.split_part(name, F.lit(NAME_SEPARATOR), F.lit(2)))
     part = F.when(part.contains("_"), F.substring_index(part, "_", 1)).otherwise(part)
     return F.nullif(part, F.lit("None"))
+
+
+def _case_members(clinical: DataFrame) -> DataFrame:
+    """Members of each third-party case: supported family members (case = the
+    proband's analysis) and SOLO probands (rows without a family)."""
+    fam = supported_families(clinical)
+    p = first_proband(fam).join(
+        fam.select("family_id", F.col("sequencing_id").alias("p_sequencing_id"),
+                   F.col("analysis_id").alias("case_id")), ["family_id", "p_sequencing_id"])
+    fm = fam.join(p, "family_id").select(
+        "case_id", F.lit("family").alias("kind"), "sequencing_id", "aliquot_id", "affected_status", "gender",
+        relation(F.col("aliquot_id"), F.col("p_aliquot_id"), F.col("p_father"), F.col("p_mother")).alias("relation"),
+        F.col("p_sequencing_id").alias("proband_seq"))
+    solo = clinical.where(F.col("family_id").isNull() & F.col("is_proband")).select(
+        F.col("analysis_id").alias("case_id"), F.lit("solo").alias("kind"), "sequencing_id", "aliquot_id",
+        "affected_status", "gender", F.lit("proband").alias("relation"), F.col("sequencing_id").alias("proband_seq"))
+    return fm.unionByName(solo)
+
+
+def case_requests(clinical: DataFrame, signs: DataFrame, files: DataFrame) -> DataFrame:
+    """One request document per case: every sample (name, relation, affected,
+    VCF), the proband's phenotypes, and the family block for families only
+    (SOLO cases omit it). ``files``: (sequencing_id, vcf_key)."""
+    m = _case_members(clinical).join(files, "sequencing_id", "left").withColumn(
+        "sample_name", sample_name(F.col("aliquot_id"), F.col("case_id")))
+    pheno = signs.groupBy(F.col("sequencing_id").alias("proband_seq")).agg(
+        F.sort_array(F.collect_list("hpo_id")).alias("phenotypes"))
+    samples = m.groupBy("case_id", "kind", "proband_seq").agg(F.sort_array(F.collect_list(F.struct(
+        "sample_name", F.col("relation").alias("family_relation"), F.col("affected_status").alias("is_affected"),
+        F.col("aliquot_id").alias("name_in_vcf"), "vcf_key", "gender"))).alias("samples"))
+    j = samples.join(pheno, "proband_seq", "left")
+    analyses = F.transform("samples", lambda s: F.struct(
+        s["sample_name"].alias("sample_name"), s["name_in_vcf"].alias("name_in_vcf"),
+        F.array(F.struct(s["vcf_key"].alias("key"), F.lit("VCF_SHORT").alias("type"))).alias("aws_files"),
+        F.lit("Whole Blood").alias("tissue_type"), F.struct(s["gender"].alias("sex")).alias("patient_details")))
+    family_block = F.when(F.col("kind") == "family", F.array(F.struct(
+        F.concat(F.lit(FAMILY_KEYWORD + NAME_SEPARATOR), F.col("case_id")).alias("case_name"),
+        F.transform("samples", lambda s: F.struct(s["sample_name"].alias("sample_name"),
+                                                  s["family_relation"].alias("family_relation"),
+                                                  s["is_affected"].alias("is_affected"))).alias("family_samples"),
+        F.coalesce("phenotypes", F.array().cast("array<string>")).alias("phenotypes"))))
+    doc = F.struct(analyses.alias("analyses"), family_block.alias("family_analyses"))
+    return j.select("case_id", "kind", "samples", F.coalesce("phenotypes", F.array().cast("array<string>"))
+                    .alias("phenotypes"), doc.alias("request"), F.to_json(doc).alias("document"))
+
+
+def phenotype_requests(clinical: DataFrame, signs: DataFrame) -> DataFrame:
+    """Phenotype-service request per runnable analysis (SOLO/DUO/TRIO): proband
+    external id and sex, parents' affected status, HPO list, earliest onset,
+    and the analysis files with their roles."""
+    ok = solo_duo_trio(clinical, signs)
+    c = clinical.join(ok, "analysis_id", "left_semi")
+    p = first_proband(c, "analysis_id").join(
+        c.select(F.col("sequencing_id").alias("p_sequencing_id"), "gender"), "p_sequencing_id")
+    pa = parental_affected(c).select("analysis_id", "maternal_affected", "paternal_affected")
+    hpo = signs.groupBy(F.col("sequencing_id").alias("p_sequencing_id")).agg(
+        F.sort_array(F.collect_list("hpo_id")).alias("hpo"))
+    onset = earliest_onset(signs).select(F.col("sequencing_id").alias("p_sequencing_id"), "onset")
+    files = file_roles(c).groupBy("analysis_id").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("url").alias("filepath"), F.col("file_role").alias("filetype")))).alias("analysis_files"))
+    j = (p.join(pa, "analysis_id", "left").join(hpo, "p_sequencing_id", "left")
+         .join(onset, "p_sequencing_id", "left").join(files, "analysis_id", "left"))
+    doc = F.struct(
+        F.lit("1.0.0").alias("schema_version"),
+        F.struct(F.col("p_sequencing_id").alias("externalid"), api_sex(F.col("gender")).alias("sex"),
+                 F.coalesce("maternal_affected", F.lit(False)).alias("maternal_affected"),
+                 F.coalesce("paternal_affected", F.lit(False)).alias("paternal_affected"),
+                 F.lit("").alias("label"), F.col("analysis_id").alias("cohort")).alias("patient_details"),
+        F.coalesce("hpo", F.array().cast("array<string>")).alias("phenotype_hpo_code_list"),
+        onset_or_default(F.col("onset")).alias("phenotype_onset_hpo_code"),
+        F.coalesce("analysis_files", F.array()).alias("analysis_files"))
+    return j.select("analysis_id", doc.alias("request"), F.to_json(doc).alias("document"))

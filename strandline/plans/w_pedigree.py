@@ -201,3 +201,86 @@ def _(v):
     n = c.select("sequencing_id", name.alias("sample_name"))
     return n.select("sequencing_id", "sample_name", ped.name_aliquot(F.col("sample_name")).alias("aliquot_part"),
                     ped.name_analysis(F.col("sample_name")).alias("analysis_part"))
+
+
+@witness("fn_human_size", """
+WITH s AS (SELECT doc_id, CAST(n_chars AS DOUBLE) * 104729 / 1048576 AS a, CAST(doc_id AS DOUBLE) * 131072 / 1048576 AS b
+           FROM documents)
+SELECT doc_id,
+       CASE WHEN a > 1000 THEN printf('%.2f', a / 1024) || ' GB' ELSE printf('%.2f', a) || ' MB' END AS size_a,
+       CASE WHEN b > 1000 THEN printf('%.2f', b / 1024) || ' GB' ELSE printf('%.2f', b) || ' MB' END AS size_b
+FROM s
+""")
+def _(v):
+    from strandline.functions import human_size
+
+    d = v.documents
+    return d.select("doc_id", human_size(F.col("n_chars") * 104729).alias("size_a"),
+                    human_size(F.col("doc_id") * 131072).alias("size_b"))
+
+
+CASE_MEMBERS = (f"{FAM_P.replace('mother_aliquot_id AS pm FROM', 'mother_aliquot_id AS pm, analysis_id AS pan FROM')}, "
+                f"{SUPPORTED}, "
+                "fm AS (SELECT p.pan AS case_id, 'family' AS kind, s.sequencing_id, s.aliquot_id, "
+                "CASE WHEN s.aliquot_id = s.pf THEN 'father' WHEN s.aliquot_id = s.pm THEN 'mother' "
+                "WHEN s.aliquot_id = s.pa THEN 'proband' END AS relation, p.p_seq AS proband_seq "
+                "FROM s JOIN p USING (family_id)), "
+                "so AS (SELECT analysis_id AS case_id, 'solo' AS kind, sequencing_id, aliquot_id, 'proband' AS relation, "
+                "sequencing_id AS proband_seq FROM clinical WHERE family_id IS NULL AND is_proband), "
+                "m AS (SELECT *, aliquot_id || ' - ' || case_id AS sample_name FROM (SELECT * FROM fm UNION ALL SELECT * FROM so))")
+
+
+@witness("ped_case_request", f"""
+WITH {CASE_MEMBERS},
+f AS (SELECT sequencing_id, snv_url AS vcf_key FROM clinical WHERE snv_url IS NOT NULL),
+ph AS (SELECT sequencing_id AS proband_seq, count(*) AS n FROM clinical_signs GROUP BY 1)
+SELECT m.case_id, m.kind, count(*) AS n_samples, string_agg(m.sample_name, '|' ORDER BY m.sample_name) AS sample_names,
+       string_agg(m.relation, ',' ORDER BY m.sample_name) AS relations, coalesce(max(ph.n), 0) AS n_phenotypes,
+       count(f.vcf_key) AS n_files, m.kind = 'family' AS has_family_block
+FROM m LEFT JOIN f USING (sequencing_id) LEFT JOIN ph USING (proband_seq)
+GROUP BY m.case_id, m.kind
+""")
+def _(v):
+    files = v.clinical.where(F.col("snv_url").isNotNull()).select("sequencing_id", F.col("snv_url").alias("vcf_key"))
+    r = ped.case_requests(v.clinical, v.clinical_signs, files)
+    s = F.col("samples")
+    return r.select("case_id", "kind", F.size(s).cast("bigint").alias("n_samples"),
+                    F.array_join(F.transform(s, lambda x: x["sample_name"]), "|").alias("sample_names"),
+                    F.array_join(F.transform(s, lambda x: x["family_relation"]), ",").alias("relations"),
+                    F.size("phenotypes").cast("bigint").alias("n_phenotypes"),
+                    F.size(F.filter(s, lambda x: x["vcf_key"].isNotNull())).cast("bigint").alias("n_files"),
+                    F.col("request.family_analyses").isNotNull().alias("has_family_block"))
+
+
+@witness("ped_phenotype_request", f"""
+WITH f AS (SELECT analysis_id, bool_or(is_proband) AS hp,
+                  bool_or(NOT is_proband AND ({FILLED.format(c='father_aliquot_id')} OR {FILLED.format(c='mother_aliquot_id')})) AS hs,
+                  bool_or({FILLED.format(c='snv_url')} OR {FILLED.format(c='cnv_url')}) AS hv
+           FROM clinical GROUP BY analysis_id), {ANA_P},
+ok AS (SELECT analysis_id FROM f WHERE hp AND NOT hs AND hv
+       AND analysis_id IN (SELECT analysis_id FROM p WHERE p_seq IN (SELECT sequencing_id FROM clinical_signs))),
+pg AS (SELECT p.*, c.gender FROM p JOIN clinical c ON c.sequencing_id = p.p_seq WHERE p.analysis_id IN (SELECT analysis_id FROM ok)),
+hpo AS (SELECT sequencing_id, count(*) AS n FROM clinical_signs GROUP BY 1),
+ons AS (SELECT sequencing_id, arg_min(age_at_onset, rk) AS onset
+        FROM (SELECT sequencing_id, age_at_onset, CASE age_at_onset {_RANK} END AS rk FROM clinical_signs)
+        WHERE rk IS NOT NULL GROUP BY sequencing_id),
+fl AS (SELECT analysis_id, count(snv_url) + count(cnv_url) AS n FROM clinical GROUP BY analysis_id)
+SELECT pg.analysis_id, pg.p_seq AS externalid,
+       CASE lower(pg.gender) WHEN 'male' THEN 'M' WHEN 'female' THEN 'F' ELSE 'M' END AS sex,
+       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pm), false) AS maternal_affected,
+       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pf
+                 AND NOT coalesce(c.aliquot_id = pg.pm, false)), false) AS paternal_affected,
+       coalesce(hpo.n, 0) AS n_hpo, coalesce(ons.onset, 'HP:0003674') AS onset, coalesce(fl.n, 0) AS n_files
+FROM pg LEFT JOIN hpo ON hpo.sequencing_id = pg.p_seq LEFT JOIN ons ON ons.sequencing_id = pg.p_seq
+LEFT JOIN fl ON fl.analysis_id = pg.analysis_id
+""")
+def _(v):
+    r = ped.phenotype_requests(v.clinical, v.clinical_signs)
+    d = F.col("request")
+    return r.select("analysis_id", d["patient_details"]["externalid"].alias("externalid"),
+                    d["patient_details"]["sex"].alias("sex"),
+                    d["patient_details"]["maternal_affected"].alias("maternal_affected"),
+                    d["patient_details"]["paternal_affected"].alias("paternal_affected"),
+                    F.size(d["phenotype_hpo_code_list"]).cast("bigint").alias("n_hpo"),
+                    d["phenotype_onset_hpo_code"].alias("onset"),
+                    F.size(d["analysis_files"]).cast("bigint").alias("n_files"))
