@@ -50,11 +50,19 @@ def alt_alleles(zygosity: Column) -> Column:
 def normalize_snv(occ: DataFrame,
                   tie_break: Sequence[str] = ("order_key", "line_no", "filters", "zygosity")) -> DataFrame:
     """Drop spanning deletions; one row per variant x sequencing, keeping the
-    best genotype quality (ties by ``tie_break``)."""
-    w = Window.partitionBy(*VARIANT_KEY, "sequencing_id").orderBy(
-        F.col("gq").desc(), *[F.col(c) for c in tie_break])
-    return (occ.where(F.col("alternate") != SPANNING_DELETION)
-            .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
+    best genotype quality (ties by ``tie_break``, then the remaining columns).
+
+    A hash aggregate of ``min(struct(-gq, tie-breaks..., payload))`` instead of a
+    window: partial aggregation runs map-side before the shuffle and no
+    partition has to be sorted, so a very frequent variant costs no more than
+    any other key."""
+    key = [*VARIANT_KEY, "sequencing_id"]
+    rest = [c for c in occ.columns if c not in key and c != "gq" and c not in tie_break]
+    best = F.min(F.struct((-F.col("gq")).alias("_neg_gq"), *[F.col(c) for c in tie_break],
+                          *[F.col(c) for c in rest])).alias("_b")
+    agg = occ.where(F.col("alternate") != SPANNING_DELETION).groupBy(*key).agg(best)
+    return agg.select(*key, (-F.col("_b._neg_gq")).alias("gq"),
+                      *[F.col(f"_b.{c}").alias(c) for c in [*tie_break, *rest]]).select(*occ.columns)
 
 
 normalize_snv_somatic = normalize_snv
