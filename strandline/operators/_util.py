@@ -69,3 +69,17 @@ def strict(df: DataFrame, bad: Column, message: Column) -> DataFrame:
     """Raise on the first row where ``bad`` holds; the column is consumed so
     Catalyst cannot prune the check."""
     return df.where(F.when(bad, F.raise_error(message)).otherwise(F.lit(True)))
+
+
+def first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column], descending: bool = False) -> DataFrame:
+    """One row per ``key``: the smallest (or largest) by ``order``, ties broken by
+    the remaining columns. A ``min``/``max`` of a struct is an aggregate with
+    map-side partial aggregation, so a key holding a large share of the rows is
+    combined before the shuffle instead of being sorted inside one task."""
+    key = list(key)
+    rest = [c for c in df.columns if c not in key]
+    names = [f"_o{i}" for i in range(len(order))]
+    packed = F.struct(*[o.alias(n) for o, n in zip(order, names)], *[F.col(c) for c in rest])
+    agg = F.max(packed) if descending else F.min(packed)
+    return df.groupBy(*key).agg(agg.alias("_first")).select(*key, *[F.col(f"_first.{c}").alias(c) for c in rest]) \
+        .select(*df.columns)

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators._util import first_by
+
 # Fixed values that must equal the reference's file-name conventions.
 SNV_GERMLINE = ".norm.VEP.vcf.gz"
 SNV_GERMLINE_LEGACY = ".hard-filtered.formatted.norm.VEP.vcf.gz"
@@ -258,5 +260,5 @@ def cleanup_plan(keys: DataFrame, status: DataFrame, key_col: str = "object_key"
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Latest row per key by ``order`` columns (descending)."""
+    return first_by(df, [key], order, descending=True)

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators._util import as_ids, empty_is_null, global_row_number, literal_map
+from strandline.operators._util import as_ids, empty_is_null, first_by, global_row_number, literal_map
 
 # Fixed values that must equal the reference's enumerations.
 CODE_TO_TYPE = {
@@ -69,8 +69,7 @@ def latest_batch(clinical: DataFrame, by: str = "analysis_id") -> DataFrame:
 
 def one_batch_per_analysis(clinical: DataFrame) -> DataFrame:
     """Keep the most recent row (by sequencing id) of every analysis."""
-    w = Window.partitionBy("analysis_id").orderBy(F.col("sequencing_id").desc(), F.col("batch_id").desc())
-    return clinical.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return first_by(clinical, ["analysis_id"], [F.col("sequencing_id"), F.col("batch_id")], descending=True)
 
 
 def group_by_batch(clinical: DataFrame, ids: IdInput) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators._util import literal_map
+from strandline.operators._util import first_by, literal_map
 
 # Fixed values that must equal the reference's.
 SEQUENCING_TYPE = {"WXS": "WES"}
@@ -56,9 +56,7 @@ def dedup_samples(m: DataFrame, on_duplicate: str = "first", vcf: str = "vcf") -
         # one-row scalar subquery: raises when any sample is duplicated
         check = dups.select(F.when(F.size("s") > 0, F.raise_error(msg)).cast("int").alias("_e")).scalar()
         return m.where(F.coalesce(check, F.lit(0)) == 0)
-    w = Window.partitionBy("sample").orderBy(F.col("familyId").asc_nulls_first(), F.col("sample"),
-                                             F.col(vcf).asc_nulls_first())
-    return m.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return first_by(m, ["sample"], [F.col("familyId"), F.col(vcf)])
 
 
 def parental_manifest(clinical: DataFrame, analysis_ids: DataFrame | None = None) -> DataFrame:

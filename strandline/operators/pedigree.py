@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators._util import literal_map
+from strandline.operators._util import first_by, literal_map
 
 # Fixed values that must equal the reference's (earliest to latest onset).
 ONSET_DEFAULT = "HP:0003674"
@@ -41,11 +41,11 @@ def _filled(c: str) -> Column:
 
 def first_proband(clinical: DataFrame, key: str = "family_id") -> DataFrame:
     """The first proband row per ``key`` (by sequencing id), parent ids renamed."""
-    w = Window.partitionBy(key).orderBy("sequencing_id")
-    return (clinical.where(F.col("is_proband") & F.col(key).isNotNull())
-            .withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-            .select(key, F.col("sequencing_id").alias("p_sequencing_id"), F.col("aliquot_id").alias("p_aliquot_id"),
-                    F.col("father_aliquot_id").alias("p_father"), F.col("mother_aliquot_id").alias("p_mother")))
+    probands = clinical.where(F.col("is_proband") & F.col(key).isNotNull()).select(
+        key, "sequencing_id", "aliquot_id", "father_aliquot_id", "mother_aliquot_id")
+    return first_by(probands, [key], [F.col("sequencing_id")]).select(
+        key, F.col("sequencing_id").alias("p_sequencing_id"), F.col("aliquot_id").alias("p_aliquot_id"),
+        F.col("father_aliquot_id").alias("p_father"), F.col("mother_aliquot_id").alias("p_mother"))
 
 
 def split_families(clinical: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators._util import first_by
+
 # Fixed values that must equal the reference's naming.
 RELEASE_PREFIX = "re_"
 RELEASE_DIGITS = 3
@@ -114,5 +116,5 @@ def trigger_gate(pending: DataFrame, runs: DataFrame, dag_ids: Sequence[str]) ->
 
 
 def latest_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Latest row per key by ``order`` columns (descending)."""
+    return first_by(df, key, order, descending=True)

@@ -229,7 +229,7 @@ STATUS_LATEST = ("st AS (SELECT analysis_id, CASE WHEN status = 'SUCCESS' THEN '
 
 
 def latest_status(v):
-    s = cat.latest_per_key(v.status_events, "analysis_id", [F.col("ts").desc(), F.col("event_id").desc()])
+    s = cat.latest_per_key(v.status_events, "analysis_id", [F.col("ts"), F.col("event_id")])
     return s.select("analysis_id", F.when(F.col("status") == "SUCCESS", "COMPLETED").otherwise(F.col("status"))
                     .alias("status"))
 

@@ -46,7 +46,7 @@ def _aliases(v):
 
 def _runs(v):
     ev = v.events.withColumn("run_id", F.col("user_id") % 20)
-    last = rel.latest_by(ev, ["run_id"], [F.col("ts").desc(), F.col("event_id").desc()])
+    last = rel.latest_by(ev, ["run_id"], [F.col("ts"), F.col("event_id")])
     start = ev.groupBy("run_id").agg(F.min("ts").alias("start_date"))
     runs = last.join(start, "run_id").select(
         "run_id", F.when(F.col("run_id") % 4 == 0, "etl_ingest").otherwise("etl").alias("dag_id"), "start_date",
