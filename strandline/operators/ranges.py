@@ -78,6 +78,9 @@ def reciprocal_overlap(a_start: Column, a_end: Column, b_start: Column, b_end: C
     return F.least(ov / (a_end - a_start), ov / (b_end - b_start))
 
 
+LAST_ROUNDS = 0  # rounds used by the last connected_components call (diagnostics)
+
+
 def _sym(e: DataFrame) -> DataFrame:
     """Both orientations of an undirected edge list (u, v), no self loops."""
     return e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v")
@@ -108,10 +111,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     e = cut_lineage(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    for _ in range(max_rounds):
+    global LAST_ROUNDS
+    for LAST_ROUNDS in range(1, max_rounds + 1):  # noqa: B007
         nxt = cut_lineage(_small_star(_large_star(e)))
-        same = (nxt.join(e, ["u", "v"], "left_anti").limit(1).count() == 0
-                and e.join(nxt, ["u", "v"], "left_anti").limit(1).count() == 0)
+        diff = (nxt.withColumn("_n", F.lit(1)).join(e.withColumn("_o", F.lit(1)), ["u", "v"], "full_outer")
+                .where(F.col("_n").isNull() | F.col("_o").isNull()))
+        same = diff.limit(1).count() == 0
         e = nxt
         if same:
             break
