@@ -176,6 +176,70 @@ def import_dbnsfp(spark: SparkSession, path: str, numeric: list[str]) -> DataFra
     return df.select(*[F.col(c).cast("double").alias(c) if c in numeric else F.col(c) for c in df.columns])
 
 
+def import_dbnsfp_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Per-chromosome dbNSFP TSV as text columns (normalised header, '.' -> NULL)."""
+    return formats.read_tsv(spark, path)
+
+
+def _typed(df: DataFrame, numeric: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in numeric else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+def import_gnomad_constraint(spark: SparkSession, path: str, numeric: list[str] | None = None) -> DataFrame:
+    """Constraint metrics TSV (block-gzip must be landed with a ``.gz`` name;
+    gzip is not splittable, so each file is one task)."""
+    df = formats.read_delimited(spark, path, "\t", null_value="NA")
+    return _typed(df, numeric or [c for c in df.columns if c.startswith(("pLI", "oe_", "mis_z", "lof_z", "syn_z"))])
+
+
+def import_cosmic_genes(spark: SparkSession, path: str) -> DataFrame:
+    """COSMIC cancer gene census (CSV)."""
+    return formats.read_csv(spark, path)
+
+
+def import_cosmic_mutations(spark: SparkSession, path: str) -> DataFrame:
+    """COSMIC mutations (TSV)."""
+    return formats.read_delimited(spark, path, "\t", null_value="")
+
+
+def import_hpo_genes(spark: SparkSession, path: str) -> DataFrame:
+    """genes_to_phenotype TSV: gene id/symbol, HPO id/name, frequency, disease."""
+    return formats.read_delimited(spark, path, "\t", null_value="-")
+
+
+def import_human_genes(spark: SparkSession, path: str) -> DataFrame:
+    """NCBI gene_info TSV (header line starts with '#'); '-' means missing."""
+    df = formats.read_delimited(spark, path, "\t", renames={"#tax_id": "tax_id"}, null_value="-")
+    return df.withColumn("synonym_list", F.split(F.col("Synonyms"), r"\|")) if "Synonyms" in df.columns else df
+
+
+def import_ddd(spark: SparkSession, path: str) -> DataFrame:
+    """DDG2P gene-disease CSV."""
+    return formats.read_csv(spark, path)
+
+
+ENSEMBL_KEYS = ["gene_stable_id", "transcript_stable_id"]
+
+
+def import_ensembl(spark: SparkSession, mappings: dict[str, str], gff_path: str | None = None) -> DataFrame:
+    """Ensembl cross-references: one TSV per kind (ena, entrez, refseq,
+    uniprot) with gene/transcript stable ids and an ``xref`` column, combined
+    by full outer join on the two ids (each kind's xrefs as a sorted set);
+    optionally joined with the GFF3 transcript features."""
+    out = None
+    for kind, path in mappings.items():
+        t = formats.read_delimited(spark, path, "\t", null_value="")
+        t = t.groupBy(*ENSEMBL_KEYS).agg(F.sort_array(F.collect_set("xref")).alias(kind))
+        out = t if out is None else out.join(t, ENSEMBL_KEYS, "full_outer")
+    if gff_path is not None:
+        g = formats.read_gff3(spark, gff_path).select(
+            F.regexp_replace(F.col("attributes")["ID"], "^transcript:", "").alias("transcript_stable_id"),
+            F.col("seqid").alias("chromosome"), "start", "end", "strand", F.col("type").alias("biotype"))
+        out = out.join(g, "transcript_stable_id", "left")
+    return out
+
+
 def import_omim(spark: SparkSession, path: str) -> DataFrame:
     return formats.read_hash_header_tsv(spark, path)
 

@@ -77,14 +77,19 @@ def read_csv(spark: SparkSession, path: str, renames: dict[str, str] | None = No
 
 
 def read_hash_header_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """TSV whose header is the LAST line starting with ``#`` (and whose other
-    ``#`` lines are comments). The header is found with one small aggregate
-    (last ``#`` line in file order), then data lines are split by it."""
+    """TSV whose header is the last line starting with ``#`` before the first
+    data line (other ``#`` lines, including trailing ones, are comments). The
+    header is found with two small aggregates over line positions, then data
+    lines are split by it on the executors."""
     raw = spark.read.text(path).withColumn("_pos", F.monotonically_increasing_id())
-    header_line = (raw.where(F.col("value").startswith("#"))
-                   .agg(F.max_by("value", "_pos").alias("h")).first()["h"])
+    is_comment = F.col("value").startswith("#")
+    first_data = raw.where(~is_comment & (F.length("value") > 0)).agg(F.min("_pos").alias("m")).first()["m"]
+    heads = raw.where(is_comment)
+    if first_data is not None:
+        heads = heads.where(F.col("_pos") < first_data)
+    header_line = heads.agg(F.max_by("value", "_pos").alias("h")).first()["h"]
     names = [normalize_header(c.strip()) for c in header_line.lstrip("#").split("\t")]
-    data = raw.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    data = raw.where(~is_comment & (F.length("value") > 0))
     parts = F.split("value", "\t")
     return data.select(*[F.nullif(parts.getItem(i), F.lit("")).alias(n) for i, n in enumerate(names)])
 
