@@ -314,3 +314,16 @@ def phenotype_requests(clinical: DataFrame, signs: DataFrame) -> DataFrame:
         onset_or_default(F.col("onset")).alias("phenotype_onset_hpo_code"),
         F.coalesce("analysis_files", F.array()).alias("analysis_files"))
     return j.select("analysis_id", doc.alias("request"), F.to_json(doc).alias("document"))
+
+
+def name_parts(name: Column) -> tuple[Column, Column]:
+    """(aliquot, analysis) parsed from a ``"{aliquot} - {analysis}"`` sample name."""
+    return name_aliquot(name), name_analysis(name)
+
+
+# SURVEY §2.B names
+file_role = file_roles
+recode_sex = api_sex
+pedigree_document = pedigree_documents
+case_request = case_requests
+phenotype_request = phenotype_requests

@@ -425,3 +425,12 @@ def incremental_load(spark, existing_path: str | None, new_rows: DataFrame, out_
         table = old.join(keys, key, "left_anti").unionByName(new_rows)
     table.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
+
+
+# SURVEY §2.G names
+normalize_exomiser = scored_results
+normalize_franklin = scored_results
+normalize_clinical_resources = flatten_resources
+enrich_snv_somatic = enrich_snv
+sv_cluster = sv_clusters
+load = incremental_load

@@ -258,3 +258,9 @@ def harvest_sink(results_path: str, status_path: str, key: str = "analysis_id",
         (done.select(key, "event_id", F.lit(SUCCESS).alias("status"))
          .write.mode("overwrite").parquet(f"{status_path}/batch_id={batch_id}"))
     return sink
+
+
+# SURVEY §2.J names
+inbox_stream = inbox_ids
+stale = stale_stream
+harvest = harvest_sink
