@@ -56,11 +56,15 @@ def duck_connection(sf_dir: str):
 def compare(spark, con, key: str, sf_dir: str, builder, sql: str | None) -> dict:
     t0 = time.time()
     df = builder(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    loops = [t for t in ("CartesianProduct", "BroadcastNestedLoopJoin") if t in plan]
     srows = [tuple(r) for r in df.collect()]
     scols = df.columns
     stypes = [SPARK_TO_DUCK.get(t, t.upper()) for _, t in df.dtypes]
     t_spark = time.time() - t0
     res = {"key": key, "rows": len(srows), "spark_sec": round(t_spark, 2)}
+    if loops:
+        res["nested_loop_joins"] = loops
     if sql is None:
         res["status"] = "rows-only"
         return res
