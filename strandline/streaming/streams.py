@@ -80,9 +80,18 @@ def latest_snapshot(spark: SparkSession, path: str, key: Sequence[str]) -> DataF
 
 # --- operators (each works on a stream or on a bounded DataFrame) ----------
 
-def inbox_ids(keys: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Inbox notifications -> ids, each (kind, id) taken once."""
-    return parse(keys).dropDuplicates(["kind", "id"])
+def inbox_ids(keys: DataFrame, parse: Callable[[DataFrame], DataFrame], window: str = "7 days") -> DataFrame:
+    """Inbox notifications -> ids, each (kind, id) taken once per ``window``.
+
+    The reference deletes an inbox file once processed, so the same id dropped
+    again later is a new request; de-duplicating within a watermark on the
+    micro-batch time keeps that meaning and bounds the state. A bounded input
+    (batch twin) is simply de-duplicated."""
+    ids = parse(keys)
+    if not ids.isStreaming:
+        return ids.dropDuplicates(["kind", "id"])
+    return (ids.withColumn("_seen_at", F.current_timestamp()).withWatermark("_seen_at", window)
+            .dropDuplicatesWithinWatermark(["kind", "id"]).drop("_seen_at"))
 
 
 def _order(ts: str = "ts", tie: str = "event_id") -> Column:
