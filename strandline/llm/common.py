@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,6 +45,18 @@ def rewritten(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch handed to Python, about: tasks hold a batch, its results and copies of both.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size where it is larger, so that long texts do not add up in the workers."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+    if now is None or int(now[1]) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def strings(column: pa.Array) -> Iterator[str | None]:
     """Values of an Arrow string column one at a time: a batch is never doubled in memory."""
     for value in column:

@@ -11,9 +11,11 @@ compared with all rows in blocks, and the number is taken at which their recall
 reaches ``TARGET_RECALL``. On data without structure this is a large share of
 the table, on clustered data a small one.
 
-Entries of a cell are dealt into blocks of about ``BLOCK_ROWS``, so a cell that
-holds a third of the table is searched by many tasks. A block meets the queries
-that visit its cell and gives each its k nearest; no pair leaves a block else.
+Cells are laid end to end and cut into lanes of about ``LANE_ROWS`` rows: a
+lane holds several small cells, and a cell that holds a third of the table
+spans many lanes and is searched by many tasks. A lane meets the queries that
+visit one of its cells and gives each its k nearest among the rows of these
+cells; no pair leaves a lane else.
 
 Defined results: vectors that are NULL, zero, hold NULL, NaN or infinite
 components, or are not of the table's most frequent length, and rows with a
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import rewritten
+from strandline.llm.common import bounded_batches, rewritten
 
 K = 10
 QUERY_EVERY = 100
@@ -43,7 +45,9 @@ TRAIN_ROWS = 20_000
 PROBE_QUERIES, TARGET_RECALL = 128, 0.96
 #: Rows wanted in a cell, and the most centroids of a half.
 CELL_ROWS, MAX_CENTROIDS = 128, 1024
-BLOCK_ROWS = 256
+LANE_ROWS = 512
+#: Queries that meet a lane in one task, and rows of a brute-force block.
+QUERY_BLOCK, BLOCK_ROWS = 4096, 256
 SEED = 11
 
 _FOUND = "query_id long, vec_id long, score double"
@@ -112,6 +116,20 @@ class Codebooks:
         for i, j in traverse(a, b):
             yield i * len(self.second) + j
 
+    def close(self) -> None:
+        """Lay the cells end to end, once their counts are known."""
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def lanes(self, cell: int) -> range:
+        """The lanes that a non-empty cell spans."""
+        start = int(self.starts[cell])
+        return range(start // LANE_ROWS, (start + int(self.counts[cell]) - 1) // LANE_ROWS + 1)
+
+    def lane_of(self, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The lane of each row: its cell's rows are spread over the cell's length by a hash of their id."""
+        spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64)
+        return (self.starts[cell] + spread % np.maximum(1, self.counts[cell])) // LANE_ROWS
+
     def visit(self, query: np.ndarray, rows: int) -> list[int]:
         """The cells that a query visits: non-empty ones until they hold ``rows`` rows."""
         out, seen = [], 0
@@ -124,15 +142,21 @@ class Codebooks:
         return out
 
 
-def top_rows(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
-    """Per query the k nearest of a block of rows by (distance, id), itself left out: (query index, row index, distance)."""
+def top_rows(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int,
+             cell: np.ndarray | None = None, visited: list[list[int]] | None = None):
+    """Per query the k nearest of a block of rows by (distance, id): (query index, row index, distance). Left out are
+    the query itself and, if cells are given, rows of cells that the query does not visit."""
     by_id = np.argsort(ids, kind="stable")
     rows, ids = rows[by_id], ids[by_id]
+    cell = None if cell is None else cell[by_id]
     found = []
     step = max(1, (1 << 21) // max(1, rows.size))
     for at in range(0, len(queries), step):
         d = np.sqrt(((queries[at:at + step, None, :] - rows[None, :, :]) ** 2).sum(axis=2))
         d[query_ids[at:at + step, None] == ids[None, :]] = np.inf
+        if cell is not None:
+            for i, cells in enumerate(visited[at:at + step]):
+                d[i, ~np.isin(cell, cells)] = np.inf
         near = np.argsort(d, axis=1, kind="stable")[:, :k]
         q = np.repeat(np.arange(at, at + len(d)), near.shape[1])
         score = np.take_along_axis(d, near, axis=1).ravel()
@@ -234,55 +258,56 @@ def calibrated_rows(books: Codebooks, entries: DataFrame, queries: DataFrame, k:
 def search(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, rows: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by ``query_every``."""
     spark = embeddings.sparkSession
+    bounded_batches(spark)
     vectors, dim, n = prepared(embeddings)
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books, entries = build(vectors, dim, n)
     queries = entries.where(F.col("vec_id") % query_every == 0)
     enough = rows or max(k + 1, calibrated_rows(books, entries, queries, k))
+    books.close()
     sent = spark.sparkContext.broadcast(books)
 
-    def blocks(count):
-        return np.maximum(1, -(-count // BLOCK_ROWS))
-
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             for i, q in enumerate(matrix(batch.column(1), dim)):
-                cells = np.array(books.visit(q, enough), dtype=np.int64)
-                parts = blocks(books.counts[cells])
-                part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-                m = len(part)
+                by_lane: dict[int, list[int]] = {}
+                for cell in books.visit(q, enough):
+                    for lane in books.lanes(cell):
+                        by_lane.setdefault(lane, []).append(cell)
+                m = len(by_lane)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(cells, parts)), pa.array(part, pa.int64()),
-                     pa.array(np.full(m, batch.column(0)[i].as_py(), dtype=np.int64)),
-                     pa.ListArray.from_arrays(np.arange(m + 1, dtype=np.int32) * dim, pa.array(np.tile(q, m)))],
-                    names=["cell", "part", "query_id", "q"])
+                    [pa.array(list(by_lane), pa.int64()), pa.array([batch.column(0)[i].as_py()] * m, pa.int64()),
+                     pa.ListArray.from_arrays(np.arange(m + 1, dtype=np.int32) * dim, pa.array(np.tile(q, m))),
+                     pa.array(list(by_lane.values()), pa.list_(pa.int64()))], names=["lane", "query_id", "q", "cells"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books = sent.value
         for batch in batches:
-            cell = batch.column(2).to_numpy(zero_copy_only=False)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            part = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) \
-                % blocks(books.counts[cell])
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(part), batch.column(0), batch.column(1)],
-                                             names=["cell", "part", "vec_id", "v"])
-
-    probes = queries.select("vec_id", "v").mapInArrow(visit, "cell long, part long, query_id long, q array<double>")
-    dealt = entries.select("vec_id", "v", "cell").mapInArrow(deal, "cell long, part long, vec_id long, v array<double>")
+            ids, cell = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(sent.value.lane_of(cell, ids)), *batch.columns],
+                                             names=["lane", "vec_id", "v", "cell"])
+
+    probes = rewritten(queries.select("vec_id", "v").mapInArrow(
+        visit, "lane long, query_id long, q array<double>, cells array<long>"), "ann-probes")
+    dealt = entries.select("vec_id", "v", "cell").mapInArrow(deal, "lane long, vec_id long, v array<double>, cell long")
+    # a lane that very many queries visit is searched in parts, its rows once in each
+    parts = probes.groupBy("lane").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("parts"))
+    probes = probes.join(parts, "lane").withColumn("part", F.pmod(F.hash("query_id"), F.col("parts"))).drop("parts")
+    dealt = dealt.join(parts, "lane").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                          "score": pa.array([], pa.float64())})
         if not left.num_rows or not right.num_rows:
-            return empty
-        query_ids, ids = (t.column(c).to_numpy() for t, c in ((left, "query_id"), (right, "vec_id")))
-        i, j, score = top_rows(matrix(left.column("q"), dim), query_ids, matrix(right.column("v"), dim), ids, k)
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
+                             "score": pa.array([], pa.float64())})
+        query_ids, ids, cell = (t.column(c).to_numpy() for t, c in
+                                ((left, "query_id"), (right, "vec_id"), (right, "cell")))
+        i, j, score = top_rows(matrix(left.column("q"), dim), query_ids, matrix(right.column("v"), dim), ids, k,
+                               cell, left.column("cells").to_pylist())
         return pa.table({"query_id": query_ids[i], "vec_id": ids[j], "score": score})
 
-    key = ["cell", "part"]
+    key = ["lane", "part"]
     found = probes.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(rerank, _FOUND)
     return best(found, k).select("query_id", "rank", "vec_id", "score")
