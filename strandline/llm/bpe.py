@@ -29,9 +29,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strandline.llm.common import packed, quoted, strings
+from strandline.llm.common import bounded_batches, strings
 
 #: The split before the merges of byte-level vocabularies.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -120,7 +119,7 @@ class BacktrackingBpe:
                 until, a = made_a[0], made_a[2]
             else:
                 until, b = made_b[0] + 1, made_b[1]
-        if len(self._fits) > 2_000_000:
+        if len(self._fits) >= 2 * REMEMBERED_PIECES:
             self._fits.clear()
         self._fits[left, right] = fits
         return fits
@@ -210,27 +209,9 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str | None = None, text_col: str = "text",
-                     id_col: str = "doc_id") -> DataFrame:
-    """All columns of ``docs`` plus ids array<int>; ``_row`` keeps the columns apart until the end."""
-    shipped = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path or default_vocabulary()))
-    rows = docs.select(packed(docs), quoted(text_col).alias("_text"))
-    row_type = rows.schema["_row"].dataType
-    schema = T.StructType([T.StructField("_row", row_type), T.StructField("_ids", T.ArrayType(T.IntegerType()))])
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shipped.value)
-        for batch in batches:
-            ids = pa.array([codec.encode(t or "") for t in strings(batch.column(1))], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["_row", "_ids"])
-
-    out = rows.mapInArrow(encode, schema)
-    keep = [c for c in docs.columns if c != "ids"]
-    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], F.col("_ids").alias("ids"))
-
-
 def bpe_digests(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """Contract columns of op7: token count and digests of the ids and of the text decoded from them."""
+    bounded_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path or default_vocabulary()))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,19 +232,30 @@ def bpe_digests(docs: DataFrame, vocabulary_path: str | None = None) -> DataFram
         digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage (the last one): documents with their token ids, the count, and the text decoded again."""
-    shipped = spark.sparkContext.broadcast(read_vocabulary(default_vocabulary()))
+def encode_documents(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256): the ids of each whole text, and the digest of the text decoded again."""
+    bounded_batches(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path or default_vocabulary()))
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
         for batch in batches:
-            decoded = [codec.decode(i.values.to_numpy(zero_copy_only=False)) for i in batch.column(1)]
-            sums = [hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sums, pa.string())],
-                                             names=["doc_id", "ids", "decoded_sha256"])
+            for at in range(0, batch.num_rows, 256):  # ids are larger than their text: give them away in small lots
+                part = batch.slice(at, 256)
+                ids, sums = [], []
+                for text in strings(part.column(1)):
+                    ids.append(np.array(codec.encode(text or ""), dtype=np.int32))
+                    sums.append(hashlib.sha256(codec.decode(ids[-1]).encode("utf-8")).hexdigest())
+                sizes = np.array([len(i) for i in ids], dtype=np.int64)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sizes), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids))),
+                     pa.array(sums, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
 
-    ids = encode_documents(docs).select("doc_id", "ids")
-    out = ids.mapInArrow(digest, "doc_id long, ids array<int>, decoded_sha256 string")
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage (the last one): token ids of each document."""
+    return encode_documents(docs)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import packed, quoted, rewritten, unpacked
+from strandline.llm.common import bounded_batches, packed, quoted, rewritten, unpacked
 from strandline.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -68,6 +68,7 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 def simhash_column(docs: DataFrame, text_col: str = "text", name: str = "_fp",
                    shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with the fingerprint as a signed long; map only."""
+    bounded_batches(docs.sparkSession)
     columns = [c for c in docs.columns if c != name]
     schema = T.StructType([*docs.select(*[quoted(c) for c in columns]).schema, T.StructField(name, T.LongType())])
     at = columns.index(text_col)

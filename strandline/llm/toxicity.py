@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import bounded_sample, id_bucket, packed, quoted, rewritten, strings, table, unpacked
+from strandline.llm.common import bounded_batches, bounded_sample, id_bucket, packed, quoted, rewritten, strings, table, unpacked
 
 FOLDS, HELD_OUT = 5, 0
 #: Labelled rows from which the lexicon and the weights are learned, at most.
@@ -52,7 +52,8 @@ QUOTED, REPORTED = 0.25, 0.5
 QUOTES = "\"'“”„«»‘’‚‹›`"
 REPORTING = frozenset("said says quote quoted quotes wrote called term word sagte zitat wort dit citation mot dijo cita "
                       "palabra".split())
-HELD_WORDS = 200_000
+#: Words and automaton states that a task remembers; beyond it the memory starts anew.
+HELD_WORDS, HELD_STATES = 100_000, 20_000
 _WORD = re.compile(r"\w+")
 
 
@@ -128,7 +129,7 @@ class LexiconAutomaton:
         """(entry, edits) of the nearest entry, None if there is none."""
         if word in self._known:
             return self._known[word]
-        if len(self._sets) > 100_000:
+        if len(self._sets) > HELD_STATES:
             self._states, self._sets, self._step = {}, [], []
             self._start = self._state({0: 0}, None)
         state = self._start
@@ -285,6 +286,7 @@ class ToxicityModel:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    bounded_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels)
     model = ToxicityModel(learn_lexicon(sample))
     if not model.entries:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import rewritten
+from strandline.llm.common import bounded_batches, rewritten
 from strandline.session import scratch_dir
 
 #: Payloads smaller than this are never revisits.
@@ -245,6 +245,7 @@ def read_packages(spark, path: str) -> DataFrame:
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:
     """Write all pages to packages in the shared folder and read them back."""
+    bounded_batches(pages.sparkSession)
     path = scratch_dir(pages.sparkSession, "warc")
     write_packages(pages, path)
     return read_packages(pages.sparkSession, path)
