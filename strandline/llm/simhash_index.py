@@ -121,7 +121,7 @@ def _crowded_links(table: DataFrame, probes: DataFrame) -> DataFrame:
 
 def fingerprint_links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Links (u, v) between distinct fingerprints (column fp) whose components are those of all pairs
-    within MAX_BITS bits."""
+    within MAX_BITS bits. ``crowded`` is at least 1."""
     table = _table(fps)
     keys = table.groupBy("side", "key").agg(F.count(F.lit(1)).alias("n"))
     # asked for: keys that the table has; most flipped segments are in no table
