@@ -78,9 +78,6 @@ def reciprocal_overlap(a_start: Column, a_end: Column, b_start: Column, b_end: C
     return F.least(ov / (a_end - a_start), ov / (b_end - b_start))
 
 
-LAST_ROUNDS = 0  # rounds used by the last connected_components call (diagnostics)
-
-
 def _sym(e: DataFrame) -> DataFrame:
     """Both orientations of an undirected edge list (u, v), no self loops."""
     return e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v")
@@ -100,25 +97,28 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(hub).where("u <> v").distinct()
 
 
+def _edge_state(e: DataFrame) -> tuple:
+    """Edge count and hash sum: equal for equal edge sets, in any order."""
+    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         nodes: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+                         nodes: DataFrame | None = None) -> DataFrame:
     """(node, component) where component is the smallest node id reachable.
 
     Alternating large-star / small-star rounds (Kiveris et al., "Connected
     Components in MapReduce and Beyond", SoCC 2014): O(log^2 n) rounds of
-    joins and min-aggregates, no per-node lists. Each round is checkpointed.
+    joins and min-aggregates, no per-node lists. Each round is checkpointed; the
+    rounds end when the edge count and an order-free hash sum stay the same.
     At the fix point every component is a star around its smallest node.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     e = cut_lineage(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    global LAST_ROUNDS
-    for LAST_ROUNDS in range(1, max_rounds + 1):  # noqa: B007
-        nxt = cut_lineage(_small_star(_large_star(e)))
-        diff = (nxt.withColumn("_n", F.lit(1)).join(e.withColumn("_o", F.lit(1)), ["u", "v"], "full_outer")
-                .where(F.col("_n").isNull() | F.col("_o").isNull()))
-        same = diff.limit(1).count() == 0
-        e = nxt
-        if same:
+    state = _edge_state(e)
+    while state[0]:
+        e = cut_lineage(_small_star(_large_star(e)))
+        before, state = state, _edge_state(e)
+        if state == before:
             break
     s = _sym(e)
     out = s.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("component")).withColumnRenamed("u", "node")

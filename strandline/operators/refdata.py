@@ -265,26 +265,27 @@ def import_terms(spark: SparkSession, path: str, root: str | None = None) -> Dat
     return t.join(keep, "id", "left_semi").drop("is_obsolete")
 
 
-def term_ancestors(terms: DataFrame, max_depth: int = 64) -> DataFrame:
+def term_ancestors(terms: DataFrame) -> DataFrame:
     """Transitive closure (term_id, ancestor_id, distance), by frontier
-    expansion: each round joins the newest frontier with the parent edges;
-    lineage is cut every round. The number of rounds is the ontology depth."""
+    expansion until no new pair appears: each round joins the newest pairs with
+    the parent edges, one row a pair, and drops pairs already known, so the
+    distance is the shortest, several parents do not multiply paths, and a
+    cycle ends. Lineage is cut every round."""
     edges = terms.select(F.col("id").alias("child"), F.explode("parents").alias("parent")).distinct()
     edges = cut_lineage(edges)
     frontier = edges.select(F.col("child").alias("term_id"), F.col("parent").alias("ancestor_id"),
                             F.lit(1).alias("distance"))
     frontier = cut_lineage(frontier)
     out = frontier
-    for _ in range(max_depth):
+    while True:
         nxt = (frontier.join(edges, frontier["ancestor_id"] == edges["child"])
-               .select("term_id", F.col("parent").alias("ancestor_id"), (F.col("distance") + 1).alias("distance")))
+               .select("term_id", F.col("parent").alias("ancestor_id"), (F.col("distance") + 1).alias("distance"))
+               .distinct().join(out, ["term_id", "ancestor_id"], "left_anti"))
         nxt = cut_lineage(nxt)
-        if nxt.limit(1).count() == 0:
-            break
+        if nxt.isEmpty():
+            return out
         out = out.unionByName(nxt)
         frontier = nxt
-    # several paths: keep the shortest distance per pair
-    return out.groupBy("term_id", "ancestor_id").agg(F.min("distance").alias("distance"))
 
 
 def build_genes(genes: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:

@@ -34,7 +34,9 @@ def parse_index_name(name: Column) -> dict[str, Column]:
 
 
 def release_id(n: Column) -> Column:
-    return F.concat(F.lit(RELEASE_PREFIX), F.lpad(n.cast("string"), RELEASE_DIGITS, "0"))
+    """``re_`` and the number with at least three digits; longer numbers stay whole."""
+    digits = n.cast("string")
+    return F.concat(F.lit(RELEASE_PREFIX), F.lpad(digits, F.greatest(F.lit(RELEASE_DIGITS), F.length(digits)), F.lit("0")))
 
 
 def duplicate_documents(df: DataFrame, hash_col: str = "hash") -> DataFrame:

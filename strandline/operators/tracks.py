@@ -30,7 +30,12 @@ def field(n: int) -> Column:
 
 
 def num(n: int) -> Column:
-    return field(n).cast("double")
+    """awk's number of a field: 0 where it is empty or no number."""
+    return F.coalesce(field(n).try_cast("double"), F.lit(0.0))
+
+
+def whole(n: int) -> Column:
+    return F.coalesce(field(n).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _data_lines(lines: DataFrame) -> DataFrame:
@@ -54,10 +59,14 @@ def rejected_rows(lines: DataFrame) -> DataFrame:
     return l.where(~_valid_location()).select("value", F.concat(F.lit(LOCATION_WARNING), "value").alias("warning"))
 
 
+def _number(c: Column) -> Column:
+    return F.coalesce(c.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def _gff(df: DataFrame, seqid, source, type_, start, end, score, strand, phase, attributes) -> DataFrame:
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
     return df.select(lit(seqid).alias("seqid"), lit(source).alias("source"), lit(type_).alias("type"),
-                     start.cast("bigint").alias("start"), end.cast("bigint").alias("end"),
+                     _number(start).alias("start"), _number(end).alias("end"),
                      lit(score).cast("string").alias("score"), lit(strand).alias("strand"), lit(phase).alias("phase"),
                      attributes.alias("attributes"))
 
@@ -97,9 +106,9 @@ def self_chain_gff(lines: DataFrame) -> DataFrame:
     """UCSC chainSelf -> GFF3 (0-based start -> 1-based)."""
     l = _data_lines(lines)
     attrs = F.format_string("ID=chainSelf_%s;score=%.0f;normScore=%.2f;Target=%s %d %d;target_strand=%s",
-                            field(12), num(2), num(13), field(7), field(10).cast("bigint") + 1,
-                            field(11).cast("bigint"), field(9))
-    return _gff(l, field(3), "UCSC_chainSelf", "self_chain_alignment", field(5).cast("bigint") + 1,
+                            field(12), num(2), num(13), field(7), whole(10) + 1,
+                            whole(11), field(9))
+    return _gff(l, field(3), "UCSC_chainSelf", "self_chain_alignment", whole(5) + 1,
                 field(6), field(2), ".", ".", attrs)
 
 
@@ -112,10 +121,10 @@ def segdup_gff(lines: DataFrame, order_col: str = "line_no") -> DataFrame:
     l = _numbered(lines, order_col)
     attrs = F.format_string(
         "ID=gsd_%d;Name=%s;Target=%s %d %d;frac_match=%.6f;frac_match_indel=%.6f;align_length=%d;"
-        "match_bases=%d;mismatch_bases=%d", F.col("_nr"), field(5), field(8), field(9).cast("bigint") + 1,
-        field(10).cast("bigint"), num(27), num(28), field(19).cast("bigint"), field(23).cast("bigint"),
-        field(24).cast("bigint"))
-    return _gff(l, field(2), "UCSC_SuperDups", "", field(3).cast("bigint") + 1, field(4), field(6), field(7), ".",
+        "match_bases=%d;mismatch_bases=%d", F.col("_nr"), field(5), field(8), whole(9) + 1,
+        whole(10), num(27), num(28), whole(19), whole(23),
+        whole(24))
+    return _gff(l, field(2), "UCSC_SuperDups", "", whole(3) + 1, field(4), field(6), field(7), ".",
                 attrs)
 
 
@@ -123,9 +132,9 @@ def repeat_gff(lines: DataFrame, order_col: str = "line_no") -> DataFrame:
     """UCSC RepeatMasker -> GFF3; type = repeat class, ``ID=rmsk_<line number>``."""
     l = _numbered(lines, order_col)
     attrs = F.format_string("ID=rmsk_%d;Name=%s;rep_family=%s;milli_div=%d;milli_del=%d;milli_ins=%d",
-                            F.col("_nr"), field(11), field(13), field(3).cast("bigint"), field(4).cast("bigint"),
-                            field(5).cast("bigint"))
-    return _gff(l, field(6), "RepeatMasker", field(12), field(7).cast("bigint") + 1, field(8), field(2), field(10),
+                            F.col("_nr"), field(11), field(13), whole(3), whole(4),
+                            whole(5))
+    return _gff(l, field(6), "RepeatMasker", field(12), whole(7) + 1, field(8), field(2), field(10),
                 ".", attrs)
 
 
@@ -133,8 +142,8 @@ def tandem_gff(lines: DataFrame, order_col: str = "line_no") -> DataFrame:
     """UCSC simpleRepeat -> GFF3; ``ID=trf_<counter>``."""
     l = _numbered(lines, order_col)
     attrs = F.format_string("ID=trf_%d;period=%d;copy_num=%.1f;entropy=%.2f;consensus_sequence=%s",
-                            F.col("_nr"), field(6).cast("bigint"), num(7), num(16), field(17))
-    return _gff(l, field(2), field(5), "", field(3).cast("bigint") + 1, field(4), field(11), ".", ".", attrs)
+                            F.col("_nr"), whole(6), num(7), num(16), field(17))
+    return _gff(l, field(2), field(5), "", whole(3) + 1, field(4), field(11), ".", ".", attrs)
 
 
 def escape_percent(c: Column) -> Column:

@@ -68,11 +68,11 @@ def normalize_snv(occ: DataFrame,
 normalize_snv_somatic = normalize_snv
 
 
-def normalize_cnv(cnvs: DataFrame) -> DataFrame:
-    """Typed CNV intervals (PASS only when a filter column exists) with length."""
+def normalize_cnv(cnvs: DataFrame, filter_col: str | None = "filters") -> DataFrame:
+    """Typed CNV intervals with length, PASS only. A source without filters must say so (``filter_col=None``)."""
     c = cnvs
-    if "filters" in cnvs.columns:
-        c = c.where(passes(F.col("filters"), dict(cnvs.dtypes)["filters"]))
+    if filter_col is not None:
+        c = c.where(passes(F.col(filter_col), cnvs.schema[filter_col].dataType.simpleString()))
     return c.select("cnv_id", "sequencing_id", "chromosome", F.col("start").cast("bigint").alias("start"),
                     F.col("end").cast("bigint").alias("end"), "type",
                     (F.col("end") - F.col("start")).cast("bigint").alias("length"))
@@ -129,28 +129,32 @@ def frequencies(occ: DataFrame, clinical: DataFrame) -> DataFrame:
 
 
 def tumor_frequencies(occ: DataFrame, clinical: DataFrame) -> DataFrame:
-    """Per variant, participant counts split into tumor-only and tumor-normal."""
-    o = with_clinical(normalize_snv(occ), clinical, ["bioinfo_analysis_code"])
+    """Per variant, participant counts split into tumor-only and tumor-normal; the frequency of an empty cohort is
+    NULL. Germline rows are left out first, and rows are one per variant and sequencing, so plain counts suffice."""
+    tumor = clinical.where(F.col("bioinfo_analysis_code").isin("TEBA", "TNEBA"))
+    wanted = occ.join(tumor.select("sequencing_id").distinct(), "sequencing_id", "left_semi")
+    o = with_clinical(normalize_snv(wanted), tumor, ["bioinfo_analysis_code"])
     q = o.where(qualifies(o))
     sizes = clinical.agg(
         F.countDistinct(F.when(F.col("bioinfo_analysis_code") == "TEBA", F.col("sequencing_id"))).alias("to_pn"),
         F.countDistinct(F.when(F.col("bioinfo_analysis_code") == "TNEBA", F.col("sequencing_id"))).alias("tn_pn"))
     agg = q.groupBy(*VARIANT_KEY).agg(
-        F.countDistinct(F.when(F.col("bioinfo_analysis_code") == "TEBA", F.col("sequencing_id"))).alias("to_pc"),
-        F.countDistinct(F.when(F.col("bioinfo_analysis_code") == "TNEBA", F.col("sequencing_id"))).alias("tn_pc"))
+        F.count_if(F.col("bioinfo_analysis_code") == "TEBA").alias("to_pc"),
+        F.count_if(F.col("bioinfo_analysis_code") == "TNEBA").alias("tn_pc"))
     agg = agg.where("to_pc > 0 OR tn_pc > 0")
     to_pn, tn_pn = sizes.select("to_pn").scalar(), sizes.select("tn_pn").scalar()  # one-row subqueries
-    return agg.select(*VARIANT_KEY, "to_pc", to_pn.alias("to_pn"), (F.col("to_pc") / to_pn).alias("to_pf"),
-                      "tn_pc", tn_pn.alias("tn_pn"), (F.col("tn_pc") / tn_pn).alias("tn_pf"))
+    return agg.select(*VARIANT_KEY, "to_pc", to_pn.alias("to_pn"), F.try_divide("to_pc", to_pn).alias("to_pf"),
+                      "tn_pc", tn_pn.alias("tn_pn"), F.try_divide("tn_pc", tn_pn).alias("tn_pf"))
 
 
 def enrich_snv(occ: DataFrame, clinical: DataFrame, analysis_ids: DataFrame | None = None) -> DataFrame:
     """Normalised occurrences with clinical columns; optionally only the given
-    analyses (semi join, so the subset is pruned before the big join)."""
+    analyses (semi joins, so that the other occurrences are left out before they are normalised)."""
     c = clinical
     if analysis_ids is not None:
         c = c.join(analysis_ids.select(F.col(analysis_ids.columns[0]).alias("analysis_id")), "analysis_id",
                    "left_semi")
+        occ = occ.join(c.select("sequencing_id"), "sequencing_id", "left_semi")
     o = normalize_snv(occ)
     return o.join(c.select("sequencing_id", "analysis_id", "batch_id", "bioinfo_analysis_code", "is_proband",
                            "gender", "affected_status"), "sequencing_id")
@@ -210,12 +214,11 @@ def flatten_resources(docs: DataFrame, schema: str, array_field: str) -> DataFra
 
 
 def enrich_clinical(clinical: DataFrame, signs: DataFrame) -> DataFrame:
-    """Clinical rows with their signs as an array (one row per analysis,
-    sequencing, code)."""
+    """Clinical rows, each as it is, with their signs as an array. Duplicate rows stay: reporting them is the
+    quality check's task."""
     s = signs.groupBy("sequencing_id").agg(F.collect_list(F.struct(
         F.col("hpo_id").alias("id"), "affected_status", "age_at_onset")).alias("clinical_signs"))
-    return clinical.join(s, "sequencing_id", "left").dropDuplicates(
-        ["analysis_id", "sequencing_id", "bioinfo_analysis_code"])
+    return clinical.join(s, "sequencing_id", "left")
 
 
 def external_frequencies(variants: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
@@ -408,8 +411,8 @@ def variant_suggestions(variants: DataFrame) -> DataFrame:
 
 
 def document_hash(cols: Sequence[str]) -> Column:
-    """Key hash used by the duplicate-document test."""
-    return F.sha1(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]))
+    """Key hash used by the duplicate-document test; a NULL keeps its place."""
+    return F.sha1(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in cols]))
 
 
 def incremental_load(spark, existing_path: str | None, new_rows: DataFrame, out_path: str, steps: str,

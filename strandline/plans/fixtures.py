@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from strandline.sources.tables import read_table
 
-_SRA = "'SRA' || lpad(CAST(CAST(floor({k} / 4) AS BIGINT) AS STRING), 7, '0')"
-_SRS = "'SRS' || lpad(CAST({k} AS STRING), 7, '0')"
+_SRA = "'SRA' || lpad(CAST(CAST(floor({k} / 4) AS BIGINT) AS STRING), CAST(greatest(7, length(CAST(CAST(floor({k} / 4) AS BIGINT) AS STRING))) AS INT), '0')"
+_SRS = "'SRS' || lpad(CAST({k} AS STRING), CAST(greatest(7, length(CAST({k} AS STRING))) AS INT), '0')"
 
 VIEWS: dict[str, tuple[str, list[str]]] = {
     "clinical": ("customer", [
@@ -23,7 +23,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         _SRA.format(k="c_custkey") + " AS analysis_id",
         "'BAT' || lpad(CAST((CAST(floor(c_custkey / 8) AS BIGINT) + (CASE WHEN c_custkey % 16 = 3 THEN 1 ELSE 0 END)) % 23 AS STRING), 3, '0') AS batch_id",
         "CASE WHEN CAST(floor(c_custkey / 4) AS BIGINT) % 6 = 5 THEN NULL "
-        "ELSE 'FM' || lpad(CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING), 6, '0') END AS family_id",
+        "ELSE 'FM' || lpad(CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING), CAST(greatest(6, length(CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING))) AS INT), '0') END AS family_id",
         "CAST(c_custkey AS STRING) AS aliquot_id",
         "c_custkey % 4 = 0 AS is_proband",
         "CASE WHEN c_custkey % 4 = 0 AND CAST(floor(c_custkey / 4) AS BIGINT) % 3 <> 1 THEN CAST(c_custkey + 1 AS STRING) "
@@ -73,7 +73,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     ]),
     "status_events": ("events", [
         "event_id", "ts",
-        "'SRA' || lpad(CAST(user_id AS STRING), 7, '0') AS analysis_id",
+        "'SRA' || lpad(CAST(user_id AS STRING), CAST(greatest(7, length(CAST(user_id AS STRING))) AS INT), '0') AS analysis_id",
         "CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'view' THEN 'STARTED' WHEN 'click' THEN 'STARTED' "
         "WHEN 'purchase' THEN 'SUCCESS' ELSE 'FAILURE' END AS status",
         "'boot-' || CAST(CAST({json} AS INT) % 3 AS STRING) AS boot_id",
@@ -81,10 +81,10 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "object_keys": ("orders", [
         "o_orderkey AS object_id",
         "CASE WHEN o_orderkey % 3 = 0 THEN 'post_processing/output/ensemblvep/variants.SRA' || "
-        "lpad(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING), 7, '0') || '.snv.norm.VEP.vcf.gz' "
+        "lpad(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING), CAST(greatest(7, length(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING))) AS INT), '0') || '.snv.norm.VEP.vcf.gz' "
         "WHEN o_orderkey % 3 = 1 THEN 'BAT' || lpad(CAST(CAST(floor(o_custkey / 8) AS BIGINT) % 23 AS STRING), 3, '0') || '/' || "
         "CAST(o_custkey AS STRING) || '.case.hard-filtered.formatted.norm.VEP.vcf.gz' "
-        "ELSE 'raw/landing/franklin/analysis_id=SRA' || lpad(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING), 7, '0') || "
+        "ELSE 'raw/landing/franklin/analysis_id=SRA' || lpad(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING), CAST(greatest(7, length(CAST(CAST(floor(o_custkey / 4) AS BIGINT) AS STRING))) AS INT), '0') || "
         "'/aliquot_id=' || (CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE CAST(o_custkey AS STRING) END) || "
         "'/_FRANKLIN_STATUS_.txt' END AS object_key",
     ]),
@@ -93,8 +93,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
 # Request lists (what a user passes as analysis / sequencing / batch ids), derived
 # from tables that grow with the scale factor.
 VIEWS.update({
-    "req_analyses": ("supplier", ["'SRA' || lpad(CAST(s_suppkey * 3 AS STRING), 7, '0') AS id"]),
-    "req_sequencings": ("supplier", ["'SRS' || lpad(CAST(s_suppkey * 7 AS STRING), 7, '0') AS id"]),
+    "req_analyses": ("supplier", ["'SRA' || lpad(CAST(s_suppkey * 3 AS STRING), CAST(greatest(7, length(CAST(s_suppkey * 3 AS STRING))) AS INT), '0') AS id"]),
+    "req_sequencings": ("supplier", ["'SRS' || lpad(CAST(s_suppkey * 7 AS STRING), CAST(greatest(7, length(CAST(s_suppkey * 7 AS STRING))) AS INT), '0') AS id"]),
     "req_batches": ("nation", ["'BAT' || lpad(CAST(n_nationkey + n_regionkey AS STRING), 3, '0') AS id"]),
 })
 

@@ -202,10 +202,10 @@ def _(v):
 
 
 _INBOX = ("'.etl-run/' || CASE WHEN o_orderkey % 50 = 1 THEN '.txt' "
-          "WHEN o_orderkey % 4 = 0 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.txt' "
-          "WHEN o_orderkey % 4 = 1 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.sequencing_id' "
+          "WHEN o_orderkey % 4 = 0 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(7, length(CAST(o_custkey AS VARCHAR))) AS INT), '0') || '.txt' "
+          "WHEN o_orderkey % 4 = 1 THEN 'SRS' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(7, length(CAST(o_custkey AS VARCHAR))) AS INT), '0') || '.sequencing_id' "
           "WHEN o_orderkey % 4 = 2 THEN 'BAT' || lpad(CAST(o_custkey % 23 AS VARCHAR), 3, '0') || '.batch_id' "
-          "ELSE 'SRA' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '.json' END")
+          "ELSE 'SRA' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(7, length(CAST(o_custkey AS VARCHAR))) AS INT), '0') || '.json' END")
 
 
 def inbox_keys(v):

@@ -173,7 +173,7 @@ def _qa_checks(v):
     cons = var.normalize_consequences(o, v.genes)
     freq = var.frequencies(o, v.clinical).where(F.col("analysis_code") == "all")
     cov = v.lineitem.select(F.concat(F.lit("GENE"), F.col("l_partkey").cast("string")).alias("symbol"),
-                            F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")).alias("sample_id"),
+                            F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), F.greatest(F.lit(7), F.length(F.col("l_suppkey").cast("string"))), F.lit("0"))).alias("sample_id"),
                             F.col("l_quantity").cast("int").alias("depth"), F.col("l_orderkey").alias("order_key"),
                             F.col("l_linenumber").alias("line_no"))
     origin = var.parental_origin(v.cnvs, v.clinical)

@@ -15,7 +15,7 @@ from strandline.plans.w_catalog import _INBOX, inbox_keys
 from strandline.session import scratch_dir
 from strandline.streaming import streams as st
 
-EVENTS = ("ev AS (SELECT event_id, ts, 'SRA' || lpad(CAST(user_id AS VARCHAR), 7, '0') AS analysis_id, "
+EVENTS = ("ev AS (SELECT event_id, ts, 'SRA' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(7, length(CAST(user_id AS VARCHAR))) AS INT), '0') AS analysis_id, "
           "CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'view' THEN 'STARTED' WHEN 'click' THEN 'STARTED' "
           "WHEN 'purchase' THEN 'SUCCESS' ELSE 'FAILURE' END AS status, "
           "'boot-' || CAST(CAST(json_extract_string(props, '$.k') AS INT) % 3 AS VARCHAR) AS boot_id, "
@@ -185,7 +185,7 @@ WHERE s.started_at + INTERVAL 8 HOUR < m.now AND (f.finished_at IS NULL OR f.fin
 """)
 def _(v):
     s = _stream(v, _events(v).select("event_id", "ts", "analysis_id", "status"), "stale")
-    out = _run(v, st.stale_stream(s, TIMEOUT), "stale")
+    out = _run(v, st.stale_stream(s, TIMEOUT, "0 seconds"), "stale")
     return st.read_batches(v.spark, out).select(
         "analysis_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"))
 

@@ -28,7 +28,7 @@ GENE_PAIRS = ('gp AS (SELECT v.chromosome, v.start, v.reference, v.alternate, g.
 CONS = ("cons AS (SELECT DISTINCT chromosome, start, reference, alternate, symbol, symbol || '-T1' AS transcript, "
         "CASE WHEN reference = 'A' OR alternate = 'A' THEN 'missense_variant' "
         "WHEN reference = 'C' OR alternate = 'C' THEN 'synonymous_variant' ELSE 'intron_variant' END AS consequence FROM gp)")
-COV = ("cov AS (SELECT 'GENE' || CAST(l_partkey AS VARCHAR) AS symbol, 'SRS' || lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS sample_id, "
+COV = ("cov AS (SELECT 'GENE' || CAST(l_partkey AS VARCHAR) AS symbol, 'SRS' || lpad(CAST(l_suppkey AS VARCHAR), CAST(greatest(7, length(CAST(l_suppkey AS VARCHAR))) AS INT), '0') AS sample_id, "
        "CAST(l_quantity AS INT) AS depth, l_orderkey AS order_key, l_linenumber AS line_no FROM lineitem), "
        "nc AS (SELECT * FROM cov QUALIFY row_number() OVER (PARTITION BY symbol, sample_id "
        "ORDER BY depth DESC, order_key DESC, line_no DESC) = 1)")
@@ -87,7 +87,7 @@ def _(v):
 @witness("var_norm_cnv", 'SELECT cnv_id, sequencing_id, chromosome, CAST(start AS BIGINT) AS start, '
                          'CAST("end" AS BIGINT) AS "end", type, CAST("end" - start AS BIGINT) AS length FROM cnvs')
 def _(v):
-    return var.normalize_cnv(v.cnvs)
+    return var.normalize_cnv(v.cnvs, filter_col=None)
 
 
 @witness("var_norm_variants", f"""
@@ -153,7 +153,7 @@ def _(v):
 def _coverage(v):
     li = v.lineitem
     return li.select(F.concat(F.lit("GENE"), F.col("l_partkey").cast("string")).alias("symbol"),
-                     F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")).alias("sample_id"),
+                     F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), F.greatest(F.lit(7), F.length(F.col("l_suppkey").cast("string"))), F.lit("0"))).alias("sample_id"),
                      F.col("l_quantity").cast("int").alias("depth"), F.col("l_orderkey").alias("order_key"),
                      F.col("l_linenumber").alias("line_no"))
 
@@ -174,14 +174,14 @@ def _(v):
 
 
 @witness("var_scored", """
-SELECT event_id, 'SRA' || lpad(CAST(user_id AS VARCHAR), 7, '0') AS analysis_id, event_type,
+SELECT event_id, 'SRA' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(7, length(CAST(user_id AS VARCHAR))) AS INT), '0') AS analysis_id, event_type,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS score
 FROM events WHERE event_type IN ('purchase', 'click')
 """)
 def _(v):
     e = v.events.where(F.col("event_type").isin("purchase", "click"))
     s = var.scored_results(e)
-    return s.select("event_id", F.concat(F.lit("SRA"), F.lpad(F.col("user_id").cast("string"), 7, "0"))
+    return s.select("event_id", F.concat(F.lit("SRA"), F.lpad(F.col("user_id").cast("string"), F.greatest(F.lit(7), F.length(F.col("user_id").cast("string"))), F.lit("0")))
                     .alias("analysis_id"), "event_type", F.col("k").alias("score"))
 
 

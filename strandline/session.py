@@ -6,7 +6,6 @@ every executor can reach. Only when it is unset (local tests) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,14 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written tables."""
+    """A fresh folder name under the shared checkpoint location; Spark's writers make the folder."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -142,6 +142,8 @@ def write_gff3(df: DataFrame, path: str) -> str:
 def read_obo(spark: SparkSession, path: str) -> DataFrame:
     """OBO ``[Term]`` stanzas -> (id, name, parents array, is_obsolete)."""
     stanzas = spark.read.option("lineSep", "[Term]").text(path)
+    # a stanza ends where the next one of any kind begins: type definitions at the end are not part of the last term
+    stanzas = stanzas.select(F.split("value", r"\n\[", 2)[0].alias("value"))
     t = stanzas.where(F.col("value").rlike(r"(?m)^id: "))
     return t.select(
         F.regexp_extract("value", r"(?m)^id: *(\S+)", 1).alias("id"),

@@ -205,10 +205,11 @@ def stale_batch(events: DataFrame, timeout: str, now: Column | None = None, key:
     return j.where((deadline < now_col) & (F.col("finished_at").isNull() | (F.col("finished_at") > deadline)))
 
 
-def stale_stream(events: DataFrame, timeout: str, key: str = "analysis_id", delay: str = "0 seconds") -> DataFrame:
+def stale_stream(events: DataFrame, timeout: str, delay: str, key: str = "analysis_id") -> DataFrame:
     """Streaming version: per key, state = first PENDING time; an event-time
     timer at ``started_at + timeout`` reports the key as stale when the
-    watermark passes it before a terminal status arrives."""
+    watermark passes it before a terminal status arrives. ``delay`` is how late
+    an event may come; the caller must state it, since events beyond it do not count."""
     timeout_ms = int(pd.Timedelta(timeout).total_seconds() * 1000)
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -257,11 +258,11 @@ def harvest_sink(results_path: str, status_path: str, key: str = "analysis_id",
                  payload: str = "payload") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: write results FIRST, then the SUCCESS markers, both
     keyed by the batch id (a replay rewrites the same folders). A SUCCESS poll
-    without a payload fails the batch before anything is written."""
+    without a payload, or with an empty one, fails the batch before anything is written."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         done = batch.where(F.col("state") == SUCCESS)
-        checked = done.withColumn(payload, F.coalesce(F.col(payload), F.raise_error(
-            F.concat(F.lit("Analysis "), F.col(key), F.lit(": SUCCESS response missing result payload")))))
+        checked = done.withColumn(payload, F.coalesce(F.nullif(F.trim(payload), F.lit("")), F.raise_error(
+            F.concat(F.lit("no result came with the finished analysis "), F.col(key)))))
         checked.select(key, "event_id", payload).write.mode("overwrite").parquet(
             f"{results_path}/batch_id={batch_id}")
         (done.select(key, "event_id", F.lit(SUCCESS).alias("status"))

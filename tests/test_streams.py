@@ -31,7 +31,7 @@ def test_stale_stream_equals_batch_twin(spark):
     src = scratch_dir(spark, "stale-src")
     st.write_time_ordered_files(df, src, "ts", n_files=4)
     out, ckpt = scratch_dir(spark, "stale-out"), scratch_dir(spark, "stale-ckpt")
-    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema), "8 hours"), ckpt,
+    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema), "8 hours", "0 seconds"), ckpt,
                      st.batch_table_sink(out))
     got = {r.analysis_id for r in st.read_batches(spark, out).select("analysis_id").collect()}
     assert got == twin
