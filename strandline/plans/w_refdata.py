@@ -187,7 +187,7 @@ def _(v):
     path = scratch_dir(v.spark, "tsv")
     out.write.mode("overwrite").option("header", True).option("sep", "\t").option("nullValue", ".").csv(path)
     t = ref.import_dbnsfp(v.spark, path, ["score"])
-    return t.select("chr", F.col("position_1_based").cast("bigint").alias("position_1_based"), "symbol", "score")
+    return t.select("chr", F.col("`position_1-based`").cast("bigint").alias("position_1_based"), "symbol", "score")
 
 
 @witness("imp_csv", """

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 VCF_COLUMNS = ["chromosome", "start", "id", "reference", "alternates", "qual", "filter", "info"]
 # Fixed header renames applied when reading delimited files.
-HEADER_RENAMES = {"pos(1-based)": "position_1_based", "hg19_pos(1-based)": "hg19_position_1_based",
-                  "#chr": "chr"}
+HEADER_RENAMES = {"pos(1-based)": "position_1-based", "hg19_pos(1-based)": "hg19_pos_1-based",
+                  "hg18_pos(1-based)": "phg18_pos_1-based", "#chr": "chr"}
 
 
 # --- VCF -------------------------------------------------------------------
