@@ -27,6 +27,10 @@ LANDING_ROOT = "raw/landing/franklin/"
 STATUS_MARKER = "_FRANKLIN_STATUS_.txt"
 ID_MARKER = "_FRANKLIN_ID_.txt"
 SHARED_MARKER = "_FRANKLIN_IDS_.txt"
+TASK_ROOT = "raw/landing/phenovar/"
+TASK_STATUS_MARKER = "_PHENOVAR_STATUS_.txt"
+TASK_ID_MARKER = "_PHENOVAR_TASK_ID_.txt"
+TASK_RESULT = "phenovar_result.json"
 GERMLINE_SCHEMA = "CQGC_Germline"
 TUMOR_ONLY_SCHEMA = "CQGC_Exome_Tumeur_Seul"
 
@@ -231,32 +235,70 @@ def not_yet_done(ids: DataFrame, done: DataFrame) -> DataFrame:
     return ids.join(done, ids.columns[0], "left_anti")
 
 
-def cleanup_plan(keys: DataFrame, status: DataFrame, key_col: str = "object_key") -> DataFrame:
-    """Keys to delete (nothing is deleted here), with the reason:
+def cleanup_plan(keys: DataFrame, status: DataFrame, exchange: DataFrame | None = None, env: str = "prod",
+                 key_col: str = "object_key") -> DataFrame:
+    """(object_key, reason) of the keys to delete after a run; nothing is deleted here. Only listed keys are planned:
+
+    * ``completed_status`` / ``completed_id``: the status marker and the id marker of a member whose status is COMPLETED;
+    * ``shared_marker``: the shared marker of an analysis of which no other status marker remains;
+    * ``exchange_vcf``: the copies ``{env}/{analysis_id}/...`` in the listing of the exchange area, of the same analyses.
+
+    ``status``: (analysis_id, aliquot_id, status), a row per marker; aliquot_id is NULL where the key says ``null``.
+    ``exchange``: the listing of the exchange bucket, a bucket of its own; the pipeline's output is never planned.
+    """
+    landing = keys.where(F.col(key_col).startswith(LANDING_ROOT)).select(
+        F.col(key_col).alias("object_key"), path_param(F.col(key_col), "analysis_id").alias("analysis_id"),
+        path_param(F.col(key_col), "aliquot_id").alias("aliquot_id"), basename(F.col(key_col)).alias("_name")).distinct()
+    s = status.select(F.col("analysis_id").alias("_a"), F.col("aliquot_id").alias("_q"),
+                      (F.col("status") == "COMPLETED").alias("_done"))
+    member = landing.join(s, (F.col("analysis_id") == F.col("_a")) & F.col("aliquot_id").eqNullSafe(F.col("_q")), "left") \
+        .withColumn("_done", F.coalesce("_done", F.lit(False)))
+    is_status, is_id = F.col("_name") == STATUS_MARKER, F.col("_name") == ID_MARKER
+    markers = member.where("_done").where(is_status | is_id).select(
+        "object_key", F.when(is_status, "completed_status").otherwise("completed_id").alias("reason"))
+    open_ = member.where(is_status & ~F.col("_done")).select("analysis_id").distinct()
+    shared = landing.where(F.col("_name") == SHARED_MARKER).join(open_, "analysis_id", "left_anti").select(
+        "object_key", F.lit("shared_marker").alias("reason"))
+    out = markers.unionByName(shared)
+    if exchange is not None:
+        copies = exchange.where(F.col(key_col).startswith(f"{env}/") & F.col(key_col).endswith(SNV_GERMLINE)).select(
+            F.col(key_col).alias("object_key"), F.split(F.col(key_col), "/").getItem(env.count("/") + 1).alias("analysis_id"))
+        known = status.select("analysis_id").distinct()
+        out = out.unionByName(copies.join(known, "analysis_id", "left_semi").join(open_, "analysis_id", "left_anti")
+                              .select("object_key", F.lit("exchange_vcf").alias("reason")))
+    return out.distinct()
+
+
+def cleanup_tasks(keys: DataFrame, status: DataFrame, exchange: DataFrame | None = None,
+                  key_col: str = "object_key") -> DataFrame:
+    """(object_key, reason) of the keys to delete for the service that works per analysis; nothing is deleted here.
+    Only listed keys are planned:
+
+    * ``finished_status`` / ``finished_task``: the status and the task marker of an analysis whose status is FAILURE,
+      or SUCCESS with its result listed;
+    * ``import_vcf``: every ``.vcf`` / ``.vcf.gz`` below ``{analysis_id}/`` in the listing of the import area.
 
-    * status and id markers of members whose status is COMPLETED;
-    * the analysis-level shared marker when every member is COMPLETED;
-    * pipeline VCFs of analyses whose members are all COMPLETED.
-    ``status``: (analysis_id, status).
+    ``status``: (analysis_id, status), one row per analysis of the request.
     """
-    markers = keys.where(F.col(key_col).startswith(LANDING_ROOT) & F.col(key_col).endswith("/" + STATUS_MARKER)) \
-        .select(F.col(key_col).alias("object_key"),
-                path_param(F.col(key_col), "analysis_id").alias("analysis_id"),
-                path_param(F.col(key_col), "aliquot_id").alias("aliquot_id"))
-    m = markers.join(status, "analysis_id", "left").withColumn(
-        "_done", F.coalesce(F.col("status") == "COMPLETED", F.lit(False)))
-    done_markers = m.where("_done")
-    per_marker = done_markers.select("object_key", F.lit("completed_status").alias("reason")).unionByName(
-        done_markers.select(F.regexp_replace("object_key", re.escape(STATUS_MARKER) + "$", ID_MARKER).alias("object_key"),
-                            F.lit("completed_id").alias("reason")))
-    all_done = m.groupBy("analysis_id").agg(F.bool_and("_done").alias("_all")).where("_all")
-    shared = all_done.select(F.concat(F.lit(LANDING_ROOT + "analysis_id="), "analysis_id",
-                                      F.lit("/" + SHARED_MARKER)).alias("object_key"),
-                             F.lit("shared_marker").alias("reason"))
-    vcfs = discover(keys, SNV_GERMLINE, "nextflow", PIPELINE_FOLDER, key_col)
-    exch = vcfs.join(all_done, vcfs["prefix"] == all_done["analysis_id"], "left_semi").select(
-        "object_key", F.lit("exchange_vcf").alias("reason"))
-    return per_marker.unionByName(shared).unionByName(exch).distinct()
+    landing = keys.where(F.col(key_col).startswith(TASK_ROOT)).select(
+        F.col(key_col).alias("object_key"), path_param(F.col(key_col), "analysis_id").alias("analysis_id"),
+        basename(F.col(key_col)).alias("_name")).distinct()
+    result = landing.where(F.col("_name") == TASK_RESULT).select("analysis_id").distinct()
+    listed = landing.where(F.col("_name") == TASK_STATUS_MARKER).select("analysis_id").distinct()
+    finished = status.where(F.col("status") == "FAILURE").select("analysis_id").unionByName(
+        status.where(F.col("status") == "SUCCESS").select("analysis_id").join(result, "analysis_id", "left_semi"))
+    finished = finished.join(listed, "analysis_id", "left_semi").distinct()
+    out = landing.where(F.col("_name").isin(TASK_STATUS_MARKER, TASK_ID_MARKER)).join(
+        finished, "analysis_id", "left_semi").select(
+        "object_key", F.when(F.col("_name") == TASK_STATUS_MARKER, "finished_status").otherwise("finished_task")
+        .alias("reason"))
+    if exchange is not None:
+        copies = exchange.where(F.col(key_col).endswith(".vcf") | F.col(key_col).endswith(".vcf.gz")).where(
+            F.col(key_col).contains("/")).select(
+            F.col(key_col).alias("object_key"), F.substring_index(F.col(key_col), "/", 1).alias("analysis_id"))
+        out = out.unionByName(copies.join(status.select("analysis_id").distinct(), "analysis_id", "left_semi")
+                              .select("object_key", F.lit("import_vcf").alias("reason")))
+    return out.distinct()
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

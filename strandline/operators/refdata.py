@@ -118,29 +118,48 @@ def last_success(runs: DataFrame, sources: DataFrame | None = None, key: str = "
 
 # --- importers: column specs over the format readers ----------------------
 
-VCF_SPECS: dict[str, list[tuple[str, str, str]]] = {
-    # importer -> [(INFO key, column, type)]  (bodies are external jobs: chosen specs)
-    "1000_genomes": [("AC", "ac", "int"), ("AF", "af", "double"), ("AN", "an", "int")],
-    "clinvar": [("CLNSIG", "clin_sig", "string"), ("GENEINFO", "gene_info", "string")],
-    "dbsnp": [("RS", "rs", "string")],
-    "gnomad_joint": [("AC_joint", "ac", "int"), ("AN_joint", "an", "int"), ("AF_joint", "af", "double")],
-    "gnomad_cnv": [("SVTYPE", "sv_type", "string"), ("END", "end", "bigint"), ("SF", "sf", "double")],
-    "gnomad_sv": [("SVTYPE", "sv_type", "string"), ("END", "end", "bigint"), ("AF", "af", "double")],
-    "topmed": [("AC", "ac", "int"), ("AF", "af", "double"), ("HOM", "hom", "int")],
-    "spliceai": [("SpliceAI", "spliceai", "string")],
-    "sites": [("DP", "dp", "bigint"), ("NALT", "nalt", "bigint")],
+VCF_SPECS: dict[str, list[tuple[str, str, str, str]]] = {
+    # importer -> [(INFO key, column, type, values: 1 a record, A an alternate)]  (bodies are external jobs: chosen specs)
+    "1000_genomes": [("AC", "ac", "int", "A"), ("AF", "af", "double", "A"), ("AN", "an", "int", "1")],
+    "clinvar": [("CLNSIG", "clin_sig", "string", "1"), ("GENEINFO", "gene_info", "string", "1")],
+    "dbsnp": [("RS", "rs", "string", "1")],
+    "gnomad_joint": [("AC_joint", "ac", "int", "A"), ("AN_joint", "an", "int", "1"), ("AF_joint", "af", "double", "A")],
+    "gnomad_cnv": [("SVTYPE", "sv_type", "string", "1"), ("END", "end", "bigint", "1"), ("SF", "sf", "double", "A")],
+    "gnomad_sv": [("SVTYPE", "sv_type", "string", "1"), ("END", "end", "bigint", "1"), ("AF", "af", "double", "A")],
+    "topmed": [("AC", "ac", "int", "A"), ("AF", "af", "double", "A"), ("HOM", "hom", "int", "A")],
+    "spliceai": [("SpliceAI", "spliceai", "string", "1")],
+    "sites": [("DP", "dp", "bigint", "1"), ("NALT", "nalt", "bigint", "1"), ("AC", "ac", "bigint", "A"),
+              ("AD", "ad", "bigint", "R")],
 }
 
 
 def import_vcf(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """One row per (record, alternate); values per alternate are those of the row's own."""
     v = formats.read_vcf(spark, path)
     return v.select(*VARIANT_KEY, "id", "qual", "filters",
-                    *[formats.info_field(k, t).alias(c) for k, c, t in VCF_SPECS[kind]])
+                    *[formats.info_field(k, t, n).alias(c) for k, c, t, n in VCF_SPECS[kind]])
+
+
+def vcf_rejects(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """INFO values of a file that the importer's types do not take."""
+    return formats.info_rejects(formats.read_vcf(spark, path), VCF_SPECS[kind])
 
 
 def import_1000_genomes(spark, path): return import_vcf(spark, path, "1000_genomes")
 def import_clinvar(spark, path): return import_vcf(spark, path, "clinvar")
-def import_dbsnp(spark, path): return import_vcf(spark, path, "dbsnp")
+def chromosome_name(contig: Column) -> Column:
+    """``chr*`` name of a RefSeq chromosome accession (NC_000001 to NC_000024, NC_012920 the mitochondrion); any
+    other contig keeps its name."""
+    number = F.regexp_extract(contig, r"^NC_0000(\d\d)\.\d+$", 1).try_cast("int")
+    name = F.when(number == 23, "X").when(number == 24, "Y").when(number.between(1, 22), number.cast("string"))
+    return (F.when(name.isNotNull(), F.concat(F.lit("chr"), name))
+            .when(contig.rlike(r"^NC_012920\.\d+$"), "chrM").otherwise(contig))
+
+
+def import_dbsnp(spark, path):
+    return import_vcf(spark, path, "dbsnp").withColumn("chromosome", chromosome_name(F.col("chromosome")))
+
+
 def import_gnomad_joint(spark, path): return import_vcf(spark, path, "gnomad_joint")
 def import_gnomad_cnv(spark, path): return import_vcf(spark, path, "gnomad_cnv")
 def import_gnomad_sv(spark, path): return import_vcf(spark, path, "gnomad_sv")
@@ -156,7 +175,7 @@ def import_spliceai(spark: SparkSession, path: str) -> DataFrame:
     v = import_vcf(spark, path, "spliceai")
     ann = v.select(*VARIANT_KEY, F.explode(F.split("spliceai", ",")).alias("_a"))
     parts = F.split("_a", r"\|")
-    cols = [parts.getItem(i).alias(n) if i < 2 else parts.getItem(i).cast("double").alias(n)
+    cols = [F.get(parts, F.lit(i)).alias(n) if i < 2 else F.get(parts, F.lit(i)).try_cast("double").alias(n)
             for i, n in enumerate(SPLICEAI_FIELDS)]
     return ann.select(*VARIANT_KEY, *cols).where(F.col("allele") == F.col("alternate"))
 

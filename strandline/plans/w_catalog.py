@@ -234,19 +234,82 @@ def latest_status(v):
                     .alias("status"))
 
 
+# Listings of the landing and exchange areas: the status markers of object_keys with the markers beside them, some
+# absent, and copies of the pipeline's files below an environment. A marker's content is that of its newest listing row.
+_MARKS = "starts_with(object_key, 'raw/landing/franklin/') AND ends_with(object_key, '/_FRANKLIN_STATUS_.txt')"
+_PIPED = "starts_with(object_key, 'post_processing/output/ensemblvep/')"
+_SRA = "regexp_extract(object_key, '(SRA[0-9]+)', 1)"
+_TASK = f"'raw/landing/phenovar/analysis_id=' || {_SRA}"
+_LANDING = [
+    ("object_key", _MARKS),
+    ("replace(object_key, '_FRANKLIN_STATUS_', '_FRANKLIN_ID_')", f"{_MARKS} AND object_id % 2 = 0"),
+    (f"'raw/landing/franklin/analysis_id=' || {_SRA} || '/_FRANKLIN_IDS_.txt'", f"{_MARKS} AND object_id % 7 < 5"),
+    (f"{_TASK} || '/_PHENOVAR_STATUS_.txt'", f"{_MARKS} AND object_id % 7 < 5"),
+    (f"{_TASK} || '/_PHENOVAR_TASK_ID_.txt'", f"{_MARKS} AND object_id % 7 < 4"),
+    (f"{_TASK} || '/phenovar_result.json'", f"{_MARKS} AND object_id % 7 < 2"),
+    ("object_key", _PIPED),
+]
+_EXCHANGE = [
+    (f"'prod/' || {_SRA} || '/' || regexp_extract(object_key, '([^/]*)$', 1)", _PIPED),
+    (f"'prod/' || {_SRA} || '/report.json'", _PIPED),
+    (f"'test/' || {_SRA} || '/' || regexp_extract(object_key, '([^/]*)$', 1)", f"{_PIPED} AND object_id % 2 = 0"),
+]
+_IMPORT = [
+    (f"{_SRA} || '/' || CAST(object_id AS STRING) || '.vcf'", f"{_PIPED} AND object_id % 2 = 0"),
+    (f"{_SRA} || '/' || CAST(object_id AS STRING) || '.vcf.gz'", f"{_PIPED} AND object_id % 4 = 1"),
+    (f"{_SRA} || '/' || CAST(object_id AS STRING) || '.vcf.gz.tbi'", f"{_PIPED} AND object_id % 4 = 3"),
+]
+_READY = "CASE WHEN CAST(floor(object_id / 3) AS BIGINT) % 8 = 0 THEN 'READY' ELSE 'COMPLETED' END"
+
+
+def _listing(v, parts):
+    cases = [f"CASE WHEN {where} THEN {key} END".replace("starts_with", "startswith").replace("ends_with", "endswith")
+             for key, where in parts]
+    return v.object_keys.select(F.explode(F.expr(f"array_compact(array({', '.join(cases)}))")).alias("object_key"))
+
+
+def _listing_sql(parts):
+    return " UNION ALL ".join(f"SELECT {key} AS object_key FROM object_keys WHERE {where}" for key, where in parts)
+
+
 @witness("cat_cleanup_plan", f"""
-WITH {STATUS_LATEST}, {PIPE},
-mk AS (SELECT object_key, {param('analysis_id')} AS analysis_id FROM object_keys
-       WHERE starts_with(object_key, 'raw/landing/franklin/') AND ends_with(object_key, '/_FRANKLIN_STATUS_.txt')),
-m AS (SELECT mk.object_key, mk.analysis_id, coalesce(st.status = 'COMPLETED', false) AS done FROM mk LEFT JOIN st USING (analysis_id)),
-ad AS (SELECT analysis_id FROM m GROUP BY analysis_id HAVING bool_and(done))
-SELECT object_key, 'completed_status' AS reason FROM m WHERE done
-UNION SELECT regexp_replace(object_key, '_FRANKLIN_STATUS_\\.txt$', '_FRANKLIN_ID_.txt'), 'completed_id' FROM m WHERE done
-UNION SELECT 'raw/landing/franklin/analysis_id=' || analysis_id || '/_FRANKLIN_IDS_.txt', 'shared_marker' FROM ad
-UNION SELECT object_key, 'exchange_vcf' FROM pipe WHERE prefix IN (SELECT analysis_id FROM ad)
+WITH lk AS ({_listing_sql(_LANDING)}), ex AS ({_listing_sql(_EXCHANGE)}),
+st AS (SELECT object_key, regexp_extract(object_key, 'analysis_id=([^/=]*)', 1) AS analysis_id,
+              arg_max({_READY}, object_id) AS status FROM object_keys WHERE {_MARKS} GROUP BY ALL),
+opened AS (SELECT DISTINCT analysis_id FROM st WHERE status <> 'COMPLETED')
+SELECT object_key, 'completed_status' AS reason FROM st WHERE status = 'COMPLETED'
+UNION SELECT lk.object_key, 'completed_id' FROM lk JOIN st
+      ON lk.object_key = replace(st.object_key, '_FRANKLIN_STATUS_.txt', '_FRANKLIN_ID_.txt') WHERE status = 'COMPLETED'
+UNION SELECT object_key, 'shared_marker' FROM lk WHERE ends_with(object_key, '/_FRANKLIN_IDS_.txt')
+      AND regexp_extract(object_key, 'analysis_id=([^/=]*)', 1) NOT IN (SELECT analysis_id FROM opened)
+UNION SELECT object_key, 'exchange_vcf' FROM ex WHERE starts_with(object_key, 'prod/')
+      AND ends_with(object_key, '.norm.VEP.vcf.gz') AND split_part(object_key, '/', 2) IN (SELECT analysis_id FROM st)
+      AND split_part(object_key, '/', 2) NOT IN (SELECT analysis_id FROM opened)
+""")
+def _(v):
+    marks = v.object_keys.where(F.col("object_key").startswith(cat.LANDING_ROOT)
+                                & F.col("object_key").endswith("/" + cat.STATUS_MARKER))
+    status = marks.groupBy("object_key").agg(F.expr(f"max_by({_READY}, object_id)").alias("status")).select(
+        cat.path_param(F.col("object_key"), "analysis_id").alias("analysis_id"),
+        cat.path_param(F.col("object_key"), "aliquot_id").alias("aliquot_id"), "status")
+    return cat.cleanup_plan(_listing(v, _LANDING), status, _listing(v, _EXCHANGE))
+
+
+@witness("cat_cleanup_tasks", f"""
+WITH lk AS ({_listing_sql(_LANDING)}), im AS ({_listing_sql(_IMPORT)}),
+st AS (SELECT analysis_id, status FROM status_events
+       QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts DESC, event_id DESC) = 1),
+dir AS (SELECT *, 'raw/landing/phenovar/analysis_id=' || analysis_id || '/' AS d FROM st),
+fin AS (SELECT d FROM dir WHERE d || '_PHENOVAR_STATUS_.txt' IN (SELECT object_key FROM lk)
+        AND (status = 'FAILURE' OR (status = 'SUCCESS' AND d || 'phenovar_result.json' IN (SELECT object_key FROM lk))))
+SELECT d || '_PHENOVAR_STATUS_.txt' AS object_key, 'finished_status' AS reason FROM fin
+UNION SELECT object_key, 'finished_task' FROM lk WHERE object_key IN (SELECT d || '_PHENOVAR_TASK_ID_.txt' FROM fin)
+UNION SELECT object_key, 'import_vcf' FROM im WHERE (ends_with(object_key, '.vcf') OR ends_with(object_key, '.vcf.gz'))
+      AND split_part(object_key, '/', 1) IN (SELECT analysis_id FROM st)
 """)
 def _(v):
-    return cat.cleanup_plan(v.object_keys, latest_status(v))
+    status = cat.latest_per_key(v.status_events, "analysis_id", [F.col("ts"), F.col("event_id")])
+    return cat.cleanup_tasks(_listing(v, _LANDING), status, _listing(v, _IMPORT))
 
 
 @witness("cat_not_done", f"""

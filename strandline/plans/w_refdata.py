@@ -157,22 +157,26 @@ def _(v):
 @witness("imp_vcf", f"""
 WITH c AS (SELECT {K}, count(*) AS c FROM occurrences WHERE alternate <> '*' GROUP BY {K})
 SELECT chromosome, CAST(start AS BIGINT) AS start, reference, alternate,
-       CAST(sum(c) OVER w AS BIGINT) AS dp, count(*) OVER w AS nalt
+       CAST(sum(c) OVER w AS BIGINT) AS dp, count(*) OVER w AS nalt, c AS ac, 2 * c AS ad
 FROM c WINDOW w AS (PARTITION BY chromosome, start, reference)
 """)
 def _(v):
     o = v.occurrences.where(F.col("alternate") != "*")
     per_alt = o.groupBy(*VK).agg(F.count("*").alias("c"))
     sites = per_alt.groupBy("chromosome", "start", "reference").agg(
-        F.array_join(F.sort_array(F.collect_list("alternate")), ",").alias("alternates"),
+        F.sort_array(F.collect_list(F.struct("alternate", "c"))).alias("alts"),
         F.sum("c").alias("dp"), F.count("*").alias("nalt"))
-    rec = sites.select("chromosome", "start", F.lit(None).cast("string").alias("id"), "reference", "alternates",
+    counts = F.transform("alts.c", lambda c: c.cast("string"))
+    doubled = F.transform("alts.c", lambda c: (c * 2).cast("string"))
+    rec = sites.select("chromosome", "start", F.lit(None).cast("string").alias("id"), "reference",
+                       F.array_join("alts.alternate", ",").alias("alternates"),
                        F.lit(None).cast("string").alias("qual"), F.lit("PASS").alias("filter"),
                        F.concat(F.lit("DP="), F.col("dp").cast("string"), F.lit(";NALT="),
-                                F.col("nalt").cast("string")).alias("info"))
+                                F.col("nalt").cast("string"), F.lit(";AC="), F.array_join(counts, ","),
+                                F.lit(";AD=0,"), F.array_join(doubled, ",")).alias("info"))
     path = scratch_dir(v.spark, "vcf")
     formats.write_vcf(rec, path)
-    return ref.import_vcf(v.spark, path, "sites").select(*VK, "dp", "nalt")
+    return ref.import_vcf(v.spark, path, "sites").select(*VK, "dp", "nalt", "ac", "ad")
 
 
 @witness("imp_tsv", """

@@ -20,21 +20,43 @@ HEADER_RENAMES = {"pos(1-based)": "position_1-based", "hg19_pos(1-based)": "hg19
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     """One row per (record, alternate allele): chromosome, start, id,
-    reference, alternate, qual, filters (array), info (map<string,string>)."""
+    reference, alternate, allele (position in ALT, from 0), qual, filters
+    (array), info (map<string,string> of the whole record; see
+    :func:`info_field` for the value of the row's own allele). Positions and
+    qualities that are no numbers are NULL."""
     lines = spark.read.text(path).where(~F.col("value").startswith("#"))
     f = F.split("value", "\t")
-    rec = lines.select(*[f.getItem(i).alias(c) for i, c in enumerate(VCF_COLUMNS)])
-    return rec.select(
-        "chromosome", F.col("start").cast("bigint").alias("start"), F.nullif("id", F.lit(".")).alias("id"),
-        "reference", F.explode(F.split("alternates", ",")).alias("alternate"),
-        F.nullif("qual", F.lit(".")).cast("double").alias("qual"),
+    rec = lines.select(*[F.get(f, F.lit(i)).alias(c) for i, c in enumerate(VCF_COLUMNS)])
+    return rec.select("*", F.posexplode(F.split("alternates", ",")).alias("allele", "alternate")).select(
+        "chromosome", F.col("start").try_cast("bigint").alias("start"), F.nullif("id", F.lit(".")).alias("id"),
+        "reference", "alternate", "allele", F.nullif("qual", F.lit(".")).try_cast("double").alias("qual"),
         F.split("filter", ";").alias("filters"),
         F.when(F.col("info") == ".", F.create_map()).otherwise(F.str_to_map("info", F.lit(";"), F.lit("=")))
         .alias("info"))
 
 
-def info_field(name: str, dtype: str = "string") -> Column:
-    return F.nullif(F.col("info")[name], F.lit(".")).cast(dtype)
+def info_text(name: str, number: str = "1") -> Column:
+    """INFO value as text. ``number``: ``1`` for one of the record, ``A`` for
+    one per alternate, ``R`` for one per allele with the reference first. NULL
+    if absent, ``.``, or without an entry for the row's allele."""
+    value = F.col("info")[name]
+    if number != "1":
+        value = F.get(F.split(value, ","), F.col("allele") + (1 if number == "R" else 0))
+    return F.nullif(value, F.lit("."))
+
+
+def info_field(name: str, dtype: str = "string", number: str = "1") -> Column:
+    """:func:`info_text` as ``dtype``; NULL where the text is none (listed by :func:`info_rejects`)."""
+    return info_text(name, number).try_cast(dtype)
+
+
+def info_rejects(records: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """(chromosome, start, reference, alternate, field, value) of INFO values that their type does not take."""
+    bad = F.array(*[F.struct(F.lit(k).alias("field"), info_text(k, n).alias("value"),
+                             info_field(k, t, n).isNull().alias("null")) for k, _, t, n in specs])
+    return records.select("chromosome", "start", "reference", "alternate", F.explode(bad).alias("b")) \
+        .where("b.value IS NOT NULL AND b.null").select(
+        "chromosome", "start", "reference", "alternate", "b.field", "b.value")
 
 
 def write_vcf(df: DataFrame, path: str, header: Sequence[str] = ("##fileformat=VCFv4.2",)) -> str:

@@ -42,3 +42,31 @@ def test_import_human_genes_and_hpo(spark):
                              "1\tA1BG\tHP:1\tx\t-\tOMIM:1\n")
     r = ref.import_hpo_genes(spark, h).first()
     assert r.hpo_id == "HP:1" and r.frequency is None
+
+
+def test_vcf_values_of_each_allele(spark):
+    d = scratch_dir(spark, "alleles")
+    p = _write(d, "a.vcf", "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n"
+                           "chr1\t10\t.\tA\tC,G\t.\tPASS\tAC=3,5;AF=0.1,0.2;AN=8\n"
+                           "chr1\t20\t.\tA\tC,G\tx\tPASS\tAC=7;AF=.,0.5;AN=many\n"
+                           "chr1\t30\t.\tA\tT\t1.5\t.\t.\nshort\n")
+    rows = {(r.start, r.alternate): (r.ac, r.af, r.an) for r in ref.import_1000_genomes(spark, p).collect()}
+    assert rows == {(10, "C"): (3, 0.1, 8), (10, "G"): (5, 0.2, 8), (20, "C"): (7, None, None),
+                    (20, "G"): (None, 0.5, None), (30, "T"): (None, None, None)}
+    rejects = {(r.start, r.alternate, r.field, r.value) for r in ref.vcf_rejects(spark, p, "1000_genomes").collect()}
+    assert rejects == {(20, "C", "AN", "many"), (20, "G", "AN", "many")}
+
+
+def test_dbsnp_contigs(spark):
+    d = scratch_dir(spark, "dbsnp")
+    contigs = ["NC_000001.11", "NC_000023.11", "NC_000024.10", "NC_012920.1", "NT_187361.1", "NC_000025.1"]
+    p = _write(d, "a.vcf", "".join(f"{c}\t1\trs1\tA\tC\t.\t.\tRS=1\n" for c in contigs))
+    assert sorted(r.chromosome for r in ref.import_dbsnp(spark, p).collect()) == [
+        "NC_000025.1", "NT_187361.1", "chr1", "chrM", "chrX", "chrY"]
+
+
+def test_spliceai_missing_scores(spark):
+    d = scratch_dir(spark, "spliceai")
+    p = _write(d, "a.vcf", "1\t1\t.\tA\tC\t.\t.\tSpliceAI=C|G1|.|0.5|0.1|0.2,C|G2\n")
+    rows = {r.symbol: (r.ds_ag, r.ds_al) for r in ref.import_spliceai(spark, p).collect()}
+    assert rows == {"G1": (None, 0.5), "G2": (None, None)}
