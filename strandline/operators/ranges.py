@@ -1,13 +1,16 @@
 """Interval overlap joins and connected components, as DataFrame plans.
 
 Overlap join: Catalyst would plan a theta join on ``a.start <= b.end AND
-b.start <= a.end`` as a nested loop. Instead both sides are exploded into the
-fixed-width genome bins they cover and equi-joined on (keys, bin); a pair is
+b.start <= a.end`` as a nested loop. Instead an interval belongs to the finest
+of a ladder of bin widths of which it spans at most SPAN, so it covers few bins
+of its level and of every coarser one, however long it is. A pair meets at the
+coarser of its two levels: one equi-join takes the pairs whose left side is at
+that level, a second the others (left out where one level holds all). A pair is
 kept only in the bin holding ``max(a.start, b.start)``, which both intervals
-cover, so each overlapping pair appears exactly once without a global
-distinct. The bin width defaults to the 95th percentile of interval length of
-the right side (one approximate aggregate), so an interval spans about two
-bins.
+cover, so each overlapping pair appears exactly once without a global distinct.
+The finest width defaults to the 95th percentile of interval length of the
+right side; the ladder ends where it holds the longest interval of both (one
+small aggregate a side; none if the caller gives the finest width).
 
 Connected components: alternating large-star / small-star rounds; each round
 is a few joins + min-aggregates, and lineage is cut with a reliable checkpoint
@@ -24,17 +27,40 @@ from pyspark.sql import functions as F
 from strandline.session import cut_lineage
 
 
-def default_bin_size(df: DataFrame, start: str = "start", end: str = "end", floor: int = 1) -> int:
-    """95th percentile of interval length (approximate, one pass)."""
-    row = df.agg(F.percentile_approx(F.col(end) - F.col(start) + 1, 0.95).alias("p")).first()
-    p = row["p"] if row and row["p"] is not None else floor
-    return max(int(p), floor)
+#: An interval spans at most SPAN widths of its level; widths grow by LEVEL_FACTOR; without statistics the ladder has
+#: LEVELS and a last one whose bins hold an interval of any length.
+SPAN, LEVEL_FACTOR, LEVELS, TOP_WIDTH = 4, 8, 10, 1 << 62
 
 
-def _binned(df: DataFrame, start: str, end: str, bin_size: int, tag: str) -> DataFrame:
-    first = F.floor(F.col(start) / bin_size).cast("bigint")
-    last = F.floor(F.col(end) / bin_size).cast("bigint")
-    return df.withColumn(f"_bin{tag}", F.explode(F.sequence(first, last)))
+def _length(start: str, end: str) -> Column:
+    return F.abs(F.col(end).cast("bigint") - F.col(start).cast("bigint")) + 1
+
+
+def _ladder(left_length: tuple[DataFrame, Column], right_length: tuple[DataFrame, Column]) -> list[int]:
+    """Widths from the 95th percentile of the right side up to one that holds the longest interval."""
+    (left, ll), (right, rl) = left_length, right_length
+    r = right.agg(F.percentile_approx(rl, 0.95).alias("p"), F.max(rl).alias("m")).first()
+    longest = max(left.agg(F.max(ll).alias("m")).first()["m"] or 1, r["m"] or 1)
+    widths = [max(int(r["p"] or 1), 1)]
+    while widths[-1] * SPAN < longest:
+        widths.append(min(widths[-1] * LEVEL_FACTOR, TOP_WIDTH))
+    return widths
+
+
+def _binned(df: DataFrame, start: str, end: str, widths: Sequence[int], tag: str, own: bool, above: bool) -> DataFrame:
+    """``df`` per bin (columns ``_level<tag>``, left out if there is one, and ``_bin<tag>``) of its own level and / or of the levels above it."""
+    length = _length(start, end)
+    covered = [F.sequence(*[F.floor(F.col(x).cast("bigint") / w).cast("bigint") for x in (start, end)]) for w in widths]
+    if len(widths) == 1:
+        return df.withColumn(f"_bin{tag}", F.explode(covered[0]))
+    levels = []
+    for i, w in enumerate(widths):
+        at_or_below = length.isNotNull() if i == len(widths) - 1 else length <= w * SPAN
+        below = length <= widths[i - 1] * SPAN if i else F.lit(False)
+        wanted = below if above and not own else at_or_below if above else at_or_below & ~below
+        levels.append(F.when(wanted, F.struct(F.lit(i).alias("level"), covered[i].alias("bins"))))
+    return df.withColumn("_b", F.explode(F.array_compact(F.array(*levels)))).select(
+        *df.columns, F.col("_b.level").alias(f"_level{tag}"), F.explode("_b.bins").alias(f"_bin{tag}"))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
@@ -45,25 +71,39 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     """Pairs of rows whose closed intervals overlap and whose ``keys`` match.
 
     Columns of ``right`` must not clash with ``left`` (rename first). ``extra``
-    is an optional residual predicate over both sides. ``how`` may be
-    ``inner`` or ``left`` (left rows without a partner are kept once).
+    is an optional residual predicate over both sides. ``bin_size`` is the
+    finest bin width (near the usual interval length; any value gives the same
+    pairs).
+    ``how`` may be ``inner`` or ``left`` (left rows without a partner are kept
+    once). Intervals with a NULL bound overlap nothing.
     """
     if bin_size is None:
-        bin_size = default_bin_size(right, right_start, right_end)
-    lb = _binned(left, left_start, left_end, bin_size, "_l")
-    rb = _binned(right, right_start, right_end, bin_size, "_r")
+        widths = _ladder((left, _length(left_start, left_end)), (right, _length(right_start, right_end)))
+    else:
+        widths = [bin_size * LEVEL_FACTOR ** i for i in range(LEVELS)] + [TOP_WIDTH]
     rk = {k: f"_rk_{k}" for k in keys}
-    rb = rb.select(*[F.col(c).alias(rk[c]) if c in rk else F.col(c) for c in rb.columns])
-    cond = [F.col(k) == F.col(rk[k]) for k in keys] + [F.col("_bin_l") == F.col("_bin_r")]
+    renamed = right.select(*[F.col(c).alias(rk[c]) if c in rk else F.col(c) for c in right.columns])
     overlap = (F.col(left_start) <= F.col(right_end)) & (F.col(right_start) <= F.col(left_end))
-    home = F.floor(F.greatest(F.col(left_start), F.col(right_start)) / bin_size).cast("bigint") == F.col("_bin_l")
-    pred = overlap & home
+    width = F.lit(widths[0]).cast("bigint")
+    for i, w in enumerate(widths[1:], 1):
+        width = F.when(F.col("_level_l") == i, F.lit(w).cast("bigint")).otherwise(width)
+    home = F.floor(F.greatest(F.col(left_start), F.col(right_start)).cast("bigint") / width).cast("bigint") \
+        == F.col("_bin_l")
+    cond = (F.col("_bin_l") == F.col("_bin_r")) & overlap & home
+    if len(widths) > 1:
+        cond = (F.col("_level_l") == F.col("_level_r")) & cond
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(rk[k]))
     if extra is not None:
-        pred = pred & extra
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    pairs = lb.join(rb, cond_all & pred, "inner").drop("_bin_l", "_bin_r", *rk.values())
+        cond = cond & extra
+
+    def met(left_below: bool) -> DataFrame:
+        lb = _binned(left, left_start, left_end, widths, "_l", own=not left_below, above=left_below)
+        rb = _binned(renamed, right_start, right_end, widths, "_r", own=True, above=not left_below)
+        return lb.join(rb, cond, "inner").drop("_level_l", "_bin_l", "_level_r", "_bin_r", *rk.values())
+
+    # left at the pair's level, right at or below it; then right at the level, left below it
+    pairs = met(False) if len(widths) == 1 else met(False).unionByName(met(True))
     if how == "inner":
         return pairs
     if how == "left":

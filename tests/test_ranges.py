@@ -21,6 +21,31 @@ def test_overlap_join_matches_brute_force(spark):
     assert got == want
 
 
+def test_overlap_join_of_any_length(spark):
+    rnd = random.Random(11)
+    lengths = [0, 1, 30, 900, 1023, 1024, 8192, 70000, 10 ** 6, 10 ** 8, 10 ** 10]
+    left = [(i, "c", s, s + rnd.choice(lengths)) for i, s in ((i, rnd.randint(-5000, 200000)) for i in range(150))]
+    right = [(j, "c", s, s + rnd.choice(lengths)) for j, s in ((j, rnd.randint(-5000, 200000)) for j in range(150))]
+    l = spark.createDataFrame([*left, (998, "c", None, 5), (999, None, 1, 5)], "lid int, chromosome string, start long, end long")
+    r = spark.createDataFrame([*right, (998, "c", 5, None)], "rid int, chromosome string, r_start long, r_end long")
+    want = {(a[0], b[0]) for a in left for b in right if a[2] <= b[3] and b[2] <= a[3]}
+    short = spark.createDataFrame([(j, "c", s, s + 20) for j, _, s, _ in right], r.schema)
+    for bin_size, other in ((16, r), (None, r), (None, short)):
+        rows = [(x.lid, x.rid) for x in ranges.overlap_join(l, other, ["chromosome"], right_start="r_start",
+                                                            right_end="r_end", bin_size=bin_size).collect()]
+        assert len(rows) == len(set(rows))
+        assert set(rows) == (want if other is r else
+                             {(a[0], b[0]) for a in left for b in right if a[2] <= b[2] + 20 and b[2] <= a[3]})
+
+
+def test_a_long_interval_takes_few_bins(spark):
+    df = spark.createDataFrame([(0, 10 ** 8)], "start long, end long")
+    short = spark.createDataFrame([(i, i + 500) for i in range(100)], "start long, end long")
+    length = ranges._length("start", "end")
+    widths = ranges._ladder((df, length), (short, length))
+    assert ranges._binned(df, "start", "end", widths, "_l", own=True, above=True).count() <= ranges.SPAN + 1
+
+
 def test_connected_components_matches_union_find(spark):
     rnd = random.Random(3)
     n = 400
