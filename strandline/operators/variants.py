@@ -355,35 +355,54 @@ def enrich_coverage(coverage: DataFrame, genes: DataFrame) -> DataFrame:
     return agg.join(genes.select("symbol", "chromosome", "start", "end"), "symbol")
 
 
-def _parts(df: DataFrame, key: Sequence[str], part_size: int) -> DataFrame:
-    """Salt rows of each key into ceil(n / part_size) parts by a stable hash."""
-    counts = df.groupBy(*key).agg(F.count("*").alias("_n"))
-    j = df.join(counts, list(key))
-    n_parts = F.ceil(F.col("_n") / part_size)
-    return j.withColumn("part", F.pmod(F.xxhash64(*[F.col(c) for c in j.columns if c not in ("_n",)]),
-                                       n_parts).cast("int")).drop("_n")
-
-
-def variant_centric(occ: DataFrame, clinical: DataFrame, freqs: DataFrame, part_size: int = 1000) -> DataFrame:
-    """Variant documents: key, overall frequency, donors (split into parts)."""
-    donors = enrich_snv(occ, clinical).select(*VARIANT_KEY, "sequencing_id", "analysis_id", "zygosity", "gq")
-    d = _parts(donors, VARIANT_KEY, part_size)
-    docs = d.groupBy(*VARIANT_KEY, "part").agg(F.collect_list(F.struct("sequencing_id", "analysis_id", "zygosity",
-                                                                       "gq")).alias("donors"))
-    overall = freqs.where(F.col("analysis_code") == ALL_CODES).select(
-        *VARIANT_KEY, F.struct("ac", "an", "af", "pc", "pn", "pf", "hom").alias("frequency_RQDM"))
-    return docs.join(overall, VARIANT_KEY, "left")
+def variant_donors(snv: DataFrame) -> DataFrame:
+    """Child table of the variant documents: enriched occurrences (``enrich_snv``), one row per variant and sequencing."""
+    return snv.select(*VARIANT_KEY, "sequencing_id", "analysis_id", "batch_id", "bioinfo_analysis_code", "is_proband",
+                      "gender", "affected_status", "zygosity", "gq", "ad_alt", "filters")
+
+
+def variant_centric(donors: DataFrame, freqs: DataFrame, tumor: DataFrame | None = None,
+                    consequences: DataFrame | None = None, blocks: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Variant documents, one row per variant with a donor.
+
+    ``n_donors``; ``frequency_RQDM`` and ``frequencies_by_analysis`` (one element per analysis code) from ``freqs``;
+    ``freq_rqdm_tumor_only`` and ``freq_rqdm_tumor_normal`` from ``tumor``; ``consequences`` (one element per
+    transcript at the place); and a struct per table of ``blocks`` (clinvar, cmc, external_frequencies,
+    exomiser_max, franklin_max ...), each with one row per variant key. Blocks without a row are NULL."""
+    docs = donors.groupBy(*VARIANT_KEY).agg(F.count(F.lit(1)).alias("n_donors"))
+    fields = ["ac", "an", "af", "pc", "pn", "pf", "hom"]
+    overall = F.col("analysis_code") == ALL_CODES
+    docs = docs.join(freqs.groupBy(*VARIANT_KEY).agg(
+        F.max(F.when(overall, F.struct(*fields))).alias("frequency_RQDM"),
+        F.sort_array(F.collect_list(F.when(~overall, F.struct("analysis_code", *fields)))).alias(
+            "frequencies_by_analysis")), VARIANT_KEY, "left")
+    if tumor is not None:
+        docs = docs.join(tumor.select(*VARIANT_KEY, F.struct("to_pc", "to_pn", "to_pf").alias("freq_rqdm_tumor_only"),
+                                      F.struct("tn_pc", "tn_pn", "tn_pf").alias("freq_rqdm_tumor_normal")),
+                         VARIANT_KEY, "left")
+    if consequences is not None:
+        rest = [c for c in consequences.columns if c not in VARIANT_KEY]
+        docs = docs.join(consequences.groupBy(*VARIANT_KEY).agg(
+            F.sort_array(F.collect_list(F.struct(*rest))).alias("consequences")), VARIANT_KEY, "left")
+    for name, table in (blocks or {}).items():
+        rest = [c for c in table.columns if c not in VARIANT_KEY]
+        docs = docs.join(table.select(*VARIANT_KEY, F.struct(*rest).alias(name)), VARIANT_KEY, "left")
+    return docs
 
 
 def cnv_centric(enriched_cnv: DataFrame) -> DataFrame:
     return enriched_cnv.select("cnv_id", F.struct(*[c for c in enriched_cnv.columns if c != "cnv_id"]).alias("doc"))
 
 
-def gene_centric(genes: DataFrame, consequences: DataFrame, part_size: int = 1000) -> DataFrame:
-    """Gene documents with their variants (split into parts)."""
-    v = _parts(consequences.select("symbol", *VARIANT_KEY, "consequence"), ["symbol"], part_size)
-    docs = v.groupBy("symbol", "part").agg(F.collect_list(F.struct(*VARIANT_KEY, "consequence")).alias("variants"))
-    return genes.join(docs, "symbol", "left")
+def gene_variants(consequences: DataFrame) -> DataFrame:
+    """Child table of the gene documents: one row per gene, variant and transcript."""
+    return consequences.select("symbol", *VARIANT_KEY, "transcript", "consequence")
+
+
+def gene_centric(genes: DataFrame, variants: DataFrame) -> DataFrame:
+    """Gene documents, one row per gene, with the number of rows of its child table (``gene_variants``)."""
+    n = variants.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_variants"))
+    return genes.join(n, "symbol", "left").withColumn("n_variants", F.coalesce("n_variants", F.lit(0)))
 
 
 def coverage_by_gene_centric(coverage: DataFrame, genes: DataFrame) -> DataFrame:

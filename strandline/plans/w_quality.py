@@ -148,12 +148,11 @@ def _(v):
 
 
 @witness("qc_nested", f"""
-WITH {NORM} SELECT n.sequencing_id, c.analysis_id, n.zygosity, n.gq FROM n JOIN clinical c USING (sequencing_id)
+WITH {NORM}, {FREQ} SELECT analysis_code, ac, an, af, pc, pn, pf, hom FROM freq WHERE analysis_code <> 'all'
 """)
 def _(v):
-    freqs = var.frequencies(v.occurrences, v.clinical)
-    docs = var.variant_centric(v.occurrences, v.clinical, freqs)
-    return qa.nested(docs, "donors")
+    donors = var.variant_donors(var.enrich_snv(v.occurrences, v.clinical))
+    return qa.nested(var.variant_centric(donors, var.frequencies(v.occurrences, v.clinical)), "frequencies_by_analysis")
 
 
 @witness("qc_dictionary", f"""

@@ -226,7 +226,7 @@ def _pv(v, shift: int):
                     (F.col("p_partkey") * 10).alias("start"),
                     F.expr("substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1)").alias("reference"),
                     F.expr(f"substr('ACGT', CAST((p_partkey + {shift}) % 4 + 1 AS INT), 1)").alias("alternate"),
-                    "p_size", "p_retailprice", "p_type")
+                    "p_size", "p_retailprice", "p_type", "p_brand")
 
 
 def _sources(v):
@@ -325,15 +325,74 @@ def _(v):
     return e.select("cnv_id", "n_genes", "cluster_id", "max_cluster_pf", "origin")
 
 
+TUMOR = (f"tq AS (SELECT n.*, c.bioinfo_analysis_code AS code FROM n JOIN clinical c USING (sequencing_id) WHERE {QUAL}), "
+         f"tagg AS (SELECT {K}, count(DISTINCT CASE WHEN code = 'TEBA' THEN sequencing_id END) AS to_pc, "
+         f"count(DISTINCT CASE WHEN code = 'TNEBA' THEN sequencing_id END) AS tn_pc FROM tq GROUP BY {K}), "
+         "ts AS (SELECT count(DISTINCT CASE WHEN bioinfo_analysis_code = 'TEBA' THEN sequencing_id END) AS to_pn, "
+         "count(DISTINCT CASE WHEN bioinfo_analysis_code = 'TNEBA' THEN sequencing_id END) AS tn_pn FROM clinical), "
+         f"tf AS (SELECT {K}, to_pc, to_pn, to_pc / nullif(to_pn, 0) AS to_pf, tn_pc, tn_pn, tn_pc / nullif(tn_pn, 0) AS tn_pf "
+         "FROM tagg, ts WHERE to_pc > 0 OR tn_pc > 0)")
+BLOCKS = (f"cm AS (SELECT {_PV} substr('ACGT', CAST((p_partkey + 3) % 4 + 1 AS INT), 1) AS alternate, "
+          "p_size AS mutation_count, p_brand AS tier FROM part WHERE p_size % 3 = 0), "
+          f"fk AS (SELECT {K}, max(CAST(ad_alt AS DOUBLE) / 7) AS score FROM occurrences WHERE alternate <> '*' GROUP BY {K})")
+
+
+def document_parts(v, snv=None):
+    """The tables that variant documents are made of: donors, frequencies, tumor frequencies, consequences, blocks."""
+    gene_scores = v.part.select(F.concat(F.lit("GENE"), F.col("p_partkey").cast("string")).alias("symbol"),
+                                (F.col("p_retailprice") / 100).alias("cadd"))
+    cosmic = _pv(v, 3).where(F.col("p_size") % 3 == 0).select(*var.VARIANT_KEY, F.col("p_size").alias("mutation_count"),
+                                                              F.col("p_brand").alias("tier"))
+    franklin = v.occurrences.where("alternate <> '*'").groupBy(*var.VARIANT_KEY).agg(
+        F.max(F.col("ad_alt").cast("double") / 7).alias("score"))
+    variants = _variants(v)
+    external = var.external_frequencies(variants, _sources(v)).select(
+        *var.VARIANT_KEY, F.col("gnomad.af").alias("gnomad_af"), F.col("topmed.af").alias("topmed_af"))
+    snv = var.enrich_snv(v.occurrences, v.clinical) if snv is None else snv
+    return {"donors": var.variant_donors(snv), "freqs": _freq(v),
+            "tumor": var.tumor_frequencies(v.occurrences, v.clinical),
+            "consequences": var.enrich_consequences(_cons(v), gene_scores),
+            "blocks": {"clinvar": _clinvar(v), "cmc": cosmic, "external_frequencies": external,
+                       "exomiser_max": var.max_score(_scores(v)), "franklin_max": franklin}}
+
+
+PICKED = (f"pk AS (SELECT {K}, symbol, transcript, consequence, CAST(substr(symbol, 5) AS BIGINT) AS pkey, "
+          f"row_number() OVER (PARTITION BY {K} ORDER BY CASE consequence WHEN 'missense_variant' THEN 1 "
+          "WHEN 'synonymous_variant' THEN 2 WHEN 'intron_variant' THEN 3 END NULLS LAST, symbol, transcript) = 1 AS picked "
+          "FROM cons)")
+
+
 @witness("var_centric_variant", f"""
-WITH {NORM}, {FREQ},
-d AS (SELECT {K}, count(*) AS n_donors FROM n JOIN clinical USING (sequencing_id) GROUP BY {K})
-SELECT d.*, f.pc FROM d LEFT JOIN (SELECT * FROM freq WHERE analysis_code = 'all') f USING ({K})
+WITH {NORM}, {FREQ}, {TUMOR}, {DV}, {GENE_PAIRS}, {CONS}, {EXT}, {SCORES}, {BLOCKS}, {PICKED},
+d AS (SELECT {K}, count(*) AS n_donors FROM n JOIN clinical USING (sequencing_id) GROUP BY {K}),
+fc AS (SELECT {K}, string_agg(analysis_code || ':' || CAST(ac AS VARCHAR) || ':' || CAST(pc AS VARCHAR) || ':'
+       || CAST(pn AS VARCHAR) || ':' || CAST(hom AS VARCHAR), ',' ORDER BY analysis_code) AS by_analysis
+       FROM freq WHERE analysis_code <> 'all' GROUP BY {K}),
+cc AS (SELECT {K}, count(*) AS n_consequences, string_agg(symbol || '/' || transcript || '/' || consequence, ','
+       ORDER BY symbol, transcript) AS consequences, max(CASE WHEN picked THEN symbol END) AS picked,
+       sum(ps.p_retailprice / 100) AS sum_cadd FROM pk LEFT JOIN part ps ON pk.pkey = ps.p_partkey GROUP BY {K})
+SELECT d.*, f.ac, f.an, f.af, f.pc, f.pn, f.pf, f.hom, fc.by_analysis, tf.to_pc, tf.to_pn, tf.to_pf, tf.tn_pc, tf.tn_pn,
+       tf.tn_pf, cc.n_consequences, cc.consequences, cc.picked, cc.sum_cadd, cv.clin_sig, cm.mutation_count, cm.tier,
+       gn.af AS gnomad_af, tm.af AS topmed_af, ms.max_score, ms.max_sequencing_id, fk.score AS franklin_score
+FROM d LEFT JOIN (SELECT * FROM freq WHERE analysis_code = 'all') f USING ({K}) LEFT JOIN fc USING ({K})
+LEFT JOIN tf USING ({K}) LEFT JOIN cc USING ({K}) LEFT JOIN cv USING ({K}) LEFT JOIN cm USING ({K})
+LEFT JOIN gn USING ({K}) LEFT JOIN tm USING ({K}) LEFT JOIN ms USING ({K}) LEFT JOIN fk USING ({K})
 """)
 def _(v):
-    docs = var.variant_centric(v.occurrences, v.clinical, _freq(v))
-    return docs.groupBy(*var.VARIANT_KEY).agg(F.sum(F.size("donors")).cast("bigint").alias("n_donors"),
-                                              F.first("frequency_RQDM.pc").alias("pc"))
+    docs = var.variant_centric(**document_parts(v))
+    code = F.array_join(F.transform("frequencies_by_analysis", lambda x: F.concat_ws(
+        ":", x["analysis_code"], x["ac"].cast("string"), x["pc"].cast("string"), x["pn"].cast("string"),
+        x["hom"].cast("string"))), ",")
+    cons = F.array_join(F.transform("consequences", lambda x: F.concat_ws("/", x["symbol"], x["transcript"],
+                                                                           x["consequence"])), ",")
+    return docs.select(
+        *var.VARIANT_KEY, "n_donors", "frequency_RQDM.*", code.alias("by_analysis"), "freq_rqdm_tumor_only.*",
+        "freq_rqdm_tumor_normal.*", F.when(F.col("consequences").isNotNull(), F.size("consequences")).cast("bigint").alias("n_consequences"),
+        cons.alias("consequences"), F.filter("consequences", lambda x: x["picked"])[0]["symbol"].alias("picked"),
+        F.aggregate(F.transform("consequences", lambda x: x["cadd"]), F.lit(0.0), lambda a, x: a + x).alias("sum_cadd"),
+        "clinvar.clin_sig", "cmc.mutation_count", "cmc.tier", "external_frequencies.gnomad_af",
+        "external_frequencies.topmed_af", "exomiser_max.max_score", "exomiser_max.max_sequencing_id",
+        F.col("franklin_max.score").alias("franklin_score"))
 
 
 @witness("var_centric_cnv", f"""
@@ -351,13 +410,11 @@ def _(v):
 
 @witness("var_centric_gene", f"""
 WITH {DV}, {GENE_PAIRS}, {CONS}
-SELECT g.symbol, coalesce(c.n, 0) AS n_variants FROM genes g
+SELECT g.symbol, g.chromosome, g.start, g."end", g.panel, coalesce(c.n, 0) AS n_variants FROM genes g
 LEFT JOIN (SELECT symbol, count(*) AS n FROM cons GROUP BY symbol) c USING (symbol)
 """)
 def _(v):
-    docs = var.gene_centric(v.genes, _cons(v))
-    n = F.when(F.col("variants").isNull(), 0).otherwise(F.size("variants"))
-    return docs.groupBy("symbol").agg(F.sum(n).cast("bigint").alias("n_variants"))
+    return var.gene_centric(v.genes, var.gene_variants(_cons(v)))
 
 
 @witness("var_centric_coverage", f"""
