@@ -44,13 +44,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     Range-partition on the order keys, number rows inside each partition, then
     add the running count of all earlier partitions (one small row per
     partition). Callers must give a total order (unique keys) for stable ids.
-    The numbered partitions are checkpointed so both uses see the same rows.
+    The numbered partitions are written out so both uses see the same rows.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
     local = parted.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    # Materialise once (reliable checkpoint): the range bounds are sampled per
+    # Materialise once (a table in the shared folder): the range bounds are sampled per
     # evaluation, so counts and rows must come from the same partitioning.
     local = cut_lineage(local)
     counts = local.groupBy("_pid").agg(F.max("_lrn").alias("_cnt"))

@@ -107,6 +107,31 @@ def same_value(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     return _unpivot(agg, cols, "single").where("single").select("column_name")
 
 
+def other_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:
+    """Columns but those on the black list."""
+    return _profile_columns(df, None, exclude)
+
+
+def column_checks(df: DataFrame, checks: dict[str, tuple[str, Sequence[str]]]) -> DataFrame:
+    """(check_name, n_violations) of several column checks by one aggregate over the table: name -> (``no_null``,
+    ``only_null`` or ``same_value``, columns); n_violations counts columns, as the single checks do."""
+    used = list(dict.fromkeys(c for _, columns in checks.values() for c in columns))
+    at = {c: i for i, c in enumerate(used)}
+    valued = {c for kind, columns in checks.values() if kind == "same_value" for c in columns}
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c, i in at.items():
+        aggs.append(F.count(F.col(f"`{c}`")).alias(f"_n{i}"))
+        if c in valued:
+            v = _comparable(df, c)
+            aggs.append(F.coalesce(F.min(v) == F.max(v), F.lit(False)).alias(f"_s{i}"))
+    bad = {"no_null": lambda i: F.col(f"_n{i}") < F.col("_rows"), "only_null": lambda i: F.col(f"_n{i}") == 0,
+           "same_value": lambda i: F.col(f"_s{i}")}
+    rows = [F.struct(F.lit(name).alias("check_name"), sum((bad[kind](at[c]).cast("bigint") for c in columns),
+                                                          F.lit(0).cast("bigint")).alias("n_violations"))
+            for name, (kind, columns) in checks.items()]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def nested(df: DataFrame, path: str) -> DataFrame:
     """Position the checks inside a nested column: arrays are exploded, struct
     fields become top-level columns."""

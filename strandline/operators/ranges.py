@@ -12,17 +12,15 @@ The finest width defaults to the 95th percentile of interval length of the
 right side; the ladder ends where it holds the longest interval of both (one
 small aggregate a side; none if the caller gives the finest width).
 
-Connected components: each task first reduces its edges to stars (``forest``);
-then alternating large-star / small-star rounds; each round
-is a few joins + min-aggregates, and lineage is cut with a reliable checkpoint
-into the shared checkpoint folder so a lost executor replays one round, not all.
+Connected components: alternating large-star / small-star rounds; each round
+is a few joins + min-aggregates, and lineage is cut with a table in the shared
+checkpoint folder so a lost executor replays one round, not all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,46 +118,6 @@ def reciprocal_overlap(a_start: Column, a_end: Column, b_start: Column, b_end: C
     return F.least(ov / (a_end - a_start), ov / (b_end - b_start))
 
 
-#: Nodes whose parents a task of ``forest`` remembers; beyond it, its stars are given away and it starts anew.
-FOREST_NODES = 1 << 19
-
-
-def forest(edges: DataFrame, most: int = FOREST_NODES) -> DataFrame:
-    """Fewer edges (u, v) with the same components: each task joins the edges it reads and gives an edge from
-    every node to the smallest one it found. Map only; memory is bounded by ``most`` nodes a task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict = {}
-
-        def root(x):
-            up = parent.setdefault(x, x)
-            while up != x:
-                parent[x] = x = parent[up]
-                up = parent[x]
-            return x
-
-        def stars(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-            nodes = [x for x in parent if parent[x] != x]
-            for at in range(0, len(nodes), 1 << 15):
-                some = nodes[at:at + (1 << 15)]
-                yield pa.RecordBatch.from_arrays([pa.array(some, schema.types[0]), pa.array(map(root, some), schema.types[1])],
-                                                 schema=schema)
-
-        schema = None
-        for batch in batches:
-            schema = batch.schema
-            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, b = root(u), root(v)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-            if len(parent) >= most:
-                yield from stars(schema)
-                parent.clear()
-        if schema is not None:
-            yield from stars(schema)
-
-    return edges.mapInArrow(run, edges.schema)
-
-
 def _sym(e: DataFrame) -> DataFrame:
     """Both orientations of an undirected edge list (u, v), no self loops."""
     return e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v")
@@ -188,13 +146,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          nodes: DataFrame | None = None) -> DataFrame:
     """(node, component) where component is the smallest node id reachable.
 
-    Edges are first reduced within their tasks (``forest``), then alternating large-star / small-star rounds (Kiveris et al., "Connected
+    Alternating large-star / small-star rounds (Kiveris et al., "Connected
     Components in MapReduce and Beyond", SoCC 2014): O(log^2 n) rounds of
-    joins and min-aggregates, no per-node lists. Each round is checkpointed; the
+    joins and min-aggregates, no per-node lists. Each round is written to the shared folder; the
     rounds end when the edge count and an order-free hash sum stay the same.
     At the fix point every component is a star around its smallest node.
     """
-    e = forest(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v"))
+    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     e = cut_lineage(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     state = _edge_state(e)
     while state[0]:

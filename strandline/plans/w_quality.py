@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from strandline.operators import manifest as man
 from strandline.operators import quality as qa
+from strandline.operators import suites
 from strandline.operators import variants as var
 from strandline.plans.fixtures import nested_clinical
 from strandline.plans.registry import witness
-from strandline.plans.w_variants import CONS, COV, DV, FREQ, GENE_PAIRS, K, NORM, ORIGIN, QUAL, _pv
 from strandline.plans.w_manifest import fix
+from strandline.plans.w_variants import (BLOCKS, CLUSTERS, CNV_GENES, CONS, COV, DV, EXT, FREQ, GENE_PAIRS, K, KIND, NORM, ORIGIN,
+                                         PAIRS, PICKED, QUAL, SCORES, TUMOR, _clinvar, _cons, _coverage, _pv, _scores, _sources,
+                                         document_parts)
+from strandline.session import cut_lineage
 
 VK = var.VARIANT_KEY
 
@@ -165,112 +169,220 @@ def _(v):
     return qa.in_dictionary(var.normalize_snv(v.occurrences), {"zygosity": ["HET"], "filters": ["PASS"]})
 
 
-def _qa_checks(v):
-    o = v.occurrences
-    n = var.normalize_snv(o)
-    nv = var.normalize_variants(o, v.clinical)
-    cons = var.normalize_consequences(o, v.genes)
-    freq = var.frequencies(o, v.clinical).where(F.col("analysis_code") == "all")
-    cov = v.lineitem.select(F.concat(F.lit("GENE"), F.col("l_partkey").cast("string")).alias("symbol"),
-                            F.concat(F.lit("SRS"), F.lpad(F.col("l_suppkey").cast("string"), F.greatest(F.lit(7), F.length(F.col("l_suppkey").cast("string"))), F.lit("0"))).alias("sample_id"),
-                            F.col("l_quantity").cast("int").alias("depth"), F.col("l_orderkey").alias("order_key"),
-                            F.col("l_linenumber").alias("line_no"))
-    origin = var.parental_origin(v.cnvs, v.clinical)
-    C = qa.CRITICAL
-    return [
-        qa.Check("non_empty_tables", "all", C, lambda: qa.non_empty(
-            {"clinical": v.clinical, "occurrences": o, "cnvs": v.cnvs, "genes": v.genes})),
-        qa.Check("no_dup_clinical", "clinical", C, lambda: qa.no_duplicates(
-            v.clinical, ["analysis_id", "sequencing_id", "bioinfo_analysis_code"])),
-        qa.Check("no_dup_occurrences", "occurrences", C, lambda: qa.no_duplicates(o, [*VK, "sequencing_id"])),
-        qa.Check("no_dup_nor_snv", "normalized_snv", C, lambda: qa.no_duplicates(n, [*VK, "sequencing_id"])),
-        qa.Check("no_dup_nor_variants", "normalized_variants", C, lambda: qa.no_duplicates(nv, [*VK, "batch_id"])),
-        qa.Check("no_dup_nor_consequences", "normalized_consequences", C,
-                 lambda: qa.no_duplicates(cons, [*VK, "symbol", "transcript"])),
-        qa.Check("no_dup_cnv_centric", "cnv_centric", C, lambda: qa.no_duplicates(v.cnvs, ["cnv_id"])),
-        qa.Check("no_dup_coverage_by_gene", "coverage_by_gene", C,
-                 lambda: qa.no_duplicates(var.normalize_coverage(cov), ["symbol", "sample_id"])),
-        qa.Check("no_dup_parental_origin", "parental_origin", C,
-                 lambda: qa.no_duplicates(origin, ["cnv_id", "proband_seq"])),
-        qa.Check("same_list_nor_snv_nor_variants", "normalized_variants", C,
-                 lambda: qa.included_in(n, nv, VK, F.col("ad_alt") >= 3)),
-        qa.Check("same_list_variants_frequency", "variants", C,
-                 lambda: qa.same_set(var.distinct_variants(o), freq, VK)),
-    ]
+def _enriched(v, nor):
+    """Normalised occurrences with their clinical columns, written once."""
+    return cut_lineage(var.with_clinical(nor, v.clinical, ["analysis_id", "batch_id", "bioinfo_analysis_code", "is_proband",
+                                                           "gender", "affected_status"]))
+
+
+# Faults put into the tables, so that each check has something to find: rows that come twice, rows that are left out.
+TWICE = {"gnomad_joint": "start % 970 = 0", "clinical": "aliquot_id LIKE '%8'", "normalized_snv": "start % 970 = 0",
+         "normalized_snv_somatic": "start % 980 = 0", "normalized_consequences": "start % 960 = 0",
+         "normalized_variants": "start % 950 = 0", "snv": "start % 940 = 0", "snv_somatic": "start % 930 = 0",
+         "consequences": "start % 920 = 0", "variants": "start % 910 = 0", "variant_centric": "start % 890 = 0",
+         "cnv_centric": "cnv_id LIKE '%77'", "coverage_by_gene": "depth = 13",
+         "nextflow_svclustering_germline": "cluster_id LIKE '%7'", "nextflow_svclustering_somatic": "cluster_id LIKE '%1'",
+         "nextflow_svclustering_parental_origin": "cnv_id LIKE '%4'"}
+LEFT_OUT = {"normalized_variants": "start % 1130 = 0", "variants": "start % 1120 = 0", "variant_centric": "start % 1070 = 0",
+            "franklin": "start >= 0"}
+
+
+def _faulty(name, df):
+    kept = df.where(f"NOT ({LEFT_OUT[name]})") if name in LEFT_OUT else df
+    return kept.unionByName(df.where(TWICE[name])) if name in TWICE else kept
+
+
+def _faulty_sql(name, sql):
+    kept = f"SELECT * FROM ({sql}) WHERE NOT ({LEFT_OUT[name]})" if name in LEFT_OUT else sql
+    return f"t_{name} AS ({kept}" + (f" UNION ALL SELECT * FROM ({sql}) WHERE {TWICE[name]})" if name in TWICE else ")")
+
+
+MUST_HAVE_ROWS = ["clinical", "normalized_snv", "variants", "cnv_centric", "franklin"]
+
+
+def _qa_tables(v):
+    nor = cut_lineage(var.normalize_snv(v.occurrences))
+    snv = _enriched(v, nor)
+    germline = F.col("bioinfo_analysis_code") == "GEBA"
+    cons = cut_lineage(var.normalize_consequences(v.occurrences, v.genes))
+    variants = cut_lineage(var.enrich_variants(var.distinct_variants(v.occurrences), _sources(v), _clinvar(v), v.genes,
+                                               _scores(v)).select(*VK, "clin_sig", "n_genes", "max_score"))
+    docs = cut_lineage(var.variant_centric(var.variant_donors(snv), var.frequencies(nor, v.clinical)))
+    clusters = cut_lineage(var.cluster_frequencies(v.cnvs, var.sv_clusters(v.cnvs), v.clinical))
+    gene_scores = v.part.select(F.concat(F.lit("GENE"), F.col("p_partkey").cast("string")).alias("symbol"),
+                                (F.col("p_retailprice") / 100).alias("cadd"))
+    tables = {
+        "gnomad_joint": _sources(v)["gnomad"], "clinical": v.clinical,
+        "normalized_snv": snv.where(germline).select(*nor.columns),
+        "normalized_snv_somatic": snv.where(~germline).select(*nor.columns),
+        "normalized_consequences": cons, "normalized_variants": cut_lineage(var.normalize_variants(nor, v.clinical)),
+        "snv": snv.where(germline), "snv_somatic": snv.where(~germline),
+        "consequences": var.enrich_consequences(cons, gene_scores), "variants": variants, "variant_centric": docs,
+        "cnv_centric": var.cnv_centric(v.cnvs), "coverage_by_gene": var.normalize_coverage(_coverage(v)),
+        "nextflow_svclustering_germline": clusters.where("kind = 'germline'"),
+        "nextflow_svclustering_somatic": clusters.where("kind = 'somatic'"),
+        "nextflow_svclustering_parental_origin": var.parental_origin(v.cnvs, v.clinical).withColumnRenamed(
+            "proband_seq", "sequencing_id"),
+        "franklin": v.cnvs,
+    }
+    return {name: _faulty(name, df) for name, df in tables.items()}
+
+
+QA_SQL = {
+    "gnomad_joint": "SELECT * FROM gn", "clinical": "SELECT * FROM clinical",
+    "normalized_snv": "SELECT n.* FROM n JOIN clinical c USING (sequencing_id) WHERE c.bioinfo_analysis_code = 'GEBA'",
+    "normalized_snv_somatic": "SELECT n.* FROM n JOIN clinical c USING (sequencing_id) WHERE c.bioinfo_analysis_code <> 'GEBA'",
+    "normalized_consequences": "SELECT * FROM cons", "normalized_variants": f"SELECT DISTINCT {K}, batch_id FROM n JOIN clinical USING (sequencing_id)",
+    "snv": "SELECT n.*, c.analysis_id FROM n JOIN clinical c USING (sequencing_id) WHERE c.bioinfo_analysis_code = 'GEBA'",
+    "snv_somatic": "SELECT n.*, c.analysis_id FROM n JOIN clinical c USING (sequencing_id) WHERE c.bioinfo_analysis_code <> 'GEBA'",
+    "consequences": "SELECT * FROM cons", "variants": "SELECT * FROM v",
+    "variant_centric": f"SELECT DISTINCT {K} FROM n JOIN clinical USING (sequencing_id)",
+    "cnv_centric": "SELECT cnv_id FROM cnvs", "coverage_by_gene": "SELECT * FROM nc",
+    "nextflow_svclustering_germline": "SELECT * FROM cf WHERE kind = 'germline'",
+    "nextflow_svclustering_somatic": "SELECT * FROM cf WHERE kind = 'somatic'",
+    "nextflow_svclustering_parental_origin": "SELECT cnv_id, proband_seq AS sequencing_id FROM org", "franklin": "SELECT * FROM cnvs",
+}
+_SEQ, _CONS = f"{K}, sequencing_id", f"{K}, symbol, transcript"
+DUP_SQL = [("no_dup_gnomad_joint", "gnomad_joint", K), ("no_dup_clinical", "clinical", "analysis_id, sequencing_id, bioinfo_analysis_code"),
+           ("no_dup_nor_snv", "normalized_snv", _SEQ), ("no_dup_nor_snv_somatic", "normalized_snv_somatic", _SEQ),
+           ("no_dup_nor_consequences", "normalized_consequences", _CONS),
+           ("no_dup_nor_variants", "normalized_variants", f"{K}, batch_id"), ("no_dup_snv", "snv", _SEQ),
+           ("no_dup_snv_somatic", "snv_somatic", _SEQ), ("no_dup_consequences", "consequences", _CONS),
+           ("no_dup_variants", "variants", K), ("no_dup_variant_centric", "variant_centric", K),
+           ("no_dup_cnv_centric", "cnv_centric", "cnv_id"), ("no_dup_coverage_by_gene", "coverage_by_gene", "symbol, sample_id"),
+           ("no_dup_nextflow_svclustering_germline", "nextflow_svclustering_germline", "cluster_id"),
+           ("no_dup_nextflow_svclustering_somatic", "nextflow_svclustering_somatic", "cluster_id"),
+           ("no_dup_nextflow_svclustering_parental_origin", "nextflow_svclustering_parental_origin", "cnv_id, sequencing_id")]
+INCLUDED_SQL = [("same_list_nor_snv_nor_variants", "normalized_snv", "normalized_variants"),
+                ("same_list_nor_snv_somatic_nor_variants", "normalized_snv_somatic", "normalized_variants"),
+                ("same_list_snv_variants", "snv", "variants"), ("same_list_snv_somatic_variants", "snv_somatic", "variants")]
+
+
+def _missing(left, right, where="true"):
+    return (f"(SELECT count(*) FROM (SELECT DISTINCT {K} FROM t_{left} WHERE {where} "
+            f"EXCEPT SELECT {K} FROM t_{right}))")
+
+
+QA_ROWS = (
+    ["SELECT 'non_empty_tables' AS check_name, 'all' AS table_name, " + " + ".join(
+        f"(SELECT CAST(count(*) = 0 AS INT) FROM t_{t})" for t in MUST_HAVE_ROWS) + " AS n_violations"]
+    + [f"SELECT '{c}', '{t}', (SELECT count(*) FROM (SELECT 1 FROM t_{t} GROUP BY {key} HAVING count(*) > 1))" for c, t, key in DUP_SQL]
+    + [f"SELECT '{c}', '{r}', {_missing(l, r, 'ad_alt >= 3')}" for c, l, r in INCLUDED_SQL]
+    + ["SELECT 'same_list_variants_variant_centric', 'variant_centric', "
+       f"{_missing('variants', 'variant_centric')} + {_missing('variant_centric', 'variants')}"])
 
 
 @witness("qa_suite", f"""
-WITH {NORM}, {FREQ}, {DV}, {GENE_PAIRS}, {CONS}, {COV}, {ORIGIN},
-nv AS (SELECT DISTINCT {K}, c.batch_id FROM n JOIN clinical c USING (sequencing_id)),
-fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all'),
-r AS (
-  SELECT 'non_empty_tables' AS check_name, 'all' AS table_name,
-         (SELECT count(*) FROM (SELECT 1 AS x FROM (SELECT count(*) AS c FROM clinical) WHERE c = 0
-                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM occurrences) WHERE c = 0
-                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM cnvs) WHERE c = 0
-                                UNION ALL SELECT 1 FROM (SELECT count(*) AS c FROM genes) WHERE c = 0)) AS n_violations
-  UNION ALL SELECT 'no_dup_clinical', 'clinical', (SELECT count(*) FROM (SELECT 1 FROM clinical
-         GROUP BY analysis_id, sequencing_id, bioinfo_analysis_code HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_occurrences', 'occurrences', (SELECT count(*) FROM (SELECT 1 FROM occurrences
-         GROUP BY {K}, sequencing_id HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_nor_snv', 'normalized_snv', (SELECT count(*) FROM (SELECT 1 FROM n
-         GROUP BY {K}, sequencing_id HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_nor_variants', 'normalized_variants', (SELECT count(*) FROM (SELECT 1 FROM nv
-         GROUP BY {K}, batch_id HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_nor_consequences', 'normalized_consequences', (SELECT count(*) FROM (SELECT 1 FROM cons
-         GROUP BY {K}, symbol, transcript HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_cnv_centric', 'cnv_centric', (SELECT count(*) FROM (SELECT 1 FROM cnvs GROUP BY cnv_id HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_coverage_by_gene', 'coverage_by_gene', (SELECT count(*) FROM (SELECT 1 FROM nc
-         GROUP BY symbol, sample_id HAVING count(*) > 1))
-  UNION ALL SELECT 'no_dup_parental_origin', 'parental_origin', (SELECT count(*) FROM (SELECT 1 FROM org
-         GROUP BY cnv_id, proband_seq HAVING count(*) > 1))
-  UNION ALL SELECT 'same_list_nor_snv_nor_variants', 'normalized_variants', (SELECT count(*) FROM (SELECT DISTINCT {K}
-         FROM n WHERE ad_alt >= 3 AND NOT {_exists_in('n', 'nv')}))
-  UNION ALL SELECT 'same_list_variants_frequency', 'variants',
-         (SELECT count(*) FROM v WHERE NOT {_exists_in('v', 'fa')}) + (SELECT count(*) FROM fa WHERE NOT {_exists_in('fa', 'v')})
-)
-SELECT check_name, table_name, 'critical' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM r
+WITH RECURSIVE {NORM}, {DV}, {EXT}, {GENE_PAIRS}, {CONS}, {COV}, {PAIRS}, {CLUSTERS}, {KIND}, {ORIGIN},
+{", ".join(_faulty_sql(t, q) for t, q in QA_SQL.items())},
+rs AS ({_union(QA_ROWS)})
+SELECT check_name, table_name, 'critical' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM rs
 """)
 def _(v):
-    return qa.run_suite(_qa_checks(v))
-
-
-def _qc_checks(v):
-    o = v.occurrences
-    n = var.normalize_snv(o)
-    freq = var.frequencies(o, v.clinical).where(F.col("analysis_code") == "all")
-    W = qa.NON_CRITICAL
-    return [
-        qa.Check("filters_snv", "normalized_snv", W, lambda: qa.row_filter(n, "alternate <> '*'")),
-        qa.Check("filters_frequency_extra", "normalized_variants", W,
-                 lambda: qa.should_not_have(freq, o, VK, var.qualifies(o))),
-        qa.Check("filters_frequency_missed", "normalized_variants", W,
-                 lambda: qa.should_have(freq, o, VK, var.qualifies(o))),
-        qa.Check("no_null_clinical", "clinical", W, lambda: qa.no_null(v.clinical, CLIN_COLS)),
-        qa.Check("only_null_clinical", "clinical", W, lambda: qa.only_null(v.clinical)),
-        qa.Check("same_value_clinical", "clinical", W, lambda: qa.same_value(v.clinical)),
-        qa.Check("dictionary_snv", "normalized_snv", W,
-                 lambda: qa.in_dictionary(n, {"zygosity": ["HET", "HOM"], "filters": ["PASS"]})),
-    ]
+    return suites.qa_suite(_qa_tables(v), MUST_HAVE_ROWS)
+
+
+def _qc_tables(v):
+    nor = cut_lineage(var.normalize_snv(v.occurrences))
+    snv = _enriched(v, nor)
+    parts = document_parts(v, snv)
+    parts["freqs"] = cut_lineage(var.frequencies(nor, v.clinical))
+    cnvs = v.cnvs
+    n_genes = (var.gene_overlap(cnvs.select("cnv_id", "chromosome", "start", "end"),
+                                v.genes.select("symbol", "chromosome", "start", "end"))
+               .groupBy("cnv_id").agg(F.count("*").alias("n_genes")))
+    coverage = var.coverage_by_gene_centric(var.normalize_coverage(_coverage(v)), v.genes)
+    return {"occurrences": v.occurrences, "frequencies": parts["freqs"].where("analysis_code = 'all'"), "normalized_snv": nor,
+            "variant_centric": cut_lineage(var.variant_centric(**parts)), "variant_donors": parts["donors"],
+            "gene_centric": cut_lineage(var.gene_centric(v.genes, var.gene_variants(_cons(v)))),
+            "cnv_centric": cut_lineage(var.cnv_centric(cnvs.join(n_genes, "cnv_id", "left")).select("cnv_id", "doc.*")),
+            "coverage_by_gene": coverage.select("symbol", "sample_id", "doc.*")}
+
+
+NO_NULL = {"variant_centric": ["chromosome", "start", "n_donors", "cmc"], "variant_centric_donors": ["sequencing_id", "batch_id", "gender"],
+           "variant_centric_freqbyanal": ["ac", "af"], "variant_centric_freqrqdm": ["ac", "pc"], "gene_centric": ["symbol", "panel"],
+           "cnv_centric": ["cnv_id", "n_genes"], "coverage_by_gene": ["symbol", "depth"]}
+VALUES = {"dictionary_cnv": {"type": ["DEL"]}, "dictionary_consequences": {"consequence": ["missense_variant", "synonymous_variant"]},
+          "dictionary_donors": {"zygosity": ["HET"], "bioinfo_analysis_code": ["GEBA", "TEBA"]},
+          "dictionary_snv": {"chromosome": ["chr1", "chr2", "chr3"]}}
+_FIELDS = ["ac", "an", "af", "pc", "pn", "pf", "hom"]
+# block -> (table of the oracle, columns)
+QC_BLOCKS = {
+    "variant_centric": ("doc", ["chromosome", "start", "reference", "alternate", "n_donors", "frequency_RQDM", "frequencies_by_analysis",
+                                "freq_rqdm_tumor_only", "freq_rqdm_tumor_normal", "consequences", "clinvar", "cmc",
+                                "external_frequencies", "exomiser_max", "franklin_max"]),
+    "variant_centric_cmc": ("doc", ["mutation_count", "tier"]), "variant_centric_clinvar": ("doc", ["clin_sig"]),
+    "variant_centric_consequences": ("ec", ["symbol", "transcript", "consequence", "cadd", "picked"]),
+    "variant_centric_donors": ("dn", ["chromosome", "start", "reference", "alternate", "sequencing_id", "analysis_id", "batch_id",
+                                      "bioinfo_analysis_code", "is_proband", "gender", "affected_status", "zygosity", "gq", "ad_alt",
+                                      "filters"]),
+    "variant_centric_exomax": ("doc", ["max_score", "max_sequencing_id"]), "variant_centric_extfreq": ("doc", ["gnomad_af", "topmed_af"]),
+    "variant_centric_framax": ("doc", ["franklin_score"]),
+    "variant_centric_freqbyanal": ("(SELECT * FROM freq WHERE analysis_code <> 'all')", ["analysis_code", *_FIELDS]),
+    "variant_centric_freqrqdm": ("doc", _FIELDS),
+    "variant_centric_freqrqdmtumor": ("doc", ["to_pc", "to_pn", "to_pf", "tn_pc", "tn_pn", "tn_pf"]),
+    "gene_centric": ("gc", ["symbol", "chromosome", "start", '"end"', "panel", "n_variants"]),
+    "cnv_centric": ("cc", ["cnv_id", "sequencing_id", "chromosome", "start", '"end"', "type", "n_genes"]),
+    "coverage_by_gene": ("cv2", ["symbol", "sample_id", "chromosome", "start", '"end"', "depth"]),
+}
+QC_TABLE = {"variant_centric_donors": "variant_donors", "gene_centric": "gene_centric", "cnv_centric": "cnv_centric",
+            "coverage_by_gene": "coverage_by_gene"}
+
+
+def _qc_rows():
+    for block, (source, columns) in QC_BLOCKS.items():
+        kinds = {"only_null": [f"count({c}) = 0" for c in columns], "same_value": [f"coalesce(min({c}) = max({c}), false)" for c in columns],
+                 "no_null": [f"count({c}) < count(*)" for c in NO_NULL.get(block, [])]}
+        for kind, terms in kinds.items():
+            if terms:
+                yield (f"SELECT '{kind}_{block}', '{QC_TABLE.get(block, 'variant_centric')}', "
+                       f"(SELECT {' + '.join(f'CAST({t} AS INT)' for t in terms)} FROM {source})")
+
+
+def _outside(source, column, values):
+    listed = ", ".join(f"'{x}'" for x in values)
+    return f"(SELECT count(DISTINCT {column}) FROM {source} WHERE {column} NOT IN ({listed}))"
 
 
 @witness("qc_suite", f"""
-WITH {NORM}, {FREQ},
+WITH {NORM}, {FREQ}, {TUMOR}, {DV}, {GENE_PAIRS}, {CONS}, {EXT}, {SCORES}, {BLOCKS}, {PICKED}, {COV}, {CNV_GENES},
 fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all'),
 fl AS (SELECT {K}, bool_or({QUAL}) AS q FROM occurrences GROUP BY {K}),
 qv AS (SELECT DISTINCT {K} FROM occurrences WHERE {QUAL}),
+dn AS (SELECT * FROM n JOIN clinical USING (sequencing_id)),
+d AS (SELECT {K}, count(*) AS n_donors FROM dn GROUP BY {K}),
+fc AS (SELECT {K}, string_agg(concat_ws(':', analysis_code, ac, pc, pn, hom), ',' ORDER BY analysis_code) AS frequencies_by_analysis
+       FROM freq WHERE analysis_code <> 'all' GROUP BY {K}),
+ec AS (SELECT pk.*, ps.p_retailprice / 100 AS cadd FROM pk LEFT JOIN part ps ON pk.pkey = ps.p_partkey),
+ca AS (SELECT {K}, string_agg(concat_ws('/', symbol, transcript, consequence, cadd, picked), ',' ORDER BY symbol, transcript)
+       AS consequences FROM ec GROUP BY {K}),
+doc AS (SELECT d.*, f.ac, f.an, f.af, f.pc, f.pn, f.pf, f.hom, CASE WHEN f.pc IS NOT NULL THEN concat_ws('|', f.ac, f.pc, f.pn, f.hom) END AS frequency_RQDM,
+        fc.frequencies_by_analysis, tf.to_pc, tf.to_pn, tf.to_pf, tf.tn_pc, tf.tn_pn, tf.tn_pf,
+        CASE WHEN tf.to_pc IS NOT NULL THEN concat_ws('|', tf.to_pc, tf.to_pn) END AS freq_rqdm_tumor_only,
+        CASE WHEN tf.tn_pc IS NOT NULL THEN concat_ws('|', tf.tn_pc, tf.tn_pn) END AS freq_rqdm_tumor_normal,
+        ca.consequences, cv.clin_sig, cv.clin_sig AS clinvar, cm.mutation_count, cm.tier,
+        CASE WHEN cm.tier IS NOT NULL THEN concat_ws('|', cm.mutation_count, cm.tier) END AS cmc,
+        gn.af AS gnomad_af, tm.af AS topmed_af, coalesce(CAST(gn.af AS VARCHAR), '-') || '|' || coalesce(CAST(tm.af AS VARCHAR), '-') AS external_frequencies,
+        ms.max_score, ms.max_sequencing_id, CASE WHEN ms.max_score IS NOT NULL THEN concat_ws('|', ms.max_score, ms.max_sequencing_id) END AS exomiser_max,
+        fk.score AS franklin_score, fk.score AS franklin_max
+        FROM d LEFT JOIN (SELECT * FROM freq WHERE analysis_code = 'all') f USING ({K}) LEFT JOIN fc USING ({K}) LEFT JOIN tf USING ({K})
+        LEFT JOIN ca USING ({K}) LEFT JOIN cv USING ({K}) LEFT JOIN cm USING ({K}) LEFT JOIN gn USING ({K}) LEFT JOIN tm USING ({K})
+        LEFT JOIN ms USING ({K}) LEFT JOIN fk USING ({K})),
+gc AS (SELECT g.*, coalesce(c.n, 0) AS n_variants FROM genes g LEFT JOIN (SELECT symbol, count(*) AS n FROM cons GROUP BY symbol) c USING (symbol)),
+cc AS (SELECT c.*, cg.n_genes FROM cnvs c LEFT JOIN cg USING (cnv_id)),
+cv2 AS (SELECT nc.symbol, nc.sample_id, g.chromosome, g.start, g."end", nc.depth FROM nc JOIN genes g USING (symbol)),
 r AS (
   SELECT 'filters_snv' AS check_name, 'normalized_snv' AS table_name, (SELECT count(*) FROM n WHERE alternate = '*') AS n_violations
   UNION ALL SELECT 'filters_frequency_extra', 'normalized_variants',
          (SELECT count(*) FROM fa LEFT JOIN fl USING ({K}) WHERE NOT coalesce(fl.q, false))
   UNION ALL SELECT 'filters_frequency_missed', 'normalized_variants', (SELECT count(*) FROM qv WHERE NOT {_exists_in('qv', 'fa')})
-  UNION ALL SELECT 'no_null_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k > 0)
-  UNION ALL SELECT 'only_null_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT count({c}) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k = 0)
-  UNION ALL SELECT 'same_value_clinical', 'clinical', (SELECT count(*) FROM ({_union([f"SELECT coalesce(min({c}) = max({c}) AND count({c}) > 0, false) AS k FROM clinical" for c in CLIN_COLS])}) WHERE k)
-  UNION ALL SELECT 'dictionary_snv', 'normalized_snv', (SELECT count(*) FROM (SELECT DISTINCT zygosity FROM n WHERE zygosity NOT IN ('HET', 'HOM')
-         UNION ALL SELECT DISTINCT filters FROM n WHERE filters NOT IN ('PASS')))
+  UNION ALL SELECT 'dictionary_cnv', 'cnv_centric', {_outside("cc", "type", ["DEL"])}
+  UNION ALL SELECT 'dictionary_consequences', 'variant_centric', {_outside("ec", "consequence", ["missense_variant", "synonymous_variant"])}
+  UNION ALL SELECT 'dictionary_donors', 'variant_donors', {_outside("dn", "zygosity", ["HET"])} + {_outside("dn", "bioinfo_analysis_code", ["GEBA", "TEBA"])}
+  UNION ALL SELECT 'dictionary_snv', 'variant_centric', {_outside("doc", "chromosome", ["chr1", "chr2", "chr3"])}
+  UNION ALL {_union(list(_qc_rows()))}
 )
 SELECT check_name, table_name, 'warning' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM r
 """)
 def _(v):
-    return qa.run_suite(_qc_checks(v))
+    return suites.qc_suite(_qc_tables(v), NO_NULL, VALUES)
