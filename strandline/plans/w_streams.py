@@ -1,6 +1,6 @@
 """Witnesses for the status streams.
 
-Each witness lands the bounded input as time-ordered parquet files, runs the
+Each witness lands the bounded input as parquet files in no order of time, runs the
 stream with ``trigger(availableNow=True)`` through a foreachBatch sink, and
 returns the sink table; the oracle is the batch semantics in SQL.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandline.operators import catalog as cat
 from strandline.plans.registry import witness
 from strandline.plans.w_catalog import _INBOX, inbox_keys
-from strandline.session import scratch_dir
+from strandline.session import cut_lineage, scratch_dir
 from strandline.streaming import streams as st
 
 EVENTS = ("ev AS (SELECT event_id, ts, 'SRA' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(7, length(CAST(user_id AS VARCHAR))) AS INT), '0') AS analysis_id, "
@@ -31,14 +31,9 @@ def _events(v):
         st.poll_state(F.col("event_type"), F.col("value")).alias("state"), F.col("props").alias("payload"))
 
 
-def _stream(v, df, name: str, ts: str | None = "ts"):
+def _stream(v, df, name: str):
     """Land ``df`` as files and open it as a stream."""
-    src = scratch_dir(v.spark, f"{name}-src")
-    if ts:
-        st.write_time_ordered_files(df, src, ts)
-    else:
-        df.repartition(4).write.mode("overwrite").parquet(src)
-    return st.read_stream(v.spark, src, df.schema)
+    return st.read_stream(v.spark, st.land(df, scratch_dir(v.spark, f"{name}-src")), df.schema)
 
 
 def _run(v, stream_df, name: str, mode: str = "append"):
@@ -57,9 +52,10 @@ t AS (SELECT CASE WHEN ends_with(name, '.txt') OR ends_with(name, '.sequencing_i
 SELECT DISTINCT kind, id FROM t WHERE kind IS NOT NULL AND length(id) > 0
 """)
 def _(v):
-    keys = _stream(v, inbox_keys(v), "inbox", ts=None)
-    out = _run(v, st.inbox_ids(keys, cat.pending_ids), "inbox")
-    return st.read_batches(v.spark, out).select("kind", "id")
+    keys = inbox_keys(v)
+    src = st.land(keys, scratch_dir(v.spark, "inbox-src"))
+    return st.inbox_stream(v.spark, src, keys.schema, cat.pending_ids, scratch_dir(v.spark, "inbox-out"),
+                           scratch_dir(v.spark, "inbox-ckpt")).select("kind", "id")
 
 
 LATEST = ("QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -94,7 +90,8 @@ STATUS = f"sts AS (SELECT analysis_id, status FROM ev {LATEST})"
 
 
 def _latest(v):
-    return st.latest_status(_events(v))
+    """The status table, written once: a stream joins it in every micro-batch."""
+    return cut_lineage(st.latest_status(_events(v)))
 
 
 @witness("str_submittable", f"""
@@ -105,7 +102,7 @@ SELECT req.analysis_id, sts.status IS NULL OR sts.status = 'FAILURE' AS allowed,
 FROM req LEFT JOIN sts USING (analysis_id)
 """)
 def _(v):
-    req = _stream(v, v.clinical.select("analysis_id").distinct(), "requests", ts=None)
+    req = _stream(v, v.clinical.select("analysis_id").distinct(), "requests")
     out = _run(v, st.submittable(req, _latest(v)), "submittable")
     return st.read_batches(v.spark, out).select("analysis_id", "allowed", "reason")
 
@@ -128,7 +125,7 @@ FROM ev
 """)
 def _(v):
     s = _stream(v, _events(v), "recover")
-    out = _run(v, st.recover(s, _results(v)), "recover")
+    out = _run(v, st.recover(s, cut_lineage(_results(v))), "recover")
     return st.read_batches(v.spark, out).select("event_id", "analysis_id", "status")
 
 
@@ -142,7 +139,7 @@ QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts, event_id) = 1
 def _(v):
     e = _events(v)
     s = _stream(v, e, "orphans")
-    out = _run(v, st.orphans(s, st.submit_boot_ids(e)), "orphans", "update")
+    out = _run(v, st.orphans(s, cut_lineage(st.submit_boot_ids(e))), "orphans", "update")
     return st.latest_snapshot(v.spark, out, ["analysis_id"]).select("analysis_id", "event_id", "status")
 
 
@@ -161,13 +158,11 @@ def _(v):
     tracked = e.where(F.col("state").isin("PENDING", "RECEIVED")).select("analysis_id", ext)
     statuses = e.where(F.col("state").isin("PENDING", "RECEIVED", "STARTED")).select(
         ext, F.when(F.col("event_id") % 3 != 0, "READY").otherwise("PROCESSING").alias("processing_status"))
-    s = _stream(v, statuses, "gate", ts=None)
-    # stream: READY notifications; the gate is re-evaluated against the static tracked ids
-    ready = s.where(F.col("processing_status") == "READY").select("external_id").dropDuplicates()
-    out = _run(v, ready, "gate")
-    gate, _ = st.completion_gate(tracked, st.read_batches(v.spark, out).withColumn("processing_status",
-                                                                                    F.lit("READY")))
-    return gate
+    s = _stream(v, statuses, "gate")
+    gate = scratch_dir(v.spark, "gate-out")
+    st.run_available(s, scratch_dir(v.spark, "gate-ckpt"),
+                     st.gate_sink(cut_lineage(tracked), scratch_dir(v.spark, "gate-ready"), gate))
+    return st.latest_snapshot(v.spark, gate, ["analysis_id"])
 
 
 TIMEOUT = "8 hours"

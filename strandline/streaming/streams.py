@@ -28,21 +28,16 @@ IN_PROGRESS = [PENDING, STARTED]
 
 # --- sources and sinks -----------------------------------------------------
 
-def write_time_ordered_files(df: DataFrame, path: str, ts: str, n_files: int = 4) -> str:
-    """Land a bounded table as ``n_files`` parquet files in event-time order
-    (each file written by its own job, so modification times follow event
-    time and a file source replays them in order)."""
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = df.select(F.percentile_approx(t, [i / n_files for i in range(1, n_files)]).alias("q")).first()["q"]
-    bucket = sum((t > F.lit(x)).cast("int") for x in b)
-    tagged = df.withColumn("_bucket", bucket)
-    for i in range(n_files):
-        tagged.where(F.col("_bucket") == i).drop("_bucket").coalesce(1).write.mode("append").parquet(path)
+def land(df: DataFrame, path: str) -> str:
+    """Write a bounded table as the files of a stream, with the partitions it has."""
+    df.write.mode("append").parquet(path)
     return path
 
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream; how many files a micro-batch takes is left to the source unless the caller says it."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
 def run_available(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],
@@ -61,12 +56,6 @@ def batch_table_sink(path: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def snapshot_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Complete/update-mode sink: the result table is upserted per batch into
-    ``path/batch_id=<id>``; readers take the latest batch per key."""
-    return batch_table_sink(path)
-
-
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -80,22 +69,23 @@ def latest_snapshot(spark: SparkSession, path: str, key: Sequence[str]) -> DataF
 
 # --- operators (each works on a stream or on a bounded DataFrame) ----------
 
-def inbox_ids(keys: DataFrame, parse: Callable[[DataFrame], DataFrame], window: str = "7 days") -> DataFrame:
-    """Inbox notifications -> ids, each (kind, id) taken once per ``window``.
+def inbox_ids(keys: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Ids asked for by one listing of the inbox (or one micro-batch of its notifications), each (kind, id) once."""
+    return parse(keys).dropDuplicates(["kind", "id"])
 
-    The reference deletes an inbox file once processed, so the same id dropped
-    again later is a new request; de-duplicating within a watermark on the
-    micro-batch time keeps that meaning and bounds the state. A bounded input
-    (batch twin) is simply de-duplicated."""
-    ids = parse(keys)
-    if not ids.isStreaming:
-        return ids.dropDuplicates(["kind", "id"])
-    return (ids.withColumn("_seen_at", F.current_timestamp()).withWatermark("_seen_at", window)
-            .dropDuplicatesWithinWatermark(["kind", "id"]).drop("_seen_at"))
 
+def inbox_sink(path: str, parse: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: the ids of each micro-batch. The source gives every dropped file once, so an id dropped again
+    later is a new request; nothing is remembered from batch to batch."""
+    write = batch_table_sink(path)
+    return lambda batch, batch_id: write(inbox_ids(batch, parse), batch_id)
 
-def _order(ts: str = "ts", tie: str = "event_id") -> Column:
-    return F.struct(F.col(ts), F.col(tie))
+
+def inbox_stream(spark: SparkSession, path: str, schema, parse: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """Take what has come to the inbox since the last call; returns the table of all requests (batch_id, kind, id)."""
+    run_available(read_stream(spark, path, schema, files_per_trigger), checkpoint, inbox_sink(out, parse))
+    return read_batches(spark, out)
 
 
 def latest_status(events: DataFrame, key: str = "analysis_id") -> DataFrame:
@@ -129,23 +119,28 @@ def unknown_polls(polls: DataFrame) -> DataFrame:
 
 
 def submittable(requests: DataFrame, status: DataFrame, results: DataFrame | None = None,
-                key: str = "analysis_id", family: str | None = None) -> DataFrame:
+                key: str = "analysis_id", family: str | None = None, members: DataFrame | None = None) -> DataFrame:
     """Whether each request may be submitted: allowed with no status or a
     FAILURE; refused when SUCCESS or in progress. With ``family``, any result
-    or any status inside the family blocks every member."""
-    s = status.select(key, "status")
-    j = requests.join(s, key, "left")
+    or any status inside the family blocks every member; a request without a family stands for itself. ``members``
+    is the table of families (key, family), by default the requests; a stream of requests must name it.
+    ``status`` and ``results`` are tables, so requests may be a stream in both modes."""
     if family is None:
+        j = requests.join(status.select(key, "status"), key, "left")
         allowed = F.col("status").isNull() | (F.col("status") == FAILURE)
         reason = (F.when(F.col("status").isNull(), "no_status").when(F.col("status") == FAILURE, "retry_failed")
                   .when(F.col("status") == SUCCESS, "done").otherwise("in_progress"))
         return j.select(key, allowed.alias("allowed"), reason.alias("reason"))
-    blocked = j.withColumn("_b", F.col("status").isNotNull())
+    if members is None and requests.isStreaming:
+        raise ValueError("a stream of requests needs the table of family members")
+    group = F.coalesce(F.col(family).cast("string"), F.concat(F.lit("\0"), F.col(key))).alias("_group")
+    seen = status.where("status IS NOT NULL").select(key)
     if results is not None:
-        blocked = blocked.join(results.select(key).distinct().withColumn("_r", F.lit(True)), key, "left").withColumn(
-            "_b", F.col("_b") | F.coalesce(F.col("_r"), F.lit(False)))
-    fam = blocked.groupBy(family).agg(F.bool_or("_b").alias("_fb"))
-    return blocked.join(fam, family).select(key, family, (~F.col("_fb")).alias("allowed"))
+        seen = seen.unionByName(results.select(key))
+    blocked = (requests if members is None else members).select(key, family).join(seen, key, "left_semi") \
+        .select(group).distinct().withColumn("_blocked", F.lit(True))
+    return requests.select(key, family, group).join(blocked, "_group", "left").select(
+        key, family, F.col("_blocked").isNull().alias("allowed"))
 
 
 def recover(status: DataFrame, results: DataFrame, key: str = "analysis_id") -> DataFrame:
@@ -187,6 +182,21 @@ def completion_gate(tracked: DataFrame, statuses: DataFrame, group: str = "analy
     return gate, unexpected
 
 
+def gate_sink(tracked: DataFrame, ready_path: str, gate_path: str, group: str = "analysis_id",
+              id_col: str = "external_id") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body of the completion gate: adds the ids that became READY to a table, then decides the groups that
+    the micro-batch speaks of and writes their state; ``latest_snapshot`` gives the current one. What is remembered is
+    the table of ready ids, not stream state."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        ready = batch.where(F.col("processing_status") == "READY").select(id_col).distinct()
+        ready.write.mode("overwrite").parquet(f"{ready_path}/batch_id={batch_id}")
+        known = batch.sparkSession.read.parquet(ready_path).select(id_col, F.lit("READY").alias("processing_status"))
+        touched = tracked.join(batch.select(id_col), id_col, "left_semi").select(group).distinct()
+        gate, _ = completion_gate(tracked.join(touched, group, "left_semi"), known, group, id_col)
+        gate.write.mode("overwrite").parquet(f"{gate_path}/batch_id={batch_id}")
+    return sink
+
+
 # --- stale detection --------------------------------------------------------
 
 STALE_SCHEMA = "analysis_id string, started_at timestamp, finished_at timestamp"
@@ -271,6 +281,5 @@ def harvest_sink(results_path: str, status_path: str, key: str = "analysis_id",
 
 
 # SURVEY §2.J names
-inbox_stream = inbox_ids
 stale = stale_stream
 harvest = harvest_sink

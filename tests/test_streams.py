@@ -24,14 +24,22 @@ EVENTS = [
 ]
 
 
+def _land_in_order(df, path, n_files):
+    """Small files in order of time, one micro-batch each."""
+    rows = sorted(df.collect(), key=lambda r: r["ts"])
+    size = -(-len(rows) // n_files)
+    for at in range(0, len(rows), size):
+        df.sparkSession.createDataFrame(rows[at:at + size], df.schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def test_stale_stream_equals_batch_twin(spark):
     df = spark.createDataFrame(EVENTS, "event_id long, ts timestamp, analysis_id string, status string")
     twin = {r.analysis_id for r in st.stale_batch(df, "8 hours").collect()}
     assert twin == {"B", "C", "E", "F"}
     src = scratch_dir(spark, "stale-src")
-    st.write_time_ordered_files(df, src, "ts", n_files=4)
+    _land_in_order(df, src, 4)
     out, ckpt = scratch_dir(spark, "stale-out"), scratch_dir(spark, "stale-ckpt")
-    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema), "8 hours", "0 seconds"), ckpt,
+    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema, 1), "8 hours", "0 seconds"), ckpt,
                      st.batch_table_sink(out))
     got = {r.analysis_id for r in st.read_batches(spark, out).select("analysis_id").collect()}
     assert got == twin
@@ -55,11 +63,59 @@ def test_harvest_replay_is_idempotent(spark):
             for i in range(12)]
     df = spark.createDataFrame(rows, "event_id long, ts timestamp, analysis_id string, state string, payload string")
     src = scratch_dir(spark, "harvest-src")
-    st.write_time_ordered_files(df, src, "ts", n_files=3)
+    _land_in_order(df, src, 3)
     results, status = scratch_dir(spark, "h-results"), scratch_dir(spark, "h-status")
     for _ in range(2):  # the second run replays every batch from a fresh checkpoint
         ckpt = scratch_dir(spark, "h-ckpt")
-        st.run_available(st.read_stream(spark, src, df.schema), ckpt, st.harvest_sink(results, status))
+        st.run_available(st.read_stream(spark, src, df.schema, 1), ckpt, st.harvest_sink(results, status))
     got = sorted(r.event_id for r in st.read_batches(spark, results).collect())
     assert got == [i for i in range(12) if i % 2]
     assert st.read_batches(spark, status).where(F.col("status") != "SUCCESS").count() == 0
+
+
+def test_stale_stream_takes_unordered_files(spark):
+    df = spark.createDataFrame(EVENTS[::-1], "event_id long, ts timestamp, analysis_id string, status string").repartition(5)
+    src = st.land(df, scratch_dir(spark, "stale-any-src"))
+    out = scratch_dir(spark, "stale-any-out")
+    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema), "8 hours", "0 seconds"),
+                     scratch_dir(spark, "stale-any-ckpt"), st.batch_table_sink(out))
+    assert {r.analysis_id for r in st.read_batches(spark, out).collect()} == {"B", "C", "E", "F"}
+
+
+def test_an_id_dropped_again_is_a_new_request(spark):
+    def parse(df):
+        return df.select(F.lit("sequencing_id").alias("kind"), F.col("key").alias("id"))
+
+    src, out, ckpt = (scratch_dir(spark, f"inbox-{x}") for x in ("src", "out", "ckpt"))
+    for keys, want in ((["a", "a", "b"], ["a", "b"]), (["a"], ["a", "a", "b"])):
+        df = spark.createDataFrame([(k,) for k in keys], "key string")
+        st.land(df, src)
+        table = st.inbox_stream(spark, src, df.schema, parse, out, ckpt)
+        assert sorted(r["id"] for r in table.collect()) == want
+        assert st.inbox_stream(spark, src, df.schema, parse, out, ckpt).count() == len(want)
+
+
+def test_family_mode_on_a_stream_equals_the_batch(spark):
+    members = spark.createDataFrame([("a1", "f1"), ("a2", "f1"), ("a3", "f2"), ("a4", None), ("a5", None), ("a6", "f3")],
+                                    "analysis_id string, family_id string")
+    status = spark.createDataFrame([("a2", "FAILURE"), ("a4", "SUCCESS")], "analysis_id string, status string")
+    results = spark.createDataFrame([("a6",)], "analysis_id string")
+    want = {"a1": False, "a2": False, "a3": True, "a4": False, "a5": True, "a6": False}
+    batch = st.submittable(members, status, results, family="family_id")
+    assert {r["analysis_id"]: r["allowed"] for r in batch.collect()} == want
+    src, out = st.land(members, scratch_dir(spark, "family-src")), scratch_dir(spark, "family-out")
+    stream = st.submittable(st.read_stream(spark, src, members.schema), status, results, family="family_id", members=members)
+    st.run_available(stream, scratch_dir(spark, "family-ckpt"), st.batch_table_sink(out))
+    assert {r["analysis_id"]: r["allowed"] for r in st.read_batches(spark, out).collect()} == want
+
+
+def test_gate_is_decided_batch_by_batch(spark):
+    tracked = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "analysis_id string, external_id string")
+    ready, gate = scratch_dir(spark, "ready"), scratch_dir(spark, "gate")
+    sink = st.gate_sink(tracked, ready, gate)
+    schema = "external_id string, processing_status string"
+    for batch_id, (rows, want) in enumerate([([("1", "READY"), ("3", "WAIT")], {"a": False, "b": False}),
+                                             ([("2", "READY"), ("9", "READY")], {"a": True, "b": False})]):
+        sink(spark.createDataFrame(rows, schema), batch_id)
+        now = st.latest_snapshot(spark, gate, ["analysis_id"])
+        assert {r["analysis_id"]: r["done"] for r in now.collect()} == want
