@@ -217,12 +217,12 @@ def _qa_tables(v):
         "normalized_snv_somatic": snv.where(~germline).select(*nor.columns),
         "normalized_consequences": cons, "normalized_variants": cut_lineage(var.normalize_variants(nor, v.clinical)),
         "snv": snv.where(germline), "snv_somatic": snv.where(~germline),
-        "consequences": var.enrich_consequences(cons, gene_scores), "variants": variants, "variant_centric": docs,
-        "cnv_centric": var.cnv_centric(v.cnvs), "coverage_by_gene": var.normalize_coverage(_coverage(v)),
+        "consequences": cut_lineage(var.enrich_consequences(cons, gene_scores)), "variants": variants, "variant_centric": docs,
+        "cnv_centric": var.cnv_centric(v.cnvs), "coverage_by_gene": cut_lineage(var.normalize_coverage(_coverage(v))),
         "nextflow_svclustering_germline": clusters.where("kind = 'germline'"),
         "nextflow_svclustering_somatic": clusters.where("kind = 'somatic'"),
-        "nextflow_svclustering_parental_origin": var.parental_origin(v.cnvs, v.clinical).withColumnRenamed(
-            "proband_seq", "sequencing_id"),
+        "nextflow_svclustering_parental_origin": cut_lineage(var.parental_origin(v.cnvs, v.clinical).withColumnRenamed(
+            "proband_seq", "sequencing_id")),
         "franklin": v.cnvs,
     }
     return {name: _faulty(name, df) for name, df in tables.items()}
