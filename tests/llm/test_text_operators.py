@@ -176,6 +176,31 @@ def test_languages_of_held_out_documents(spark, odd, empty):
     assert langid.langid_report(empty).count() == 0
 
 
+def test_language_model_keeps_every_gram_at_any_size(spark):
+    # a hot language whose random characters give over two million n-grams, all rare, beside two small languages of the same
+    # letters: only the higher orders tell these apart
+    noise = random.Random(1)
+    big = [" ".join("".join(chr(noise.randrange(0x4E00, 0x9FA0)) for _ in range(10)) for _ in range(1_000)) for _ in range(100)]
+    rows = [doc(i, t, "big") for i, t in enumerate(big)]
+    rows += [doc(1_000 + i, "".join(noise.sample("abcdefgh", 4)) + x, lang) for i in range(120)
+             for x, lang in ((" stuvw", "l1"), (" wvuts", "l2"))[i % 2:i % 2 + 1]]
+    out = langid.langid_report(spark.createDataFrame(rows, DOCS)).toPandas().set_index("doc_id")
+    assert [r[2] for r in rows[100:]] == out.loc[[r[0] for r in rows[100:]], "lang_pred"].tolist()
+
+
+def test_language_model_tables_equal_the_plain_version(spark):
+    rows = [(lang, prose(60, letters)) for lang, letters in (("l1", "abcdeé"), ("l2", "cdefgü"), ("l3", "xa")) for _ in range(5)]
+    counts = langid.count_ngrams(spark.createDataFrame(rows, "lang string, text string")).cache()
+    plain = langid.KneserNey(counts.toPandas())
+    docs = [(i, False, "l1", t) for i, t in enumerate([*(t for _, t in rows), "a", "zzz aбc", "", "cd fgü" * 30])]
+    got = langid.entropies(spark.createDataFrame(docs, "doc_id long, held_out boolean, lang string, text string"),
+                           langid.model_tables(counts)).toPandas().set_index("doc_id")["entropy"]
+    for i, _, _, t in docs:
+        split = langid.pieces(t)
+        want = plain.word_scores(split).sum(axis=0) / (sum(map(len, split)) + len(split)) if split else np.zeros(3)
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
 # ---- secrets --------------------------------------------------------------
 
 def test_base_spans():
