@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, bucket_digest, chat, langid, mixing, multi_index, secrets, simhash_index, toxicity, warc
+from strandline.llm import (bpe, bucket_digest, chat, langid, line_dedup, mixing, multi_index, secrets,
+                            simhash_index, spelling, toxicity, warc)
 from strandline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.negatives_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_language_id, op3_secrets, op4_toxicity, op5_simhash, op6_bucket_digest, op7_bpe, op8_multi_index,
-    op9_chat, op10_warc, pipeline)}
+    op9_chat, op10_warc, op12_line_dedup, op13_spelling, pipeline)}
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -135,4 +148,24 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op9_chat": OP9_SQL, "op10_warc": OP10_SQL}
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.r, k.doc_id, k.line, k.pos, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.first AS gone
+      FROM k LEFT JOIN f ON k.key = f.key),
+w AS (SELECT r, any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+             sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY r),
+e AS (SELECT r, pos, gone, lag(gone) OVER (PARTITION BY r ORDER BY pos) IS DISTINCT FROM gone AS edge FROM m),
+g AS (SELECT r, pos, sum(edge::INT) OVER (PARTITION BY r ORDER BY pos) AS run FROM e WHERE NOT gone OR edge),
+s AS (SELECT e.r, min(e.pos) AS start, count(*) AS n FROM e JOIN g ON e.r = g.r AND e.pos = g.pos
+      WHERE NOT e.gone GROUP BY e.r, g.run),
+b AS (SELECT r, string_agg(start || '+' || n, ',' ORDER BY start) AS runs FROM s GROUP BY r)
+SELECT w.doc_id, w.n_lines, w.n_dropped, w.kept_sha256,
+       CASE WHEN w.n_dropped > 0 THEN coalesce(b.runs, '') END AS keep_runs FROM w LEFT JOIN b ON w.r = b.r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op9_chat": OP9_SQL, "op10_warc": OP10_SQL,
+                              "op12_line_dedup": OP12_SQL}
