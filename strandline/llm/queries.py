@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import (bpe, bucket_digest, chat, langid, line_dedup, mixing, multi_index, secrets,
-                            simhash_index, spelling, toxicity, warc)
+from strandline.llm import (bpe, bucket_digest, chat, hard_negatives, langid, line_dedup, mixing, multi_index,
+                            secrets, simhash_index, spelling, toxicity, warc)
 from strandline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_language_id, op3_secrets, op4_toxicity, op5_simhash, op6_bucket_digest, op7_bpe, op8_multi_index,
-    op9_chat, op10_warc, op12_line_dedup, op13_spelling, pipeline)}
+    op9_chat, op10_warc, op11_hard_negatives, op12_line_dedup, op13_spelling, pipeline)}
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -148,6 +148,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM f
 """
 
+OP11_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS v FROM e),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
@@ -167,5 +183,5 @@ SELECT w.doc_id, w.n_lines, w.n_dropped, w.kept_sha256,
        CASE WHEN w.n_dropped > 0 THEN coalesce(b.runs, '') END AS keep_runs FROM w LEFT JOIN b ON w.r = b.r
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op9_chat": OP9_SQL, "op10_warc": OP10_SQL,
+ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op9_chat": OP9_SQL, "op10_warc": OP10_SQL, "op11_hard_negatives": OP11_SQL,
                               "op12_line_dedup": OP12_SQL}
