@@ -275,8 +275,8 @@ def search(anchors: DataFrame, forest: DataFrame, k: int, same_label: bool) -> D
         for at in range(wood.num_rows):
             one = wood.slice(at, 1)
             dim = one.column("dim")[0].as_py()
-            x = flat(one, "v").reshape(-1, dim).astype(np.float64)
             ids, tree_rids, tree_labels = (flat(one, c) for c in ("ids", "rids", "labels"))
+            x = flat(one, "v").reshape(len(ids), dim).astype(np.float64)
             tree = CoverTree(x, {c: flat(one, c) for c in _NODES}, flat(one, "order"))
             longest = float(np.sqrt((x**2).sum(axis=1).max(initial=0.0)))
             of_label: dict[int, np.ndarray] = {}
