@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators import ranges
+from strandline.operators import ranges, sv_cells
 from strandline.operators._util import literal_map
 
 VARIANT_KEY = ["chromosome", "start", "reference", "alternate"]
@@ -277,19 +277,9 @@ def sv_pairs(cnvs: DataFrame, min_overlap: float = 0.8, bin_size: int | None = N
 
 
 def sv_clusters(cnvs: DataFrame, min_overlap: float = 0.8, bin_size: int | None = None) -> DataFrame:
-    """(cnv_id, cluster_id): connected components of the reciprocal-overlap graph.
-
-    Identical intervals (same chromosome, type, start, end) are collapsed to one
-    representative first (map-side aggregate): they always share a cluster, and
-    a breakpoint shared by many samples then adds one node instead of a clique
-    of pairs. The cluster id is the smallest cnv id of the component."""
-    site = ["chromosome", "type", "start", "end"]
-    reps = cnvs.groupBy(*site).agg(F.min("cnv_id").alias("cnv_id"))
-    pairs = sv_pairs(reps, min_overlap, bin_size)
-    cc = ranges.connected_components(pairs, "a_id", "b_id", nodes=reps.select("cnv_id"))
-    rep_cluster = reps.join(cc.select(F.col("node").alias("cnv_id"), F.col("component").alias("cluster_id")),
-                            "cnv_id").drop("cnv_id")
-    return cnvs.select("cnv_id", *site).join(rep_cluster, site).select("cnv_id", "cluster_id")
+    """(cnv_id, cluster_id): connected components of the reciprocal-overlap graph, from a sparse certificate of it (see
+    ``sv_cells``), so near-identical intervals make no pairs. The cluster id is the smallest cnv id of the component."""
+    return sv_cells.clusters(cnvs, min_overlap, bin_size)
 
 
 def cluster_frequencies(cnvs: DataFrame, clusters: DataFrame, clinical: DataFrame) -> DataFrame:
