@@ -1,12 +1,13 @@
 """Witnesses for the status streams.
 
-Each witness lands the bounded input as parquet files in no order of time, runs the
-stream with ``trigger(availableNow=True)`` through a foreachBatch sink, and
-returns the sink table; the oracle is the batch semantics in SQL.
+Each witness lands the bounded input as slices, each some parquet files, runs the stream
+with ``trigger(availableNow=True)`` through a foreachBatch sink over several micro-batches (one a
+slice), and returns the sink table; the oracle is the batch semantics in SQL.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strandline.operators import catalog as cat
@@ -31,15 +32,30 @@ def _events(v):
         st.poll_state(F.col("event_type"), F.col("value")).alias("state"), F.col("props").alias("payload"))
 
 
-def _stream(v, df, name: str):
-    """Land ``df`` as files and open it as a stream."""
-    return st.read_stream(v.spark, st.land(df, scratch_dir(v.spark, f"{name}-src")), df.schema)
+#: Micro-batches of a witness, files of a slice, and batches between two compactions.
+SLICES, FILES, COMPACT_EVERY = 4, 2, 2
+
+
+def _sliced(v, df, by: Column, n: int, name: str) -> str:
+    """Land ``df`` as ``n`` slices by the number ``by``, one after the other."""
+    path = scratch_dir(v.spark, f"{name}-src")
+    for i in range(n):
+        df.where(by == i).repartition(FILES).write.mode("append").parquet(path)
+    return path
+
+
+def _stream(v, df, name: str, by: Column | None = None):
+    """Land ``df`` in slices, by default by a hash of all columns, so in no order of time; open it as a stream that
+    takes one slice a micro-batch."""
+    by = F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)) if by is None else by
+    return st.read_stream(v.spark, _sliced(v, df, by, SLICES, name), df.schema, FILES)
 
 
 def _run(v, stream_df, name: str, mode: str = "append"):
     out = scratch_dir(v.spark, f"{name}-out")
     ckpt = scratch_dir(v.spark, f"{name}-ckpt")
-    st.run_available(stream_df, ckpt, st.batch_table_sink(out), mode)
+    sink = st.snapshot_sink(v.spark, out, ["analysis_id"], COMPACT_EVERY) if mode == "update" else st.batch_table_sink(out)
+    st.run_available(stream_df, ckpt, sink, mode)
     return out
 
 
@@ -158,31 +174,51 @@ def _(v):
     tracked = e.where(F.col("state").isin("PENDING", "RECEIVED")).select("analysis_id", ext)
     statuses = e.where(F.col("state").isin("PENDING", "RECEIVED", "STARTED")).select(
         ext, F.when(F.col("event_id") % 3 != 0, "READY").otherwise("PROCESSING").alias("processing_status"))
-    s = _stream(v, statuses, "gate")
-    gate = scratch_dir(v.spark, "gate-out")
-    st.run_available(s, scratch_dir(v.spark, "gate-ckpt"),
-                     st.gate_sink(cut_lineage(tracked), scratch_dir(v.spark, "gate-ready"), gate))
-    return st.latest_snapshot(v.spark, gate, ["analysis_id"])
+    # half of the groups is tracked from the start, the others from the third micro-batch on
+    t = _stream(v, tracked, "tracked", F.pmod(F.xxhash64("analysis_id"), F.lit(2)) * 2)
+    out = scratch_dir(v.spark, "gate-out")
+    st.run_available(st.gate_changes(t, _stream(v, statuses, "gate")), scratch_dir(v.spark, "gate-ckpt"),
+                     st.gate_sink(v.spark, out, every=COMPACT_EVERY))
+    return st.gate_state(v.spark, out)
 
 
 TIMEOUT = "8 hours"
 
 
+DELAY = "2 hours"
+
+
 @witness("str_stale", f"""
-WITH {EVENTS},
-s AS (SELECT analysis_id, min(ts) AS started_at FROM ev WHERE status = 'PENDING' GROUP BY analysis_id),
-f AS (SELECT s.analysis_id, min(ev.ts) AS finished_at FROM ev JOIN s USING (analysis_id)
-      WHERE ev.status IN ('SUCCESS', 'FAILURE') AND ev.ts >= s.started_at GROUP BY s.analysis_id),
-m AS (SELECT max(ts) AS now FROM ev)
-SELECT s.analysis_id, strftime(s.started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at
-FROM s LEFT JOIN f USING (analysis_id), m
-WHERE s.started_at + INTERVAL 8 HOUR < m.now AND (f.finished_at IS NULL OR f.finished_at > s.started_at + INTERVAL 8 HOUR)
+WITH RECURSIVE {EVENTS},
+mark AS (SELECT max(ts) - INTERVAL 2 HOUR AS now FROM ev WHERE event_id % 97 <> 0),
+late AS (SELECT event_id, analysis_id, ts FROM ev, mark WHERE event_id % 97 = 0 AND ts < now),
+n AS (SELECT analysis_id, ts, status, row_number() OVER (PARTITION BY analysis_id ORDER BY ts, event_id) AS i
+      FROM ev ANTI JOIN late USING (event_id)),
+r AS (SELECT analysis_id, 0::BIGINT AS i, NULL::TIMESTAMP AS started, NULL::TIMESTAMP AS stale FROM ev GROUP BY analysis_id
+      UNION ALL
+      SELECT n.analysis_id, n.i,
+             CASE WHEN r.started IS NOT NULL AND n.ts <= r.started + INTERVAL 8 HOUR
+                  THEN CASE WHEN n.status IN ('SUCCESS', 'FAILURE') THEN NULL ELSE r.started END
+                  WHEN n.status = 'PENDING' THEN n.ts END,
+             CASE WHEN n.ts > r.started + INTERVAL 8 HOUR THEN r.started END
+      FROM r JOIN n ON n.analysis_id = r.analysis_id AND n.i = r.i + 1),
+o AS (SELECT analysis_id, started FROM (SELECT analysis_id, started, i, max(i) OVER (PARTITION BY analysis_id) AS last FROM r)
+      WHERE i = last AND started IS NOT NULL),
+v AS (SELECT analysis_id, stale AS started FROM r WHERE stale IS NOT NULL UNION ALL SELECT * FROM o)
+SELECT analysis_id, 'stale' AS verdict, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at, NULL::BIGINT AS event_id
+FROM v, (SELECT greatest(now, (SELECT max(ts) - INTERVAL 2 HOUR FROM ev)) AS now FROM mark) WHERE started + INTERVAL 8 HOUR < now
+UNION ALL SELECT analysis_id, 'late', NULL, event_id FROM late
 """)
 def _(v):
-    s = _stream(v, _events(v).select("event_id", "ts", "analysis_id", "status"), "stale")
-    out = _run(v, st.stale_stream(s, TIMEOUT, "0 seconds"), "stale")
+    e = _events(v).select("event_id", "ts", "analysis_id", "status")
+    # slices in order of time, then one with events of all times
+    straggler = F.col("event_id") % 97 == 0
+    quarter = e.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75]).alias("q")).select("q").scalar()
+    order = sum(((F.col("ts") > F.get(quarter, F.lit(i))).cast("int") for i in range(3)), F.lit(0))
+    src = _sliced(v, e, F.when(straggler, F.lit(4)).otherwise(order), 5, "stale")
+    out = _run(v, st.stale_stream(st.read_stream(v.spark, src, e.schema, FILES), TIMEOUT, DELAY), "stale")
     return st.read_batches(v.spark, out).select(
-        "analysis_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"))
+        "analysis_id", "verdict", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"), "event_id")
 
 
 @witness("str_harvest", f"""

@@ -8,16 +8,21 @@ that computes the same table from a bounded input, so a stream run with
 Sinks are written per micro-batch with ``foreachBatch`` into folders keyed by
 the batch id, so a replayed batch (after a failure) overwrites exactly what it
 wrote before: idempotent, exactly-once tables without a transactional format.
+Tables of current states are compacted (see ``tables``), so reading one does not
+depend on how many batches ever ran.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from strandline.streaming.tables import EVERY, BatchTable, newest, summed
 
 # Fixed values of the status state machine.
 PENDING, STARTED, SUCCESS, FAILURE = "PENDING", "STARTED", "SUCCESS", "FAILURE"
@@ -60,11 +65,14 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def snapshot_sink(spark: SparkSession, path: str, key: Sequence[str], every: int = EVERY) -> Callable[[DataFrame, int], None]:
+    """Update-mode sink of the current row of each key, compacted every so many batches."""
+    return BatchTable(spark, path, newest(key), every).write
+
+
 def latest_snapshot(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
-    """Rows of the most recent batch that touched each key (update mode)."""
-    t = spark.read.parquet(path)
-    best = t.groupBy(*key).agg(F.max("batch_id").alias("batch_id"))
-    return t.join(best, [*key, "batch_id"]).drop("batch_id")
+    """Rows of the most recent batch that touched each key (update mode): the last base and the batches after it."""
+    return BatchTable(spark, path, newest(key)).read().drop("batch_id")
 
 
 # --- operators (each works on a stream or on a bounded DataFrame) ----------
@@ -182,84 +190,149 @@ def completion_gate(tracked: DataFrame, statuses: DataFrame, group: str = "analy
     return gate, unexpected
 
 
-def gate_sink(tracked: DataFrame, ready_path: str, gate_path: str, group: str = "analysis_id",
-              id_col: str = "external_id") -> Callable[[DataFrame, int], None]:
-    """foreachBatch body of the completion gate: adds the ids that became READY to a table, then decides the groups that
-    the micro-batch speaks of and writes their state; ``latest_snapshot`` gives the current one. What is remembered is
-    the table of ready ids, not stream state."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        ready = batch.where(F.col("processing_status") == "READY").select(id_col).distinct()
-        ready.write.mode("overwrite").parquet(f"{ready_path}/batch_id={batch_id}")
-        known = batch.sparkSession.read.parquet(ready_path).select(id_col, F.lit("READY").alias("processing_status"))
-        touched = tracked.join(batch.select(id_col), id_col, "left_semi").select(group).distinct()
-        gate, _ = completion_gate(tracked.join(touched, group, "left_semi"), known, group, id_col)
-        gate.write.mode("overwrite").parquet(f"{gate_path}/batch_id={batch_id}")
-    return sink
+def gate_changes(tracked: DataFrame, statuses: DataFrame, group: str = "analysis_id", id_col: str = "external_id") -> DataFrame:
+    """(group, tracked, ready): 1 for each id that begins to be tracked and each that becomes READY, of two streams.
+    ``tracked`` is fed once; what is kept of it is the join's keyed state, so a micro-batch looks up its own ids only,
+    however many came before. Ids may be READY before they are tracked; those never tracked count nowhere."""
+    ids = tracked.select(F.col(group).alias("_group"), F.col(id_col).alias("_id")).dropDuplicates(["_group", "_id"])
+    ready = statuses.where(F.col("processing_status") == "READY").select(F.col(id_col).alias("_ready")).dropDuplicates(["_ready"])
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    begun = ids.select(F.col("_group").alias(group), one.alias("tracked"), none.alias("ready"))
+    done = ids.join(ready, F.col("_id") == F.col("_ready")).select(F.col("_group").alias(group), none.alias("tracked"), one.alias("ready"))
+    return begun.unionByName(done)
+
+
+def gate_table(spark: SparkSession, path: str, group: str = "analysis_id", every: int = EVERY) -> BatchTable:
+    return BatchTable(spark, path, summed([group]), every)
+
+
+def gate_sink(spark: SparkSession, path: str, group: str = "analysis_id", every: int = EVERY) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body for ``gate_changes``: the batch's changes summed by group, into a compacted table."""
+    table = gate_table(spark, path, group, every)
+    return lambda batch, batch_id: table.write(batch.groupBy(group).agg(F.sum("tracked").alias("tracked"), F.sum("ready").alias("ready")), batch_id)
+
+
+def gate_state(spark: SparkSession, path: str, group: str = "analysis_id") -> DataFrame:
+    """(group, tracked_count, ready_count, done) now."""
+    t = gate_table(spark, path, group).read()
+    return t.select(group, F.col("tracked").alias("tracked_count"), F.col("ready").alias("ready_count"),
+                    (F.col("tracked") == F.col("ready")).alias("done"))
 
 
 # --- stale detection --------------------------------------------------------
 
-STALE_SCHEMA = "analysis_id string, started_at timestamp, finished_at timestamp"
-STALE_STATE = "started_at timestamp, done boolean"
+STALE, LATE = "stale", "late"
+_MICROS = 1_000_000
 
 
 def stale_batch(events: DataFrame, timeout: str, now: Column | None = None, key: str = "analysis_id") -> DataFrame:
-    """Batch twin: keys whose first PENDING was not followed by a terminal
-    status within ``timeout`` (judged at ``now``, default the latest event)."""
-    start = events.where(F.col("status") == PENDING).groupBy(key).agg(F.min("ts").alias("started_at"))
-    fin = (events.where(F.col("status").isin(TERMINAL)).join(start, key)
-           .where(F.col("ts") >= F.col("started_at")).groupBy(key).agg(F.min("ts").alias("finished_at")))
+    """Batch twin: (key, started_at) of runs that were not finished within ``timeout`` (judged at ``now``, default the
+    latest event). A PENDING opens a run if none is open; SUCCESS or FAILURE within the time closes it; else it ends,
+    stale, at its deadline, and a later PENDING opens the next run."""
     now_col = now if now is not None else events.agg(F.max("ts").alias("m")).select("m").scalar()
-    deadline = F.col("started_at") + F.expr(f"INTERVAL {timeout}")
-    j = start.join(fin, key, "left")
-    return j.where((deadline < now_col) & (F.col("finished_at").isNull() | (F.col("finished_at") > deadline)))
-
-
-def stale_stream(events: DataFrame, timeout: str, delay: str, key: str = "analysis_id") -> DataFrame:
-    """Streaming version: per key, state = first PENDING time; an event-time
-    timer at ``started_at + timeout`` reports the key as stale when the
-    watermark passes it before a terminal status arrives. ``delay`` is how late
-    an event may come; the caller must state it, since events beyond it do not count."""
-    timeout_ms = int(pd.Timedelta(timeout).total_seconds() * 1000)
-
-    def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, done = (None, False)
-        if state.exists:
-            started, done = state.get
-            started = pd.Timestamp(started) if started is not None else None
-        if state.hasTimedOut:
-            if started is not None and not done:
-                state.update((started, True))
-                yield pd.DataFrame({key: [k[0]], "started_at": [started], "finished_at": [pd.NaT]})
-            return
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"])
-        out = None
-        for ts, status in zip(rows["ts"], rows["status"]):
-            ts = pd.Timestamp(ts)
-            if done:
-                break
+    wait = F.expr(f"INTERVAL {timeout}")
+    runs = events.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "status"))).alias("es"))
+    none = F.lit(None).cast("timestamp")
+    state = F.struct(none.alias("started"), F.array().cast("array<timestamp>").alias("stale"))
+
+    def step(acc: Column, e: Column) -> Column:
+        over = F.coalesce(e["ts"] > acc["started"] + wait, F.lit(False))
+        still = F.when(over, none).otherwise(acc["started"])
+        started = (F.when(still.isNull(), F.when(e["status"] == PENDING, e["ts"]))
+                   .when(e["status"].isin(TERMINAL), none).otherwise(still))
+        return F.struct(started.alias("started"), F.when(over, F.concat(acc["stale"], F.array(acc["started"])))
+                        .otherwise(acc["stale"]).alias("stale"))
+
+    end = runs.select(key, F.aggregate("es", state, step).alias("r")).select(key, F.when(
+        F.col("r.started") + wait < now_col, F.concat("r.stale", F.array("r.started"))).otherwise(F.col("r.stale")).alias("s"))
+    return end.select(key, F.explode("s").alias("started_at"))
+
+
+class _Runs(StatefulProcessor):
+    """State of one key: events that the watermark has not passed, and the start of the open run. Events are taken in
+    order of their time once the watermark has passed them, so the verdicts do not depend on how batches are cut.
+    When neither is left, the key has no state."""
+
+    def __init__(self, key: str, wait: int):
+        self.key, self.wait = key, wait
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, event_id long, status string")
+        self.run = handle.getValueState("run", "started long")
+
+    def _said(self, key: tuple, verdict: str, started: list, us: list, event_id: list) -> pd.DataFrame:
+        def when(values: list) -> pd.Series:
+            return pd.to_datetime(pd.Series(values, dtype="Int64"), unit="us")
+        return pd.DataFrame({self.key: [key[0]] * len(us or started), "verdict": verdict, "started_at": when(started or [None] * len(us)),
+                             "event_id": pd.Series(event_id or [None] * len(started), dtype="Int64"), "ts": when(us or [None] * len(started))})
+
+    def _judge(self, key: tuple, now: int, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Take the events up to ``now`` out of ``rows`` and keep the rest; yields stale runs."""
+        rows = rows.sort_values(["us", "event_id"])
+        passed = rows[rows["us"] <= now]
+        us, opens, ends = passed["us"].to_numpy(), (passed["status"] == PENDING).to_numpy(), passed["status"].isin(TERMINAL).to_numpy()
+        started, at, stale = (self.run.get()[0] if self.run.exists() else None), 0, []
+        while True:  # a turn for each run, not for each event
             if started is None:
-                if status == PENDING:
-                    started = ts
-                continue
-            if status in TERMINAL:
-                done = True
-                if ts > started + pd.Timedelta(milliseconds=timeout_ms):
-                    out = pd.DataFrame({key: [k[0]], "started_at": [started], "finished_at": [ts]})
-        if started is not None and not done:
-            deadline_ms = int(started.timestamp() * 1000) + timeout_ms
-            if deadline_ms < state.getCurrentWatermarkMs():
-                # the deadline already passed while this key kept receiving data
-                done = True
-                out = pd.DataFrame({key: [k[0]], "started_at": [started], "finished_at": [pd.NaT]})
+                nxt = at + int(np.argmax(opens[at:])) if opens[at:].any() else None
+                if nxt is None:
+                    break
+                started, at = int(us[nxt]), nxt + 1
+            end = at + int(np.searchsorted(us[at:], started + self.wait, side="right"))
+            if ends[at:end].any():
+                at, started = at + int(np.argmax(ends[at:end])) + 1, None
+            elif started + self.wait < now:
+                stale.append(started)
+                at, started = end, None
             else:
-                state.setTimeoutTimestamp(deadline_ms)
-        state.update((started, done))
-        if out is not None:
-            yield out
+                break
+        if stale:
+            yield self._said(key, STALE, stale, [], [])
+        left = rows[rows["us"] > now]
+        self.waiting.clear()
+        if len(left):
+            self.waiting.put([(int(u), int(e), s) for u, e, s in zip(left["us"], left["event_id"], left["status"])])
+            self.handle.registerTimer(int(left["us"].iloc[0]) // 1000 + 1)
+        if started is None:
+            self.run.clear()
+        else:
+            self.run.update((started,))
+            self.handle.registerTimer((started + self.wait) // 1000 + 1)
+
+    def _kept(self) -> pd.DataFrame:
+        return pd.DataFrame(list(self.waiting.get()) if self.waiting.exists() else [], columns=["us", "event_id", "status"])
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 - names are Spark's
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        come = pd.concat(list(rows))[["us", "event_id", "status"]]
+        late = come[come["us"] < now]
+        if len(late):
+            yield self._said(key, LATE, [], late["us"].tolist(), late["event_id"].tolist())
+        kept = self._kept()
+        come = come[come["us"] >= now]
+        yield from self._judge(key, now, pd.concat([kept, come]) if len(kept) else come)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        yield from self._judge(key, timerValues.getCurrentWatermarkInMs() * 1000, self._kept())
+
+    def close(self) -> None:
+        pass
 
-    return (events.withWatermark("ts", delay).groupBy(key)
-            .applyInPandasWithState(step, STALE_SCHEMA, STALE_STATE, "append", GroupStateTimeout.EventTimeTimeout))
+
+def stale_stream(events: DataFrame, timeout: str, delay: str, key: str = "analysis_id") -> DataFrame:
+    """(key, verdict, started_at, event_id, ts): ``stale`` rows are the runs of ``stale_batch``, reported when the
+    watermark passes their deadline; ``late`` rows are events that came more than ``delay`` after a later one and
+    therefore did not count. Timers are event-time timers; a key without open run or waiting events holds no state.
+    Sets the session's state store to RocksDB, which keyed states with timers need."""
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    wait = int(pd.Timedelta(timeout).total_seconds() * _MICROS)
+    # the time goes in as a number, so that Spark hands late events to the processor instead of dropping them
+    timed = events.withWatermark("ts", delay).select(key, F.unix_micros("ts").alias("us"), "event_id", "status")
+    return timed.groupBy(key).transformWithStateInPandas(
+        _Runs(key, wait), f"{key} string, verdict string, started_at timestamp, event_id long, ts timestamp", "append", "eventtime")
 
 
 # --- harvest ----------------------------------------------------------------

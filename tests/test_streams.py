@@ -1,11 +1,14 @@
-"""Edge cases of the event-time ``stale`` operator: stream == batch twin."""
+"""Streams over several micro-batches: equal to their batch twins, with bounded state and bounded reads."""
 
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandline.session import scratch_dir
 from strandline.streaming import streams as st
+from strandline.streaming import tables
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -32,17 +35,55 @@ def _land_in_order(df, path, n_files):
         df.sparkSession.createDataFrame(rows[at:at + size], df.schema).coalesce(1).write.mode("append").parquet(path)
 
 
+SCHEMA = "event_id long, ts timestamp, analysis_id string, status string"
+
+
+def _stale(spark, path, delay="0 seconds", files=1):
+    """(rows of the verdicts, state rows after the last micro-batch)."""
+    out, counts = scratch_dir(spark, "stale-out"), []
+    q = (st.stale_stream(st.read_stream(spark, path, SCHEMA, files), "8 hours", delay).writeStream
+         .option("checkpointLocation", scratch_dir(spark, "stale-ckpt")).foreachBatch(st.batch_table_sink(out))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    counts = [json.loads(p.json)["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    return st.read_batches(spark, out).collect(), counts
+
+
+def _runs(rows, verdict="stale"):
+    return sorted((r.analysis_id, r.started_at) for r in rows if r.verdict == verdict)
+
+
 def test_stale_stream_equals_batch_twin(spark):
-    df = spark.createDataFrame(EVENTS, "event_id long, ts timestamp, analysis_id string, status string")
-    twin = {r.analysis_id for r in st.stale_batch(df, "8 hours").collect()}
-    assert twin == {"B", "C", "E", "F"}
+    df = spark.createDataFrame(EVENTS, SCHEMA)
+    twin = sorted((r.analysis_id, r.started_at) for r in st.stale_batch(df, "8 hours").collect())
+    assert [k for k, _ in twin] == ["B", "C", "E", "F"]
     src = scratch_dir(spark, "stale-src")
     _land_in_order(df, src, 4)
-    out, ckpt = scratch_dir(spark, "stale-out"), scratch_dir(spark, "stale-ckpt")
-    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema, 1), "8 hours", "0 seconds"), ckpt,
-                     st.batch_table_sink(out))
-    got = {r.analysis_id for r in st.read_batches(spark, out).select("analysis_id").collect()}
-    assert got == twin
+    assert _runs(_stale(spark, src)[0]) == twin
+
+
+def test_a_key_may_run_again_after_its_verdict(spark):
+    rows = [_ev(1, 0, "A", "PENDING"), _ev(2, 9, "A", "SUCCESS"), _ev(3, 10, "A", "PENDING"), _ev(4, 11, "A", "PENDING"),
+            _ev(5, 12, "A", "SUCCESS"), _ev(6, 13, "A", "PENDING"), _ev(7, 30, "Z", "STARTED"), _ev(8, 13, "B", "PENDING"),
+            _ev(9, 21, "B", "FAILURE")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = [("A", T0), ("A", T0 + dt.timedelta(hours=13))]
+    assert sorted((r.analysis_id, r.started_at) for r in st.stale_batch(df, "8 hours").collect()) == want
+    src = scratch_dir(spark, "stale-again-src")
+    _land_in_order(df, src, 5)
+    assert _runs(_stale(spark, src)[0]) == want
+
+
+def test_finished_keys_leave_no_state_and_late_events_are_told(spark):
+    rows = [_ev(i, i % 5, f"k{i}", "PENDING") for i in range(20)] + [_ev(100 + i, 6, f"k{i}", "SUCCESS") for i in range(0, 20, 2)]
+    src = scratch_dir(spark, "stale-state-src")
+    for part in (rows, [_ev(200, 40, "end", "STARTED")], [_ev(201, 1, "k1", "SUCCESS"), _ev(202, 39, "new", "SUCCESS")],
+                 [_ev(203, 60, "end", "STARTED")]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    out, counts = _stale(spark, src, "2 hours")
+    assert _runs(out) == sorted((f"k{i}", T0 + dt.timedelta(hours=i % 5)) for i in range(1, 20, 2))
+    assert [(r.analysis_id, r.event_id, r.ts) for r in out if r.verdict == "late"] == [("k1", 201, T0 + dt.timedelta(hours=1))]
+    assert max(counts) > 20 and counts[-1] <= 2  # only what the watermark has not passed: the last event of "end"
 
 
 def test_latest_status_and_advance_batch(spark):
@@ -74,12 +115,9 @@ def test_harvest_replay_is_idempotent(spark):
 
 
 def test_stale_stream_takes_unordered_files(spark):
-    df = spark.createDataFrame(EVENTS[::-1], "event_id long, ts timestamp, analysis_id string, status string").repartition(5)
+    df = spark.createDataFrame(EVENTS[::-1], SCHEMA).repartition(5)
     src = st.land(df, scratch_dir(spark, "stale-any-src"))
-    out = scratch_dir(spark, "stale-any-out")
-    st.run_available(st.stale_stream(st.read_stream(spark, src, df.schema), "8 hours", "0 seconds"),
-                     scratch_dir(spark, "stale-any-ckpt"), st.batch_table_sink(out))
-    assert {r.analysis_id for r in st.read_batches(spark, out).collect()} == {"B", "C", "E", "F"}
+    assert [k for k, _ in _runs(_stale(spark, src, files=100)[0])] == ["B", "C", "E", "F"]
 
 
 def test_an_id_dropped_again_is_a_new_request(spark):
@@ -109,13 +147,41 @@ def test_family_mode_on_a_stream_equals_the_batch(spark):
     assert {r["analysis_id"]: r["allowed"] for r in st.read_batches(spark, out).collect()} == want
 
 
-def test_gate_is_decided_batch_by_batch(spark):
-    tracked = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "analysis_id string, external_id string")
-    ready, gate = scratch_dir(spark, "ready"), scratch_dir(spark, "gate")
-    sink = st.gate_sink(tracked, ready, gate)
+def test_gate_over_many_batches(spark):
+    tracked = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3"), ("c", "3"), ("a", "1")], "analysis_id string, external_id string")
+    t = st.land(tracked, scratch_dir(spark, "tracked"))
+    s, out, ckpt = (scratch_dir(spark, f"gate-{x}") for x in ("src", "out", "ckpt"))
     schema = "external_id string, processing_status string"
-    for batch_id, (rows, want) in enumerate([([("1", "READY"), ("3", "WAIT")], {"a": False, "b": False}),
-                                             ([("2", "READY"), ("9", "READY")], {"a": True, "b": False})]):
-        sink(spark.createDataFrame(rows, schema), batch_id)
-        now = st.latest_snapshot(spark, gate, ["analysis_id"])
-        assert {r["analysis_id"]: r["done"] for r in now.collect()} == want
+    steps = [([("1", "READY"), ("3", "WAIT")], {"a": (2, 1), "b": (1, 0), "c": (1, 0)}),
+             ([("2", "READY"), ("9", "READY"), ("1", "READY")], {"a": (2, 2), "b": (1, 0), "c": (1, 0)}),
+             ([("3", "READY"), ("2", "READY")], {"a": (2, 2), "b": (1, 1), "c": (1, 1)}),
+             ([("8", "READY")], {"a": (2, 2), "b": (1, 1), "c": (1, 1)})]
+    for rows, want in steps:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(s)
+        changes = st.gate_changes(st.read_stream(spark, t, tracked.schema), st.read_stream(spark, s, schema))
+        st.run_available(changes, ckpt, st.gate_sink(spark, out, every=2))
+        now = {r["analysis_id"]: (r["tracked_count"], r["ready_count"]) for r in st.gate_state(spark, out).collect()}
+        assert now == want
+        assert all(r["done"] == (r["tracked_count"] == r["ready_count"]) for r in st.gate_state(spark, out).collect())
+    assert tables.BatchTable(spark, out).bases()
+
+
+def test_snapshots_read_the_last_base_and_what_came_after(spark):
+    path = scratch_dir(spark, "snapshot")
+    sink, table = st.snapshot_sink(spark, path, ["k"], every=3), tables.BatchTable(spark, path, tables.newest(["k"]), 3)
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    held = {}
+    for b in range(12):
+        rows = [(f"k{i}", b * 10 + i) for i in range(b % 4, 6)]
+        held |= dict(rows)
+        sink(spark.createDataFrame(rows, "k string, n long"), b)
+        if b in (5, 7):  # a replayed batch replaces what it wrote
+            sink(spark.createDataFrame(rows, "k string, n long"), b)
+        assert {r["k"]: r["n"] for r in st.latest_snapshot(spark, path, ["k"]).collect()} == held
+        assert len(table._parts()[1]) <= 4 and len(table.bases()) <= 2
+    assert len(table.batches()) <= 7  # compacted folders go
+    # a base without its marker, as a lost driver leaves it, does not count
+    spark.createDataFrame([("k0", -1, 99)], "k string, n long, batch_id long").write.parquet(f"{path}/_base/upto=99")
+    table._fs.delete(table._at(f"{path}/_base/upto=99/_SUCCESS"), False)
+    assert {r["k"]: r["n"] for r in st.latest_snapshot(spark, path, ["k"]).collect()} == held
