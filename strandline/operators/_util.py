@@ -41,28 +41,23 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
                       partitions: int | None = None) -> DataFrame:
     """Dense 1-based numbering in a total order without a single-partition window.
 
-    Range-partition on the order keys, number rows inside each partition, then
-    add the running count of all earlier partitions (one small row per
-    partition). Callers must give a total order (unique keys) for stable ids.
-    The numbered partitions are written out so both uses see the same rows.
+    Rows are range-partitioned and sorted on the order keys; partition and row
+    number are the two halves of the monotonic id, so the range shuffle is the
+    only exchange. The sorted partitions are written out once (the range bounds
+    are sampled per evaluation, so counts and rows must come from one); the
+    running count of all earlier partitions is one small row a partition.
+    Callers must give a total order (unique keys) for stable ids.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    local = parted.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    # Materialise once (a table in the shared folder): the range bounds are sampled per
-    # evaluation, so counts and rows must come from the same partitioning.
-    local = cut_lineage(local)
-    counts = local.groupBy("_pid").agg(F.max("_lrn").alias("_cnt"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    )
-    return (
-        local.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0)))
-        .drop("_pid", "_lrn", "_off")
-    )
+    placed = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("_place", F.monotonically_increasing_id()))
+    part, row = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_pid")).agg((F.max(row) + 1).alias("_cnt"))
+    before = F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col("_pid"), F.coalesce(before, F.lit(0)).alias("_off"))
+    return placed.join(F.broadcast(offsets), part == F.col("_pid")).withColumn(name, F.col("_off") + row + 1) \
+        .drop("_place", "_pid", "_off")
 
 
 def strict(df: DataFrame, bad: Column, message: Column) -> DataFrame:

@@ -4,9 +4,8 @@ clusters and centric documents.
 The variant key is (chromosome, start, reference, alternate). Aggregations
 shuffle on that key with map-side partial aggregation; cohort sizes are
 aggregated to one row per analysis code (a fixed, tiny set) before being
-joined back. Documents with per-variant arrays are split into parts of at
-most ``part_size`` elements so one very common variant never becomes one
-giant row.
+joined back. Documents have one row a variant or gene; what may be very long
+(donors, a gene's variants) is a child table.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import ranges, sv_cells
 from strandline.operators._util import literal_map
+from strandline.sources.versions import BUCKETS, BucketedTable
 
 VARIANT_KEY = ["chromosome", "start", "reference", "alternate"]
 # Qualifying-occurrence thresholds of the frequency rule.
@@ -424,19 +424,17 @@ def document_hash(cols: Sequence[str]) -> Column:
     return F.sha1(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in cols]))
 
 
-def incremental_load(spark, existing_path: str | None, new_rows: DataFrame, out_path: str, steps: str,
-                     key: str = "analysis_id") -> DataFrame:
-    """``initial``: the new rows are the table. ``default``: replace the rows of
-    the keys present in ``new_rows`` and keep every other row (anti join +
-    union), written as a new table version at ``out_path``."""
-    if steps == "initial" or existing_path is None:
-        table = new_rows
+def incremental_load(spark, path: str, new_rows: DataFrame, steps: str, key: str = "analysis_id",
+                     buckets: int = BUCKETS) -> DataFrame:
+    """``initial``: the new rows are the table. ``default``: replace the rows of the keys present in ``new_rows`` and keep
+    every other row. The table is kept in buckets of the key; only buckets that hold one of these keys are read and
+    written again (see ``BucketedTable``)."""
+    table = BucketedTable(spark, path, key, buckets)
+    if steps == "initial" or table.version() is None:
+        table.create(new_rows)
     else:
-        old = spark.read.parquet(existing_path)
-        keys = new_rows.select(key).distinct()
-        table = old.join(keys, key, "left_anti").unionByName(new_rows)
-    table.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+        table.replace_keys(new_rows)
+    return table.read()
 
 
 # SURVEY §2.G names

@@ -484,10 +484,8 @@ SELECT c.analysis_id, CASE WHEN c.analysis_id IN (SELECT id FROM req_analyses) T
 FROM n JOIN clinical c USING (sequencing_id) GROUP BY 1, 2
 """)
 def _(v):
-    base = scratch_dir(v.spark, "snv")
-    first = var.incremental_load(v.spark, None, var.enrich_snv(v.occurrences, v.clinical).withColumn(
-        "version", F.lit("v1")), f"{base}/v1", "initial")
-    assert first is not None
+    path = scratch_dir(v.spark, "snv")
+    var.incremental_load(v.spark, path, var.enrich_snv(v.occurrences, v.clinical).withColumn("version", F.lit("v1")), "initial")
     again = var.enrich_snv(v.occurrences, v.clinical, v.req_analyses).withColumn("version", F.lit("v2"))
-    table = var.incremental_load(v.spark, f"{base}/v1", again, f"{base}/v2", "default")
+    table = var.incremental_load(v.spark, path, again, "default")
     return table.groupBy("analysis_id", "version").agg(F.count("*").alias("n_rows"))
