@@ -5,54 +5,55 @@ Per language, a character n-gram model over the words of its training texts
 from every training text: tasks count distinct words, turn them into n-grams,
 and one shuffle adds them up. Continuation counts, discounts and the terms of
 the probabilities are aggregates and joins over the table of counts, which has
-no bound; only the single characters are collected (there are as many as there
-are code points).
+no bound; a row a language is all that is collected.
 
-Texts are dealt into blocks: distinct words, the words of each text by number,
-and the distinct windows (the longest n-grams) of the words. Every window of
-the corpus is scored once, by a join with the model; the scores come back to the
-blocks, where a word is the sum over its windows and a text that over its words.
+The terms become sorted hash arrays: entries (hash of the n-gram, language, own
+share, weight as a context) are dealt to ranges of the hash of about
+``RANGE_ENTRIES`` entries, and each range is sorted and written by a task as one
+Arrow file to the shared folder. Tasks that score texts map these files, so the
+pages they touch are shared by all workers of a machine and the model may be
+larger than a task's memory. A task scores each distinct word it meets once, by
+binary search of its n-grams, and adds up words to texts.
 
 A text's score for a language is its cross-entropy per character; the lowest
-wins. Rejection is calibrated on a bounded sample of training texts: a text
-whose cross-entropy is beyond what ``ACCEPTED`` of its language's sample have
-is marked ``rejected`` (op2 must name a language, so it keeps the column apart).
+wins. Rejection is calibrated on all training texts: a text whose cross-entropy
+is beyond what ``ACCEPTED`` of its language's training texts have is marked
+``rejected`` (op2 must name a language, so it keeps the column apart).
 
 Defined results: NULL texts and texts without a letter give ``und`` and score 0.
 Rows with NULL lang teach nothing. Without training rows every text gives
 ``und``. NULL and repeated ids: each row is scored by itself. Extra columns are
-ignored. Ties go to the language first by code point.
+ignored. Ties go to the language first by code point. ``identify`` runs jobs when
+called: it writes counts, terms, arrays and scores to the shared folder.
 """
 
 from __future__ import annotations
 
-import zlib
-from array import array
+import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import bounded_batches, bounded_sample, id_bucket, rewritten, strings
+from strandline.llm.common import bounded_batches, id_bucket, rewritten, strings
 from strandline.session import scratch_dir
 
 ORDER = 4
 FOLDS, HELD_OUT = 4, 2
-#: Training texts on which scores and rejection are calibrated, at most, and the share to accept.
-CALIBRATION_TEXTS, ACCEPTED = 4_000, 0.995
+#: Share of a language's training texts to accept.
+ACCEPTED = 0.995
 UNKNOWN = "und"
-#: Words whose n-grams a task counts at once; beyond it the memory starts anew.
-HELD_WORDS = 200_000
-#: Words whose windows are found or scored at once.
-PART_WORDS = 20_000
-#: Characters of a block of texts, and bytes of its windows' scores, about.
-BLOCK_CHARS, BLOCK_BYTES = 16 << 20, 16 << 20
+#: Words whose n-grams a task counts at once, or whose scores it keeps; beyond it the memory starts anew.
+HELD_WORDS, HELD_BYTES = 200_000, 64 << 20
+#: Words scored at once, and characters of texts taken up at once, about.
+PART_WORDS, PART_CHARS = 20_000, 1 << 20
+#: Entries of one file of the model, about.
+RANGE_ENTRIES = 1_000_000
 #: A word is a run without white space; longer runs are cut into pieces of so many characters.
 PIECE = 64
 #: The mark before and after a word, which no word holds.
@@ -103,28 +104,6 @@ class Windows:
             acc = (acc ^ self.codes[ends - j]) * _PRIME
         return _mixed(acc, k)
 
-    def longest(self, order: int = ORDER) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """The distinct longest n-grams that end at any position: hashes, ascending, and texts; and which of them ends
-        at each position."""
-        at = np.arange(1, len(self.codes))
-        size = np.minimum(order, at - np.nonzero(self.mark)[0][self.owner[at]] + 1)
-        hashed = np.empty(len(at), dtype=np.uint64)
-        for k in range(2, order + 1):
-            here = size == k
-            hashed[here] = self.hashes(k, at[here])
-        keys, first, group = np.unique(hashed, return_index=True, return_inverse=True)
-        return keys, [self.text[e - k + 1:e + 1] for e, k in zip(at[first].tolist(), size[first].tolist())], group
-
-
-def longest_of(words: list[str], order: int = ORDER) -> tuple[np.ndarray, list[str]]:
-    """Hashes and texts of the distinct longest n-grams of the words, by hash."""
-    if not words:
-        return np.zeros(0, dtype=np.uint64), []
-    parts = [Windows(words[i:i + PART_WORDS]).longest(order)[:2] for i in range(0, len(words), PART_WORDS)]
-    keys, first = np.unique(np.concatenate([k for k, _ in parts]), return_index=True)
-    grams = [g for _, found in parts for g in found]
-    return keys, [grams[i] for i in first]
-
 
 def gram_hashes(grams: list[str]) -> np.ndarray:
     """The hashes that ``Windows`` gives to these n-grams."""
@@ -182,30 +161,9 @@ def count_ngrams(rows: DataFrame, order: int = ORDER) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Characters:
-    """Terms of the single characters, and what an unseen one gets, by language."""
-
-    def __init__(self, langs: list[str], single: pd.DataFrame, empty: pd.DataFrame):
-        self.langs = langs
-        place = {x: i for i, x in enumerate(langs)}
-        code, column = single["gram"].map(ord).to_numpy(), single["lang"].map(place).to_numpy()
-        self.codes = np.unique(code)
-        # the last row is that of a character no language has
-        self.own = np.zeros((len(self.codes) + 1, len(langs)))
-        self.weight = np.ones((len(self.codes) + 1, len(langs)))
-        row = np.searchsorted(self.codes, code)
-        self.own[row, column], self.weight[row, column] = single["own"], single["weight"]
-        self.unseen = np.empty(len(langs))
-        self.unseen[empty["lang"].map(place)] = empty["weight"] / (len(self.codes) + 1.0)
-
-    def rows(self, chars: list[str]) -> np.ndarray:
-        code = np.fromiter(map(ord, chars), dtype=np.int64, count=len(chars))
-        at = np.searchsorted(self.codes, code)
-        return np.where(self.codes[np.minimum(at, len(self.codes) - 1)] == code, at, len(self.codes))
-
-
-def model_tables(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, Characters] | None:
-    """Kneser-Ney terms (lang, gram, own, weight) of all n-grams, and those of single characters; None without counts.
+def model_tables(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, list[str], np.ndarray] | None:
+    """Kneser-Ney terms (lang, gram, own, weight) of all n-grams, the languages, and what a character that a language
+    never showed gets there; None without counts.
 
     The probability of a gram is ``own`` (its discounted share of its context) plus the ``weight`` of its context
     times the probability of the gram without its first character; a gram that is not there has own 0 and weight 1.
@@ -231,272 +189,208 @@ def model_tables(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, Char
         used.join(contexts.drop("k", "kinds"), ["lang", "context"])
         .select("lang", "gram", ((F.col("v") - F.col("discount")) / F.col("total")).alias("own"))
         .join(weights, ["lang", "gram"], "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))), "langid-model")
-    empty = weights.where(F.col("gram") == "").select("lang", "weight").toPandas()
-    if empty.empty:
+    empty = weights.where(F.col("gram") == "").orderBy("lang").collect()  # a row a language
+    if not empty:
         return None
-    return grams, Characters(sorted(empty["lang"]), grams.where(size == 1).toPandas(), empty)
-
-
-def window_bits(windows: DataFrame, grams: DataFrame, chars: Characters, order: int = ORDER) -> DataFrame:
-    """(window, bits) of distinct windows: bits of the window's last character in each language, as 32-bit floats."""
-    # the window's ends and those of its context, the single characters left out
-    slots = [F.struct(F.lit(k - 2).alias("slot"), F.expr(f"right(window, {k})").alias("gram"),
-                      (F.length("window") >= k).alias("there")) for k in range(2, order + 1)]
-    slots += [F.struct(F.lit(order + k - 3).alias("slot"), F.expr(f"substring(window, length(window) - {k}, {k})").alias("gram"),
-                       (F.length("window") > k).alias("there")) for k in range(2, order)]
-    keys = windows.select("window", F.explode(F.filter(F.array(*slots), lambda s: s["there"])).alias("s")) \
-        .select("window", "s.slot", "s.gram")
-    found = keys.join(grams.where(F.length("gram") > 1), "gram", "left") \
-        .groupBy("window").agg(F.collect_list(F.struct("slot", "lang", "own", "weight")).alias("found"))
-    sent = windows.sparkSession.sparkContext.broadcast(chars)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars = sent.value
-        langs = pa.array(chars.langs, pa.string())
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            n, width = len(texts), len(langs)
-            each, flat = batch.column(1), batch.column(1).flatten()
-            column = pc.fill_null(pc.index_in(flat.field("lang"), value_set=langs, skip_nulls=True), -1).to_numpy(False)
-            seen = column >= 0
-            row = np.repeat(np.arange(n), each.value_lengths().to_numpy(False))[seen]
-            slot, column = flat.field("slot").to_numpy(False)[seen], column[seen]
-            own, weight = np.zeros((n, order - 1, width)), np.ones((n, max(0, order - 2), width))
-            end = slot < order - 1
-            own[row[end], slot[end], column[end]] = flat.field("own").to_numpy(False)[seen][end]
-            weight[row[~end], slot[~end] - order + 1, column[~end]] = flat.field("weight").to_numpy(False)[seen][~end]
-            size = np.fromiter(map(len, texts), dtype=np.int64, count=n)
-            p = chars.own[chars.rows([t[-1] for t in texts])] + chars.unseen
-            for k in range(2, order + 1):
-                back = weight[:, k - 3] if k > 2 else chars.weight[chars.rows([t[-2] for t in texts])]
-                p = np.where((size >= k)[:, None], own[:, k - 2] + back * p, p)
-            bits = (-np.log2(p)).astype(np.float32)
-            ends = np.arange(n + 1, dtype=np.int32) * (4 * width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.Array.from_buffers(
-                pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(bits.tobytes())])], names=["window", "bits"])
-
-    return found.mapInArrow(score, "window string, bits binary")
-
-
-class KneserNey:
-    """Models of all languages in sorted hash arrays: the plain version, for counts that one process holds.
-
-    ``keys``: sorted hashes of the n-grams seen in any language; ``logp`` and
-    ``logg``: per n-gram and language the logarithm of its interpolated
-    probability (NaN if the language has not seen it) and of its weight as a
-    context (0 if it is none, so that the lower order counts in full).
-    """
-
-    def __init__(self, counts: pd.DataFrame, order: int = ORDER):
-        self.order, self.langs = order, sorted(counts["lang"].unique())
-        grams = sorted(counts["gram"].unique())
-        hashed = gram_hashes(grams)
-        by_hash = np.argsort(hashed, kind="stable")
-        self.keys = hashed[by_hash]
-        place = {grams[k]: i for i, k in enumerate(by_hash)}
-        # where the keys with the same leading bits begin: a search looks at one or two keys
-        bits = max(1, int(np.ceil(np.log2(len(grams)))) + 1)
-        self.shift = np.uint64(64 - bits)
-        self.begins = np.searchsorted(self.keys >> self.shift, np.arange(2**bits + 1, dtype=np.uint64)).astype(np.int32)
-        self.logp = np.full((len(grams), len(self.langs)), np.nan, dtype=np.float32)
-        self.logg = np.zeros((len(grams), len(self.langs)), dtype=np.float32)
-        letters = {g for g in grams if len(g) == 1}
-        self.floor = -np.log2(len(letters) + 1.0)
-        for column, lang in enumerate(self.langs):
-            own = counts[counts["lang"] == lang]
-            self._fit(dict(zip(own["gram"], own["n"].astype(float))), place, column)
-
-    def _fit(self, raw: dict[str, float], place: dict[str, int], column: int) -> None:
-        by_order: list[dict[str, float]] = [{} for _ in range(self.order + 1)]
-        for gram, n in raw.items():
-            by_order[len(gram)][gram] = n
-        used: list[dict[str, float]] = [{} for _ in range(self.order + 1)]
-        used[self.order] = by_order[self.order]
-        for k in range(self.order - 1, 0, -1):
-            # lower orders count the distinct characters before a gram; a word's first grams have none, and keep
-            # their plain counts
-            follow: Counter = Counter(g[1:] for g in by_order[k + 1])
-            used[k] = {g: float(follow[g]) if g[0] != MARK and g in follow else n for g, n in by_order[k].items()}
-        before: dict[str, float] = {}
-        uniform = 2.0**self.floor
-        for k in range(1, self.order + 1):
-            grams = used[k]
-            values = Counter(min(3, int(v)) for v in grams.values())
-            discount = values[1] / (values[1] + 2 * values[2]) if values[1] and values[2] else 0.5
-            total: dict[str, float] = {}
-            kinds: Counter = Counter()
-            for g, v in grams.items():
-                total[g[:-1]] = total.get(g[:-1], 0.0) + v
-                kinds[g[:-1]] += 1
-            weight = {c: discount * kinds[c] / t for c, t in total.items()}
-            now = {}
-            for g, v in grams.items():
-                lower = before.get(g[1:], uniform) if k > 1 else uniform
-                now[g] = (v - discount) / total[g[:-1]] + weight[g[:-1]] * lower
-                self.logp[place[g], column] = np.log2(now[g])
-            for c, w in weight.items():
-                if c in place:
-                    self.logg[place[c], column] = np.log2(w)
-                elif not c:
-                    self._unseen(column, np.log2(w) + self.floor)
-            before = now
-
-    def _unseen(self, column: int, value: float) -> None:
-        if not hasattr(self, "unseen"):
-            self.unseen = np.full(len(self.langs), self.floor, dtype=np.float32)
-        self.unseen[column] = value
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each hash among the keys, -1 if it is not there."""
-        lead = (hashes >> self.shift).astype(np.int64)
-        at, stop = self.begins[lead].astype(np.int64), self.begins[lead + 1]
-        out = np.full(len(hashes), -1, dtype=np.int64)
-        open_ = np.nonzero(at < stop)[0]
-        while len(open_):
-            hit = self.keys[at[open_]] == hashes[open_]
-            out[open_[hit]] = at[open_[hit]]
-            open_ = open_[~hit]
-            at[open_] += 1
-            open_ = open_[at[open_] < stop[open_]]
-        return out
+    letters = grams.where(size == 1).select("gram").distinct().count()
+    return grams, [r["lang"] for r in empty], np.array([r["weight"] / (letters + 1.0) for r in empty])
+
+
+def _file(path: str, part: int) -> tuple[pafs.FileSystem, str]:
+    """The shared folder's file system, and the name there of a range's file."""
+    path = re.sub(r"^file:/*", "/", path)
+    system, folder = (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+    return system, f"{folder}/range-{part:06}.arrow"
+
+
+class HashArrays:
+    """The model's files, and scores of words by them. Only names and a row a language travel with it; a worker maps the
+    files at its first lookup."""
+
+    def __init__(self, path: str, bits: int, langs: list[str], unseen: np.ndarray, order: int = ORDER):
+        self.path, self.bits, self.langs, self.unseen, self.order = path, bits, langs, unseen, order
+        self._open: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_open": {}}
+
+    def parts(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), dtype=np.int64)
+
+    def write(self, part: int, hashes: np.ndarray, lang: np.ndarray, own: np.ndarray, weight: np.ndarray) -> None:
+        """One range as a file, sorted by hash and language; a repeated task writes the same file."""
+        by = np.lexsort((lang, hashes))
+        table = pa.table({"hash": hashes[by], "lang": lang[by].astype(np.int32), "own": own[by].astype(np.float32),
+                          "weight": weight[by].astype(np.float32)})
+        system, name = _file(self.path, part)
+        system.create_dir(name.rpartition("/")[0], recursive=True)
+        started = f"{name}.{uuid.uuid4().hex}"
+        with system.open_output_stream(started) as out, pa.ipc.new_file(out, table.schema) as writer:
+            writer.write_table(table.combine_chunks())
+        if system.get_file_info(name).type == pafs.FileType.NotFound:
+            system.move(started, name)
+        else:
+            system.delete_file(started)
+
+    def entries(self, part: int) -> tuple[np.ndarray, ...]:
+        """Hashes, ascending, languages, own shares and weights of a range; no copies of a local file."""
+        if part not in self._open:
+            system, name = _file(self.path, part)
+            if system.get_file_info(name).type == pafs.FileType.NotFound:  # no n-gram falls into this range
+                found = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.float32))
+            else:
+                local = isinstance(system, pafs.LocalFileSystem)
+                source = pa.memory_map(name) if local else pa.BufferReader(system.open_input_file(name).read_buffer())
+                table = pa.ipc.open_file(source).read_all()
+                found = tuple(table.column(c).chunk(0).to_numpy() if table.num_rows else np.zeros(0)
+                              for c in ("hash", "lang", "own", "weight"))
+            self._open[part] = found
+        return self._open[part]
+
+    def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Own shares and weights of n-grams by language, with a last row for those that are not there."""
+        own = np.zeros((len(hashes) + 1, len(self.langs)), dtype=np.float32)
+        weight = np.ones((len(hashes) + 1, len(self.langs)), dtype=np.float32)
+        part = self.parts(hashes)
+        for p in np.unique(part).tolist():
+            keys, lang, shares, weights = self.entries(p)
+            mine = np.flatnonzero(part == p)
+            first, stop = (np.searchsorted(keys, hashes[mine], side) for side in ("left", "right"))
+            count = stop - first
+            row = np.repeat(mine, count)
+            at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            own[row, lang[at]], weight[row, lang[at]] = shares[at], weights[at]
+        return own, weight
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Bits of each word in each language, its end included: array (words, languages)."""
-        w = Windows(words)
-        n = len(w.codes)
-        found = np.full((self.order + 1, n), -1, dtype=np.int64)
-        for k in range(1, self.order + 1):
-            ends = w.ends(k)
-            found[k, ends] = self._find(w.hashes(k, ends))
-        # the leading mark is a context of the first letters only
-        found[1, 0] = self._find(gram_hashes([MARK]))[0]
-        out = np.empty((len(words), len(self.langs)))
-        for column in range(len(self.langs)):
-            logp, logg = self.logp[:, column], self.logg[:, column]
-            score = np.where(found[1] >= 0, logp[found[1]], np.nan)
-            score = np.where(np.isnan(score), self.unseen[column], score)
-            for k in range(2, self.order + 1):
-                ends = w.ends(k)
-                here, context = found[k, ends], found[k - 1, ends - 1]
-                whole = np.where(here >= 0, logp[here], np.nan)
-                back = score[ends] + np.where(context >= 0, logg[context], np.float32(0))
-                score[ends] = np.where(np.isnan(whole), back, whole)
-            out[:, column] = np.bincount(w.owner[1:], weights=-score[1:], minlength=len(words))
-        return out
-
-
-def text_blocks(docs: DataFrame, n_langs: int, order: int = ORDER) -> DataFrame:
-    """Rows (doc_id, held_out, lang, text) in blocks, written once, in buckets: a join by block moves no texts."""
-    # as a row, a window takes some 240 bytes besides its scores
-    most = max(1, BLOCK_BYTES // (4 * n_langs + 240))
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        rows: list[tuple] = []
-        place: dict[str, int] = {}
-        at, size, fresh, keys = array("i"), 0, [], np.zeros(0, dtype=np.uint64)
-
-        def flush() -> pa.RecordBatch:
-            windows = longest_of(list(place), order)[1]
-            ids, held, lang, letter, n, length = zip(*rows)
-            return pa.RecordBatch.from_pydict({
-                "block": pa.array([block], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())),
-                "held": pa.array([held], pa.list_(pa.bool_())), "langs": pa.array([lang], pa.list_(pa.string())),
-                "letters": pa.array([letter], pa.list_(pa.bool_())), "n": pa.array([n], pa.list_(pa.int32())),
-                "lengths": pa.array([length], pa.list_(pa.int64())),
-                "words": pa.array([zlib.compress(MARK.join(place).encode(), 1)], pa.binary()),
-                # all low bytes, then all next ones: the high ones are nearly all 0
-                "places": pa.array([zlib.compress(np.frombuffer(at.tobytes(), np.uint8).reshape(-1, 4).T.tobytes(), 1)],
-                                   pa.binary()),
-                "windows": pa.array([windows], pa.list_(pa.string()))})
+        step = max(200, PART_WORDS // max(1, len(self.langs) // 8))
+        parts = [self._scores(words[i:i + step]) for i in range(0, len(words), step)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.langs)))
 
+    def _scores(self, words: list[str]) -> np.ndarray:
+        w = Windows(words)
+        ends = [w.ends(k) for k in range(1, self.order + 1)]
+        ends[0] = np.concatenate([[0], ends[0]])  # the leading mark is a context of the first letters
+        hashed = [w.hashes(k, e) for k, e in enumerate(ends, 1)]
+        keys, place = np.unique(np.concatenate(hashed), return_inverse=True)
+        own, weight = self.lookup(keys)
+        found = np.full((self.order, len(w.codes)), len(keys))
+        start = 0
+        for k, e in enumerate(ends):
+            found[k, e] = place[start:start + len(e)]
+            start += len(e)
+        p = own[found[0]] + self.unseen
+        for k in range(1, self.order):
+            e = ends[k]
+            p[e] = own[found[k, e]] + weight[found[k - 1, e - 1]] * p[e]
+        bits = -np.log2(p)
+        return np.stack([np.bincount(w.owner[1:], weights=bits[1:, c], minlength=len(words))
+                         for c in range(len(self.langs))], axis=1)
+
+
+def hash_arrays(model: tuple[DataFrame, list[str], np.ndarray], order: int = ORDER) -> HashArrays:
+    """The model as files of the shared folder, one for each range of hashes."""
+    grams, langs, unseen = model
+    ranges = max(1, -(-grams.count() // RANGE_ENTRIES))
+    arrays = HashArrays(scratch_dir(grams.sparkSession, "langid-arrays"), (ranges - 1).bit_length(), langs, unseen, order)
+    numbers = {x: i for i, x in enumerate(langs)}
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, held, lang, text in zip(*map(strings, batch.columns)):
-                text = text or ""
-                split = pieces(text)
-                fresh += {w for w in split if w not in place}
-                at.extend([place.setdefault(w, len(place)) for w in split])
-                rows.append((doc_id, held, lang, has_letter(text), len(split), sum(map(len, split)) + len(split)))
-                size += len(text) + 1
-                if len(fresh) >= PART_WORDS // 20:
-                    keys, fresh = np.union1d(keys, longest_of(fresh, order)[0]), []
-                if size >= BLOCK_CHARS or max(len(keys), len(rows)) >= most:
-                    yield flush()
-                    block, rows, place, at = block + 1, [], {}, array("i")
-                    size, fresh, keys = 0, [], np.zeros(0, dtype=np.uint64)
-        if rows:
-            yield flush()
-
-    spark = docs.sparkSession
-    path = scratch_dir(spark, "langid-blocks")
-    name = "langid_blocks_" + path[-12:]
-    docs.select("doc_id", "held_out", "lang", "text").mapInArrow(
-        deal, "block long, ids array<long>, held array<boolean>, langs array<string>, letters array<boolean>, n array<int>, "
-              "lengths array<long>, words binary, places binary, windows array<string>") \
-        .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", path) \
-        .format("parquet").saveAsTable(name)
-    return spark.table(name)
-
-
-def entropies(docs: DataFrame, model: tuple[DataFrame, Characters], order: int = ORDER) -> DataFrame:
+            hashes = gram_hashes(batch.column(1).to_pylist())
+            lang = pa.array([numbers[x] for x in batch.column(0).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(arrays.parts(hashes)), pa.array(hashes.view(np.int64)), lang,
+                                              batch.column(2), batch.column(3)], names=["part", "hash", "lang", "own", "weight"])
+
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        arrays.write(key[0].as_py(), table.column("hash").to_numpy().view(np.uint64),
+                     *(table.column(c).to_numpy() for c in ("lang", "own", "weight")))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([table.num_rows], pa.int64())})
+
+    numbered = grams.select("lang", "gram", "own", "weight").mapInArrow(
+        number, "part long, hash long, lang int, own double, weight double")
+    written = numbered.groupBy("part").applyInArrow(write, "part long, n long")
+    rewritten(written, "langid-ranges")
+    return arrays
+
+
+def segments(text: str, most: int = PART_CHARS) -> Iterator[str]:
+    """The text in parts of about ``most`` characters that end at white space."""
+    at = 0
+    while len(text) - at > most:
+        cut = _SPACE.search(text, at + most)
+        if cut is None:
+            break
+        yield text[at:cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
+_SPACE = re.compile(r"\s")
+
+
+def entropies(docs: DataFrame, arrays: HashArrays) -> DataFrame:
     """(doc_id, held_out, lang, letter, entropy) of every row: bits per character in each language, written once."""
-    grams, chars = model
-    width = len(chars.langs)
-    blocks = text_blocks(docs, width, order)
-    shown = blocks.select("block", F.posexplode("windows").alias("pos", "window"))
-    bits = window_bits(shown.select("window").distinct(), grams, chars, order)
-    back = shown.join(bits, "window").groupBy("block").agg(F.collect_list(F.struct("pos", "bits")).alias("bits"))
+    width = len(arrays.langs)
+    most = min(HELD_WORDS, HELD_BYTES // (8 * width))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[str, int] = {}
+        known = np.zeros((0, width))
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids, held, langs, letters, n, lengths = (batch.column(c).slice(i, 1).flatten() for c in range(6))
-                total = np.zeros((len(ids), width))
-                planes = np.frombuffer(zlib.decompress(batch.column(7)[i].as_py()), dtype=np.uint8)
-                places = planes.reshape(4, -1).T.copy().view(np.int32).ravel()
-                if len(places):
-                    words = zlib.decompress(batch.column(6)[i].as_py()).decode().split(MARK)
-                    keys, _ = longest_of(words, order)
-                    flat = batch.column(8).slice(i, 1).flatten()
-                    known = np.empty((len(flat), width), dtype=np.float32)
-                    known[flat.field("pos").to_numpy(False)] = np.frombuffer(
-                        b"".join(flat.field("bits").to_pylist()), dtype=np.float32).reshape(-1, width)
-                    of_word = np.empty((len(words), width))
-                    for start in range(0, len(words), PART_WORDS):
-                        w = Windows(words[start:start + PART_WORDS])
-                        here, _, group = w.longest(order)
-                        at = np.searchsorted(keys, here)[group]
-                        for column in range(width):
-                            of_word[start:start + PART_WORDS, column] = np.bincount(w.owner[1:], weights=known[at, column])
-                    owner = np.repeat(np.arange(len(ids)), n.to_numpy(False))
-                    for column in range(width):
-                        total[:, column] = np.bincount(owner, weights=of_word[places, column], minlength=len(ids))
-                    total /= np.maximum(lengths.to_numpy(False), 1)[:, None]
-                each = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * width, total.ravel())
-                yield pa.RecordBatch.from_arrays([ids, held, langs, letters, each],
-                                                 names=["doc_id", "held_out", "lang", "letter", "entropy"])
-
-    return rewritten(
-        blocks.join(back, "block", "left").select("ids", "held", "langs", "letters", "n", "lengths", "words", "places", "bits")
-        .mapInArrow(score, "doc_id long, held_out boolean, lang string, letter boolean, entropy array<double>"),
-        "langid-entropies")
-
-
-def calibrate(scored: DataFrame, langs: list[str], sample: int = CALIBRATION_TEXTS) -> tuple[float, dict[str, float]]:
-    """Sharpness of the scores, and the cross-entropy beyond which a text of a language is rejected."""
+            ids, held, langs, texts = batch.columns
+            total, letter = np.zeros((batch.num_rows, width)), np.zeros(batch.num_rows, dtype=bool)
+            size = np.zeros(batch.num_rows, dtype=np.int64)
+            held_parts: list[tuple[int, list[str]]] = []
+            waiting = 0
+
+            def add_up() -> None:
+                nonlocal known, waiting
+                fresh = list({w for _, words in held_parts for w in words if w not in place})
+                if len(place) + len(fresh) > most and place:
+                    place.clear()
+                    known, fresh = np.zeros((0, width)), list({w for _, words in held_parts for w in words})
+                place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
+                known = np.concatenate([known, arrays.word_scores(fresh)]) if fresh else known
+                for row, words in held_parts:
+                    at = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
+                    total[row] += known[at].sum(axis=0)
+                held_parts.clear()
+                waiting = 0
+
+            for row, text in enumerate(strings(texts)):
+                letter[row] = has_letter(text or "")
+                for part in segments(text or ""):
+                    words = pieces(part)
+                    if words:
+                        size[row] += sum(map(len, words)) + len(words)
+                        held_parts.append((row, words))
+                        waiting += len(part)
+                    if waiting >= PART_CHARS:
+                        add_up()
+            add_up()
+            total /= np.maximum(size, 1)[:, None]
+            each = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * width, total.ravel())
+            yield pa.RecordBatch.from_arrays([ids, held, langs, pa.array(letter), each],
+                                             names=["doc_id", "held_out", "lang", "letter", "entropy"])
+
+    return rewritten(docs.select("doc_id", "held_out", "lang", "text").mapInArrow(
+        score, "doc_id long, held_out boolean, lang string, letter boolean, entropy array<double>"), "langid-entropies")
+
+
+def calibrate(scored: DataFrame, langs: list[str]) -> tuple[float, dict[str, float]]:
+    """Sharpness of the scores, and the cross-entropy beyond which a text of a language is rejected, from all training
+    texts: two aggregates with a row a language at most."""
     own = F.array_position(F.lit(langs), F.col("lang")).cast("int")
     taught = scored.where(~F.col("held_out") & F.col("letter") & F.col("lang").isNotNull())
-    few = bounded_sample(taught.withColumn("text", F.to_json(F.struct("entropy"))), sample)
     lead = F.array_min(F.filter("entropy", lambda e, i: i + 1 != own)) - F.element_at("entropy", own)
-    seen = few.select("lang", F.element_at("entropy", own).alias("own"), F.coalesce(lead, F.lit(1.0)).alias("lead")).toPandas()
+    seen = taught.select("lang", F.element_at("entropy", own).alias("own"), F.coalesce(lead, F.lit(1.0)).alias("lead"))
+    found = seen.groupBy("lang").agg(F.percentile_approx("own", ACCEPTED).alias("limit")).collect()
     # unlike the text itself, a text of the training set has been seen by the model; the slack allows for that
-    limits = {}
-    for lang in langs:
-        found = np.sort(seen.loc[seen["lang"] == lang, "own"].to_numpy())
-        limits[lang] = float(found[min(len(found) - 1, int(ACCEPTED * len(found)))] * 1.25) if len(found) else float("inf")
-    lead = seen["lead"].to_numpy()
-    right = lead[lead > 0]
-    return float(np.clip(4.0 / np.median(right), 1.0, 64.0)) if len(right) else 8.0, limits
+    limits = dict.fromkeys(langs, float("inf")) | {r["lang"]: 1.25 * r["limit"] for r in found}
+    middle = seen.where("lead > 0").agg(F.percentile_approx("lead", 0.5)).first()[0]
+    return float(np.clip(4.0 / middle, 1.0, 64.0)) if middle else 8.0, limits
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -508,8 +402,8 @@ def identify(docs: DataFrame) -> DataFrame:
     if model is None:
         return docs.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(True).alias("rejected"))
-    langs = model[1].langs
-    scored = entropies(docs, model)
+    langs = model[1]
+    scored = entropies(docs, hash_arrays(model))
     sharpness, limits = calibrate(scored, langs)
     least, letter = F.array_min("entropy"), F.col("letter")
     best = F.array_position("entropy", least).cast("int")

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from strandline.llm import bpe, bucket_digest, langid, mixing, secrets, toxicity
 
@@ -118,7 +119,7 @@ def test_mix_documents(spark, odd, empty):
 
 # ---- language -------------------------------------------------------------
 
-def test_kneser_ney_equals_the_recursive_definition():
+def test_kneser_ney_equals_the_recursive_definition(spark, monkeypatch):
     def plain(words, order=4):
         out = Counter()
         for w, n in words.items():
@@ -133,7 +134,11 @@ def test_kneser_ney_equals_the_recursive_definition():
     grams, n = langid.ngrams(vocab[0])
     assert dict(zip(grams, n.tolist())) == counts[0]
     table = pd.concat([pd.DataFrame({"lang": x, "gram": list(c), "n": list(c.values())}) for x, c in zip("ab", counts)])
-    model = langid.KneserNey(table)
+    monkeypatch.setattr(langid, "RANGE_ENTRIES", 500)  # several files
+    model = langid.hash_arrays(langid.model_tables(spark.createDataFrame(table.astype({"n": int}), "lang string, gram string, n long")))
+    assert model.bits > 1 and model.langs == ["a", "b"]
+    entries = [model.entries(p) for p in range(2**model.bits)]
+    assert sum(len(e[0]) for e in entries) == len(table) and all((np.diff(e[0].astype(float)) >= 0).all() for e in entries)
     letters = len({g for g in table["gram"] if len(g) == 1})
 
     def probability(raw):
@@ -188,17 +193,29 @@ def test_language_model_keeps_every_gram_at_any_size(spark):
     assert [r[2] for r in rows[100:]] == out.loc[[r[0] for r in rows[100:]], "lang_pred"].tolist()
 
 
-def test_language_model_tables_equal_the_plain_version(spark):
+def test_texts_add_up_their_words(spark, monkeypatch):
     rows = [(lang, prose(60, letters)) for lang, letters in (("l1", "abcdeé"), ("l2", "cdefgü"), ("l3", "xa")) for _ in range(5)]
     counts = langid.count_ngrams(spark.createDataFrame(rows, "lang string, text string")).cache()
-    plain = langid.KneserNey(counts.toPandas())
-    docs = [(i, False, "l1", t) for i, t in enumerate([*(t for _, t in rows), "a", "zzz aбc", "", "cd fgü" * 30])]
-    got = langid.entropies(spark.createDataFrame(docs, "doc_id long, held_out boolean, lang string, text string"),
-                           langid.model_tables(counts)).toPandas().set_index("doc_id")["entropy"]
+    model = langid.hash_arrays(langid.model_tables(counts))
+    docs = [(i, False, "l1", t) for i, t in enumerate([*(t for _, t in rows), "a", "zzz aбc", "", None, "cd fgü" * 30, "ab cd " * 5000])]
+    df = spark.createDataFrame(docs, "doc_id long, held_out boolean, lang string, text string")
+    got = langid.entropies(df, model).toPandas().set_index("doc_id")["entropy"]
     for i, _, _, t in docs:
-        split = langid.pieces(t)
-        want = plain.word_scores(split).sum(axis=0) / (sum(map(len, split)) + len(split)) if split else np.zeros(3)
-        assert got[i] == pytest.approx(want, abs=1e-4)
+        split = langid.pieces(t or "")
+        want = sum(model.word_scores([w])[0] for w in split[:2000]) if len(split) <= 2000 else None
+        if split and want is not None:
+            assert got[i] == pytest.approx(want / (sum(map(len, split)) + len(split)), abs=1e-4)
+        elif not split:
+            assert list(got[i]) == [0.0] * 3
+    assert list(langid.segments("ab cd  ef" * 3, 4)) and " ".join(langid.segments("ab cd ef " * 3, 4)).split() == ("ab cd ef " * 3).split()
+
+
+def test_every_language_has_a_limit_however_rare(spark):
+    rows = [doc(i, prose(20, "abcdefg"), "hot") for i in range(400)] + [doc(1000 + i, prose(20, "xyzuvw"), "rare") for i in range(6)]
+    taught = spark.createDataFrame(rows, DOCS).withColumn("held_out", F.lit(False))
+    odd = spark.createDataFrame([doc(5000, "ωψχ φυτσ ρπο ξνμ", "rare")], DOCS).withColumn("held_out", F.lit(True))
+    got = {r["doc_id"]: r["rejected"] for r in langid.identify(taught.unionByName(odd)).collect()}
+    assert got[5000] and not any(got[i] for i in range(1000, 1006))
 
 
 # ---- secrets --------------------------------------------------------------
