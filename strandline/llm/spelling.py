@@ -148,8 +148,9 @@ def links(words: DataFrame, n: int = PIECES) -> DataFrame:
 
 def forms(words: DataFrame, near: DataFrame, ratio: int = RATIO) -> DataFrame:
     """(word, n, n_near, form, form_n) of every word."""
-    both = near.select(F.col("u").alias("word"), F.col("v").alias("other"), F.col("nv").alias("m")).unionByName(
-        near.select(F.col("v").alias("word"), F.col("u").alias("other"), F.col("nu").alias("m")))
+    ends = F.array(F.struct(F.col("u").alias("word"), F.col("v").alias("other"), F.col("nv").alias("m")),
+                   F.struct(F.col("v").alias("word"), F.col("u").alias("other"), F.col("nu").alias("m")))
+    both = near.select(F.explode(ends).alias("e")).select("e.*")
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("top"))
     ok = -F.col("top.m") >= ratio * F.col("n")
