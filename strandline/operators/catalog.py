@@ -235,14 +235,37 @@ def not_yet_done(ids: DataFrame, done: DataFrame) -> DataFrame:
     return ids.join(done, ids.columns[0], "left_anti")
 
 
+def _open_requests(open_analyses: DataFrame, status: DataFrame, request: str | None) -> DataFrame:
+    """(analysis_id, _open): analyses of requests of which an analysis is open. Without a request column all analyses are
+    one request, so the table has one row for all (NULL id) or none."""
+    if request is None:
+        return open_analyses.limit(1).select(F.lit(None).cast("string").alias("analysis_id"))
+    of = status.select(F.col("analysis_id"), F.col(request).alias("_r")).distinct()
+    late = of.join(open_analyses, "analysis_id", "left_semi").select("_r").distinct()
+    held = of.join(late, of["_r"].eqNullSafe(late["_r"]), "left_semi").select("analysis_id")
+    return held.unionByName(open_analyses).distinct()
+
+
+def _of_finished_requests(keys: DataFrame, held: DataFrame, request: str | None) -> DataFrame:
+    """Keys (object_key, analysis_id) whose request has no open analysis."""
+    if request is None:  # one row or none
+        any_open = held.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+        return keys.where(any_open == 0)
+    h = held.select(F.col("analysis_id").alias("_h"))
+    return keys.join(h, F.col("analysis_id") == F.col("_h"), "left_anti")
+
+
 def cleanup_plan(keys: DataFrame, status: DataFrame, exchange: DataFrame | None = None, env: str = "prod",
-                 key_col: str = "object_key") -> DataFrame:
+                 key_col: str = "object_key", request: str | None = None) -> DataFrame:
     """(object_key, reason) of the keys to delete after a run; nothing is deleted here. Only listed keys are planned:
 
     * ``completed_status`` / ``completed_id``: the status marker and the id marker of a member whose status is COMPLETED;
-    * ``shared_marker``: the shared marker of an analysis of which no other status marker remains;
-    * ``exchange_vcf``: the copies ``{env}/{analysis_id}/...`` in the listing of the exchange area, of the same analyses.
+    * ``shared_marker``: the shared marker of an analysis whose request is finished;
+    * ``exchange_vcf``: the copies ``{env}/{analysis_id}/...`` in the listing of the exchange area, likewise.
 
+    A request is finished when no analysis of it is open: none has a status that is not COMPLETED, be its marker listed or
+    not, and no status marker without a known status is listed. ``request`` names the column of ``status`` that says which
+    request an analysis belongs to; without it all analyses are one request.
     ``status``: (analysis_id, aliquot_id, status), a row per marker; aliquot_id is NULL where the key says ``null``.
     ``exchange``: the listing of the exchange bucket, a bucket of its own; the pipeline's output is never planned.
     """
@@ -256,29 +279,31 @@ def cleanup_plan(keys: DataFrame, status: DataFrame, exchange: DataFrame | None
     is_status, is_id = F.col("_name") == STATUS_MARKER, F.col("_name") == ID_MARKER
     markers = member.where("_done").where(is_status | is_id).select(
         "object_key", F.when(is_status, "completed_status").otherwise("completed_id").alias("reason"))
-    open_ = member.where(is_status & ~F.col("_done")).select("analysis_id").distinct()
-    shared = landing.where(F.col("_name") == SHARED_MARKER).join(open_, "analysis_id", "left_anti").select(
-        "object_key", F.lit("shared_marker").alias("reason"))
-    out = markers.unionByName(shared)
+    open_ = member.where(is_status & ~F.col("_done")).select("analysis_id").unionByName(
+        status.where(~F.coalesce(F.col("status") == "COMPLETED", F.lit(False))).select("analysis_id")).distinct()
+    held = _open_requests(open_, status, request)
+    shared = _of_finished_requests(landing.where(F.col("_name") == SHARED_MARKER).select("object_key", "analysis_id"), held, request)
+    out = markers.unionByName(shared.select("object_key", F.lit("shared_marker").alias("reason")))
     if exchange is not None:
         copies = exchange.where(F.col(key_col).startswith(f"{env}/") & F.col(key_col).endswith(SNV_GERMLINE)).select(
             F.col(key_col).alias("object_key"), F.split(F.col(key_col), "/").getItem(env.count("/") + 1).alias("analysis_id"))
-        known = status.select("analysis_id").distinct()
-        out = out.unionByName(copies.join(known, "analysis_id", "left_semi").join(open_, "analysis_id", "left_anti")
+        known = copies.join(status.select("analysis_id").distinct(), "analysis_id", "left_semi").select("object_key", "analysis_id")
+        out = out.unionByName(_of_finished_requests(known, held, request)
                               .select("object_key", F.lit("exchange_vcf").alias("reason")))
     return out.distinct()
 
 
 def cleanup_tasks(keys: DataFrame, status: DataFrame, exchange: DataFrame | None = None,
-                  key_col: str = "object_key") -> DataFrame:
+                  key_col: str = "object_key", request: str | None = None) -> DataFrame:
     """(object_key, reason) of the keys to delete for the service that works per analysis; nothing is deleted here.
     Only listed keys are planned:
 
     * ``finished_status`` / ``finished_task``: the status and the task marker of an analysis whose status is FAILURE,
       or SUCCESS with its result listed;
-    * ``import_vcf``: every ``.vcf`` / ``.vcf.gz`` below ``{analysis_id}/`` in the listing of the import area.
+    * ``import_vcf``: every ``.vcf`` / ``.vcf.gz`` below ``{analysis_id}/`` in the listing of the import area, once every
+      analysis of its request has the status SUCCESS or FAILURE: what a running one reads is never planned.
 
-    ``status``: (analysis_id, status), one row per analysis of the request.
+    ``status``: (analysis_id, status), one row per analysis of the request; ``request`` as in :func:`cleanup_plan`.
     """
     landing = keys.where(F.col(key_col).startswith(TASK_ROOT)).select(
         F.col(key_col).alias("object_key"), path_param(F.col(key_col), "analysis_id").alias("analysis_id"),
@@ -296,7 +321,9 @@ def cleanup_tasks(keys: DataFrame, status: DataFrame, exchange: DataFrame | None
         copies = exchange.where(F.col(key_col).endswith(".vcf") | F.col(key_col).endswith(".vcf.gz")).where(
             F.col(key_col).contains("/")).select(
             F.col(key_col).alias("object_key"), F.substring_index(F.col(key_col), "/", 1).alias("analysis_id"))
-        out = out.unionByName(copies.join(status.select("analysis_id").distinct(), "analysis_id", "left_semi")
+        known = copies.join(status.select("analysis_id").distinct(), "analysis_id", "left_semi").select("object_key", "analysis_id")
+        open_ = status.where(~F.coalesce(F.col("status").isin("SUCCESS", "FAILURE"), F.lit(False))).select("analysis_id").distinct()
+        out = out.unionByName(_of_finished_requests(known, _open_requests(open_, status, request), request)
                               .select("object_key", F.lit("import_vcf").alias("reason")))
     return out.distinct()
 

@@ -191,8 +191,9 @@ def enrich_spliceai(spliceai: DataFrame) -> DataFrame:
 
 
 def import_dbnsfp(spark: SparkSession, path: str, numeric: list[str]) -> DataFrame:
-    df = formats.read_tsv(spark, path)
-    return df.select(*[F.col(c).cast("double").alias(c) if c in numeric else F.col(c) for c in df.columns])
+    """dbNSFP rows with the ``numeric`` columns as numbers; values that are none (lists by transcript, for instance) are
+    NULL here and rows of :func:`typed_rejects`."""
+    return _typed(formats.read_tsv(spark, path), numeric)
 
 
 def import_dbnsfp_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -201,10 +202,18 @@ def import_dbnsfp_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _typed(df: DataFrame, numeric: list[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in numeric else F.col(f"`{c}`")
+    return df.select(*[F.col(f"`{c}`").try_cast("double").alias(c) if c in numeric else F.col(f"`{c}`")
                        for c in df.columns])
 
 
+def typed_rejects(df: DataFrame, numeric: list[str], key: list[str]) -> DataFrame:
+    """(key..., field, value) of the texts in ``numeric`` columns that are no numbers."""
+    bad = [F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("value"),
+                    F.col(f"`{c}`").try_cast("double").isNull().alias("null")) for c in numeric]
+    return df.select(*key, F.explode(F.array(*bad)).alias("b")).where("b.value IS NOT NULL AND b.null").select(
+        *key, "b.field", "b.value")
+
+
 def import_gnomad_constraint(spark: SparkSession, path: str, numeric: list[str] | None = None) -> DataFrame:
     """Constraint metrics TSV (block-gzip must be landed with a ``.gz`` name;
     gzip is not splittable, so each file is one task)."""

@@ -65,10 +65,10 @@ def next_release(names: DataFrame, explicit: str | None = None, **kw) -> DataFra
 
 
 def previous_release(release: Column, n: int = 2) -> tuple[Column, Column]:
-    """(previous id, status): status ``ok``, ``invalid`` (not re_NNN) or
-    ``none`` (would be below zero)."""
-    valid = release.startswith(RELEASE_PREFIX) & (F.length(release) == 6) & release.rlike(r"^re_\d{3}$")
-    num = F.when(valid, F.substring(release, 4, 3).cast("int") - n)
+    """(previous id, status): status ``ok``, ``invalid`` (no id that :func:`release_id` makes: three digits, or more without
+    a leading zero) or ``none`` (would be below zero)."""
+    valid = release.rlike(r"^re_(\d{3}|[1-9]\d{3,8})$")
+    num = F.when(valid, F.substring(release, 4, 9).cast("int") - n)
     status = F.when(~valid, "invalid").when(num < 0, "none").otherwise("ok")
     prev = F.when(valid & (num >= 0), release_id(num))
     return prev, status

@@ -420,8 +420,10 @@ def variant_suggestions(variants: DataFrame) -> DataFrame:
 
 
 def document_hash(cols: Sequence[str]) -> Column:
-    """Key hash used by the duplicate-document test; a NULL keeps its place."""
-    return F.sha1(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in cols]))
+    """Key hash used by the duplicate-document test. Each part goes in with its length before it, so no separator inside a
+    value makes two keys alike; a NULL keeps its place as ``-``."""
+    text = [F.col(c).cast("string") for c in cols]
+    return F.sha1(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]))
 
 
 def incremental_load(spark, path: str, new_rows: DataFrame, steps: str, key: str = "analysis_id",

@@ -276,7 +276,8 @@ def _listing_sql(parts):
 WITH lk AS ({_listing_sql(_LANDING)}), ex AS ({_listing_sql(_EXCHANGE)}),
 st AS (SELECT object_key, regexp_extract(object_key, 'analysis_id=([^/=]*)', 1) AS analysis_id,
               arg_max({_READY}, object_id) AS status FROM object_keys WHERE {_MARKS} GROUP BY ALL),
-opened AS (SELECT DISTINCT analysis_id FROM st WHERE status <> 'COMPLETED')
+late AS (SELECT DISTINCT right(analysis_id, 3) AS request FROM st WHERE status <> 'COMPLETED'),
+opened AS (SELECT DISTINCT analysis_id FROM st WHERE right(analysis_id, 3) IN (SELECT request FROM late))
 SELECT object_key, 'completed_status' AS reason FROM st WHERE status = 'COMPLETED'
 UNION SELECT lk.object_key, 'completed_id' FROM lk JOIN st
       ON lk.object_key = replace(st.object_key, '_FRANKLIN_STATUS_.txt', '_FRANKLIN_ID_.txt') WHERE status = 'COMPLETED'
@@ -292,7 +293,9 @@ def _(v):
     status = marks.groupBy("object_key").agg(F.expr(f"max_by({_READY}, object_id)").alias("status")).select(
         cat.path_param(F.col("object_key"), "analysis_id").alias("analysis_id"),
         cat.path_param(F.col("object_key"), "aliquot_id").alias("aliquot_id"), "status")
-    return cat.cleanup_plan(_listing(v, _LANDING), status, _listing(v, _EXCHANGE))
+    # analyses whose ids end alike are a request
+    return cat.cleanup_plan(_listing(v, _LANDING), status.withColumn("request", F.expr("right(analysis_id, 3)")),
+                            _listing(v, _EXCHANGE), request="request")
 
 
 @witness("cat_cleanup_tasks", f"""
@@ -300,16 +303,18 @@ WITH lk AS ({_listing_sql(_LANDING)}), im AS ({_listing_sql(_IMPORT)}),
 st AS (SELECT analysis_id, status FROM status_events
        QUALIFY row_number() OVER (PARTITION BY analysis_id ORDER BY ts DESC, event_id DESC) = 1),
 dir AS (SELECT *, 'raw/landing/phenovar/analysis_id=' || analysis_id || '/' AS d FROM st),
+late AS (SELECT DISTINCT right(analysis_id, 2) AS request FROM st WHERE status NOT IN ('SUCCESS', 'FAILURE')),
 fin AS (SELECT d FROM dir WHERE d || '_PHENOVAR_STATUS_.txt' IN (SELECT object_key FROM lk)
         AND (status = 'FAILURE' OR (status = 'SUCCESS' AND d || 'phenovar_result.json' IN (SELECT object_key FROM lk))))
 SELECT d || '_PHENOVAR_STATUS_.txt' AS object_key, 'finished_status' AS reason FROM fin
 UNION SELECT object_key, 'finished_task' FROM lk WHERE object_key IN (SELECT d || '_PHENOVAR_TASK_ID_.txt' FROM fin)
 UNION SELECT object_key, 'import_vcf' FROM im WHERE (ends_with(object_key, '.vcf') OR ends_with(object_key, '.vcf.gz'))
-      AND split_part(object_key, '/', 1) IN (SELECT analysis_id FROM st)
+      AND split_part(object_key, '/', 1) IN (SELECT analysis_id FROM st WHERE right(analysis_id, 2) NOT IN (SELECT request FROM late))
 """)
 def _(v):
     status = cat.latest_per_key(v.status_events, "analysis_id", [F.col("ts"), F.col("event_id")])
-    return cat.cleanup_tasks(_listing(v, _LANDING), status, _listing(v, _IMPORT))
+    return cat.cleanup_tasks(_listing(v, _LANDING), status.withColumn("request", F.expr("right(analysis_id, 2)")),
+                             _listing(v, _IMPORT), request="request")
 
 
 @witness("cat_not_done", f"""

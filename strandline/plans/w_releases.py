@@ -85,9 +85,9 @@ REL = ("r AS (SELECT DISTINCT CASE WHEN p_size % 10 = 0 THEN 'r_' || CAST(p_part
 
 
 @witness("rel_previous", f"""
-WITH {REL}, c AS (SELECT release, regexp_matches(release, '^re_[0-9]{{3}}$') AS ok,
-                          TRY_CAST(substr(release, 4, 3) AS INTEGER) - 2 AS num FROM r)
-SELECT release, CASE WHEN ok AND num >= 0 THEN 're_' || lpad(CAST(num AS VARCHAR), 3, '0') END AS previous,
+WITH {REL}, c AS (SELECT release, regexp_matches(release, '^re_([0-9]{{3}}|[1-9][0-9]{{3,8}})$') AS ok,
+                          TRY_CAST(substr(release, 4) AS INTEGER) - 2 AS num FROM r)
+SELECT release, CASE WHEN ok AND num >= 0 THEN 're_' || lpad(CAST(num AS VARCHAR), greatest(3, length(CAST(num AS VARCHAR)))::INTEGER, '0') END AS previous,
        CASE WHEN NOT ok THEN 'invalid' WHEN num < 0 THEN 'none' ELSE 'ok' END AS status
 FROM c
 """)

@@ -453,7 +453,8 @@ def _(v):
 
 
 @witness("var_hash", f"""
-WITH {DV} SELECT {K}, sha1(concat_ws('|', chromosome, CAST(start AS VARCHAR), reference, alternate)) AS hash FROM v
+WITH {DV} SELECT {K}, sha1(concat(length(chromosome), ':', chromosome, length(CAST(start AS VARCHAR)), ':', start,
+                              length(reference), ':', reference, length(alternate), ':', alternate)) AS hash FROM v
 """)
 def _(v):
     return _variants(v).select(*var.VARIANT_KEY, var.document_hash(var.VARIANT_KEY).alias("hash"))

@@ -16,6 +16,17 @@ HEADER_RENAMES = {"pos(1-based)": "position_1-based", "hg19_pos(1-based)": "hg19
                   "hg18_pos(1-based)": "phg18_pos_1-based", "#chr": "chr"}
 
 
+def pairs_map(text: Column, pair_sep: str = ";", value_sep: str = "=") -> Column:
+    """``k1=v1;k2=v2;flag`` as map<string,string>: of a key that comes twice the first value counts, a flag has NULL, and
+    empty parts are left out."""
+    cut = F.filter(F.split(text, pair_sep), lambda p: F.length(F.trim(p)) > 0)
+    keys = F.transform(cut, lambda p: F.trim(F.substring_index(p, value_sep, 1)))
+    first = F.array_distinct(keys)
+    value = F.transform(first, lambda k: F.element_at(cut, F.array_position(keys, k).cast("int")))
+    return F.map_from_arrays(first, F.transform(value, lambda p: F.when(
+        F.contains(p, F.lit(value_sep)), F.substr(p, F.instr(p, value_sep) + F.lit(len(value_sep))))))
+
+
 # --- VCF -------------------------------------------------------------------
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +42,7 @@ def read_vcf(spark: SparkSession, path: str) -> DataFrame:
         "chromosome", F.col("start").try_cast("bigint").alias("start"), F.nullif("id", F.lit(".")).alias("id"),
         "reference", "alternate", "allele", F.nullif("qual", F.lit(".")).try_cast("double").alias("qual"),
         F.split("filter", ";").alias("filters"),
-        F.when(F.col("info") == ".", F.create_map()).otherwise(F.str_to_map("info", F.lit(";"), F.lit("=")))
+        F.when(F.col("info") == ".", F.create_map()).otherwise(pairs_map(F.col("info")))
         .alias("info"))
 
 
@@ -101,19 +112,20 @@ def read_csv(spark: SparkSession, path: str, renames: dict[str, str] | None = No
 def read_hash_header_tsv(spark: SparkSession, path: str) -> DataFrame:
     """TSV whose header is the last line starting with ``#`` before the first
     data line (other ``#`` lines, including trailing ones, are comments). The
-    header is found with two small aggregates over line positions, then data
-    lines are split by it on the executors."""
+    header is found with two small aggregates over line positions (they run
+    when called), then data lines are split by it on the executors; fields that a
+    short line does not have are NULL."""
     raw = spark.read.text(path).withColumn("_pos", F.monotonically_increasing_id())
     is_comment = F.col("value").startswith("#")
-    first_data = raw.where(~is_comment & (F.length("value") > 0)).agg(F.min("_pos").alias("m")).first()["m"]
-    heads = raw.where(is_comment)
-    if first_data is not None:
-        heads = heads.where(F.col("_pos") < first_data)
-    header_line = heads.agg(F.max_by("value", "_pos").alias("h")).first()["h"]
+    is_data = ~is_comment & (F.length("value") > 0)
+    first = raw.where(is_data).agg(F.min("_pos")).first()[0]
+    before = raw.where(is_comment) if first is None else raw.where(is_comment & (F.col("_pos") < first))
+    header_line = before.agg(F.max_by("value", "_pos").alias("h")).first()["h"]
+    if header_line is None:
+        raise ValueError(f"{path} has no header line")
     names = [normalize_header(c.strip()) for c in header_line.lstrip("#").split("\t")]
-    data = raw.where(~is_comment & (F.length("value") > 0))
     parts = F.split("value", "\t")
-    return data.select(*[F.nullif(parts.getItem(i), F.lit("")).alias(n) for i, n in enumerate(names)])
+    return raw.where(is_data).select(*[F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
 # --- XML -------------------------------------------------------------------
@@ -136,13 +148,14 @@ GFF_COLUMNS = ["seqid", "source", "type", "start", "end", "score", "strand", "ph
 
 
 def read_gff3(spark: SparkSession, path: str) -> DataFrame:
-    """GFF3 records with ``attributes`` as map<string,string>."""
+    """GFF3 records with ``attributes`` as map<string,string>; of a repeated attribute the first counts, positions that
+    are no numbers and fields that a short line does not have are NULL."""
     lines = spark.read.text(path).where(~F.col("value").startswith("#") & (F.length("value") > 0))
     f = F.split("value", "\t")
-    rec = lines.select(*[f.getItem(i).alias(c) for i, c in enumerate(GFF_COLUMNS)])
-    return rec.select("seqid", "source", "type", F.col("start").cast("bigint").alias("start"),
-                      F.col("end").cast("bigint").alias("end"), F.nullif("score", F.lit(".")).alias("score"),
-                      "strand", "phase", F.str_to_map("attributes", F.lit(";"), F.lit("=")).alias("attributes"))
+    rec = lines.select(*[F.get(f, F.lit(i)).alias(c) for i, c in enumerate(GFF_COLUMNS)])
+    return rec.select("seqid", "source", "type", F.col("start").try_cast("bigint").alias("start"),
+                      F.col("end").try_cast("bigint").alias("end"), F.nullif("score", F.lit(".")).alias("score"),
+                      "strand", "phase", pairs_map(F.col("attributes")).alias("attributes"))
 
 
 def gff3_attributes(pairs: Sequence[tuple[str, Column]]) -> Column:
@@ -162,11 +175,14 @@ def write_gff3(df: DataFrame, path: str) -> str:
 # --- OBO -------------------------------------------------------------------
 
 def read_obo(spark: SparkSession, path: str) -> DataFrame:
-    """OBO ``[Term]`` stanzas -> (id, name, parents array, is_obsolete)."""
-    stanzas = spark.read.option("lineSep", "[Term]").text(path)
-    # a stanza ends where the next one of any kind begins: type definitions at the end are not part of the last term
-    stanzas = stanzas.select(F.split("value", r"\n\[", 2)[0].alias("value"))
-    t = stanzas.where(F.col("value").rlike(r"(?m)^id: "))
+    """OBO ``[Term]`` stanzas -> (id, name, parents array, is_obsolete). A stanza begins at a line that starts with
+    ``[``; the same text inside a definition or a comment does not end it."""
+    # records are cut before a line "[Term]"; the first one also holds the header and whatever is before
+    stanzas = spark.read.option("lineSep", "\n[Term]").text(path).select(F.concat(F.lit("\n"), F.col("value")).alias("value"))
+    # stanzas of other kinds, the header, and further lines of the heading are not part of a term
+    stanzas = stanzas.select(F.regexp_replace("value", r"\r", "").alias("value"))
+    stanzas = stanzas.select(F.regexp_replace("value", r"(?s)\n\[(?!Term\]).*$", "").alias("value"))
+    t = stanzas.select(F.regexp_replace("value", r"(?s)^\n\[Term\]", "").alias("value")).where(F.col("value").rlike(r"(?m)^id: "))
     return t.select(
         F.regexp_extract("value", r"(?m)^id: *(\S+)", 1).alias("id"),
         F.regexp_extract("value", r"(?m)^name: *(.*?) *$", 1).alias("name"),
