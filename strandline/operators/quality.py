@@ -1,8 +1,8 @@
 """Table-level data-quality checks. Each check returns a violations DataFrame.
 
-Column profiles (nulls, all-null, constant) are computed in ONE aggregate pass
-over the table for all checked columns, then unpivoted, instead of one job
-per column.
+Column profiles (nulls, all-null, constant) are observed while a table is
+written, or computed in ONE aggregate pass over it for all checked columns,
+then unpivoted, instead of one job per column.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +132,69 @@ def column_checks(df: DataFrame, checks: dict[str, tuple[str, Sequence[str]]]) -
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+class Profile:
+    """Counts of the columns of a table, and of the fields of its structs and arrays of structs, observed while it was
+    written: per block (the table itself is ``""``) and column the rows, the values that are not NULL, and whether all are
+    one value."""
+
+    def __init__(self, metrics: dict[tuple[str, str], tuple[int, int, bool]]):
+        self.metrics = metrics
+
+    def columns(self, blocks: Sequence[str]) -> list[str]:
+        return [c for b, c in self.metrics if b in blocks]
+
+    def violations(self, kind: str, blocks: Sequence[str], columns: Sequence[str]) -> int:
+        """Columns of the blocks that fail a ``no_null``, ``only_null`` or ``same_value`` check."""
+        found = [m for (b, c), m in self.metrics.items() if b in blocks and c in columns]
+        bad = {"no_null": lambda m: m[1] < m[0], "only_null": lambda m: m[1] == 0, "same_value": lambda m: m[2]}[kind]
+        return sum(map(bad, found))
+
+
+def _observed(schema: T.StructType) -> dict[tuple[str, str], tuple[Column, Column, Column, Column]]:
+    """Aggregates of each column and nested field: rows, values, least and greatest."""
+    out = {}
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        v = _ordered(c, f.dataType)
+        out["", f.name] = F.count(F.lit(1)), F.count(c), F.min(v), F.max(v)
+        inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        if not isinstance(inner, T.StructType):
+            continue
+        for g in inner.fields:
+            if inner is f.dataType:
+                x = c.getField(g.name)
+                y = _ordered(x, g.dataType)
+                out[f.name, g.name] = F.count(F.lit(1)), F.count(x), F.min(y), F.max(y)
+            else:
+                there, values = _elements(c, g)
+                n = [F.sum(F.coalesce(F.greatest(F.size(a), F.lit(0)), F.lit(0)).cast("bigint")) for a in (c, there)]
+                out[f.name, g.name] = *n, F.min(F.array_min(values)), F.max(F.array_max(values))
+    return out
+
+
+def _elements(array: Column, field: T.StructField) -> tuple[Column, Column]:
+    """The elements of an array of structs that have a value in the field, and these values."""
+    there = F.filter(array, lambda e: e.getField(field.name).isNotNull())
+    return there, F.transform(there, lambda e: _ordered(e.getField(field.name), field.dataType))
+
+
+def _ordered(c: Column, kind: T.DataType) -> Column:
+    """The value as something that can be compared: complex ones by their JSON text."""
+    return F.to_json(c) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else c
+
+
+def write_profiled(df: DataFrame, path: str) -> tuple[DataFrame, Profile]:
+    """Write a table and observe its profile on the way: the checks of single columns need no scan of their own."""
+    spark, wanted = df.sparkSession, _observed(df.schema)
+    parts = [F.struct(n.alias("rows"), m.alias("values"), F.coalesce(lo == hi, F.lit(False)).alias("one")).alias(f"m{i}")
+             for i, (n, m, lo, hi) in enumerate(wanted.values())]
+    observation = Observation()
+    df.observe(observation, *parts).write.mode("overwrite").parquet(path)
+    got = observation.get
+    metrics = {key: (got[f"m{i}"]["rows"] or 0, got[f"m{i}"]["values"] or 0, got[f"m{i}"]["one"]) for i, key in enumerate(wanted)}
+    return spark.read.schema(df.schema).parquet(path), Profile(metrics)
+
+
 def nested(df: DataFrame, path: str) -> DataFrame:
     """Position the checks inside a nested column: arrays are exploded, struct
     fields become top-level columns."""

@@ -1,8 +1,9 @@
 """The catalogue of table checks (22 blocking, 42 reported), as data, and the suites built from it.
 
 Tables are given by name; a suite reads each as often as it has checks of
-different kinds on it, so callers pass written tables, not plans. All column
-checks of one table or block are answered by one aggregate.
+different kinds on it, so callers pass written tables, not plans. Column checks
+of a table and of its nested blocks are answered by the profile that was observed
+while it was written; of a table without one, by one aggregate for each block.
 """
 
 from __future__ import annotations
@@ -88,7 +89,8 @@ def qa_suite(tables: dict[str, DataFrame], must_have_rows: Sequence[str]) -> Dat
 
 
 def qc_suite(tables: dict[str, DataFrame], no_null: dict[str, Sequence[str]], dictionaries: dict[str, dict[str, Sequence[str]]],
-             not_only_null: dict[str, Sequence[str]] | None = None, not_same_value: dict[str, Sequence[str]] | None = None) -> DataFrame:
+             not_only_null: dict[str, Sequence[str]] | None = None, not_same_value: dict[str, Sequence[str]] | None = None,
+             profiles: dict[str, qa.Profile] | None = None) -> DataFrame:
     """The 42 reported checks. ``no_null`` white-lists columns, ``not_only_null`` and ``not_same_value`` black-list
     them, by block name (``BLOCKS``); ``dictionaries`` gives the values of each column by check name."""
     w = qa.NON_CRITICAL
@@ -104,12 +106,24 @@ def qc_suite(tables: dict[str, DataFrame], no_null: dict[str, Sequence[str]], di
         checks.append(qa.Check(name, table, w, lambda name=name, table=table, path=path: qa.in_dictionary(
             qa.nested(tables[table], path) if path else tables[table], dictionaries[name])))
     out = qa.run_suite(checks)
-    for block, (table, _) in BLOCKS.items():
-        df = _block(tables, block)
-        columns = {f"only_null_{block}": ("only_null", qa.other_columns(df, (not_only_null or {}).get(block, ()))),
-                   f"same_value_{block}": ("same_value", qa.other_columns(df, (not_same_value or {}).get(block, ())))}
+    seen = []
+    for block, (table, paths) in BLOCKS.items():
+        profile = (profiles or {}).get(table)
+        df = None if profile else _block(tables, block)
+        names = profile.columns(paths or ("",)) if profile else df.columns
+        columns = {f"only_null_{block}": ("only_null", _without(names, not_only_null, block)),
+                   f"same_value_{block}": ("same_value", _without(names, not_same_value, block))}
         if block in NO_NULL:
             columns[f"no_null_{block}"] = ("no_null", list(no_null[block]))
-        out = out.unionByName(qa.column_checks(df, columns).select(
-            "check_name", F.lit(table).alias("table_name"), F.lit(w).alias("severity"), "n_violations"))
+        if profile:
+            seen += [(name, table, w, profile.violations(kind, paths or ("",), cols)) for name, (kind, cols) in columns.items()]
+        else:
+            out = out.unionByName(qa.column_checks(df, columns).select(
+                "check_name", F.lit(table).alias("table_name"), F.lit(w).alias("severity"), "n_violations"))
+    if seen:
+        out = out.unionByName(occ.sparkSession.createDataFrame(seen, out.schema))
     return out
+
+
+def _without(names: Sequence[str], excluded: dict[str, Sequence[str]] | None, block: str) -> list[str]:
+    return [c for c in names if c not in (excluded or {}).get(block, ())]

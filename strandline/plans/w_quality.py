@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline.operators import manifest as man
 from strandline.operators import quality as qa
@@ -14,7 +15,7 @@ from strandline.plans.w_manifest import fix
 from strandline.plans.w_variants import (BLOCKS, CLUSTERS, CNV_GENES, CONS, COV, DV, EXT, FREQ, GENE_PAIRS, K, KIND, NORM, ORIGIN,
                                          PAIRS, PICKED, QUAL, SCORES, TUMOR, _clinvar, _cons, _coverage, _pv, _scores, _sources,
                                          document_parts)
-from strandline.session import cut_lineage
+from strandline.session import cut_lineage, cut_together, scratch_dir
 
 VK = var.VARIANT_KEY
 
@@ -204,26 +205,29 @@ def _qa_tables(v):
     nor = cut_lineage(var.normalize_snv(v.occurrences))
     snv = _enriched(v, nor)
     germline = F.col("bioinfo_analysis_code") == "GEBA"
-    cons = cut_lineage(var.normalize_consequences(v.occurrences, v.genes))
-    variants = cut_lineage(var.enrich_variants(var.distinct_variants(v.occurrences), _sources(v), _clinvar(v), v.genes,
-                                               _scores(v)).select(*VK, "clin_sig", "n_genes", "max_score"))
-    docs = cut_lineage(var.variant_centric(var.variant_donors(snv), var.frequencies(nor, v.clinical)))
-    clusters = cut_lineage(var.cluster_frequencies(v.cnvs, var.sv_clusters(v.cnvs), v.clinical))
     gene_scores = v.part.select(F.concat(F.lit("GENE"), F.col("p_partkey").cast("string")).alias("symbol"),
                                 (F.col("p_retailprice") / 100).alias("cadd"))
+    made = cut_together({
+        "clusters": lambda: var.cluster_frequencies(v.cnvs, var.sv_clusters(v.cnvs), v.clinical),
+        "docs": lambda: var.variant_centric(var.variant_donors(snv), var.frequencies(nor, v.clinical)),
+        "cons": lambda: var.normalize_consequences(v.occurrences, v.genes),
+        "variants": lambda: var.enrich_variants(var.distinct_variants(nor), _sources(v), _clinvar(v), v.genes,
+                                                _scores(v)).select(*VK, "clin_sig", "n_genes", "max_score"),
+        "origin": lambda: var.parental_origin(v.cnvs, v.clinical).withColumnRenamed("proband_seq", "sequencing_id"),
+        "normalized_variants": lambda: var.normalize_variants(nor, v.clinical),
+        "coverage": lambda: var.normalize_coverage(_coverage(v))})
+    cons, clusters = made["cons"], made["clusters"]
     tables = {
         "gnomad_joint": _sources(v)["gnomad"], "clinical": v.clinical,
         "normalized_snv": snv.where(germline).select(*nor.columns),
         "normalized_snv_somatic": snv.where(~germline).select(*nor.columns),
-        "normalized_consequences": cons, "normalized_variants": cut_lineage(var.normalize_variants(nor, v.clinical)),
+        "normalized_consequences": cons, "normalized_variants": made["normalized_variants"],
         "snv": snv.where(germline), "snv_somatic": snv.where(~germline),
-        "consequences": cut_lineage(var.enrich_consequences(cons, gene_scores)), "variants": variants, "variant_centric": docs,
-        "cnv_centric": var.cnv_centric(v.cnvs), "coverage_by_gene": cut_lineage(var.normalize_coverage(_coverage(v))),
+        "consequences": cut_lineage(var.enrich_consequences(cons, gene_scores)), "variants": made["variants"],
+        "variant_centric": made["docs"], "cnv_centric": var.cnv_centric(v.cnvs), "coverage_by_gene": made["coverage"],
         "nextflow_svclustering_germline": clusters.where("kind = 'germline'"),
         "nextflow_svclustering_somatic": clusters.where("kind = 'somatic'"),
-        "nextflow_svclustering_parental_origin": cut_lineage(var.parental_origin(v.cnvs, v.clinical).withColumnRenamed(
-            "proband_seq", "sequencing_id")),
-        "franklin": v.cnvs,
+        "nextflow_svclustering_parental_origin": made["origin"], "franklin": v.cnvs,
     }
     return {name: _faulty(name, df) for name, df in tables.items()}
 
@@ -282,7 +286,32 @@ def _(v):
     return suites.qa_suite(_qa_tables(v), MUST_HAVE_ROWS)
 
 
+# Faults put into the blocks: a column without a value, one with a single value, and one with holes.
+SEEDS = ["blank", "same", "holes"]
+HOLES = "start % 40 = 0"
+
+
+def _seeds():
+    return {"blank": F.lit(None).cast("string"), "same": F.lit("x"), "holes": F.when(~F.expr(HOLES), F.lit("y"))}
+
+
+def _seeded(df):
+    """The faults as columns of the table and as fields of its structs and arrays of structs."""
+    out = df
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StructType):
+            for name, value in _seeds().items():
+                c = c.withField(name, value)
+            out = out.withColumn(f.name, F.when(F.col(f.name).isNotNull(), c))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            out = out.withColumn(f.name, F.transform(f.name, lambda e: e.withField("blank", _seeds()["blank"]).withField(
+                "same", _seeds()["same"]).withField("holes", _seeds()["holes"])))
+    return out.withColumns(_seeds())
+
+
 def _qc_tables(v):
+    """The suite's tables, and the profiles of those that column checks look at."""
     nor = cut_lineage(var.normalize_snv(v.occurrences))
     snv = _enriched(v, nor)
     parts = document_parts(v, snv)
@@ -292,16 +321,22 @@ def _qc_tables(v):
                                 v.genes.select("symbol", "chromosome", "start", "end"))
                .groupBy("cnv_id").agg(F.count("*").alias("n_genes")))
     coverage = var.coverage_by_gene_centric(var.normalize_coverage(_coverage(v)), v.genes)
-    return {"occurrences": v.occurrences, "frequencies": parts["freqs"].where("analysis_code = 'all'"), "normalized_snv": nor,
-            "variant_centric": cut_lineage(var.variant_centric(**parts)), "variant_donors": parts["donors"],
-            "gene_centric": cut_lineage(var.gene_centric(v.genes, var.gene_variants(_cons(v)))),
-            "cnv_centric": cut_lineage(var.cnv_centric(cnvs.join(n_genes, "cnv_id", "left")).select("cnv_id", "doc.*")),
-            "coverage_by_gene": coverage.select("symbol", "sample_id", "doc.*")}
-
-
-NO_NULL = {"variant_centric": ["chromosome", "start", "n_donors", "cmc"], "variant_centric_donors": ["sequencing_id", "batch_id", "gender"],
-           "variant_centric_freqbyanal": ["ac", "af"], "variant_centric_freqrqdm": ["ac", "pc"], "gene_centric": ["symbol", "panel"],
-           "cnv_centric": ["cnv_id", "n_genes"], "coverage_by_gene": ["symbol", "depth"]}
+    written = {name: qa.write_profiled(_seeded(df), scratch_dir(v.spark, f"qc-{name}")) for name, df in {
+        "variant_centric": var.variant_centric(**parts), "variant_donors": parts["donors"],
+        "gene_centric": var.gene_centric(v.genes, var.gene_variants(_cons(v))),
+        "cnv_centric": var.cnv_centric(cnvs.join(n_genes, "cnv_id", "left")).select("cnv_id", "doc.*"),
+        "coverage_by_gene": coverage.select("symbol", "sample_id", "doc.*")}.items()}
+    # frequencies of variants that are not there, none of some that are, and a spanning deletion
+    freqs = parts["freqs"].where("analysis_code = 'all'").where("start % 50 <> 30")
+    freqs = freqs.unionByName(freqs.where(HOLES).withColumn("reference", F.lit("NN")))
+    spanning = nor.unionByName(nor.where(HOLES).withColumn("alternate", F.lit("*")))
+    tables = {"occurrences": v.occurrences, "frequencies": freqs, "normalized_snv": spanning}
+    return tables | {name: df for name, (df, _) in written.items()}, {name: p for name, (_, p) in written.items()}
+
+
+NO_NULL = {"variant_centric": ["chromosome", "start", "n_donors", "cmc", "holes"], "variant_centric_donors": ["sequencing_id", "batch_id", "gender", "holes"],
+           "variant_centric_freqbyanal": ["ac", "af", "holes"], "variant_centric_freqrqdm": ["ac", "pc", "holes"], "gene_centric": ["symbol", "panel", "holes"],
+           "cnv_centric": ["cnv_id", "n_genes", "holes"], "coverage_by_gene": ["symbol", "depth", "holes"]}
 VALUES = {"dictionary_cnv": {"type": ["DEL"]}, "dictionary_consequences": {"consequence": ["missense_variant", "synonymous_variant"]},
           "dictionary_donors": {"zygosity": ["HET"], "bioinfo_analysis_code": ["GEBA", "TEBA"]},
           "dictionary_snv": {"chromosome": ["chr1", "chr2", "chr3"]}}
@@ -329,14 +364,20 @@ QC_TABLE = {"variant_centric_donors": "variant_donors", "gene_centric": "gene_ce
             "coverage_by_gene": "coverage_by_gene"}
 
 
+def _seeded_sql(block, source):
+    """The oracle's table with the faults; a field of a struct that is not there is NULL."""
+    return f"(SELECT *, NULL::VARCHAR AS blank, 'x' AS same, CASE WHEN NOT {HOLES} THEN 'y' END AS holes FROM {source})"
+
+
 def _qc_rows():
     for block, (source, columns) in QC_BLOCKS.items():
+        columns = columns + SEEDS * len(suites.BLOCKS[block][1] or [""])
         kinds = {"only_null": [f"count({c}) = 0" for c in columns], "same_value": [f"coalesce(min({c}) = max({c}), false)" for c in columns],
                  "no_null": [f"count({c}) < count(*)" for c in NO_NULL.get(block, [])]}
         for kind, terms in kinds.items():
             if terms:
                 yield (f"SELECT '{kind}_{block}', '{QC_TABLE.get(block, 'variant_centric')}', "
-                       f"(SELECT {' + '.join(f'CAST({t} AS INT)' for t in terms)} FROM {source})")
+                       f"(SELECT {' + '.join(f'CAST({t} AS INT)' for t in terms)} FROM {_seeded_sql(block, source)})")
 
 
 def _outside(source, column, values):
@@ -346,7 +387,8 @@ def _outside(source, column, values):
 
 @witness("qc_suite", f"""
 WITH {NORM}, {FREQ}, {TUMOR}, {DV}, {GENE_PAIRS}, {CONS}, {EXT}, {SCORES}, {BLOCKS}, {PICKED}, {COV}, {CNV_GENES},
-fa AS (SELECT {K} FROM freq WHERE analysis_code = 'all'),
+fk7 AS (SELECT {K} FROM freq WHERE analysis_code = 'all' AND start % 50 <> 30),
+fa AS (SELECT {K} FROM fk7 UNION ALL SELECT chromosome, start, 'NN', alternate FROM fk7 WHERE {HOLES}),
 fl AS (SELECT {K}, bool_or({QUAL}) AS q FROM occurrences GROUP BY {K}),
 qv AS (SELECT DISTINCT {K} FROM occurrences WHERE {QUAL}),
 dn AS (SELECT * FROM n JOIN clinical USING (sequencing_id)),
@@ -372,7 +414,7 @@ gc AS (SELECT g.*, coalesce(c.n, 0) AS n_variants FROM genes g LEFT JOIN (SELECT
 cc AS (SELECT c.*, cg.n_genes FROM cnvs c LEFT JOIN cg USING (cnv_id)),
 cv2 AS (SELECT nc.symbol, nc.sample_id, g.chromosome, g.start, g."end", nc.depth FROM nc JOIN genes g USING (symbol)),
 r AS (
-  SELECT 'filters_snv' AS check_name, 'normalized_snv' AS table_name, (SELECT count(*) FROM n WHERE alternate = '*') AS n_violations
+  SELECT 'filters_snv' AS check_name, 'normalized_snv' AS table_name, (SELECT count(*) FROM n WHERE alternate = '*' OR {HOLES}) AS n_violations
   UNION ALL SELECT 'filters_frequency_extra', 'normalized_variants',
          (SELECT count(*) FROM fa LEFT JOIN fl USING ({K}) WHERE NOT coalesce(fl.q, false))
   UNION ALL SELECT 'filters_frequency_missed', 'normalized_variants', (SELECT count(*) FROM qv WHERE NOT {_exists_in('qv', 'fa')})
@@ -385,4 +427,5 @@ r AS (
 SELECT check_name, table_name, 'warning' AS severity, CAST(n_violations AS BIGINT) AS n_violations FROM r
 """)
 def _(v):
-    return suites.qc_suite(_qc_tables(v), NO_NULL, VALUES)
+    tables, profiles = _qc_tables(v)
+    return suites.qc_suite(tables, NO_NULL, VALUES, profiles=profiles)
