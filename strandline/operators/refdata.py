@@ -272,8 +272,38 @@ def import_omim(spark: SparkSession, path: str) -> DataFrame:
     return formats.read_hash_header_tsv(spark, path)
 
 
-def import_orphanet(spark: SparkSession, path: str, row_tag: str = "Disorder") -> DataFrame:
-    return formats.read_xml(spark, path, row_tag)
+#: Nested elements of the two files that count, as the publisher names them.
+ORPHANET_GENES = ("OrphaCode bigint, Name string, DisorderGeneAssociationList struct<DisorderGeneAssociation: array<struct<"
+                  "Gene: struct<Symbol: string, Name: string>, DisorderGeneAssociationType: struct<Name: string>, "
+                  "DisorderGeneAssociationStatus: struct<Name: string>>>>")
+ORPHANET_AGES = ("OrphaCode bigint, Name string, AverageAgeOfOnsetList struct<AverageAgeOfOnset: array<struct<Name: string>>>, "
+                 "TypeOfInheritanceList struct<TypeOfInheritance: array<struct<Name: string>>>")
+
+
+def import_orphanet_genes(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each association of a disorder with a gene (a disorder without one has none)."""
+    d = formats.read_xml(spark, path, "Disorder", ORPHANET_GENES)
+    a = d.select(F.col("OrphaCode").alias("orpha_code"), F.col("Name").alias("disorder"),
+                 F.explode("DisorderGeneAssociationList.DisorderGeneAssociation").alias("a"))
+    return a.select("orpha_code", "disorder", F.col("a.Gene.Symbol").alias("symbol"), F.col("a.Gene.Name").alias("gene_name"),
+                    F.col("a.DisorderGeneAssociationType.Name").alias("association_type"),
+                    F.col("a.DisorderGeneAssociationStatus.Name").alias("association_status"))
+
+
+def import_orphanet_ages(spark: SparkSession, path: str) -> DataFrame:
+    """One row a disorder: its ages of onset and types of inheritance, in the file's order."""
+    d = formats.read_xml(spark, path, "Disorder", ORPHANET_AGES)
+    return d.select(F.col("OrphaCode").alias("orpha_code"),
+                    F.col("AverageAgeOfOnsetList.AverageAgeOfOnset.Name").alias("average_age_of_onset"),
+                    F.col("TypeOfInheritanceList.TypeOfInheritance.Name").alias("type_of_inheritance"))
+
+
+def import_orphanet(spark: SparkSession, path: str, ages_path: str | None = None, row_tag: str = "Disorder") -> DataFrame:
+    """Gene associations with their disorder's ages of onset and inheritance, of the two nested files; with one path only,
+    the records of a flat file as they are."""
+    if ages_path is None:
+        return formats.read_xml(spark, path, row_tag)
+    return import_orphanet_genes(spark, path).join(import_orphanet_ages(spark, ages_path), "orpha_code", "left")
 
 
 def import_refseq_annotation(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Genome-browser track conversion (TSV / UCSC tables -> GFF3) as Spark jobs.
 
 Input is the raw text (one row per line, column ``value``); fields are the
-tab-separated columns ``$1..$n`` of the source format. Sequential ids (awk
-``NR``) come from a distributed global row number over the caller's line
+columns ``$1..$n`` of the source format, separated by tabs (dosage files) or by any
+white space (UCSC tables). Sequential ids (awk ``NR``) count every line and come from a distributed global row number over the caller's line
 order column; sorting for the browser is a range-partitioned global sort.
 """
 
@@ -102,9 +102,15 @@ def region_dosage_gff(lines: DataFrame) -> DataFrame:
                 F.concat(*parts))
 
 
+def _columns(lines: DataFrame) -> DataFrame:
+    """Lines of the UCSC tables: fields are separated by any run of blanks and tabs, as their scripts read them; blanks at
+    both ends do not count. Rendered with tabs for :func:`field`."""
+    return lines.withColumn("value", F.regexp_replace(F.btrim("value", F.lit(" \t\r")), "[ \t]+", "\t"))
+
+
 def self_chain_gff(lines: DataFrame) -> DataFrame:
     """UCSC chainSelf -> GFF3 (0-based start -> 1-based)."""
-    l = _data_lines(lines)
+    l = _data_lines(_columns(lines))
     attrs = F.format_string("ID=chainSelf_%s;score=%.0f;normScore=%.2f;Target=%s %d %d;target_strand=%s",
                             field(12), num(2), num(13), field(7), whole(10) + 1,
                             whole(11), field(9))
@@ -113,7 +119,8 @@ def self_chain_gff(lines: DataFrame) -> DataFrame:
 
 
 def _numbered(lines: DataFrame, order_col: str) -> DataFrame:
-    return global_row_number(_data_lines(lines), [order_col], name="_nr")
+    """Data lines with their number among all lines, comments and empty ones included."""
+    return _data_lines(_columns(global_row_number(lines, [order_col], name="_nr")))
 
 
 def segdup_gff(lines: DataFrame, order_col: str = "line_no") -> DataFrame:

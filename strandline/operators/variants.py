@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import ranges, sv_cells
 from strandline.operators._util import literal_map
+from strandline.operators.catalog import path_param
 from strandline.sources.versions import BUCKETS, BucketedTable
 
 VARIANT_KEY = ["chromosome", "start", "reference", "alternate"]
@@ -201,6 +202,41 @@ def normalize_coverage(coverage: DataFrame, key: Sequence[str] = ("symbol", "sam
     return best.select(*key, *[F.col(f"_b.{c}").alias(c) for c in order])
 
 
+#: Result files: columns of a table of each kind, and the ids that stand in its path only.
+RESULT_SCHEMAS = {
+    "exomiser": "chromosome string, start bigint, reference string, alternate string, symbol string, score double",
+    "exomiser_cnv": "chromosome string, start bigint, `end` bigint, type string, symbol string, score double",
+    "franklin": "chromosome string, start bigint, reference string, alternate string, score double, classification string",
+}
+RESULT_KEYS = ("batch_id", "analysis_id", "aliquot_id")
+
+
+def read_results(spark, path: str, schema: str, keys: Sequence[str] = RESULT_KEYS) -> DataFrame:
+    """Result files below a folder, TSV with a header (``.tsv``, ``.csv``) and JSON (``.json``, one document or one a line) in
+    one table: the columns of ``schema``, and of the path of each file the ``name=value`` segments named by ``keys`` (NULL
+    where a path has none). Values that are not of their type are NULL."""
+    def files(pattern: str):
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+
+    where = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    of_path = [path_param(where, k).alias(k) for k in keys]
+    tables = files("*.{tsv,csv}").option("sep", "\t").option("header", True).csv(path)
+    documents = files("*.json").json(path)
+    return tables.select("*", *of_path).unionByName(documents.select("*", *of_path))
+
+
+def normalize_exomiser(spark, path: str, kind: str = "exomiser") -> DataFrame:
+    """Prioritised variants (``exomiser``) or copy-number variants (``exomiser_cnv``): one row for each, best score a key."""
+    rows = read_results(spark, path, RESULT_SCHEMAS[kind])
+    key = [c for c in rows.columns if c != "score"]
+    return rows.groupBy(*key).agg(F.max("score").alias("score"))
+
+
+def normalize_franklin(spark, path: str) -> DataFrame:
+    """Scored variants of the service's JSON results; one row a variant, classification and aliquot."""
+    return normalize_exomiser(spark, path, "franklin")
+
+
 def scored_results(events: DataFrame, schema: str = "struct<k:int>") -> DataFrame:
     """Scored third-party results (JSON payloads) -> rows."""
     return events.select("*", F.from_json("props", schema).alias("_p")).select("*", "_p.*").drop("_p")
@@ -440,8 +476,6 @@ def incremental_load(spark, path: str, new_rows: DataFrame, steps: str, key: str
 
 
 # SURVEY §2.G names
-normalize_exomiser = scored_results
-normalize_franklin = scored_results
 normalize_clinical_resources = flatten_resources
 enrich_snv_somatic = enrich_snv
 sv_cluster = sv_clusters

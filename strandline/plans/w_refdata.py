@@ -222,6 +222,39 @@ def _(v):
                        F.col("Nation").alias("nation"))
 
 
+@witness("imp_orphanet", """
+WITH g AS (SELECT p_partkey % 300 AS orpha_code, 'GENE' || p_partkey AS symbol, p_name AS gene_name,
+                  CASE WHEN p_size % 2 = 0 THEN 'Disease-causing' ELSE 'Candidate' END AS association_type,
+                  CASE WHEN p_size % 5 <> 0 THEN 'Assessed' END AS association_status FROM part)
+SELECT g.orpha_code, 'Disorder ' || g.orpha_code AS disorder, symbol, gene_name, association_type, association_status,
+       CASE WHEN g.orpha_code % 3 <> 0 THEN CASE WHEN g.orpha_code % 2 = 0 THEN 'Infancy|Adult' ELSE 'Childhood' END END AS ages,
+       CASE WHEN g.orpha_code % 3 <> 0 THEN 'Autosomal ' || (g.orpha_code % 4) END AS inheritance
+FROM g
+""")
+def _(v):
+    name = lambda c: F.struct(c.alias("Name"))
+    code = (F.col("p_partkey") % 300).alias("OrphaCode")
+    association = F.struct(
+        F.struct(F.concat(F.lit("GENE"), F.col("p_partkey").cast("string")).alias("Symbol"), F.col("p_name").alias("Name")).alias("Gene"),
+        name(F.when(F.col("p_size") % 2 == 0, "Disease-causing").otherwise("Candidate")).alias("DisorderGeneAssociationType"),
+        F.when(F.col("p_size") % 5 != 0, name(F.lit("Assessed"))).alias("DisorderGeneAssociationStatus"))
+    genes = v.part.groupBy(code).agg(F.struct(F.collect_list(association).alias("DisorderGeneAssociation"))
+                                     .alias("DisorderGeneAssociationList")).withColumn(
+        "Name", F.concat(F.lit("Disorder "), F.col("OrphaCode").cast("string")))
+    onset = F.when(F.col("OrphaCode") % 2 == 0, F.array(name(F.lit("Infancy")), name(F.lit("Adult")))).otherwise(
+        F.array(name(F.lit("Childhood"))))
+    ages = genes.where("OrphaCode % 3 <> 0").select(
+        "OrphaCode", "Name", F.struct(onset.alias("AverageAgeOfOnset")).alias("AverageAgeOfOnsetList"),
+        F.struct(F.array(name(F.concat(F.lit("Autosomal "), (F.col("OrphaCode") % 4).cast("string")))).alias("TypeOfInheritance"))
+        .alias("TypeOfInheritanceList"))
+    paths = [scratch_dir(v.spark, f"orphanet-{x}") for x in ("genes", "ages")]
+    for df, path in zip((genes, ages), paths):
+        formats.write_xml(df, path, "DisorderList", "Disorder")
+    out = ref.import_orphanet(v.spark, *paths)
+    return out.select("orpha_code", "disorder", "symbol", "gene_name", "association_type", "association_status",
+                      F.array_join("average_age_of_onset", "|").alias("ages"), F.array_join("type_of_inheritance", "|").alias("inheritance"))
+
+
 @witness("imp_gff", """
 SELECT 'gene:' || symbol AS feature_id, symbol AS name, chromosome AS seqid, start, "end", panel FROM genes
 """)

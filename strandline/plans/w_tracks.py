@@ -70,8 +70,14 @@ def _f(fields: dict[int, str], i: int) -> str:
     return fields.get(i, "''").format(end='"end"').replace("AS STRING", "AS VARCHAR")
 
 
-def _lines(df, fields, order: str | None = None):
-    cols = [F.expr(_line(fields, "spark")).alias("value")]
+def _lines(df, fields, order: str | None = None, blanks: bool = False):
+    """``blanks``: a table whose fields are separated by any white space, so none may be empty."""
+    if blanks:
+        fields = {i: "'.'" for i in range(1, max(fields) + 1)} | fields
+    value = F.expr(_line(fields, "spark"))
+    if blanks:
+        value = F.when(F.col("start") % 40 == 0, F.concat(F.lit(" "), F.replace(value, F.lit("\t"), F.lit(" \t  ")), F.lit("\t "))).otherwise(value)
+    cols = [value.alias("value")]
     if order:
         cols.append(F.expr(order).alias("line_no"))
     return df.select(*cols)
@@ -132,7 +138,7 @@ SELECT chromosome AS seqid, 'UCSC_chainSelf' AS source, 'self_chain_alignment' A
 FROM cnvs
 """)
 def _(v):
-    return trk.self_chain_gff(_lines(v.cnvs, SELF_CHAIN))
+    return trk.self_chain_gff(_lines(v.cnvs, SELF_CHAIN, blanks=True))
 
 
 @witness("trk_segdup", """
@@ -146,7 +152,7 @@ SELECT chromosome AS seqid, 'UCSC_SuperDups' AS source, '' AS type, CAST(start +
 FROM cnvs
 """)
 def _(v):
-    return trk.segdup_gff(_lines(v.cnvs, SEGDUP, "CAST(substr(cnv_id, 4) AS BIGINT)"))
+    return trk.segdup_gff(_lines(v.cnvs, SEGDUP, "CAST(substr(cnv_id, 4) AS BIGINT)", blanks=True))
 
 
 @witness("trk_repeat", """
@@ -160,7 +166,7 @@ SELECT chromosome AS seqid, 'RepeatMasker' AS source,
 FROM genes
 """)
 def _(v):
-    return trk.repeat_gff(_lines(v.genes, REPEAT, "CAST(substr(symbol, 5) AS BIGINT)"))
+    return trk.repeat_gff(_lines(v.genes, REPEAT, "CAST(substr(symbol, 5) AS BIGINT)", blanks=True))
 
 
 @witness("trk_tandem", """
@@ -172,7 +178,7 @@ SELECT chromosome AS seqid, 'trf' AS source, '' AS type, CAST(start + 1 AS BIGIN
 FROM genes
 """)
 def _(v):
-    return trk.tandem_gff(_lines(v.genes, TANDEM, "CAST(substr(symbol, 5) AS BIGINT)"))
+    return trk.tandem_gff(_lines(v.genes, TANDEM, "CAST(substr(symbol, 5) AS BIGINT)", blanks=True))
 
 
 @witness("trk_escape", """

@@ -185,6 +185,39 @@ def _(v):
                     .alias("analysis_id"), "event_type", F.col("k").alias("score"))
 
 
+RESULT = ("SELECT 'chr' || (user_id % 22 + 1) AS chromosome, event_id * 10 AS start, substr('ACGT', CAST(event_id % 4 AS INT) + 1, 1) AS reference, "
+          "'T' AS alternate, {extra}, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS score, 'b' || (event_id % 3) AS batch_id, "
+          "'SRA' || user_id AS analysis_id, CASE WHEN event_id % 7 <> 0 THEN 'A+' || (user_id % 9) END AS aliquot_id FROM events WHERE {where}")
+
+
+def _result_files(v, fmt: str, where: str, extra) -> str:
+    """Results as the services leave them: ids stand in the path, a NULL one as ``null``; some rows come twice."""
+    e = v.events.where(where).select(
+        F.concat(F.lit("chr"), (F.col("user_id") % 22 + 1).cast("string")).alias("chromosome"), (F.col("event_id") * 10).alias("start"),
+        F.expr("substr('ACGT', cast(event_id % 4 as int) + 1, 1)").alias("reference"), F.lit("T").alias("alternate"), extra,
+        (F.get_json_object("props", "$.k").cast("double") / 100).alias("score"),
+        F.concat(F.lit("b"), (F.col("event_id") % 3).cast("string")).alias("batch_id"),
+        F.concat(F.lit("SRA"), F.col("user_id").cast("string")).alias("analysis_id"),
+        F.when(F.col("event_id") % 7 != 0, F.concat(F.lit("A+"), (F.col("user_id") % 9).cast("string"))).otherwise("null").alias("aliquot_id"))
+    lesser = e.where("start % 50 = 0").withColumn("score", F.col("score") - 1)
+    path = scratch_dir(v.spark, f"results-{fmt}")
+    out = e.unionByName(lesser).repartition("analysis_id").write.partitionBy("batch_id", "analysis_id", "aliquot_id")
+    out.option("sep", "\t").option("header", True).csv(path) if fmt == "csv" else out.json(path)
+    return path
+
+
+@witness("var_exomiser", RESULT.format(extra="'G' || (user_id % 5) AS symbol", where="event_type = 'purchase' AND user_id < 40"))
+def _(v):
+    symbol = F.concat(F.lit("G"), (F.col("user_id") % 5).cast("string")).alias("symbol")
+    return var.normalize_exomiser(v.spark, _result_files(v, "csv", "event_type = 'purchase' AND user_id < 40", symbol))
+
+
+@witness("var_franklin", RESULT.format(extra="event_type AS classification", where="event_type <> 'purchase' AND user_id < 20"))
+def _(v):
+    return var.normalize_franklin(v.spark, _result_files(v, "json", "event_type <> 'purchase' AND user_id < 20",
+                                                         F.col("event_type").alias("classification")))
+
+
 RESOURCE_SCHEMA = ("struct<id:bigint, extension:struct<segment:string, nation:int>, "
                    "telecom:array<struct<system:string, value:string>>>")
 
