@@ -38,12 +38,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word, white space kept."""
-    parts = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")
-
-
 def integral(schedule: Schedule) -> float:
     return sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(schedule, schedule[1:]))
 
@@ -137,24 +131,15 @@ def mix_plan(docs: DataFrame, curriculum: Sequence[Schedule] = CURRICULUM, share
     return placed.select("_row", "id", "size", "source_size", "target", copies.alias("copies"))
 
 
-def mix(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The mix in training order: one row per copy with the document's columns. The copy at which a source's
-    target is reached ends with the last word taken; ``n_chars``, if there, follows the text."""
+def mix(docs: DataFrame, text_col: str = "text", position_col: str | None = None, **options) -> DataFrame:
+    """The mix in training order: one row per copy with the document's columns, texts whole. The copy at which a source's
+    target is reached is taken if at least half of its words are within it, and left out else. ``position_col`` names a
+    further column for the time at which a copy is due (0 to 1), by which a later reader can sort again."""
     plan = mix_plan(docs, text_col=text_col, **options)
-    copies = plan.select("_row", "id", "size", F.explode("copies").alias("c")) \
+    copies = plan.select("_row", "id", "size", F.explode("copies").alias("c")).where(2 * F.col("c.words") >= F.col("size")) \
         .repartitionByRange("c.due", "id", "c.epoch").sortWithinPartitions("c.due", "id", "c.epoch")
-    cut = F.col("c.words") < F.col("size")
-    text = F.col("_row").getField(text_col)
-    out = copies.withColumn("_text", F.when(cut, first_words(text, F.col("c.words"))).otherwise(text))
-    columns = []
-    for c in docs.columns:
-        value = F.col("_row").getField(c)
-        if c == text_col:
-            value = F.col("_text")
-        elif c == "n_chars":
-            value = F.when(cut, F.length("_text").cast("long")).otherwise(value)
-        columns.append(value.alias(c))
-    return out.select(*columns)
+    extra = [F.col("c.due").alias(position_col)] if position_col else []
+    return copies.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns], *extra)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

@@ -108,15 +108,28 @@ def test_due_inverts_the_integrated_schedule(spark):
 def test_mix_documents(spark, odd, empty):
     out = mixing.mix(odd).collect()
     assert out[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars", "_row", "size"}
-    taken = {(r["doc_id"], r["size"]): r["taken"] for r in mixing.mix_report(odd).collect()}
-    words = Counter()
-    for r in out:
-        assert r["_row"] == "clash"
-        words[r["doc_id"]] += len(re.findall(mixing.WORD, r["text"] or ""))
-    assert sum(words.values()) == sum(taken.values()) or len(taken) < odd.count()
+    whole = {r["text"] for r in odd.collect()}
+    assert all(r["_row"] == "clash" and r["text"] in whole for r in out)
     assert mixing.mix(empty).count() == mixing.mix_report(empty).count() == 0
 
 
+def test_mix_takes_whole_texts_near_the_targets_in_training_order(spark):
+    rows = [doc(i, prose(rng.randint(1, 400)), source=rng.choice("abc")) for i in range(120)]
+    df = spark.createDataFrame(rows, DOCS)
+    size = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1])) for r in rows}
+    got = mixing.mix(df, position_col="due").collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r["text"] == texts[r["doc_id"]] for r in got)
+    assert [r["due"] for r in got] == sorted(r["due"] for r in got) and len({r["due"] for r in got}) > 50
+    assert max(Counter(r["doc_id"] for r in got).values()) <= 2
+    targets = plain_targets({s: sum(size[r[0]] for r in rows if r[3] == s) for s in "abc"})
+    for s, target in targets.items():
+        assert abs(sum(size[r["doc_id"]] for r in got if r["source"] == s) - target) <= 200 + 1  # half a border text
+    plan = mixing.mix_plan(df).select("id", F.explode("copies").alias("c")).select("id", "c.*").collect()
+    due = {(r["id"], r["epoch"]): r["due"] for r in plan}
+    assert all(any(abs(r["due"] - due.get((r["doc_id"], e), -1)) < 1e-12 for e in (0, 1)) for r in got)
+
+
 # ---- language -------------------------------------------------------------
 
 def test_kneser_ney_equals_the_recursive_definition(spark, monkeypatch):
@@ -282,6 +295,26 @@ def test_automaton_equals_edit_distance():
             assert automaton.match(w) == (None if best is None else (best[1], best[0]))
 
 
+def test_windows_show_every_character_of_a_candidate():
+    for n in (16, 56, 57, 133, 300):
+        token = "".join(chr(0x4E00 + i) for i in range(n))
+        shown = secrets.windows_over(f"key {token} end", 4, 4 + n)
+        assert set(token) <= set("".join(shown)) and all(len(w) == secrets.WIDTH for w in shown)
+    assert len(secrets.windows_over("x" * 50, 0, 50)) == 1
+
+
+def test_a_key_in_the_middle_of_a_long_token_counts():
+    class Net:
+        threshold = 0.5
+
+        @staticmethod
+        def probability(codes):
+            return (codes == ord("K") - 31).any(axis=1).astype(float)
+
+    long = "g1" * 33 + "K" + "h2" * 33
+    assert secrets.scan([f"see {long} there", "g1" * 60, ""], Net()) == [[(4, 3, 4 + len(long))], [], []]
+
+
 def test_context_window():
     automaton = toxicity.LexiconAutomaton(["grobian"])
     assert [h[2] for h in automaton.hits("you grobian there")] == [1.0]
