@@ -7,8 +7,8 @@ All but the last return the columns of documents:
 * toxicity: documents predicted toxic go.
 * simhash: of each class of near-duplicates the document with the smallest id stays.
 * secrets: secrets are masked in the texts.
-* mixing: sources are mixed to their targets; documents may go, repeat, or, where a source's target is reached,
-  end early. Rows are in training order.
+* mixing: sources are mixed to their targets; documents may go or repeat, each whole. Rows are written in training
+  order; a later scan need not keep it.
 * bpe: token ids of the text, their number, and the digest of the text decoded from them.
 """
 
