@@ -49,11 +49,13 @@ def test_last_term_ends_before_type_definitions(spark, tmp_path):
     assert got == {"A:1": ([], False), "A:2": (["A:1"], False)}
 
 
-def test_empty_numbers_count_as_zero(spark):
-    fields = [str(i) for i in range(1, 14)]
-    fields[1] = fields[9] = ""
+def test_fields_that_are_no_numbers_count_as_zero(spark):
+    # white space separates these fields, so none between two others can be empty; the last ones may be missing
+    fields = [str(i) for i in range(1, 13)]
+    fields[1] = fields[9] = "."
     out = tracks.self_chain_gff(spark.createDataFrame([("\t".join(fields),)], "value string")).first()
     assert "score=0;" in out["attributes"] and "Target=7 1 11" in out["attributes"] and out["start"] == 6
+    assert "normScore=0.00" in out["attributes"]
 
 
 def test_subset_is_pruned_before_the_aggregate(spark):
