@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.session import cut_lineage
-from strandline.sources import formats
+from strandline.sources import blockgzip, formats
 
 VARIANT_KEY = ["chromosome", "start", "reference", "alternate"]
 
@@ -214,11 +214,30 @@ def typed_rejects(df: DataFrame, numeric: list[str], key: list[str]) -> DataFram
         *key, "b.field", "b.value")
 
 
-def import_gnomad_constraint(spark: SparkSession, path: str, numeric: list[str] | None = None) -> DataFrame:
-    """Constraint metrics TSV (block-gzip must be landed with a ``.gz`` name;
-    gzip is not splittable, so each file is one task)."""
-    df = formats.read_delimited(spark, path, "\t", null_value="NA")
-    return _typed(df, numeric or [c for c in df.columns if c.startswith(("pLI", "oe_", "mis_z", "lof_z", "syn_z"))])
+def import_gnomad_constraint(spark: SparkSession, path: str, numeric: list[str] | None = None,
+                             block_gzip: bool | None = None) -> DataFrame:
+    """Constraint metrics TSV, ``NA`` is NULL. Files that end in ``.bgz`` are read by their members (several tasks a file);
+    with ``block_gzip`` files of any name are. Values of ``numeric`` columns that are no numbers are NULL here and rows of
+    :func:`constraint_rejects`."""
+    df = _constraint_table(spark, path, block_gzip)
+    return _typed(df, constraint_numbers(df) if numeric is None else numeric)
+
+
+def constraint_rejects(spark: SparkSession, path: str, key: list[str], numeric: list[str] | None = None,
+                       block_gzip: bool | None = None) -> DataFrame:
+    """(key..., field, value) of a constraint file's texts that should be numbers."""
+    df = _constraint_table(spark, path, block_gzip)
+    return typed_rejects(df, constraint_numbers(df) if numeric is None else numeric, key)
+
+
+def constraint_numbers(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(("pLI", "oe_", "mis_z", "lof_z", "syn_z"))]
+
+
+def _constraint_table(spark: SparkSession, path: str, block_gzip: bool | None) -> DataFrame:
+    if path.endswith(".bgz") if block_gzip is None else block_gzip:
+        return blockgzip.read_delimited(spark, path, "\t", "NA")
+    return formats.read_delimited(spark, path, "\t", null_value="NA")
 
 
 def import_cosmic_genes(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from strandline.operators import variants as var
 from strandline.plans.registry import witness
 from strandline.plans.w_variants import DV, FREQ, GENE_PAIRS, K, NORM
 from strandline.session import scratch_dir
-from strandline.sources import formats
+from strandline.sources import blockgzip, formats
 
 VK = var.VARIANT_KEY
 TRACK = r"track\((\d+)\)"
@@ -194,6 +194,26 @@ def _(v):
     return t.select("chr", F.col("`position_1-based`").cast("bigint").alias("position_1_based"), "symbol", "score")
 
 
+@witness("imp_gnomad_constraint", """
+SELECT symbol, chromosome, pli, oe_lof, mis_z, CASE WHEN start % 11 = 3 THEN 'pLI:' || CAST(start AS VARCHAR) || ';0' END AS rejected
+FROM (SELECT *, CASE WHEN start % 7 <> 0 AND start % 11 <> 3 THEN CAST(start % 100 AS DOUBLE) / 128 END AS pli,
+             CAST("end" - start AS DOUBLE) / 64 AS oe_lof, CASE WHEN start % 5 <> 0 THEN -CAST(start % 10 AS DOUBLE) END AS mis_z FROM genes)
+""")
+def _(v):
+    g = v.genes.select(
+        "symbol", "chromosome",
+        F.when(F.col("start") % 11 == 3, F.concat(F.col("start").cast("string"), F.lit(";0"))).when(
+            F.col("start") % 7 != 0, ((F.col("start") % 100).cast("double") / 128).cast("string")).alias("pLI"),
+        ((F.col("end") - F.col("start")).cast("double") / 64).alias("oe_lof"),
+        F.when(F.col("start") % 5 != 0, -(F.col("start") % 10).cast("double")).alias("mis_z"))
+    path = scratch_dir(v.spark, "constraint")
+    blockgzip.write_lines(g.select(blockgzip.delimited_line(g.columns, null_value="NA").alias("value")), path, "\t".join(g.columns))
+    t = ref.import_gnomad_constraint(v.spark, path, block_gzip=True)
+    bad = ref.constraint_rejects(v.spark, path, ["symbol"], block_gzip=True).select(
+        "symbol", F.concat("field", F.lit(":"), "value").alias("rejected"))
+    return t.join(bad, "symbol", "left").select("symbol", "chromosome", F.col("pLI").alias("pli"), "oe_lof", "mis_z", "rejected")
+
+
 @witness("imp_csv", """
 SELECT c_custkey AS custkey, c_name AS name, n_name AS nation, r_name AS region
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
