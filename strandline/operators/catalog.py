@@ -80,31 +80,31 @@ def attach_files(clinical: DataFrame, keys: DataFrame, probands: DataFrame | Non
        whose prefix is the row's aliquot or family id;
     otherwise an error row. ``probands``: (family_id, proband_aliquot_id).
     """
-    pipe = discover(keys, SNV_GERMLINE, "nextflow", PIPELINE_FOLDER, key_col)
-    legacy = (discover(keys, SNV_GERMLINE_LEGACY, "import", None, key_col)
-              .withColumn("batch_id", F.substring_index("object_key", "/", 1))
-              .where(F.instr("object_key", "/") > 0))
-    counts = legacy.groupBy("batch_id").agg(F.count("*").alias("n_in_folder"))
+    place, batch, prefix = F.col(key_col), F.substring_index(F.col(key_col), "/", 1), file_prefix(F.col(key_col))
+    piped = place.endswith(SNV_GERMLINE) & place.startswith(PIPELINE_FOLDER)
+    legacy = place.endswith(SNV_GERMLINE_LEGACY) & place.contains("/")
+
+    def spot(kind: str, folder: Column, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), folder.alias("folder"), name.alias("name"))
+
+    none = F.lit("")
+    # every file stands where rows may look for it; the first key of a spot is enough, a lone file is alone in its folder
+    spots = keys.where(piped | legacy).select(F.col(key_col).alias("object_key"), F.explode(F.array_compact(F.array(
+        F.when(piped, spot("pipeline", none, prefix)), F.when(legacy, spot("legacy", batch, prefix)),
+        F.when(legacy, spot("lone", batch, none))))).alias("s"))
+    first = (spots.groupBy("s.kind", "s.folder", "s.name").agg(F.min("object_key").alias("object_key"), F.count("*").alias("n"))
+             .where("kind <> 'lone' OR n = 1").drop("n"))
     rows = clinical.select("sequencing_id", "analysis_id", "batch_id", "aliquot_id", "family_id")
     if probands is not None:
         rows = rows.join(probands, "family_id", "left")
     else:
         rows = rows.withColumn("proband_aliquot_id", F.lit(None).cast("string"))
-
-    def cand(df: DataFrame, rank: int) -> DataFrame:
-        return df.select("sequencing_id", F.lit(rank).alias("rank"), "object_key")
-
-    c1 = rows.join(pipe, rows["analysis_id"] == pipe["prefix"])
-    l2 = legacy.select(F.col("batch_id").alias("_b"), F.col("prefix").alias("_p"), "object_key")
-    c2 = rows.join(l2, (rows["batch_id"] == l2["_b"]) & (rows["proband_aliquot_id"] == l2["_p"]))
-    alone = legacy.join(counts.where("n_in_folder = 1"), "batch_id", "left_semi").select(
-        F.col("batch_id").alias("_b"), "object_key")
-    c3a = rows.join(alone, rows["batch_id"] == alone["_b"])
-    c3b = rows.join(l2, (rows["batch_id"] == l2["_b"]) & (rows["aliquot_id"] == l2["_p"]))
-    c3c = rows.join(l2, (rows["batch_id"] == l2["_b"]) & (rows["family_id"] == l2["_p"]))
-    cands = (cand(c1, 1).unionByName(cand(c2, 2)).unionByName(cand(c3a, 3))
-             .unionByName(cand(c3b, 3)).unionByName(cand(c3c, 3)))
-    best = cands.groupBy("sequencing_id").agg(
+    looks = F.array(*[F.struct(F.lit(rule).alias("rank"), spot(kind, folder, F.col(name) if name else none).alias("s")) for rule, kind, folder, name in (
+        (1, "pipeline", none, "analysis_id"), (2, "legacy", F.col("batch_id"), "proband_aliquot_id"), (3, "lone", F.col("batch_id"), None),
+        (3, "legacy", F.col("batch_id"), "aliquot_id"), (3, "legacy", F.col("batch_id"), "family_id"))])
+    looked = rows.select("sequencing_id", F.explode(looks).alias("l")).select("sequencing_id", "l.rank", "l.s.*").where(
+        "folder IS NOT NULL AND name IS NOT NULL")
+    best = looked.join(first, ["kind", "folder", "name"]).groupBy("sequencing_id").agg(
         F.min(F.struct("rank", "object_key")).alias("_best"))
     out = rows.join(best, "sequencing_id", "left")
     return out.select("sequencing_id", "analysis_id", "aliquot_id",
@@ -201,22 +201,47 @@ def validate_batch(batches: DataFrame, metadata: DataFrame, keys: DataFrame, dec
     return f.select("batch_id", "analysis_type", F.explode(rules).alias("rule")).where(F.col("rule").isNotNull())
 
 
-def read_metadata(spark, path: str, multi_line: bool = True) -> DataFrame:
-    """Batch metadata JSON -> one row per analysis, nested groups flattened."""
-    raw = spark.read.option("multiLine", multi_line).json(path)
-    return flatten_metadata(raw)
-
-
-def flatten_metadata(raw: DataFrame) -> DataFrame:
-    a = raw.select("submissionSchema", F.explode("analyses").alias("a"))
-    cols = [F.col("submissionSchema").alias("submission_schema")]
-    for field in a.schema["a"].dataType.fields:
-        name = field.name
-        if hasattr(field.dataType, "fields"):
-            cols += [F.col(f"a.{name}.{sub.name}").alias(f"{name}_{sub.name}") for sub in field.dataType.fields]
-        else:
-            cols.append(F.col(f"a.{name}").alias(name))
-    return a.select(*cols)
+# The fields of a batch's metadata, by group (the first group is an analysis itself).
+METADATA_FIELDS: dict[str, list[str]] = {
+    "": ["ldm", "ldmSampleId", "ldmSpecimenId", "specimenType", "sampleType", "ldmServiceRequestId", "labAliquotId", "analysisCode"],
+    "patient": ["firstName", "lastName", "sex", "ramq", "birthDate", "mrn", "ep", "designFamily", "familyMember", "familyId", "status"],
+    "files": ["cnv_calls_png", "cnv_tbi", "cnv_vcf", "coverage_by_gene_csv", "crai", "cram", "exomiser_html", "exomiser_json",
+              "exomiser_variants_tsv", "hard_filtered_baf_bw", "hyper_exome_hg38_bed", "qc_metrics", "roh_bed", "seg_bw", "snv_tbi",
+              "snv_vcf", "supplement", "sv_tbi", "sv_vcf"],
+    "experiment": ["platform", "sequencerId", "runName", "runDate", "runAlias", "flowcellId", "isPairedEnd", "fragmentSize",
+                   "experimentalStrategy", "captureKit", "baitDefinition"],
+    "workflow": ["name", "version", "genomeBuild"],
+}
+METADATA_TYPES = {"isPairedEnd": "boolean", "fragmentSize": "bigint"}
+
+
+def read_metadata(spark, path: str) -> DataFrame:
+    """Batch metadata files -> one row per analysis: file, submission_schema, the fields of ``METADATA_FIELDS`` (``{group}_{field}``,
+    NULL where a file lacks one or holds another kind of value), ``analysis`` (the whole analysis as a variant, for any further
+    field, see :func:`metadata_field`) and ``error``. A file that is no JSON, has a key twice or holds no list of analyses is one
+    row with its ``error``; an empty list gives no row. Nothing is inferred, so no file is read when this is called. A file is
+    one JSON document and hence one record."""
+    docs = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("doc"))
+    return flatten_metadata(docs)
+
+
+def metadata_field(field: str, dtype: str = "string") -> Column:
+    """A field of the ``analysis`` variant by its path (``files.cnv_vcf``)."""
+    return F.try_variant_get("analysis", f"$.{field}", dtype)
+
+
+def flatten_metadata(docs: DataFrame) -> DataFrame:
+    """:func:`read_metadata` for documents already parsed: file, doc (variant, NULL where it is none)."""
+    listed = F.try_variant_get("doc", "$.analyses", "array<variant>")
+    error = F.when(F.col("doc").isNull(), "Invalid JSON").when(listed.isNull(), "No list of analyses")
+    rows = docs.withColumn("error", error).withColumn("_all", F.when(F.col("error").isNull(), listed).otherwise(
+        F.array(F.lit(None).cast("variant"))))
+    a = rows.select("file", F.try_variant_get("doc", "$.submissionSchema", "string").alias("submission_schema"), "error",
+                    F.explode("_all").alias("analysis"))
+    cols = [metadata_field(f"{g}.{f}" if g else f, METADATA_TYPES.get(f, "string")).alias(f"{g}_{f}" if g else f)
+            for g, fields in METADATA_FIELDS.items() for f in fields]
+    return a.select("file", "submission_schema", *cols, "analysis", "error")
 
 
 def pending_ids(keys: DataFrame, folder: str = ".etl-run/", key_col: str = "object_key") -> DataFrame:

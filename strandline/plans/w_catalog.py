@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strandline.operators import catalog as cat
@@ -170,12 +171,17 @@ def _(v):
 
 
 @witness("cat_metadata", """
-SELECT 'CQGC_Germline' AS submission_schema, sequencing_id AS ldmSampleId, aliquot_id AS labAliquotId,
+SELECT batch_id, 'CQGC_Germline' AS submission_schema, sequencing_id AS ldmSampleId, aliquot_id AS labAliquotId,
        bioinfo_analysis_code AS analysisCode, gender AS patient_sex,
        DATE '1970-01-01' + CAST(CAST(aliquot_id AS INT) * 13 % 20000 AS INT) AS birth_date,
-       family_id AS patient_familyId, cnv_url AS files_cnv_vcf, affected_status AS experiment_isPairedEnd,
-       CAST(length(aliquot_id) * 100 AS BIGINT) AS experiment_fragmentSize
-FROM clinical
+       family_id AS patient_familyId, cnv_url AS files_cnv_vcf, CAST(NULL AS VARCHAR) AS files_exomiser_json,
+       affected_status AS experiment_isPairedEnd,
+       CASE WHEN gender <> 'other' THEN CAST(length(aliquot_id) * 100 AS BIGINT) END AS experiment_fragmentSize,
+       snv_url AS further, CAST(NULL AS VARCHAR) AS error
+FROM clinical WHERE NOT ends_with(batch_id, '7')
+UNION ALL
+SELECT DISTINCT batch_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(NULL AS BOOLEAN), CAST(NULL AS BIGINT), NULL, 'Invalid JSON'
+FROM clinical WHERE ends_with(batch_id, '7')
 """)
 def _(v):
     c = v.clinical
@@ -186,19 +192,27 @@ def _(v):
         F.col("bioinfo_analysis_code").alias("analysisCode"),
         F.struct(F.col("gender").alias("sex"), birth.alias("birthDate"), F.col("family_id").alias("familyId"))
         .alias("patient"),
-        F.struct(F.col("cnv_url").alias("cnv_vcf"), F.col("snv_url").alias("snv_vcf")).alias("files"),
-        F.struct(F.col("affected_status").alias("isPairedEnd"),
-                 (F.length("aliquot_id") * 100).alias("fragmentSize")).alias("experiment"),
+        F.struct(F.col("cnv_url").alias("cnv_vcf"), F.col("snv_url").alias("further_file")).alias("files"),
+        F.struct(F.col("affected_status").alias("isPairedEnd"),  # a text where a number should be
+                 F.when(F.col("gender") == "other", "short").otherwise((F.length("aliquot_id") * 100).cast("string")).alias("fragmentSize"))
+        .alias("experiment"),
         F.struct(F.lit("Dragen").alias("name"), F.lit("1.1.0").alias("version"),
                  F.lit("GRCh38").alias("genomeBuild")).alias("workflow"))
-    docs = c.groupBy("batch_id").agg(F.lit("CQGC_Germline").alias("submissionSchema"),
-                                     F.collect_list(analysis).alias("analyses"))
+    # a file a batch, written line by line; those of batches that end in 7 have no end
+    nth = F.row_number().over(Window.partitionBy("batch_id").orderBy("sequencing_id"))
+    body = c.select("batch_id", nth.alias("n"), F.concat(F.when(nth > 1, ", ").otherwise("  "), F.to_json(analysis, {"pretty": "true"})).alias("value"))
+    ends = c.select("batch_id").distinct().select("batch_id", F.inline(F.array(
+        F.struct(F.lit(0).alias("n"), F.lit('{ "submissionSchema" : "CQGC_Germline",\n  "analyses" : [').alias("value")),
+        F.struct(F.lit(1 << 30).alias("n"), F.when(F.col("batch_id").endswith("7"), "]").otherwise("] }").alias("value")))))
     path = scratch_dir(v.spark, "metadata")
-    docs.write.mode("overwrite").partitionBy("batch_id").json(path)
-    flat = cat.read_metadata(v.spark, path, multi_line=False)
-    return flat.select("submission_schema", "ldmSampleId", "labAliquotId", "analysisCode", "patient_sex",
+    body.unionByName(ends).repartition("batch_id").sortWithinPartitions("batch_id", "n").select("batch_id", "value") \
+        .write.mode("overwrite").partitionBy("batch_id").text(path)
+    flat = cat.read_metadata(v.spark, path)
+    return flat.select(cat.path_param(F.col("file"), "batch_id").alias("batch_id"), "submission_schema", "ldmSampleId",
+                       "labAliquotId", "analysisCode", "patient_sex",
                        F.to_date("patient_birthDate", "dd/MM/yyyy").alias("birth_date"), "patient_familyId",
-                       "files_cnv_vcf", "experiment_isPairedEnd", "experiment_fragmentSize")
+                       "files_cnv_vcf", "files_exomiser_json", "experiment_isPairedEnd", "experiment_fragmentSize",
+                       cat.metadata_field("files.further_file").alias("further"), "error")
 
 
 _INBOX = ("'.etl-run/' || CASE WHEN o_orderkey % 50 = 1 THEN '.txt' "
