@@ -142,6 +142,14 @@ def read_binary(spark, path: str, glob: str | None = None) -> DataFrame:
     return r.load(path)
 
 
+def file_names(spark, path: str, glob: str | None = None) -> DataFrame:
+    """(path, file_name) of the files at ``path``: the names that their copies get, with ``.gz`` where the content is gzip and
+    the name does not say so (:func:`gzip_name`). Files are read whole, one a row, and may have 2 GB at
+    most; empty files have no row."""
+    b = read_binary(spark, path, glob)
+    return b.select("path", gzip_name(F.col("content"), basename(F.col("path"))).alias("file_name"))
+
+
 def batch_has_snv(keys: DataFrame, suffix: str, batches: DataFrame | None = None,
                   key_col: str = "object_key") -> DataFrame:
     """Per batch folder, whether at least one key ends with ``suffix``."""

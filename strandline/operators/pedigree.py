@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators._util import first_by, literal_map
+from strandline.operators.catalog import s3_parts
 
 # Fixed values that must equal the reference's (earliest to latest onset).
 ONSET_DEFAULT = "HP:0003674"
@@ -182,10 +183,24 @@ def recode_affected(code: Column) -> Column:
     return literal_map(AFFECTED_CODE)[code]
 
 
-def sign_ids(signs: DataFrame, affected_only: bool = False, key: str = "sequencing_id") -> DataFrame:
-    """Per person, the ordered list of HPO ids (optionally affected signs only)."""
+def sign_ids(signs: DataFrame, affected_only: bool = False, key: str = "sequencing_id", order: str | None = None,
+             persons: DataFrame | None = None, absent: str = "null") -> DataFrame:
+    """Per person, the list of HPO ids (optionally of affected signs only; signs without an id are left out), in the order of
+    the column ``order``, by id without one. With ``persons`` (key) there is a row for everyone named there: one without signs
+    has NULL, or an empty list with ``absent="empty"``."""
+    if absent not in ("null", "empty"):
+        raise ValueError(absent)
     s = signs.where(F.col("affected_status")) if affected_only else signs
-    return s.groupBy(key).agg(F.sort_array(F.collect_list("hpo_id")).alias("hpo_ids"))
+    s = s.where(F.col("hpo_id").isNotNull())
+    if order is None:
+        ids = F.sort_array(F.collect_list("hpo_id"))
+    else:
+        ids = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), "hpo_id"))), lambda x: x["hpo_id"])
+    out = s.groupBy(key).agg(ids.alias("hpo_ids"))
+    if persons is None:
+        return out
+    out = persons.select(key).distinct().join(out, key, "left")
+    return out if absent == "null" else out.withColumn("hpo_ids", F.coalesce("hpo_ids", F.array().cast("array<string>")))
 
 
 def earliest_onset(signs: DataFrame, key: str = "sequencing_id") -> DataFrame:
@@ -214,18 +229,32 @@ def pedigree_documents(clinical: DataFrame, signs: DataFrame, analyses: DataFram
         F.col("father_aliquot_id").alias("paternalId"),
         F.col("mother_aliquot_id").alias("maternalId")))).alias("persons"))
     probands = c.where("is_proband")
-    feats = (signs.where("affected_status").groupBy("sequencing_id")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("hpo_id").alias("id")))).alias("features")))
+    label = F.col("name") if "name" in signs.columns else F.lit(None).cast("string")
+    feats = (signs.where("affected_status AND hpo_id IS NOT NULL").groupBy("sequencing_id")
+             .agg(F.sort_array(F.collect_list(F.struct(F.col("hpo_id").alias("id"), label.alias("label")))).alias("features")))
+    family = F.struct(
+        F.col("analysis_id").alias("id"),
+        F.struct(F.struct(F.col("aliquot_id").alias("id"), literal_map(PEDIGREE_SEX)[F.col("gender")].alias("sex")).alias("subject"),
+                 F.transform(F.coalesce("features", F.array()), lambda f: F.struct(f.alias("type"))).alias("phenotypicFeatures"))
+        .alias("proband"),
+        F.struct(F.col("persons")).alias("pedigree"))
     doc = (probands.join(feats, "sequencing_id", "left").join(persons, "analysis_id")
-           .select("analysis_id", "aliquot_id",
-                   F.struct(F.col("analysis_id").alias("id"),
-                            F.struct(F.struct(F.col("aliquot_id").alias("id"),
-                                              literal_map(PEDIGREE_SEX)[F.col("gender")].alias("sex")).alias("subject"),
-                                     F.transform(F.coalesce("features", F.array()),
-                                                 lambda f: F.struct(f["id"].alias("type"))).alias("phenotypicFeatures"))
-                            .alias("proband"),
-                            F.struct(F.col("persons")).alias("pedigree")).alias("family")))
-    return doc.select("analysis_id", "aliquot_id", "family", F.to_json("family").alias("document"))
+           .select("analysis_id", "aliquot_id", family.alias("family")))
+    return doc.select("analysis_id", "aliquot_id", "family", F.to_json(_without_defaults(F.col("family"))).alias("document"))
+
+
+def _without_defaults(family: Column) -> Column:
+    """A family as its JSON form has it: without values that are a field's default (unknown sex, missing status, no features)."""
+    subject, features = family["proband"]["subject"], family["proband"]["phenotypicFeatures"]
+    person = lambda p: F.struct(
+        p["familyId"].alias("familyId"), p["individualId"].alias("individualId"), p["paternalId"].alias("paternalId"),
+        p["maternalId"].alias("maternalId"), F.nullif(p["sex"], F.lit("UNKNOWN_SEX")).alias("sex"),
+        F.nullif(p["affectedStatus"], F.lit("MISSING")).alias("affectedStatus"))
+    return F.struct(
+        family["id"].alias("id"),
+        F.struct(F.struct(subject["id"].alias("id"), F.nullif(subject["sex"], F.lit("UNKNOWN_SEX")).alias("sex")).alias("subject"),
+                 F.when(F.size(features) > 0, features).alias("phenotypicFeatures")).alias("proband"),
+        F.struct(F.transform(family["pedigree"]["persons"], person).alias("persons")).alias("pedigree"))
 
 
 def sample_name(aliquot: Column, analysis: Column) -> Column:
@@ -247,61 +276,110 @@ def name_analysis(name: Column) -> Column:
 def _case_members(clinical: DataFrame) -> DataFrame:
     """Members of each third-party case: supported family members (case = the
     proband's analysis) and SOLO probands (rows without a family)."""
+    about = [F.col(c).cast("string").alias(c) if c in clinical.columns else F.lit(None).cast("string").alias(c)
+             for c in ("first_name", "birth_date")]
     fam = supported_families(clinical)
     p = first_proband(fam).join(
         fam.select("family_id", F.col("sequencing_id").alias("p_sequencing_id"),
                    F.col("analysis_id").alias("case_id")), ["family_id", "p_sequencing_id"])
     fm = fam.join(p, "family_id").select(
-        "case_id", F.lit("family").alias("kind"), "sequencing_id", "aliquot_id", "affected_status", "gender",
+        "case_id", F.lit("family").alias("kind"), "sequencing_id", "aliquot_id", "affected_status", "gender", *about,
         relation(F.col("aliquot_id"), F.col("p_aliquot_id"), F.col("p_father"), F.col("p_mother")).alias("relation"),
         F.col("p_sequencing_id").alias("proband_seq"))
     solo = clinical.where(F.col("family_id").isNull() & F.col("is_proband")).select(
         F.col("analysis_id").alias("case_id"), F.lit("solo").alias("kind"), "sequencing_id", "aliquot_id",
-        "affected_status", "gender", F.lit("proband").alias("relation"), F.col("sequencing_id").alias("proband_seq"))
+        "affected_status", "gender", *about, F.lit("proband").alias("relation"), F.col("sequencing_id").alias("proband_seq"))
     return fm.unionByName(solo)
 
 
-def case_requests(clinical: DataFrame, signs: DataFrame, files: DataFrame) -> DataFrame:
-    """One request document per case: every sample (name, relation, affected,
-    VCF), the proband's phenotypes, and the family block for families only
-    (SOLO cases omit it). ``files``: (sequencing_id, vcf_key)."""
-    m = _case_members(clinical).join(files, "sequencing_id", "left").withColumn(
-        "sample_name", sample_name(F.col("aliquot_id"), F.col("case_id")))
-    pheno = signs.groupBy(F.col("sequencing_id").alias("proband_seq")).agg(
-        F.sort_array(F.collect_list("hpo_id")).alias("phenotypes"))
+# Fixed values of the case service's requests.
+TISSUE_TYPE = "Whole Blood"
+VCF_FILE_TYPE = "VCF_SHORT"
+
+
+def case_requests(clinical: DataFrame, signs: DataFrame, files: DataFrame, listing: DataFrame | None = None, env: str = "prod",
+                  bucket: str = "franklin", assay_id: str = "", order: str | None = None) -> DataFrame:
+    """One request document per case, ready to send: where the files are, every sample with its file below
+    ``{env}/{analysis}/`` and its patient, and for families only the family block with the proband's phenotypes and the order to
+    create the single analyses too. ``files``: (sequencing_id, vcf_key); ``listing``: the keys of the service's bucket.
+
+    A case whose sample has no file, or (with ``listing``) one that is not there, has an ``error`` instead of a request; of
+    several the first by sample name is told. ``order`` as in :func:`sign_ids`. ``clinical`` may have first_name and birth_date.
+    """
+    key = F.concat(F.lit(f"{env}/"), F.col("case_id"), F.lit("/"), F.col("vcf_key"))
+    m = _case_members(clinical).join(files.select("sequencing_id", "vcf_key"), "sequencing_id", "left").withColumn(
+        "sample_name", sample_name(F.col("aliquot_id"), F.col("case_id"))).withColumn("key", key)
+    if listing is None:
+        m = m.withColumn("_there", F.lit(True))
+    else:
+        m = m.join(listing.select(F.col("object_key").alias("key")).distinct().withColumn("_there", F.lit(True)), "key", "left")
+    m = m.withColumn("error", F.when(F.col("vcf_key").isNull(), F.concat(
+        F.lit("No VCF to attach for aliquot_id "), F.coalesce("aliquot_id", F.lit("None")))).when(
+        F.col("_there").isNull(), F.concat(F.lit(f"VCF not found: {bucket}/"), F.col("key"))))
     samples = m.groupBy("case_id", "kind", "proband_seq").agg(F.sort_array(F.collect_list(F.struct(
         "sample_name", F.col("relation").alias("family_relation"), F.col("affected_status").alias("is_affected"),
-        F.col("aliquot_id").alias("name_in_vcf"), "vcf_key", "gender"))).alias("samples"))
-    j = samples.join(pheno, "proband_seq", "left")
-    analyses = F.transform("samples", lambda s: F.struct(
+        F.col("aliquot_id").alias("name_in_vcf"), "vcf_key", "gender", "key", "first_name", "birth_date", "error"))).alias("samples"))
+    pheno = sign_ids(signs, order=order).select(F.col("sequencing_id").alias("proband_seq"), F.col("hpo_ids").alias("phenotypes"))
+    j = samples.join(pheno, "proband_seq", "left").withColumn(
+        "phenotypes", F.coalesce("phenotypes", F.array().cast("array<string>"))).withColumn(
+        "error", F.get(F.array_compact(F.transform("samples", lambda s: s["error"])), F.lit(0)))
+    uploads = F.struct(F.lit("AWS").alias("source"),
+                       F.struct(F.lit(bucket).alias("bucket"), F.lit("/").alias("root_folder")).alias("details"))
+    analyses = F.transform("samples", lambda s: F.struct(F.lit(assay_id).alias("assay_id"), F.struct(
         s["sample_name"].alias("sample_name"), s["name_in_vcf"].alias("name_in_vcf"),
-        F.array(F.struct(s["vcf_key"].alias("key"), F.lit("VCF_SHORT").alias("type"))).alias("aws_files"),
-        F.lit("Whole Blood").alias("tissue_type"), F.struct(s["gender"].alias("sex")).alias("patient_details")))
-    family_block = F.when(F.col("kind") == "family", F.array(F.struct(
+        F.array(F.struct(s["key"].alias("key"), F.lit(VCF_FILE_TYPE).alias("type"))).alias("aws_files"),
+        F.lit(TISSUE_TYPE).alias("tissue_type"),
+        F.struct(s["first_name"].alias("name"), F.coalesce(s["birth_date"], F.lit("None")).alias("dob"), s["gender"].alias("sex"))
+        .alias("patient_details")).alias("sample_data")))
+    family = F.array(F.struct(
         F.concat(F.lit(FAMILY_KEYWORD + NAME_SEPARATOR), F.col("case_id")).alias("case_name"),
         F.transform("samples", lambda s: F.struct(s["sample_name"].alias("sample_name"),
                                                   s["family_relation"].alias("family_relation"),
                                                   s["is_affected"].alias("is_affected"))).alias("family_samples"),
-        F.coalesce("phenotypes", F.array().cast("array<string>")).alias("phenotypes"))))
-    doc = F.struct(analyses.alias("analyses"), family_block.alias("family_analyses"))
-    return j.select("case_id", "kind", "samples", F.coalesce("phenotypes", F.array().cast("array<string>"))
-                    .alias("phenotypes"), doc.alias("request"), F.to_json(doc).alias("document"))
+        F.col("phenotypes").alias("phenotypes")))
+    creation = F.struct(F.lit("true").alias("create_family_single_analyses"))
+    is_family, ok = F.col("kind") == "family", F.col("error").isNull()
+    single = [uploads.alias("upload_specs"), analyses.alias("analyses")]
+    request = F.struct(*single, F.when(is_family, family).alias("family_analyses"),
+                       F.when(is_family, creation).alias("family_analyses_creation_specs"))
+    keep = {"ignoreNullFields": "false"}  # unknown values are null, but a SOLO case has no family block at all
+    document = F.when(is_family, F.to_json(request, keep)).otherwise(F.to_json(F.struct(*single), keep))
+    return j.select("case_id", "kind", "samples", "phenotypes", F.when(ok, request).alias("request"),
+                    F.when(ok, document).alias("document"), "error")
+
 
+# Fixed value: how the phenotype service fetches files.
+DOWNLOAD_SOURCE = "s3_minio"
 
-def phenotype_requests(clinical: DataFrame, signs: DataFrame) -> DataFrame:
+
+def phenotype_requests(clinical: DataFrame, signs: DataFrame, bucket: str = "phenovar-import", names: DataFrame | None = None,
+                       order: str | None = None) -> DataFrame:
     """Phenotype-service request per runnable analysis (SOLO/DUO/TRIO): proband
-    external id and sex, parents' affected status, HPO list, earliest onset,
-    and the analysis files with their roles."""
+    external id and sex, parents' affected status, HPO list, earliest onset, where to download from, and the analysis files
+    ``{analysis}/{file}`` with their roles. ``names``: (url, file_name) of files whose copies are named otherwise than the
+    last part of the URL (see :func:`catalog.file_names`).
+
+    An analysis with a file whose URL cannot be read has ``error`` (all of them, by aliquot) instead of a request. Empty URLs
+    and the text ``None`` stand for no file. ``order`` as in :func:`sign_ids`."""
     ok = solo_duo_trio(clinical, signs)
     c = clinical.join(ok, "analysis_id", "left_semi")
     p = first_proband(c, "analysis_id").join(
         c.select(F.col("sequencing_id").alias("p_sequencing_id"), "gender"), "p_sequencing_id")
     pa = parental_affected(c).select("analysis_id", "maternal_affected", "paternal_affected")
-    hpo = signs.groupBy(F.col("sequencing_id").alias("p_sequencing_id")).agg(
-        F.sort_array(F.collect_list("hpo_id")).alias("hpo"))
+    hpo = sign_ids(signs, order=order).select(F.col("sequencing_id").alias("p_sequencing_id"), F.col("hpo_ids").alias("hpo"))
     onset = earliest_onset(signs).select(F.col("sequencing_id").alias("p_sequencing_id"), "onset")
-    files = file_roles(c).groupBy("analysis_id").agg(F.sort_array(F.collect_list(F.struct(
-        F.col("url").alias("filepath"), F.col("file_role").alias("filetype")))).alias("analysis_files"))
+    roles = file_roles(c).where((F.length("url") > 0) & (F.col("url") != "None"))
+    _, key, bad = s3_parts(F.col("url"))
+    name = F.substring_index(key, "/", -1)
+    if names is not None:
+        roles = roles.join(names.select("url", "file_name").distinct(), "url", "left")
+        name = F.coalesce("file_name", name)
+    kind = F.upper(F.substring_index("file_role", "_", -1))
+    told = F.concat(F.lit("Error processing "), kind, F.lit(" VCF for "), F.col("aliquot_id"), F.lit(": "), bad)
+    files = roles.select("analysis_id", F.concat("analysis_id", F.lit("/"), name).alias("filepath"), "file_role", told.alias("told")) \
+        .groupBy("analysis_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("told").isNull(), F.struct("filepath", F.col("file_role").alias("filetype")))))
+        .alias("analysis_files"), F.sort_array(F.collect_list("told")).alias("errors"))
     j = (p.join(pa, "analysis_id", "left").join(hpo, "p_sequencing_id", "left")
          .join(onset, "p_sequencing_id", "left").join(files, "analysis_id", "left"))
     doc = F.struct(
@@ -312,8 +390,12 @@ def phenotype_requests(clinical: DataFrame, signs: DataFrame) -> DataFrame:
                  F.lit("").alias("label"), F.col("analysis_id").alias("cohort")).alias("patient_details"),
         F.coalesce("hpo", F.array().cast("array<string>")).alias("phenotype_hpo_code_list"),
         onset_or_default(F.col("onset")).alias("phenotype_onset_hpo_code"),
+        F.struct(F.lit(DOWNLOAD_SOURCE).alias("download_source"), F.struct(F.lit(bucket).alias("s3_bucket_name")).alias("details"))
+        .alias("download_specifications"),
         F.coalesce("analysis_files", F.array()).alias("analysis_files"))
-    return j.select("analysis_id", doc.alias("request"), F.to_json(doc).alias("document"))
+    error = F.when(F.size("errors") > 0, F.concat(F.lit("Failed to copy VCFs for analysis "), F.col("analysis_id"), F.lit(": "), F.array_join("errors", "; ")))
+    return j.select("analysis_id", F.when(error.isNull(), doc).alias("request"),
+                    F.when(error.isNull(), F.to_json(doc)).alias("document"), error.alias("error"))
 
 
 def name_parts(name: Column) -> tuple[Column, Column]:

@@ -162,21 +162,29 @@ def _(v):
             .select("sequencing_id", ped.onset_or_default(F.col("onset")).alias("onset")))
 
 
-@witness("ped_document", """
-SELECT p.analysis_id, p.aliquot_id, m.n AS n_persons, m.ids AS person_ids, coalesce(f.n, 0) AS n_features
-FROM clinical p
-JOIN (SELECT analysis_id, count(*) AS n, array_to_string(list_sort(list(aliquot_id)), ',') AS ids
-      FROM clinical GROUP BY analysis_id) m USING (analysis_id)
-LEFT JOIN (SELECT sequencing_id, count(*) AS n FROM clinical_signs WHERE affected_status GROUP BY sequencing_id) f
-  USING (sequencing_id)
-WHERE p.is_proband
+_SEX = ("CASE {g} WHEN 'Male' THEN 'MALE' WHEN 'Female' THEN 'FEMALE' WHEN 'other' THEN 'OTHER_SEX' END")
+
+
+@witness("ped_document", f"""
+WITH per AS (SELECT c.analysis_id, c.aliquot_id, json_merge_patch('{{}}', json_object(
+                 'familyId', c.analysis_id, 'individualId', c.aliquot_id, 'paternalId', c.father_aliquot_id, 'maternalId', c.mother_aliquot_id,
+                 'sex', coalesce({_SEX.format(g='c.gender')},
+                   CASE WHEN (c.analysis_id, c.aliquot_id) IN (SELECT (analysis_id, father_aliquot_id) FROM clinical WHERE father_aliquot_id IS NOT NULL) THEN 'MALE'
+                        WHEN (c.analysis_id, c.aliquot_id) IN (SELECT (analysis_id, mother_aliquot_id) FROM clinical WHERE mother_aliquot_id IS NOT NULL) THEN 'FEMALE' END),
+                 'affectedStatus', CASE WHEN c.affected_status THEN 'AFFECTED' WHEN NOT c.affected_status THEN 'UNAFFECTED' END)) AS j
+             FROM clinical c),
+m AS (SELECT analysis_id, count(*) AS n, list(j ORDER BY aliquot_id) AS persons FROM per GROUP BY analysis_id),
+f AS (SELECT sequencing_id, list(json_object('type', json_object('id', hpo_id, 'label', 'Sign ' || hpo_id)) ORDER BY hpo_id) AS feats
+      FROM clinical_signs WHERE affected_status GROUP BY sequencing_id)
+SELECT p.analysis_id, p.aliquot_id, m.n AS n_persons, CAST(json_merge_patch('{{}}', json_object('id', p.analysis_id, 'proband', json_object(
+         'subject', json_object('id', p.aliquot_id, 'sex', {_SEX.format(g='p.gender')}), 'phenotypicFeatures', f.feats),
+         'pedigree', json_object('persons', m.persons))) AS VARCHAR) AS document
+FROM clinical p JOIN m USING (analysis_id) LEFT JOIN f USING (sequencing_id) WHERE p.is_proband
 """)
 def _(v):
-    d = ped.pedigree_documents(v.clinical, v.clinical_signs)
-    persons = F.col("family.pedigree.persons")
-    return d.select("analysis_id", "aliquot_id", F.size(persons).cast("bigint").alias("n_persons"),
-                    F.array_join(F.transform(persons, lambda p: p["individualId"]), ",").alias("person_ids"),
-                    F.size("family.proband.phenotypicFeatures").cast("bigint").alias("n_features"))
+    signs = v.clinical_signs.withColumn("name", F.concat(F.lit("Sign "), F.col("hpo_id")))
+    d = ped.pedigree_documents(v.clinical, signs)
+    return d.select("analysis_id", "aliquot_id", F.size("family.pedigree.persons").cast("bigint").alias("n_persons"), "document")
 
 
 _NAME = ("CASE WHEN is_proband THEN 'family' ELSE aliquot_id END || ' - ' || "
@@ -230,26 +238,47 @@ CASE_MEMBERS = (f"{FAM_P.replace('mother_aliquot_id AS pm FROM', 'mother_aliquot
                 "m AS (SELECT *, aliquot_id || ' - ' || case_id AS sample_name FROM (SELECT * FROM fm UNION ALL SELECT * FROM so))")
 
 
+# people's names, birth dates (some unknown) and file keys; one file in seven is not in the service's bucket
+_BORN = "CASE WHEN CAST(aliquot_id AS INT) % 5 <> 0 THEN date_add(DATE '1960-01-01', CAST(CAST(aliquot_id AS INT) * 17 % 20000 AS INT)) END"
+
+
 @witness("ped_case_request", f"""
 WITH {CASE_MEMBERS},
-f AS (SELECT sequencing_id, snv_url AS vcf_key FROM clinical WHERE snv_url IS NOT NULL),
-ph AS (SELECT sequencing_id AS proband_seq, count(*) AS n FROM clinical_signs GROUP BY 1)
-SELECT m.case_id, m.kind, count(*) AS n_samples, string_agg(m.sample_name, '|' ORDER BY m.sample_name) AS sample_names,
-       string_agg(m.relation, ',' ORDER BY m.sample_name) AS relations, coalesce(max(ph.n), 0) AS n_phenotypes,
-       count(f.vcf_key) AS n_files, m.kind = 'family' AS has_family_block
-FROM m LEFT JOIN f USING (sequencing_id) LEFT JOIN ph USING (proband_seq)
-GROUP BY m.case_id, m.kind
+x AS (SELECT m.*, c.affected_status, c.gender, 'Person ' || c.aliquot_id AS first_name,
+             coalesce(CAST(CASE WHEN CAST(c.aliquot_id AS INT) % 5 <> 0 THEN
+                      DATE '1960-01-01' + CAST(CAST(c.aliquot_id AS INT) * 17 % 20000 AS INT) END AS VARCHAR), 'None') AS dob,
+             'prod/' || m.case_id || '/' || substr(c.snv_url, 14) AS key FROM m JOIN clinical c USING (sequencing_id)),
+e AS (SELECT *, CASE WHEN key IS NULL THEN 'No VCF to attach for aliquot_id ' || aliquot_id
+                     WHEN CAST(aliquot_id AS INT) % 7 = 0 THEN 'VCF not found: franklin/' || key END AS err FROM x),
+g AS (SELECT case_id, kind, proband_seq, count(*) AS n_samples, (list(err ORDER BY sample_name) FILTER (WHERE err IS NOT NULL))[1] AS error,
+             list(json_object('assay_id', 'assay-1', 'sample_data', json_object(
+               'sample_name', sample_name, 'name_in_vcf', aliquot_id, 'aws_files', json_array(json_object('key', key, 'type', 'VCF_SHORT')),
+               'tissue_type', 'Whole Blood', 'patient_details', json_object('name', first_name, 'dob', dob, 'sex', gender))) ORDER BY sample_name) AS an,
+             list(json_object('sample_name', sample_name, 'family_relation', relation, 'is_affected', affected_status) ORDER BY sample_name) AS fs
+      FROM e GROUP BY case_id, kind, proband_seq),
+ph AS (SELECT sequencing_id AS proband_seq, list_sort(list(hpo_id)) AS ids FROM clinical_signs GROUP BY 1)
+SELECT g.case_id, g.kind, g.n_samples, g.error, CAST(CASE WHEN g.error IS NOT NULL THEN NULL
+  WHEN g.kind = 'family' THEN json_object(
+    'upload_specs', json_object('source', 'AWS', 'details', json_object('bucket', 'franklin', 'root_folder', '/')), 'analyses', g.an,
+    'family_analyses', json_array(json_object('case_name', 'family - ' || g.case_id, 'family_samples', g.fs, 'phenotypes', coalesce(ph.ids, []))),
+    'family_analyses_creation_specs', json_object('create_family_single_analyses', 'true'))
+  ELSE json_object('upload_specs', json_object('source', 'AWS', 'details', json_object('bucket', 'franklin', 'root_folder', '/')), 'analyses', g.an)
+  END AS VARCHAR) AS document
+FROM g LEFT JOIN ph USING (proband_seq)
 """)
 def _(v):
-    files = v.clinical.where(F.col("snv_url").isNotNull()).select("sequencing_id", F.col("snv_url").alias("vcf_key"))
-    r = ped.case_requests(v.clinical, v.clinical_signs, files)
-    s = F.col("samples")
-    return r.select("case_id", "kind", F.size(s).cast("bigint").alias("n_samples"),
-                    F.array_join(F.transform(s, lambda x: x["sample_name"]), "|").alias("sample_names"),
-                    F.array_join(F.transform(s, lambda x: x["family_relation"]), ",").alias("relations"),
-                    F.size("phenotypes").cast("bigint").alias("n_phenotypes"),
-                    F.size(F.filter(s, lambda x: x["vcf_key"].isNotNull())).cast("bigint").alias("n_files"),
-                    F.col("request.family_analyses").isNotNull().alias("has_family_block"))
+    c = v.clinical.withColumns({"first_name": F.concat(F.lit("Person "), F.col("aliquot_id")), "birth_date": F.expr(_BORN),
+                                "vcf_key": F.expr("substr(snv_url, 14)")})
+    files = c.where("vcf_key IS NOT NULL").select("sequencing_id", "vcf_key")
+    listing = c.where("vcf_key IS NOT NULL AND CAST(aliquot_id AS INT) % 7 <> 0").select(
+        F.concat(F.lit("prod/"), "analysis_id", F.lit("/"), "vcf_key").alias("object_key"))
+    r = ped.case_requests(c, v.clinical_signs, files, listing, assay_id="assay-1")
+    return r.select("case_id", "kind", F.size("samples").cast("bigint").alias("n_samples"), "error", "document")
+
+
+# some URLs are lists as text, some are of another kind of store
+_CNV = ("CASE WHEN CAST(aliquot_id AS INT) % 13 = 0 THEN replace(cnv_url, 's3a://', 'gs://') "
+        "WHEN CAST(aliquot_id AS INT) % 11 = 0 THEN 'WrappedArray(' || cnv_url || ')' ELSE cnv_url END")
 
 
 @witness("ped_phenotype_request", f"""
@@ -260,27 +289,32 @@ WITH f AS (SELECT analysis_id, bool_or(is_proband) AS hp,
 ok AS (SELECT analysis_id FROM f WHERE hp AND NOT hs AND hv
        AND analysis_id IN (SELECT analysis_id FROM p WHERE p_seq IN (SELECT sequencing_id FROM clinical_signs))),
 pg AS (SELECT p.*, c.gender FROM p JOIN clinical c ON c.sequencing_id = p.p_seq WHERE p.analysis_id IN (SELECT analysis_id FROM ok)),
-hpo AS (SELECT sequencing_id, count(*) AS n FROM clinical_signs GROUP BY 1),
+hpo AS (SELECT sequencing_id, list_sort(list(hpo_id)) AS ids FROM clinical_signs GROUP BY 1),
 ons AS (SELECT sequencing_id, arg_min(age_at_onset, rk) AS onset
         FROM (SELECT sequencing_id, age_at_onset, CASE age_at_onset {_RANK} END AS rk FROM clinical_signs)
         WHERE rk IS NOT NULL GROUP BY sequencing_id),
-fl AS (SELECT analysis_id, count(snv_url) + count(cnv_url) AS n FROM clinical GROUP BY analysis_id)
-SELECT pg.analysis_id, pg.p_seq AS externalid,
-       CASE lower(pg.gender) WHEN 'male' THEN 'M' WHEN 'female' THEN 'F' ELSE 'M' END AS sex,
-       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pm), false) AS maternal_affected,
-       coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pf
-                 AND NOT coalesce(c.aliquot_id = pg.pm, false)), false) AS paternal_affected,
-       coalesce(hpo.n, 0) AS n_hpo, coalesce(ons.onset, 'HP:0003674') AS onset, coalesce(fl.n, 0) AS n_files
+u AS (SELECT c.analysis_id, c.aliquot_id, 'snv' AS kind, c.snv_url AS url, c.is_proband, p.pm FROM clinical c JOIN p USING (analysis_id)
+      UNION ALL SELECT c.analysis_id, c.aliquot_id, 'cnv', {_CNV.replace('aliquot_id', 'c.aliquot_id').replace('cnv_url', 'c.cnv_url')}, c.is_proband, p.pm
+      FROM clinical c JOIN p USING (analysis_id)),
+w AS (SELECT analysis_id, analysis_id || '/' || replace(split_part(url, '/', -1), ')', '') AS fp,
+             CASE WHEN is_proband THEN 'patient' WHEN coalesce(aliquot_id = pm, false) THEN 'maternal' ELSE 'paternal' END || '_called_' || kind AS ft,
+             CASE WHEN starts_with(url, 'gs://') THEN 'Error processing ' || upper(kind) || ' VCF for ' || aliquot_id || ': Invalid S3 URL format: ' || url END AS bad
+      FROM u WHERE url IS NOT NULL),
+fl AS (SELECT analysis_id, list(json_object('filepath', fp, 'filetype', ft) ORDER BY fp, ft) AS files,
+              string_agg(bad, '; ' ORDER BY bad) AS bad FROM w GROUP BY analysis_id)
+SELECT pg.analysis_id, 'Failed to copy VCFs for analysis ' || pg.analysis_id || ': ' || fl.bad AS error,
+       CAST(CASE WHEN fl.bad IS NULL THEN json_object('schema_version', '1.0.0', 'patient_details', json_object('externalid', pg.p_seq,
+         'sex', CASE lower(pg.gender) WHEN 'male' THEN 'M' WHEN 'female' THEN 'F' ELSE 'M' END,
+         'maternal_affected', coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pm), false),
+         'paternal_affected', coalesce((SELECT bool_or(c.affected_status) FROM clinical c WHERE c.analysis_id = pg.analysis_id AND c.aliquot_id = pg.pf
+                                        AND NOT coalesce(c.aliquot_id = pg.pm, false)), false),
+         'label', '', 'cohort', pg.analysis_id),
+         'phenotype_hpo_code_list', coalesce(hpo.ids, []), 'phenotype_onset_hpo_code', coalesce(ons.onset, 'HP:0003674'),
+         'download_specifications', json_object('download_source', 's3_minio', 'details', json_object('s3_bucket_name', 'phenovar-import')),
+         'analysis_files', coalesce(fl.files, [])) END AS VARCHAR) AS document
 FROM pg LEFT JOIN hpo ON hpo.sequencing_id = pg.p_seq LEFT JOIN ons ON ons.sequencing_id = pg.p_seq
 LEFT JOIN fl ON fl.analysis_id = pg.analysis_id
 """)
 def _(v):
-    r = ped.phenotype_requests(v.clinical, v.clinical_signs)
-    d = F.col("request")
-    return r.select("analysis_id", d["patient_details"]["externalid"].alias("externalid"),
-                    d["patient_details"]["sex"].alias("sex"),
-                    d["patient_details"]["maternal_affected"].alias("maternal_affected"),
-                    d["patient_details"]["paternal_affected"].alias("paternal_affected"),
-                    F.size(d["phenotype_hpo_code_list"]).cast("bigint").alias("n_hpo"),
-                    d["phenotype_onset_hpo_code"].alias("onset"),
-                    F.size(d["analysis_files"]).cast("bigint").alias("n_files"))
+    r = ped.phenotype_requests(v.clinical.withColumn("cnv_url", F.expr(_CNV)), v.clinical_signs)
+    return r.select("analysis_id", "error", "document")
