@@ -64,6 +64,7 @@ def _load() -> None:
     from strandline.plans import (  # noqa: F401
         w_catalog,
         w_cohort,
+        w_importers,
         w_manifest,
         w_pedigree,
         w_quality,

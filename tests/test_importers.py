@@ -2,7 +2,11 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from strandline.operators import refdata as ref
+from strandline.operators import typed_tables as tables
 from strandline.session import scratch_dir
 
 
@@ -70,3 +74,27 @@ def test_spliceai_missing_scores(spark):
     p = _write(d, "a.vcf", "1\t1\t.\tA\tC\t.\t.\tSpliceAI=C|G1|.|0.5|0.1|0.2,C|G2\n")
     rows = {r.symbol: (r.ds_ag, r.ds_al) for r in ref.import_spliceai(spark, p).collect()}
     assert rows == {"G1": (None, 0.5), "G2": (None, None)}
+
+
+def test_typed_tables(spark):
+    d = scratch_dir(spark, "typed")
+    p = _write(d, "genemap2.txt", "# Copyright\n# " + "\t".join(h for h, _, _ in tables.TABLES["omim"]) + "\n"
+               "chr1\t100\tx\t1p\t600001\tA1, B1\tname\tA1\t7\tE1\t{Some disease, type 2}, 100100 (3), Autosomal dominant, X-linked; ?Other (1); plain\n"
+               "chr2\t200\n")
+    omim = tables.import_table(spark, p, "omim")
+    a, b = omim.orderBy("chromosome").collect()
+    assert (a.start, a.end, a.omim_gene_id, a.symbols, b.symbols, b.omim_gene_id) == (100, None, 600001, ["A1", "B1"], None, None)
+    assert [tuple(r) for r in tables.rejects(ref.import_omim(spark, p), "omim", ["Chromosome"]).collect()] == [("chr1", "end", "x")]
+    got = {r.name: (r.omim_id, r.mapping_key, r.inheritance, r.flags) for r in tables.omim_phenotypes(omim).collect()}
+    assert got == {"Some disease, type 2": (100100, 3, ["Autosomal dominant", "X-linked"], ["{"]), "Other": (None, 1, None, ["?"]),
+                   "plain": (None, None, None, None)}
+    with pytest.raises(ValueError, match="MIM Number"):
+        tables.typed(spark.createDataFrame([("x",)], "Chromosome string"), "omim")
+
+
+def test_external_references_and_frequencies(spark):
+    df = spark.createDataFrame([(["MIM:1", "HGNC:HGNC:5", "MIM:2"], "3/4"), ([], "50%"), (None, "HP:0040281"), (["X:1"], "0/0")],
+                               "refs array<string>, f string")
+    rows = df.select(tables.reference_of(F.col("refs"), "MIM").alias("m"), tables.reference_of(F.col("refs"), "HGNC").alias("h"),
+                     tables.frequency_share(F.col("f")).alias("s")).collect()
+    assert [tuple(r) for r in rows] == [("1", "HGNC:5", 0.75), (None, None, 0.5), (None, None, None), (None, None, None)]
