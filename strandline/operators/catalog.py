@@ -58,6 +58,13 @@ def file_prefix(key: Column) -> Column:
     return out
 
 
+def invalid_prefixes(keys: DataFrame, key_col: str = "object_key") -> DataFrame:
+    """(object_key, error) of the VCF keys that have no prefix: nothing is left of their name without the suffixes."""
+    vcf = F.col(key_col).endswith(SNV_GERMLINE) | F.col(key_col).endswith(SNV_GERMLINE_LEGACY)
+    return keys.where(vcf & (F.length(file_prefix(F.col(key_col))) == 0)).select(
+        F.col(key_col).alias("object_key"), F.concat(F.lit("Invalid VCF prefix: "), F.col(key_col)).alias("error"))
+
+
 def discover(keys: DataFrame, suffix: str, source: str, folder: str | None = None,
              key_col: str = "object_key") -> DataFrame:
     """Keys with ``suffix`` (optionally under ``folder``), tagged with their

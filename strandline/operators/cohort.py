@@ -72,11 +72,15 @@ def one_batch_per_analysis(clinical: DataFrame) -> DataFrame:
     return first_by(clinical, ["analysis_id"], [F.col("sequencing_id"), F.col("batch_id")], descending=True)
 
 
-def group_by_batch(clinical: DataFrame, ids: IdInput) -> DataFrame:
-    """Requested analyses grouped by the batch of their latest row: one sorted
-    id array per batch."""
-    latest = one_batch_per_analysis(_semi(clinical, "analysis_id", ids))
-    return latest.groupBy("batch_id").agg(F.sort_array(F.collect_set("analysis_id")).alias("analysis_ids"))
+def group_by_batch(clinical: DataFrame, ids: IdInput, most: int = 10_000) -> DataFrame:
+    """Requested analyses grouped by the batch of their latest row: (batch_id, part, analysis_ids), the ids sorted and at most
+    ``most`` in a row. A batch with more has several rows, their ids in the order of ``part`` (from 0)."""
+    latest = one_batch_per_analysis(_semi(clinical, "analysis_id", ids)).select("batch_id", "analysis_id")
+    numbered = global_row_number(latest, ["batch_id", "analysis_id"], name="_n")
+    start = numbered.groupBy("batch_id").agg(F.min("_n").alias("_first")).withColumnRenamed("batch_id", "_b")
+    placed = numbered.join(start, F.col("batch_id").eqNullSafe(F.col("_b")))
+    part = F.floor((F.col("_n") - F.col("_first")) / most).cast("bigint")
+    return placed.groupBy("batch_id", part.alias("part")).agg(F.sort_array(F.collect_list("analysis_id")).alias("analysis_ids"))
 
 
 def analysis_types(clinical: DataFrame, id_col: str = "analysis_id", ids: IdInput = None) -> DataFrame:

@@ -166,18 +166,30 @@ def import_gnomad_sv(spark, path): return import_vcf(spark, path, "gnomad_sv")
 def import_topmed(spark, path): return import_vcf(spark, path, "topmed")
 
 
-SPLICEAI_FIELDS = ["allele", "symbol", "ds_ag", "ds_al", "ds_dg", "ds_dl"]
 SPLICEAI_TYPES = ["AG", "AL", "DG", "DL"]
+SPLICEAI_FIELDS = ["allele", "symbol", *[f"{p}_{t.lower()}" for p in ("ds", "dp") for t in SPLICEAI_TYPES]]
+SPLICEAI_KINDS = ("snv", "indel")
 
 
-def import_spliceai(spark: SparkSession, path: str) -> DataFrame:
-    """One row per (variant, SpliceAI annotation): allele|symbol|DS_AG|DS_AL|DS_DG|DS_DL."""
+def spliceai_kind(reference: Column, alternate: Column) -> Column:
+    """``snv`` for one base against another, ``indel`` for anything else."""
+    return F.when((F.length(reference) == 1) & (F.length(alternate) == 1), "snv").otherwise("indel")
+
+
+def import_spliceai(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """One row per (variant, SpliceAI annotation): allele, symbol, delta scores and delta positions (positions are NULL where the
+    annotation ends after the scores), and the variant's kind. The source has a file for each ``kind``; with it, variants of
+    the other kind are left out."""
+    if kind is not None and kind not in SPLICEAI_KINDS:
+        raise ValueError(kind)
     v = import_vcf(spark, path, "spliceai")
+    of = spliceai_kind(F.col("reference"), F.col("alternate"))
+    v = v if kind is None else v.where(of == kind)
     ann = v.select(*VARIANT_KEY, F.explode(F.split("spliceai", ",")).alias("_a"))
     parts = F.split("_a", r"\|")
-    cols = [F.get(parts, F.lit(i)).alias(n) if i < 2 else F.get(parts, F.lit(i)).try_cast("double").alias(n)
-            for i, n in enumerate(SPLICEAI_FIELDS)]
-    return ann.select(*VARIANT_KEY, *cols).where(F.col("allele") == F.col("alternate"))
+    types = {"ds": "double", "dp": "int"}
+    cols = [F.get(parts, F.lit(i)).try_cast(types.get(n[:2], "string")).alias(n) for i, n in enumerate(SPLICEAI_FIELDS)]
+    return ann.select(*VARIANT_KEY, of.alias("kind"), *cols).where(F.col("allele") == F.col("alternate"))
 
 
 def enrich_spliceai(spliceai: DataFrame) -> DataFrame:

@@ -438,10 +438,14 @@ def coverage_by_gene_centric(coverage: DataFrame, genes: DataFrame) -> DataFrame
 
 
 def gene_suggestions(genes: DataFrame) -> DataFrame:
-    """Search strings per gene: the symbol (weight 5) and its locus (weight 3)."""
+    """Search strings per gene: the symbol (weight 5), its aliases (weight 4; the column ``aliases``, a list, where the table
+    has it: each once, without the symbol itself) and its locus (weight 3)."""
     locus = F.concat("chromosome", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string"))
     s = F.array(F.struct(F.col("symbol").alias("text"), F.lit(5).alias("weight")),
                 F.struct(locus.alias("text"), F.lit(3).alias("weight")))
+    if "aliases" in genes.columns:
+        own = F.array_distinct(F.filter("aliases", lambda a: (F.length(a) > 0) & (a != F.col("symbol"))))
+        s = F.concat(s, F.transform(F.coalesce(own, F.array().cast("array<string>")), lambda a: F.struct(a.alias("text"), F.lit(4).alias("weight"))))
     return genes.select("symbol", F.inline(s))
 
 

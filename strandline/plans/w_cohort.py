@@ -48,13 +48,13 @@ def _(v):
 
 @witness("cohort_group_by_batch", f"""
 WITH l AS (SELECT analysis_id, batch_id FROM clinical WHERE analysis_id IN (SELECT id FROM req_analyses) {LATEST})
-SELECT batch_id, count(DISTINCT analysis_id) AS n_ids,
-       array_to_string(list_sort(list(DISTINCT analysis_id)), ',') AS analysis_ids
-FROM l GROUP BY batch_id
+SELECT batch_id, part, count(*) AS n_ids, string_agg(analysis_id, ',' ORDER BY analysis_id) AS analysis_ids
+FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY batch_id ORDER BY analysis_id) - 1) / 5) AS BIGINT) AS part FROM l)
+GROUP BY batch_id, part
 """)
 def _(v):
-    g = cohort.group_by_batch(v.clinical, v.req_analyses)
-    return g.select("batch_id", F.size("analysis_ids").cast("bigint").alias("n_ids"),
+    g = cohort.group_by_batch(v.clinical, v.req_analyses, most=5)
+    return g.select("batch_id", "part", F.size("analysis_ids").cast("bigint").alias("n_ids"),
                     F.array_join("analysis_ids", ",").alias("analysis_ids"))
 
 

@@ -84,10 +84,15 @@ def _(v):
     return _norm(v).select(*var.VARIANT_KEY, "sequencing_id", "gq", "filters", "zygosity", "ad_alt")
 
 
-@witness("var_norm_cnv", 'SELECT cnv_id, sequencing_id, chromosome, CAST(start AS BIGINT) AS start, '
-                         'CAST("end" AS BIGINT) AS "end", type, CAST("end" - start AS BIGINT) AS length FROM cnvs')
+@witness("var_norm_cnv", """
+SELECT cnv_id, sequencing_id, chromosome, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", type,
+       CAST("end" - start AS BIGINT) AS length FROM cnvs WHERE start % 100 >= 40
+""")
 def _(v):
-    return var.normalize_cnv(v.cnvs, filter_col=None)
+    # by place: no filters, failed, failed twice, passed, passed with a remark
+    return var.normalize_cnv(v.cnvs.withColumn("filters", F.expr(
+        "CASE start % 100 WHEN 0 THEN NULL WHEN 20 THEN array('cnvQual', 'cnvLength') WHEN 40 THEN array('PASS') "
+        "ELSE array('PASS', 'remark') END")))
 
 
 @witness("var_norm_variants", f"""
@@ -462,9 +467,14 @@ SUGGEST_GENE = ("SELECT symbol, symbol AS text, 5 AS weight FROM genes UNION ALL
                 "SELECT symbol, chromosome || ':' || CAST(start AS VARCHAR) || '-' || CAST(\"end\" AS VARCHAR), 3 FROM genes")
 
 
-@witness("var_suggest_gene", SUGGEST_GENE)
+@witness("var_suggest_gene", f"""{SUGGEST_GENE}
+UNION ALL SELECT symbol, 'ALIAS' || CAST(start % 50 AS VARCHAR), 4 FROM genes WHERE start % 3 <> 0
+UNION ALL SELECT symbol, symbol || '-A', 4 FROM genes WHERE start % 3 <> 0
+""")
 def _(v):
-    return var.gene_suggestions(v.genes)
+    alias, again = F.concat(F.lit("ALIAS"), (F.col("start") % 50).cast("string")), F.concat("symbol", F.lit("-A"))
+    aliases = F.when(F.col("start") % 3 != 0, F.array(alias, again, F.col("symbol"), F.lit(""), alias))
+    return var.gene_suggestions(v.genes.withColumn("aliases", aliases))
 
 
 @witness("var_suggest_variant", f"""

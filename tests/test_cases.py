@@ -104,6 +104,14 @@ def test_file_prefix_and_path_param(spark):
     assert (r.f, r.a, r.n) == ("F1", None, "A9")
 
 
+def test_invalid_prefixes(spark):
+    keys = spark.createDataFrame([("B/.case.hard-filtered.formatted.norm.VEP.vcf.gz",), ("B/variants..snv.norm.VEP.vcf.gz",),
+                                  ("B/1.case.hard-filtered.formatted.norm.VEP.vcf.gz",), ("B/.txt",), (None,)], "object_key string")
+    got = {r.object_key: r.error for r in cat.invalid_prefixes(keys).collect()}
+    assert got["B/.case.hard-filtered.formatted.norm.VEP.vcf.gz"] == "Invalid VCF prefix: B/.case.hard-filtered.formatted.norm.VEP.vcf.gz"
+    assert "B/1.case.hard-filtered.formatted.norm.VEP.vcf.gz" not in got and "B/.txt" not in got
+
+
 def test_attach_pipeline_file_beats_legacy(spark):
     clinical = spark.createDataFrame([("S1", "A2", "BAT1", "1", None)],
                                      "sequencing_id string, analysis_id string, batch_id string, aliquot_id string, "

@@ -76,6 +76,17 @@ def test_spliceai_missing_scores(spark):
     assert rows == {"G1": (None, 0.5), "G2": (None, None)}
 
 
+def test_spliceai_kinds_and_positions(spark):
+    d = scratch_dir(spark, "spliceai")
+    p = _write(d, "a.vcf", "1\t1\t.\tA\tC,CT\t.\t.\tSpliceAI=C|G|0.1|0.2|0.3|0.4|-5|6|x|50,CT|G|0.9|0|0|0|1|2|3|4\n")
+    rows = {r.alternate: r for r in ref.import_spliceai(spark, p).collect()}
+    assert (rows["C"].kind, rows["C"].dp_ag, rows["C"].dp_al, rows["C"].dp_dg, rows["C"].dp_dl) == ("snv", -5, 6, None, 50)
+    assert [r.alternate for r in ref.import_spliceai(spark, p, "indel").collect()] == ["CT"]
+    assert [r.alternate for r in ref.import_spliceai(spark, p, "snv").collect()] == ["C"]
+    with pytest.raises(ValueError):
+        ref.import_spliceai(spark, p, "sv")
+
+
 def test_typed_tables(spark):
     d = scratch_dir(spark, "typed")
     p = _write(d, "genemap2.txt", "# Copyright\n# " + "\t".join(h for h, _, _ in tables.TABLES["omim"]) + "\n"
