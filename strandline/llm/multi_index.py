@@ -17,11 +17,14 @@ spans many lanes and is searched by many tasks. A lane meets the queries that
 visit one of its cells and gives each its k nearest among the rows of these
 cells; no pair leaves a lane else.
 
-Defined results: vectors that are NULL, zero, hold NULL, NaN or infinite
-components, or are not of the table's most frequent length, and rows with a
-NULL vec_id, take no part. Rows that repeat a vec_id count once (the smallest
-vector). Ties go to the smaller vec_id. Extra columns are ignored. An empty
-table, or one without queries, gives no rows.
+Defined results: vectors that are NULL, zero, or hold NULL, NaN or infinite
+components, and rows with a NULL vec_id, take no part. There is no distance
+between vectors of two lengths, so each length is an index of its own. A row
+that repeats both vec_id and vector counts once; rows with one vec_id and
+several vectors are several rows: each is a candidate of the others, and each
+whose vec_id is a query's has its own k results. Ties go to the smaller
+vec_id. Extra columns are ignored. An empty table, or one without queries,
+gives no rows. Jobs run when ``search`` is called.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import bounded_batches, rewritten
+from strandline.operators._util import global_row_number
 
 K = 10
 QUERY_EVERY = 100
@@ -193,14 +197,13 @@ def brute_force(vectors: DataFrame, queries: list[tuple[int, list[float]]], dim:
     return best(vectors.select("vec_id", "v").mapInArrow(run, _FOUND), k)
 
 
-def prepared(embeddings: DataFrame) -> tuple[DataFrame, int, int]:
-    """Usable vectors (vec_id, v), written once; their length and number."""
+def prepared(embeddings: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Usable vectors (vec_id, v, id), written once, and how many there are of each length. ``vec_id`` is the row's own number,
+    in the order of the table's ids, and ``id`` its id in the table."""
     v = embeddings.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))) \
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    sizes = v.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
-    dim = sizes["dim"] if sizes else 0
-    one = rewritten(v.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")), "ann-vectors")
-    return one, dim, one.count()
+        .select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v")).distinct()
+    rows = global_row_number(v, [F.col("id"), F.xxhash64("v")], name="vec_id").select("vec_id", "v", "id")
+    return rows, {r["dim"]: r["count"] for r in rows.groupBy(F.size("v").alias("dim")).count().collect()}  # a row a length
 
 
 def build(vectors: DataFrame, dim: int, n: int, train_rows: int = TRAIN_ROWS) -> tuple[Codebooks, DataFrame]:
@@ -218,9 +221,9 @@ def build(vectors: DataFrame, dim: int, n: int, train_rows: int = TRAIN_ROWS) ->
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell = sent.value.cells(matrix(batch.column(1), dim)) if batch.num_rows else np.array([], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=["vec_id", "v", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=[*batch.schema.names, "cell"])
 
-    entries = rewritten(vectors.mapInArrow(place, "vec_id long, v array<double>, cell long"), "ann-cells")
+    entries = rewritten(vectors.mapInArrow(place, "vec_id long, v array<double>, id long, cell long"), "ann-cells")
     for row in entries.groupBy("cell").count().collect():  # one row a cell, at most MAX_CENTROIDS squared
         books.counts[row["cell"]] = row["count"]
     return books, entries
@@ -257,13 +260,20 @@ def calibrated_rows(books: Codebooks, entries: DataFrame, queries: DataFrame, k:
 
 def search(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, rows: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by ``query_every``."""
-    spark = embeddings.sparkSession
-    bounded_batches(spark)
-    vectors, dim, n = prepared(embeddings)
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    bounded_batches(embeddings.sparkSession)
+    vectors, lengths = prepared(embeddings)
+    out = embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for i, (dim, n) in enumerate(sorted(lengths.items())):
+        found = search_length(vectors.where(F.size("v") == dim), dim, n, k, query_every, rows)
+        out = out.unionByName(found) if i else found
+    return out
+
+
+def search_length(vectors: DataFrame, dim: int, n: int, k: int, query_every: int, rows: int | None) -> DataFrame:
+    """:func:`search` among the ``n`` prepared vectors of one length."""
+    spark = vectors.sparkSession
     books, entries = build(vectors, dim, n)
-    queries = entries.where(F.col("vec_id") % query_every == 0)
+    queries = entries.where(F.col("id") % query_every == 0)
     enough = rows or max(k + 1, calibrated_rows(books, entries, queries, k))
     books.close()
     sent = spark.sparkContext.broadcast(books)
@@ -310,4 +320,7 @@ def search(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, ro
 
     key = ["lane", "part"]
     found = probes.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(rerank, _FOUND)
-    return best(found, k).select("query_id", "rank", "vec_id", "score")
+    ids = entries.select(F.col("vec_id").alias("row"), "id")
+    asked, near = ids.toDF("query_id", "_asked"), ids.toDF("vec_id", "_near")
+    return best(found, k).join(asked, "query_id").join(near, "vec_id").select(
+        F.col("_asked").alias("query_id"), "rank", F.col("_near").alias("vec_id"), "score")

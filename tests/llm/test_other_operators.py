@@ -133,6 +133,20 @@ def test_few_vectors(spark):
     assert multi_index.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_neighbours_of_rows_that_share_an_id_or_differ_in_length(spark):
+    r = np.random.default_rng(5)
+    rows = [(int(i % 40) * 50, [float(v) for v in r.normal(0, 1, 2 + i % 2)]) for i in range(160)]  # each id on four rows
+    rows += [(100, [9.0]), (200, [8.0]), (7, rows[0][1]), rows[3]]
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    want = []
+    for q, (i, v) in enumerate(distinct):
+        near = sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), j) for c, (j, w) in enumerate(distinct)
+                      if c != q and len(w) == len(v))
+        want += [(i, n + 1, j, round(d, 9)) for n, (d, j) in enumerate(near[:10])] if i % 100 == 0 else []
+    out = multi_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), rows=1000).collect()
+    assert sorted((x[0], x[1], x[2], round(x[3], 9)) for x in out) == sorted(want)
+
+
 # ---- chat -----------------------------------------------------------------
 
 @pytest.mark.parametrize("budget,history", [(40, 15), (30, 0), (100_000, 10)])
