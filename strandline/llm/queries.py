@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandline.llm import (bpe, bucket_digest, chat, hard_negatives, langid, line_dedup, mixing, multi_index,
                             secrets, simhash_index, spelling, toxicity, warc)
@@ -49,8 +50,9 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extra = spark.createDataFrame([(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"),
+                 F.lit(EXTRA_TEXT).alias("text")) for turn, role in enumerate(("user", "assistant"))])))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_report(chat.chat_windows(rows.unionByName(extra)))
 
