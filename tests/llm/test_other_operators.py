@@ -236,7 +236,7 @@ def test_archives_round_trip(spark):
 def test_queries_are_registered():
     from __spark_entry__ import oracle_sql, queries as registered
     assert set(queries.QUERIES) <= set(registered()) and set(queries.ORACLE_SQL) <= set(oracle_sql())
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES if q != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries.QUERIES if q != "pipeline"}
 
 
 def test_pipeline_stages(spark):
