@@ -11,7 +11,8 @@ also share their first or their last ``END`` code points, so each signature is m
 loses no pair. A pair is taken in the first signature it shares only, a test on columns, so no distinct is needed.
 
 Counting words runs in tasks over blocks of texts; all else is joins and aggregates. The join reads a group's words
-side by side and never writes its pairs; only verified links leave it.
+side by side and never writes its pairs; only verified links leave it. The joins are merge joins at every size, as a
+compressed table of words is many times as large in the memory of a driver that would broadcast it.
 
 Defined results: NULL and empty texts have no words. A NULL doc_id reads as the empty string. Rows with the same doc_id
 and repeated rows all count. Ties between forms go to the smaller word in code-point order. Extra columns are ignored. An empty
@@ -140,7 +141,8 @@ def links(words: DataFrame, n: int = PIECES) -> DataFrame:
     # the kept pieces are the first n - 2 equal ones: no other piece before the last kept one is equal
     spare = F.forall(F.sequence(F.lit(0), F.element_at("kept", -1)), lambda i: F.array_contains("kept", i)
                      | (F.get("pu", i) != F.get("pv", i)))
-    return a.join(b, (a["sig"] == b["sig"]) & (F.col("u") < F.col("v")) & (earlier | ~same_start)
+    # a merge join by name: from the file size of the words a table of signatures looks small enough to broadcast
+    return a.join(b.hint("merge"), (a["sig"] == b["sig"]) & (F.col("u") < F.col("v")) & (earlier | ~same_start)
                   & (F.levenshtein("u", "v", 1) == 1) & spare).select("u", "nu", "v", "nv")
 
 
@@ -165,7 +167,7 @@ def roots(pairs: DataFrame) -> DataFrame:
     at = rewritten(pairs.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         step = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = rewritten(at.join(step, "root", "left").select(
+        moved = rewritten(at.join(step.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         at = moved.select("word", "root")
         if moved.where("moved").isEmpty():
@@ -177,7 +179,7 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     words = rewritten(words, "spelling-words")
     out = rewritten(forms(words, links(words), ratio), "spelling-forms")
     end = roots(out.where(F.col("form").isNotNull()).select("word", "form"))
-    return out.join(end, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
+    return out.join(end.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
                                                 "form_n")
 
 

@@ -232,6 +232,13 @@ def variants(df):
     return sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
 
 
+def test_spelling_joins_pass_nothing_through_the_driver(spark):
+    df = spark.createDataFrame([("spelling", 50), ("speling", 5), ("spellings", 9)], "word string, n long")
+    words = spelling.rewritten(df, "test-words")  # a file far below any broadcast threshold
+    for out in (spelling.links(words), spelling.spelling_variants(df)):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spelling_report_equals_a_plain_version(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = plain_variants(plain_counts(docs))
