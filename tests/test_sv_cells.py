@@ -71,3 +71,14 @@ def test_near_identical_variants_make_no_pairs(spark):
     cells = sv_cells.boxes(df.select("*", *sv_cells.cell_key(0.8)), ["chromosome", "type", "power", "width", "c_start", "c_end"])
     assert cells.count() <= 9
     assert set(clustered(spark, rows, 0.8).values()) == {"v00000"}
+
+
+def test_pairs_from_lists_of_a_site_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(variants, "PAIR_BLOCK", 2)  # sites of several lists
+    rnd = random.Random(9)
+    rows = [(f"v{i:02}", rnd.choice(["c1", None]), "DEL", s, s + 100) for i in range(40) for s in [rnd.choice([0, 0, 0, 10, 15, 30])]]
+    rows += [("v03", "c1", "DEL", 0, 100), (None, "c1", "DEL", 0, 100), ("w", "c1", "DEL", 5, 5)]
+    ok = [r for r in rows if None not in r and r[4] > r[3]]
+    want = sorted((a[0], a[3], b[0], b[3]) for a in ok for b in ok if a[0] < b[0] and a[1] == b[1] and 100 - abs(a[3] - b[3]) >= 80)
+    got = variants.sv_pairs(spark.createDataFrame(rows, SCHEMA)).select("a_id", "a_start", "b_id", "b_start").collect()
+    assert sorted(map(tuple, got)) == want and len(want) > 50
