@@ -32,23 +32,27 @@ def _events(v):
         st.poll_state(F.col("event_type"), F.col("value")).alias("state"), F.col("props").alias("payload"))
 
 
-#: Micro-batches of a witness, files of a slice, and batches between two compactions.
-SLICES, FILES, COMPACT_EVERY = 4, 2, 2
+#: Micro-batches of a witness, files of a slice (at least, and rows of a file from which there are more), and batches
+#: between two compactions.
+SLICES, FILES, FILE_ROWS, COMPACT_EVERY = 4, 2, 250_000, 2
 
 
-def _sliced(v, df, by: Column, n: int, name: str) -> str:
-    """Land ``df`` as ``n`` slices by the number ``by``, one after the other."""
-    path = scratch_dir(v.spark, f"{name}-src")
+def _sliced(v, df, by: Column, n: int, name: str) -> tuple[str, int]:
+    """Land ``df`` as ``n`` slices by the number ``by``, one after the other; the folder and the files of a slice. The rows
+    are made once, and larger slices have more files, so that as many tasks write and read them."""
+    path, rows = scratch_dir(v.spark, f"{name}-src"), cut_lineage(df.withColumn("_slice", by))
+    files = max(FILES, -(-rows.count() // (n * FILE_ROWS)))
     for i in range(n):
-        df.where(by == i).repartition(FILES).write.mode("append").parquet(path)
-    return path
+        rows.where(F.col("_slice") == i).drop("_slice").repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
 def _stream(v, df, name: str, by: Column | None = None):
     """Land ``df`` in slices, by default by a hash of all columns, so in no order of time; open it as a stream that
     takes one slice a micro-batch."""
     by = F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)) if by is None else by
-    return st.read_stream(v.spark, _sliced(v, df, by, SLICES, name), df.schema, FILES)
+    path, files = _sliced(v, df, by, SLICES, name)
+    return st.read_stream(v.spark, path, df.schema, files)
 
 
 def _run(v, stream_df, name: str, mode: str = "append"):
@@ -215,8 +219,8 @@ def _(v):
     straggler = F.col("event_id") % 97 == 0
     quarter = e.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75]).alias("q")).select("q").scalar()
     order = sum(((F.col("ts") > F.get(quarter, F.lit(i))).cast("int") for i in range(3)), F.lit(0))
-    src = _sliced(v, e, F.when(straggler, F.lit(4)).otherwise(order), 5, "stale")
-    out = _run(v, st.stale_stream(st.read_stream(v.spark, src, e.schema, FILES), TIMEOUT, DELAY), "stale")
+    src, files = _sliced(v, e, F.when(straggler, F.lit(4)).otherwise(order), 5, "stale")
+    out = _run(v, st.stale_stream(st.read_stream(v.spark, src, e.schema, files), TIMEOUT, DELAY), "stale")
     return st.read_batches(v.spark, out).select(
         "analysis_id", "verdict", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"), "event_id")
 
