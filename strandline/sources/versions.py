@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.session import cut_lineage
+
 BUCKETS = 64
 
 
@@ -57,6 +59,7 @@ class BucketedTable:
 
     def replace_keys(self, rows: DataFrame) -> None:
         """The rows of every key in ``rows`` become these; a NULL key is a key like any other."""
+        rows = cut_lineage(rows)  # read three times
         now = self.version()
         held = self.folders(now)
         touched = {r["bucket"] for r in rows.select(self._bucket().alias("bucket")).distinct().collect()}
