@@ -170,12 +170,6 @@ def _(v):
     return qa.in_dictionary(var.normalize_snv(v.occurrences), {"zygosity": ["HET"], "filters": ["PASS"]})
 
 
-def _enriched(v, nor):
-    """Normalised occurrences with their clinical columns, written once."""
-    return cut_lineage(var.with_clinical(nor, v.clinical, ["analysis_id", "batch_id", "bioinfo_analysis_code", "is_proband",
-                                                           "gender", "affected_status"]))
-
-
 # Faults put into the tables, so that each check has something to find: rows that come twice, rows that are left out.
 TWICE = {"gnomad_joint": "start % 970 = 0", "clinical": "aliquot_id LIKE '%8'", "normalized_snv": "start % 970 = 0",
          "normalized_snv_somatic": "start % 980 = 0", "normalized_consequences": "start % 960 = 0",
@@ -202,25 +196,26 @@ MUST_HAVE_ROWS = ["clinical", "normalized_snv", "variants", "cnv_centric", "fran
 
 
 def _qa_tables(v):
-    nor = cut_lineage(var.normalize_snv(v.occurrences))
-    snv = _enriched(v, nor)
+    occ = cut_lineage(v.occurrences)
+    snv = cut_lineage(var.enrich_snv(occ, v.clinical))
+    variants = cut_lineage(var.distinct_variants(occ))
     germline = F.col("bioinfo_analysis_code") == "GEBA"
     gene_scores = v.part.select(F.concat(F.lit("GENE"), F.col("p_partkey").cast("string")).alias("symbol"),
                                 (F.col("p_retailprice") / 100).alias("cadd"))
     made = cut_together({
         "clusters": lambda: var.cluster_frequencies(v.cnvs, var.sv_clusters(v.cnvs), v.clinical),
-        "docs": lambda: var.variant_centric(var.variant_donors(snv), var.frequencies(nor, v.clinical)),
-        "cons": lambda: var.normalize_consequences(v.occurrences, v.genes),
-        "variants": lambda: var.enrich_variants(var.distinct_variants(nor), _sources(v), _clinvar(v), v.genes,
-                                                _scores(v)).select(*VK, "clin_sig", "n_genes", "max_score"),
+        "docs": lambda: var.variant_centric(var.variant_donors(snv), var.frequencies(snv, v.clinical, enriched=True)),
+        "cons": lambda: _cons(v, variants),
+        "variants": lambda: var.enrich_variants(variants, _sources(v), _clinvar(v), v.genes,
+                                                _scores(v, occ)).select(*VK, "clin_sig", "n_genes", "max_score"),
         "origin": lambda: var.parental_origin(v.cnvs, v.clinical).withColumnRenamed("proband_seq", "sequencing_id"),
-        "normalized_variants": lambda: var.normalize_variants(nor, v.clinical),
+        "normalized_variants": lambda: var.normalize_variants(snv, v.clinical, enriched=True),
         "coverage": lambda: var.normalize_coverage(_coverage(v))})
     cons, clusters = made["cons"], made["clusters"]
     tables = {
         "gnomad_joint": _sources(v)["gnomad"], "clinical": v.clinical,
-        "normalized_snv": snv.where(germline).select(*nor.columns),
-        "normalized_snv_somatic": snv.where(~germline).select(*nor.columns),
+        "normalized_snv": snv.where(germline).select(*occ.columns),
+        "normalized_snv_somatic": snv.where(~germline).select(*occ.columns),
         "normalized_consequences": cons, "normalized_variants": made["normalized_variants"],
         "snv": snv.where(germline), "snv_somatic": snv.where(~germline),
         "consequences": cut_lineage(var.enrich_consequences(cons, gene_scores)), "variants": made["variants"],
@@ -312,25 +307,34 @@ def _seeded(df):
 
 def _qc_tables(v):
     """The suite's tables, and the profiles of those that column checks look at."""
-    nor = cut_lineage(var.normalize_snv(v.occurrences))
-    snv = _enriched(v, nor)
-    parts = document_parts(v, snv)
-    parts["freqs"] = cut_lineage(var.frequencies(nor, v.clinical))
+    occ = cut_lineage(v.occurrences)
+    variants = cut_lineage(var.distinct_variants(occ))
+    cons = cut_lineage(_cons(v, variants))
+
+    def profiled(name, df):
+        return qa.write_profiled(_seeded(df), scratch_dir(v.spark, f"qc-{name}"))
+
+    # the donors are written once, with their faults, and read back without them
+    donors = var.variant_donors(var.enrich_snv(occ, v.clinical))
+    written = {"variant_donors": profiled("variant_donors", donors)}
+    parts = document_parts(v, occ, written["variant_donors"][0].select(*donors.columns), variants, cons)
+    parts["freqs"] = cut_lineage(parts["freqs"])
     cnvs = v.cnvs
     n_genes = (var.gene_overlap(cnvs.select("cnv_id", "chromosome", "start", "end"),
                                 v.genes.select("symbol", "chromosome", "start", "end"))
                .groupBy("cnv_id").agg(F.count("*").alias("n_genes")))
     coverage = var.coverage_by_gene_centric(var.normalize_coverage(_coverage(v)), v.genes)
-    written = {name: qa.write_profiled(_seeded(df), scratch_dir(v.spark, f"qc-{name}")) for name, df in {
-        "variant_centric": var.variant_centric(**parts), "variant_donors": parts["donors"],
-        "gene_centric": var.gene_centric(v.genes, var.gene_variants(_cons(v))),
+    written |= {name: profiled(name, df) for name, df in {
+        "variant_centric": var.variant_centric(**parts),
+        "gene_centric": var.gene_centric(v.genes, var.gene_variants(cons)),
         "cnv_centric": var.cnv_centric(cnvs.join(n_genes, "cnv_id", "left")).select("cnv_id", "doc.*"),
         "coverage_by_gene": coverage.select("symbol", "sample_id", "doc.*")}.items()}
     # frequencies of variants that are not there, none of some that are, and a spanning deletion
     freqs = parts["freqs"].where("analysis_code = 'all'").where("start % 50 <> 30")
     freqs = freqs.unionByName(freqs.where(HOLES).withColumn("reference", F.lit("NN")))
+    nor = var.normalize_snv(occ)
     spanning = nor.unionByName(nor.where(HOLES).withColumn("alternate", F.lit("*")))
-    tables = {"occurrences": v.occurrences, "frequencies": freqs, "normalized_snv": spanning}
+    tables = {"occurrences": occ, "frequencies": freqs, "normalized_snv": spanning}
     return tables | {name: df for name, (df, _) in written.items()}, {name: p for name, (_, p) in written.items()}
 
 
