@@ -97,3 +97,12 @@ def test_consequences_are_dealt_by_gene(spark):
     scores = spark.createDataFrame([("G", 1.0)], "symbol string, cadd double").localCheckpoint().hint("merge")
     assert exchanges(cons.join(scores, "symbol", "left")) == exchanges(cons) + 1
     assert [r for r in rows(cons.select("start", "symbol", "transcript")) if r[0] < 3] == [(1, "G", "G-T1"), (2, "G", "G-T1"), (2, "H", "H-T1")]
+
+
+def test_coverage_is_dealt_by_gene(spark):
+    coverage = spark.createDataFrame([("G", "s", 1, 1, 1), ("G", "s", 5, 1, 1), (None, "s", 1, 1, 1)],
+                                     "symbol string, sample_id string, depth int, order_key long, line_no int")
+    genes = spark.createDataFrame([("G", "c", 0, 9)], "symbol string, chromosome string, start long, end long").hint("merge")
+    best = var.normalize_coverage(coverage)
+    assert rows(best) == [("G", "s", 5, 1, 1), (None, "s", 1, 1, 1)]
+    assert exchanges(var.coverage_by_gene_centric(best, genes)) == 2
