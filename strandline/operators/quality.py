@@ -36,7 +36,8 @@ def no_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def included_in(left: DataFrame, right: DataFrame, key: Sequence[str], where: Column | str | None = None) -> DataFrame:
     """Distinct ``left`` keys (optionally filtered) missing from ``right``."""
     l = left.where(where) if where is not None else left
-    return l.select(*key).distinct().join(right.select(*key), list(key), "left_anti")
+    # both sides as distinct keys: fewer rows to deal, and both directions of ``same_set`` share them
+    return l.select(*key).distinct().join(right.select(*key).distinct(), list(key), "left_anti")
 
 
 def same_set(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR, queries
 from strandline import session
+from strandline.operators import quality
 from strandline.operators import variants as var
 from strandline.plans import w_streams, w_variants
 
@@ -106,3 +107,11 @@ def test_coverage_is_dealt_by_gene(spark):
     best = var.normalize_coverage(coverage)
     assert rows(best) == [("G", "s", 5, 1, 1), (None, "s", 1, 1, 1)]
     assert exchanges(var.coverage_by_gene_centric(best, genes)) == 2
+
+
+def test_missing_keys_are_looked_up_among_distinct_ones(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    b = spark.createDataFrame([(2,), (2,), (3,)], "k int")
+    found = quality.included_in(a.localCheckpoint(), b.localCheckpoint().hint("merge"), ["k"])
+    assert rows(found) == [(1,), (None,)]
+    assert plan(found).split("Initial Plan")[-1].count("Aggregate(keys=[k") == 4
