@@ -2,7 +2,10 @@
 
 import datetime as dt
 import json
+import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +89,74 @@ def test_finished_keys_leave_no_state_and_late_events_are_told(spark):
     assert max(counts) > 20 and counts[-1] <= 2  # only what the watermark has not passed: the last event of "end"
 
 
+class _Value:
+    held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+def test_keys_of_a_bucket_are_judged_together():
+    """Against a loop over all events; keys of a bucket share two values and one timer."""
+    r, wait, delay, values, timers = random.Random(5), 8_000, 2_000, {}, set()
+
+    def put(timer):
+        assert timer not in timers
+        timers.add(timer)
+
+    handle = SimpleNamespace(getValueState=lambda name, schema: values.setdefault(name, _Value()), registerTimer=put, deleteTimer=timers.remove)
+    bucket = st._Runs("k", wait)
+    bucket.init(handle)
+    events = [(r.choice(["a", "b", "c", None, *"defgh"]), r.randrange(200) * 500, i, r.choice(["PENDING", "PENDING", "SUCCESS", "STARTED", None]))
+              for i in range(600)]
+    said, now, seen, taken, late = [], 0, 0, [], []
+    for batch in range(8):
+        part = [e for e in events if e[1] // 12_500 == batch or (e[2] % 50 == batch and e[1] // 12_500 < batch)]
+        time = SimpleNamespace(getCurrentWatermarkInMs=lambda: now // 1000)
+        late += [(e[0], e[2]) for e in part if e[1] < now]
+        taken += [e for e in part if e[1] >= now]
+        frame = pd.DataFrame(part, columns=["key", "us", "event_id", "status"])
+        calls = [bucket.handleInputRows((0,), iter([frame[:9], frame[9:]]), time)]
+        for call in calls:
+            said += list(call)
+        seen = max([seen, *(e[1] for e in part)])
+        for _ in range(2 if batch == 7 else 1):  # after the batch the watermark moves, and what is due comes
+            now = max(now, (seen - delay) // 1000 * 1000)
+            for timer in [t for t in timers if t <= now // 1000]:
+                said += list(bucket.handleExpiredTimer((0,), time, SimpleNamespace(getExpiryTimeInMs=lambda t=timer: t)))
+                timers.discard(timer)
+        assert len(timers) <= 1 and bool(timers) == any(v.exists() for v in values.values())
+    want = []
+    for key in {e[0] for e in taken}:
+        run = None
+        for _, us, _, status in sorted((e for e in taken if e[0] == key and e[1] <= now), key=lambda e: e[1:3]):
+            if run is not None and us > run + wait:
+                want.append((str(key), run))
+                run = None
+            run = None if status in ("SUCCESS", "FAILURE") else us if run is None and status == "PENDING" else run
+        want += [(str(key), run)] if run is not None and run + wait < now else []
+    rows = [x for frame in said for x in frame.itertuples()]
+    name = lambda x: "None" if pd.isna(x.k) else x.k
+    assert sorted((name(x), x.started_at.value // 1000) for x in rows if x.verdict == "stale") == sorted(want) and len(want) > 30
+    assert sorted((name(x), x.event_id) for x in rows if x.verdict == "late") == sorted((str(k), i) for k, i in late) and late
+
+
+def test_stale_events_are_grouped_by_bucket(spark):
+    events = spark.createDataFrame(EVENTS, SCHEMA)
+    src = st.land(events, scratch_dir(spark, "stale-plan-src"))
+    plan = st.stale_stream(st.read_stream(spark, src, SCHEMA), "8 hours", "0 seconds", buckets=3)._jdf.queryExecution().analyzed().toString()
+    assert "AS bucket" in plan and "TransformWithStateInPySpark" in plan
+
+
 def test_latest_status_and_advance_batch(spark):
     df = spark.createDataFrame([(1, T0, "A", "PENDING", "PENDING"), (2, T0 + dt.timedelta(hours=1), "A", "SUCCESS",
                                                                       "REVOKED"),
