@@ -82,3 +82,14 @@ def test_pairs_from_lists_of_a_site_equal_all_pairs(spark, monkeypatch):
     want = sorted((a[0], a[3], b[0], b[3]) for a in ok for b in ok if a[0] < b[0] and a[1] == b[1] and 100 - abs(a[3] - b[3]) >= 80)
     got = variants.sv_pairs(spark.createDataFrame(rows, SCHEMA)).select("a_id", "a_start", "b_id", "b_start").collect()
     assert sorted(map(tuple, got)) == want and len(want) > 50
+
+
+def test_pairs_are_written_in_runs(spark, tmp_path):
+    rnd = random.Random(3)
+    ids = rnd.sample(range(10 ** 8), 900)
+    rows = [(f"v{n}", "c", "DEL", 20 * (i % 3), 20 * (i % 3) + 400) for i, n in enumerate(ids)]
+    df = variants.sv_pairs(spark.createDataFrame(rows, SCHEMA).repartition(8)).select("a_id", "b_id")
+    df.write.parquet(f"{tmp_path}/pairs")
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert spark.read.parquet(f"{tmp_path}/pairs").distinct().count() == 900 * 899 // 2
+    assert size < 0.8 * 900 * 899 // 2
